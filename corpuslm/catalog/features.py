@@ -12,6 +12,7 @@ from corpuslm.catalog.registry import (
     POSTS,
     TOKENS_WORD,
     TOKENS_WS,
+    documents,
     posts,
     query,
     rounded,
@@ -78,7 +79,7 @@ def tokens_word(spark, sf_dir):
 
 
 def _tokens(spark, sf_dir, tokenizer):
-    tokens = table(spark, sf_dir, "documents").select("doc_id", tokenizer(F.col("text")).alias("t"))
+    tokens = documents(spark, sf_dir).select("doc_id", tokenizer(F.col("text")).alias("t"))
     return tokens.select(
         "doc_id", F.size("t").cast("bigint").alias("n_tokens"), F.md5(F.array_join("t", "\x1f")).alias("tokens_md5")
     )
@@ -90,12 +91,12 @@ doc_terms AS (SELECT doc_id, term, count(*) AS n FROM tokens GROUP BY doc_id, te
 
 @query("term_counts", f"WITH {DOC_TERMS} SELECT * FROM doc_terms")
 def term_counts(spark, sf_dir):
-    return terms.term_counts(table(spark, sf_dir, "documents"), "doc_id", ws_tokens(F.col("text")))
+    return terms.term_counts(documents(spark, sf_dir), "doc_id", ws_tokens(F.col("text")))
 
 
 @query("word_freq", f"WITH {DOC_TERMS} SELECT doc_id, term, CAST(n AS DOUBLE) AS freq FROM doc_terms")
 def word_freq(spark, sf_dir):
-    maps = terms.word_freq_maps(table(spark, sf_dir, "documents"), "doc_id", ws_tokens(F.col("text")))
+    maps = terms.word_freq_maps(documents(spark, sf_dir), "doc_id", ws_tokens(F.col("text")))
     return maps.select("doc_id", F.explode("words_freq").alias("term", "freq"))
 
 
@@ -113,20 +114,20 @@ VOCABULARY = """vocabulary AS (SELECT term, CAST(sum(n) AS BIGINT) AS n, count(*
     f"WITH {DOC_TERMS}, {VOCABULARY} SELECT * FROM vocabulary WHERE term_index < 262144",
 )
 def vocabulary(spark, sf_dir):
-    return terms.vocabulary(table(spark, sf_dir, "documents"), ws_tokens(F.col("text")))
+    return terms.vocabulary(documents(spark, sf_dir), ws_tokens(F.col("text")))
 
 
 @query("vocabulary_full", f"WITH {DOC_TERMS}, {VOCABULARY} SELECT * FROM vocabulary")
 def vocabulary_full(spark, sf_dir):
-    return terms.vocabulary(table(spark, sf_dir, "documents"), ws_tokens(F.col("text")), size=None)
+    return terms.vocabulary(documents(spark, sf_dir), ws_tokens(F.col("text")), size=None)
 
 
 @query("count_vectors", f"WITH {DOC_TERMS}, {VOCABULARY} SELECT term_index, CAST(n AS DOUBLE) AS n, CAST(df AS DOUBLE) AS df FROM vocabulary WHERE term_index < 5000")
 def count_vectors(spark, sf_dir):
     """Slots of the ML vectors, summed over all posts: a vocabulary of the top 5,000 terms."""
-    documents = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     tokens = ws_tokens(F.col("text"))
-    vectors, _ = terms.count_vectors(documents, tokens, terms.vocabulary(documents, tokens, size=5000))
+    vectors, _ = terms.count_vectors(docs, tokens, terms.vocabulary(docs, tokens, size=5000))
     summary = vectors.select(Summarizer.metrics("sum", "numNonZeros").summary(F.col("words_features")).alias("s"))
     slots = F.arrays_zip(vector_to_array("s.sum").alias("n"), vector_to_array("s.numNonZeros").alias("df"))
     return summary.select(F.posexplode(slots).alias("i", "slot")).select(

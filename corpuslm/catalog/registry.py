@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuslm.sources.tables import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -27,9 +29,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, read for work on their texts."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as a post table: a language as class, a key that is not unique."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id",
         F.col("source").alias("author"),
         F.col("n_chars").cast("string").alias("created"),

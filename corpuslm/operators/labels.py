@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from corpuslm.operators.prep import labelled_only
 from corpuslm.plans.numbering import number_rows
-from corpuslm.plans.sizes import SMALL_ROWS, is_small
+from corpuslm.plans.sizes import SMALL_ROWS, WIDE_CLASSES, is_small, small_rows
 from corpuslm.plans.skew import lookup_join
 
 
@@ -34,37 +34,50 @@ def priors(posts: DataFrame, label: str = "flair") -> DataFrame:
 
 @dataclass
 class LabelIndex:
-    """Dictionary (label, label_index, n) and whether it was found small enough to broadcast."""
+    """Dictionary (label, n, label_index). `entries` holds its rows when there are few, else None."""
 
     dictionary: DataFrame
-    small: bool
     label: str
+    entries: list[Row] | None
+    small: bool
 
     def transform(self, posts: DataFrame, spread_by: str, name: str = "indexed_flair") -> DataFrame:
         """Add the index of each post's label. Posts without a label are dropped."""
         posts = labelled_only(posts, self.label)
-        if self.small:
-            entry = self.dictionary.select(self.label, F.col("label_index").alias(name))
-            return posts.join(F.broadcast(entry), self.label, "left").select(*posts.columns, name)
         table = self.dictionary.withColumnRenamed("label_index", name)
-        return lookup_join(posts, table, [self.label], "n", [name], spread_by)
+        return self._look_up(posts, table, self.label, name, spread_by)
 
     def decode(self, df: DataFrame, column: str, name: str, spread_by: str) -> DataFrame:
         """Add the label of each index in `column`."""
-        entry = self.dictionary.select(F.col("label_index").alias(column), F.col(self.label).alias(name), "n")
+        table = self.dictionary.select(F.col("label_index").alias(column), "n", F.col(self.label).alias(name))
+        return self._look_up(df, table, column, name, spread_by)
+
+    def _look_up(self, df: DataFrame, table: DataFrame, key: str, name: str, spread_by: str) -> DataFrame:
+        if self.entries is not None:
+            # (label, index) or (index, label), written into the plan
+            source = {True: (self.label, "label_index"), False: ("label_index", self.label)}[key == self.label]
+            pairs = [F.lit(e[c]) for e in self.entries for c in source]
+            return df.withColumn(name, F.create_map(*pairs)[F.col(key)] if pairs else F.lit(None))
         if self.small:
-            return df.join(F.broadcast(entry.drop("n")), column, "left").select(*df.columns, name)
-        counts = df.groupBy(column).agg(F.count("*").alias("n"))
-        return lookup_join(df, counts.join(entry.drop("n"), column), [column], "n", [name], spread_by)
+            return df.join(F.broadcast(table.drop("n")), key, "left").select(*df.columns, name)
+        counts = df.groupBy(key).agg(F.count("*").alias("n"))
+        return lookup_join(df, counts.join(table.drop("n"), key), [key], "n", [name], spread_by)
 
 
-def label_index(posts: DataFrame, label: str = "flair", small_rows: int = SMALL_ROWS) -> LabelIndex:
-    """Number the labels by falling count, equal counts by label."""
+def label_index(
+    posts: DataFrame, label: str = "flair", few: int = WIDE_CLASSES, small_limit: int = SMALL_ROWS
+) -> LabelIndex:
+    """Number the labels by falling count, equal counts by label. Counts them once."""
     counts = label_counts(posts, label)
+    entries = small_rows(counts, few)
+    small = entries is not None or is_small(counts, small_limit)
     order = [F.desc("n"), F.asc(label)]
-    small = is_small(counts, small_rows)
     if small:
         numbered = counts.withColumn("label_index", F.row_number().over(Window.orderBy(*order)) - 1)
     else:
         numbered = number_rows(counts, order, "label_index")
-    return LabelIndex(numbered.withColumn("label_index", F.col("label_index").cast("double")), small, label)
+    if entries is not None:
+        ranked = sorted(sorted(entries, key=lambda r: r[label]), key=lambda r: -r["n"])
+        entries = [Row(**{label: r[label], "n": r["n"], "label_index": float(i)}) for i, r in enumerate(ranked)]
+    numbered = numbered.withColumn("label_index", F.col("label_index").cast("double"))
+    return LabelIndex(numbered, label, entries, small)

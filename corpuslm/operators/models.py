@@ -96,21 +96,35 @@ class UnigramModel:
     least_class_total: int
 
 
-def fit(posts: DataFrame, label: str = "flair", text: str = "text", wide: int = WIDE_CLASSES) -> UnigramModel:
+def fit(
+    posts: DataFrame,
+    label: str = "flair",
+    text: str = "text",
+    classes: list[Row] | None = None,
+    terms: DataFrame | None = None,
+    wide: int = WIDE_CLASSES,
+) -> UnigramModel:
     """Count the words of each class in one pass over the posts and write the counts.
 
-    Reads the label column first to learn how many classes there are. Up to `wide` of them are
-    counted side by side, which needs a single shuffle, of partial counts by word.
+    Up to `wide` classes are counted side by side, which needs a single shuffle, of partial counts
+    by word. `classes`, rows of (label, n), saves reading the label column to find them; `terms`,
+    a table (label, word, n), replaces the words of the text.
     """
     posts = labelled_only(posts, label)
     counts = label_counts(posts, label)
-    classes = small_rows(counts, wide)
+    if classes is None or len(classes) > wide:
+        classes = small_rows(counts, wide)
     if classes is None:
-        return _fit_long(posts, label, text, counts)
+        return _fit_long(label_terms(posts, label, text) if terms is None else terms, label, counts)
     classes = sorted(classes, key=lambda r: r[label])
-    words = posts.select(label, F.explode(word_tokens(F.col(text))).alias("word"))
-    in_class = [F.count_if(F.col(label) == c[label]).alias(f"n_{i}") for i, c in enumerate(classes)]
-    table = materialize(words.groupBy("word").agg(F.count("*").alias("n"), *in_class), "model")
+    if terms is None:
+        words = posts.select(label, F.explode(word_tokens(F.col(text))).alias("word"))
+        every, of_class = F.count("*"), F.count_if
+    else:
+        words = terms
+        every, of_class = F.sum("n"), lambda own: F.coalesce(F.sum(F.when(own, F.col("n"))), F.lit(0))
+    in_class = [of_class(F.col(label) == c[label]).alias(f"n_{i}") for i, c in enumerate(classes)]
+    table = materialize(words.groupBy("word").agg(every.alias("n"), *in_class), "model")
     size = table.agg(
         F.count("*").alias("words"),
         F.sum("n").alias("total"),
@@ -132,9 +146,9 @@ def fit(posts: DataFrame, label: str = "flair", text: str = "text", wide: int =
     )
 
 
-def _fit_long(posts: DataFrame, label: str, text: str, counts: DataFrame) -> UnigramModel:
+def _fit_long(terms: DataFrame, label: str, counts: DataFrame) -> UnigramModel:
     by_word = Window.partitionBy("word")  # at most one row per class
-    terms = label_terms(posts, label, text).select(
+    terms = terms.select(
         label,
         "word",
         "n",

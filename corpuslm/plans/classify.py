@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 
 from corpuslm.operators.labels import LabelIndex, label_index
 from corpuslm.operators.models import UnigramModel, fit
@@ -37,7 +37,8 @@ def classify(
     """
     labels = label_index(posts, flair)
     indexed = labels.transform(posts, spread_by=id, name="label")
-    model = fit(indexed, "label", text)
+    classes = labels.entries and [Row(label=e["label_index"], n=e["n"]) for e in labels.entries]
+    model = fit(indexed, "label", text, classes)
     by = by or [id]
     keep = tuple(c for c in by if c != id) + ("label",)
     scored = scores(indexed, model, id, text, keep=keep, lam=lam)
