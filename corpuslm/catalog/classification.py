@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpuslm.catalog.features import DOC_TERMS, VOCABULARY
 from corpuslm.catalog.registry import (
     ALL_SCORES,
     LABEL_TERMS,
@@ -14,12 +15,16 @@ from corpuslm.catalog.registry import (
     predicted,
     query,
     rounded,
-    table,
 )
+from corpuslm.functions import sqlfn
+from corpuslm.functions.text import ws_tokens
 from corpuslm.operators import evaluate, models
+from corpuslm.operators.crossed import crossed
 from corpuslm.operators.labels import label_index
-from corpuslm.operators.scoring import expand_classes
-from corpuslm.operators.predict import max_score, predict
+from corpuslm.operators.positional import positional
+from corpuslm.operators.predict import max_score
+from corpuslm.operators.scoring import expand_classes, scores
+from corpuslm.operators.terms import label_terms, rank_terms, term_counts, vocabulary, word_freq_maps
 from corpuslm.plans.classify import classify
 
 LM = f"WITH {POSTS}, {LABELS}, {LABEL_TERMS}, {MODELS} "
@@ -179,3 +184,81 @@ def class_metrics(spark, sf_dir):
 def weighted_metrics(spark, sf_dir):
     df = evaluate.weighted_metrics(_pairs(spark, sf_dir))
     return df.select(*[rounded(c) for c in df.columns])
+
+
+# the positional look-up, on both sides --------------------------------------------------------------
+
+POSITIONAL = f"""{POSTS}, {LABELS}, {DOC_TERMS}, {VOCABULARY}, {LABEL_TERMS},
+word_vocabulary AS (SELECT word, row_number() OVER (ORDER BY sum(n) DESC, word) - 1 AS i FROM label_terms GROUP BY word),
+placed AS (SELECT flair, l.n, row_number() OVER (PARTITION BY flair ORDER BY i) - 1 AS i
+  FROM label_terms l JOIN word_vocabulary v USING (word)),
+moved AS (SELECT flair, v.word, p.n FROM placed p JOIN word_vocabulary v USING (i)),
+moved_totals AS (SELECT flair, sum(n) AS n FROM moved GROUP BY flair),
+moved_lm AS (SELECT m.flair, m.word, m.n / t.n AS p_lm FROM moved m JOIN moved_totals t USING (flair)),
+moved_bg AS (SELECT word, sum(n) / (SELECT sum(n) FROM moved) AS p_bg FROM moved GROUP BY word),
+sizes AS (SELECT doc_id, count(*) AS k FROM doc_terms GROUP BY doc_id),
+matched AS (SELECT s.doc_id, v.term AS word, b.p_bg FROM sizes s JOIN vocabulary v ON v.term_index < s.k
+  JOIN moved_bg b ON b.word = v.term),
+sums AS (SELECT m.doc_id, c.flair AS class, sum(ln(c.prior * (0.5::DOUBLE * coalesce(l.p_lm, 0) + 0.5::DOUBLE * m.p_bg)
+  / (0.5::DOUBLE * m.p_bg))) AS score
+  FROM matched m CROSS JOIN classes c LEFT JOIN moved_lm l ON l.flair = c.flair AND l.word = m.word
+  GROUP BY m.doc_id, c.flair)"""
+
+
+@query(
+    "scores_positional",
+    f"""WITH {POSITIONAL} SELECT p.doc_id, c.flair AS class, round(coalesce(s.score, 0), 6) AS score
+    FROM posts p CROSS JOIN classes c LEFT JOIN sums s ON s.doc_id = p.doc_id AND s.class = c.flair""",
+)
+def scores_positional(spark, sf_dir):
+    p = posts(spark, sf_dir)
+    tokens = ws_tokens(F.col("text"))
+    words = label_terms(p)
+    word_index = rank_terms(words.groupBy(F.col("word").alias("term")).agg(F.sum("n").alias("n")))
+    model = models.fit(p, terms=positional(words, "flair", word_index, term="word"))
+    own = positional(term_counts(p, "doc_id", tokens), "doc_id", vocabulary(p, tokens))
+    own = p.select("doc_id").join(own.withColumnRenamed("term", "word"), "doc_id", "left").select("doc_id", "word")
+    return scores(p, model, "doc_id", terms=own).select("doc_id", "class", rounded("score"))
+
+
+# SQL functions and SQL text -------------------------------------------------------------------------
+
+
+@query(
+    "sql_unigram_lm",
+    f"""WITH {DOC_TERMS} SELECT doc_id, term, round(n / CAST(sum(n) OVER (PARTITION BY doc_id) AS DOUBLE), 9) AS p
+    FROM doc_terms""",
+)
+def sql_unigram_lm(spark, sf_dir):
+    sqlfn.register(spark)
+    freq = word_freq_maps(posts(spark, sf_dir), "doc_id", ws_tokens(F.col("text")))
+    lm = spark.sql("SELECT doc_id, unigram_lm(words_freq) AS lm FROM {freq}", freq=freq)
+    return lm.select("doc_id", F.explode_outer("lm").alias("term", "p")).where("term IS NOT NULL").select(
+        "doc_id", "term", rounded("p", 9)
+    )
+
+
+@query("sql_lm_score", f"WITH {ALL_SCORES} SELECT doc_id, label, class, round(score, 6) AS score FROM scores")
+def sql_lm_score(spark, sf_dir):
+    sqlfn.register(spark)
+    p = posts(spark, sf_dir)
+    p = label_index(p).transform(p, spread_by="doc_id", name="label")
+    pairs = crossed(p, models.fit(p, "label"), "doc_id", keep=("label",))
+    return spark.sql(
+        """SELECT doc_id, label, class,
+          round(lm_score(prior, words_freq, statistical_lm, background_statistical_lm, 0.5), 6) + 0D AS score
+        FROM {pairs}""",
+        pairs=pairs,
+    )
+
+
+@query("sql_predict", f"WITH {ALL_SCORES}, {predicted('doc_id')} {PREDICTION}")
+def sql_predict(spark, sf_dir):
+    """The last stages as SQL text over temporary views, each dropped once its stage is planned."""
+    scored = classify(posts(spark, sf_dir), "doc_id").scores
+    top = spark.sql("SELECT *, max(score) OVER (PARTITION BY doc_id) AS max_score FROM {scored}", scored=scored)
+    return spark.sql(
+        """SELECT doc_id, label, class AS prediction, round(score, 6) + 0D AS score, round(max_score, 6) + 0D AS max_score
+        FROM {top} WHERE max_score = score""",
+        top=top,
+    )

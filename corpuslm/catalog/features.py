@@ -97,7 +97,7 @@ def term_counts(spark, sf_dir):
 @query("word_freq", f"WITH {DOC_TERMS} SELECT doc_id, term, CAST(n AS DOUBLE) AS freq FROM doc_terms")
 def word_freq(spark, sf_dir):
     maps = terms.word_freq_maps(documents(spark, sf_dir), "doc_id", ws_tokens(F.col("text")))
-    return maps.select("doc_id", F.explode("words_freq").alias("term", "freq"))
+    return maps.select("doc_id", F.explode_outer("words_freq").alias("term", "freq")).where("term IS NOT NULL")
 
 
 @query("label_word_freq", f"WITH {POSTS}, {LABEL_TERMS} SELECT flair, word, CAST(n AS BIGINT) AS n FROM label_terms")

@@ -180,7 +180,7 @@ def post_metadata(spark, sf_dir):
 )
 def metadata_map(spark, sf_dir):
     record = prep.as_map(_metadata(spark, sf_dir))
-    return record.select(F.col("record")["url"].alias("url"), F.explode("record").alias("field", "value"))
+    return record.select(F.col("record")["url"].alias("url"), F.explode_outer("record").alias("field", "value"))
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from corpuslm.functions.text import word_tokens
+from corpuslm.functions.unroll import unroll
 from corpuslm.operators.labels import label_counts
 from corpuslm.operators.prep import labelled_only
 from corpuslm.operators.terms import label_terms
@@ -34,7 +35,7 @@ def label_lm(posts: DataFrame, label: str = "flair", text: str = "text") -> Data
 
 def background_lm(posts: DataFrame, label: str = "flair", text: str = "text") -> DataFrame:
     """(word, p_background): share of each word among the words of all classes."""
-    words = labelled_only(posts, label).select(F.explode(word_tokens(F.col(text))).alias("word"))
+    words = unroll(labelled_only(posts, label), [], word_tokens(F.col(text)), "word")
     counts = words.groupBy("word").agg(F.count("*").alias("n"))
     return counts.select("word", (F.col("n") / counts.agg(F.sum("n")).scalar()).alias("p_background"))
 
@@ -118,7 +119,7 @@ def fit(
         return _fit_long(label_terms(posts, label, text) if terms is None else terms, label, counts)
     classes = sorted(classes, key=lambda r: r[label])
     if terms is None:
-        words = posts.select(label, F.explode(word_tokens(F.col(text))).alias("word"))
+        words = unroll(posts, [label], word_tokens(F.col(text)), "word")
         every, of_class = F.count("*"), F.count_if
     else:
         words = terms

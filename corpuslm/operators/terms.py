@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpuslm.functions.frequency import run_lengths, word_freq
 from corpuslm.functions.text import word_tokens
+from corpuslm.functions.unroll import unroll, unroll_structs
 from corpuslm.operators.prep import labelled_only
 from corpuslm.plans.numbering import number_rows
 from corpuslm.plans.sizes import BROADCAST_BYTES
@@ -18,7 +19,7 @@ VOCABULARY_SIZE = 262_144
 
 def term_counts(posts: DataFrame, id: str, tokens: Column) -> DataFrame:
     """(id, term, n). A post is one row, so its counts are made in place, without a shuffle."""
-    return posts.select(id, F.inline(run_lengths(tokens)))
+    return unroll_structs(posts, [id], run_lengths(tokens), "term")
 
 
 def word_freq_maps(posts: DataFrame, id: str, tokens: Column) -> DataFrame:
@@ -32,7 +33,7 @@ def label_terms(posts: DataFrame, label: str = "flair", text: str = "text") -> D
     Counting post by post equals counting the joined text, as posts are joined by a word separator.
     Counts are combined before the shuffle, so neither a large class nor a common word is moved whole.
     """
-    words = labelled_only(posts, label).select(label, F.explode(word_tokens(F.col(text))).alias("word"))
+    words = unroll(labelled_only(posts, label), [label], word_tokens(F.col(text)), "word")
     return words.groupBy(label, "word").agg(F.count("*").alias("n"))
 
 
@@ -41,8 +42,13 @@ def vocabulary(posts: DataFrame, tokens: Column, size: int | None = VOCABULARY_S
 
     With a size, the top terms; size=None numbers all of them.
     """
-    counts = posts.select(F.inline(run_lengths(tokens)))
+    counts = unroll_structs(posts, [], run_lengths(tokens), "term")
     counts = counts.groupBy("term").agg(F.sum("n").alias("n"), F.count("*").alias("df"))
+    return rank_terms(counts, size)
+
+
+def rank_terms(counts: DataFrame, size: int | None = VOCABULARY_SIZE) -> DataFrame:
+    """Add term_index to (term, n, ...), by falling n and then by term; keep the first `size`."""
     order = [F.desc("n"), F.asc("term")]
     if size is None:
         return number_rows(counts, order, "term_index")
@@ -63,17 +69,3 @@ def count_vectors(
     terms = [r["term"] for r in vocabulary.orderBy("term_index").select("term").collect()]
     model = CountVectorizerModel.from_vocabulary(terms, inputCol="_tokens", outputCol=output)
     return model.transform(posts.withColumn("_tokens", tokens)).drop("_tokens"), terms
-
-
-def positional_terms(posts: DataFrame, id: str, tokens: Column, vocabulary: DataFrame) -> DataFrame:
-    """(id, term, n) under the positional look-up: the i-th counted slot gets the i-th vocabulary word.
-
-    This reproduces the published figures, where a post's terms are replaced by the first k words of
-    the vocabulary, k being its number of distinct terms. The counts keep the order of the slots.
-    """
-    counts = term_counts(posts, id, tokens)
-    index = vocabulary.select("term", "term_index")
-    ranked = counts.join(index, "term")
-    place = F.row_number().over(Window.partitionBy(id).orderBy("term_index")).cast("bigint") - 1
-    placed = ranked.select(id, "n", place.alias("term_index"))
-    return placed.join(index, "term_index").select(id, "term", "n")
