@@ -15,6 +15,7 @@ from corpuslm.catalog.registry import (
     predicted,
     query,
     rounded,
+    texts,
 )
 from corpuslm.functions import sqlfn
 from corpuslm.functions.text import ws_tokens
@@ -32,12 +33,12 @@ LM = f"WITH {POSTS}, {LABELS}, {LABEL_TERMS}, {MODELS} "
 
 @query("label_lm", LM + "SELECT flair, word, round(p_lm, 9) AS p_label FROM label_lm")
 def label_lm(spark, sf_dir):
-    return models.label_lm(posts(spark, sf_dir)).select("flair", "word", rounded("p_label", 9))
+    return models.label_lm(texts(spark, sf_dir)).select("flair", "word", rounded("p_label", 9))
 
 
 @query("background_lm", LM + "SELECT word, round(p_bg, 9) AS p_background FROM background")
 def background_lm(spark, sf_dir):
-    return models.background_lm(posts(spark, sf_dir)).select("word", rounded("p_background", 9))
+    return models.background_lm(texts(spark, sf_dir)).select("word", rounded("p_background", 9))
 
 
 @query(
@@ -46,7 +47,7 @@ def background_lm(spark, sf_dir):
     FROM label_lm JOIN background USING (word)""",
 )
 def model_table(spark, sf_dir):
-    return models.models(posts(spark, sf_dir)).select("flair", "word", rounded("p_label", 9), rounded("p_background", 9))
+    return models.models(texts(spark, sf_dir)).select("flair", "word", rounded("p_label", 9), rounded("p_background", 9))
 
 
 @query(
@@ -58,7 +59,7 @@ def model_table(spark, sf_dir):
         FROM background) AS background_statistical_lm""",
 )
 def model_preview(spark, sf_dir):
-    return models.model_preview(posts(spark, sf_dir))
+    return models.model_preview(texts(spark, sf_dir))
 
 
 @query(
@@ -75,7 +76,7 @@ def cross_pairs(spark, sf_dir):
 
 @query("scores", f"WITH {ALL_SCORES} SELECT doc_id, label, class, round(score, 6) AS score FROM scores")
 def score_table(spark, sf_dir):
-    return classify(posts(spark, sf_dir), "doc_id").scores.select("doc_id", "label", "class", rounded("score"))
+    return classify(texts(spark, sf_dir), "doc_id").scores.select("doc_id", "label", "class", rounded("score"))
 
 
 @query(
@@ -85,7 +86,7 @@ def score_table(spark, sf_dir):
 )
 def max_by_key(spark, sf_dir):
     """The highest score of each (created, author), which several posts may share."""
-    scored = classify(posts(spark, sf_dir), "doc_id", by=["created", "author"]).scores
+    scored = classify(texts(spark, sf_dir), "doc_id", by=["created", "author"]).scores
     # the key columns are not the id, so posts of one key compete
     top = max_score(scored, ["created", "author"], "doc_id")
     return top.select("doc_id", "label", "class", rounded("score"), rounded("max_score"))
@@ -100,12 +101,12 @@ def _rounded_predictions(predictions):
 
 @query("predict", f"WITH {ALL_SCORES}, {predicted('doc_id')} {PREDICTION}")
 def predict_all(spark, sf_dir):
-    return _rounded_predictions(classify(posts(spark, sf_dir), "doc_id").predictions)
+    return _rounded_predictions(classify(texts(spark, sf_dir), "doc_id").predictions)
 
 
 @query("predict_by_key", f"WITH {ALL_SCORES}, {predicted('created, author')} {PREDICTION}")
 def predict_by_key(spark, sf_dir):
-    return _rounded_predictions(classify(posts(spark, sf_dir), "doc_id", by=["created", "author"]).predictions)
+    return _rounded_predictions(classify(texts(spark, sf_dir), "doc_id", by=["created", "author"]).predictions)
 
 
 @query(
@@ -114,7 +115,7 @@ def predict_by_key(spark, sf_dir):
     QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY prediction) = 1""",
 )
 def predict_one(spark, sf_dir):
-    return _rounded_predictions(classify(posts(spark, sf_dir), "doc_id", ties="first").predictions)
+    return _rounded_predictions(classify(texts(spark, sf_dir), "doc_id", ties="first").predictions)
 
 
 @query(
@@ -123,7 +124,7 @@ def predict_one(spark, sf_dir):
     ORDER BY author, created, doc_id, class LIMIT 20""",
 )
 def sorted_preview(spark, sf_dir):
-    scored = classify(posts(spark, sf_dir), "doc_id", by=["created", "author"]).scores
+    scored = classify(texts(spark, sf_dir), "doc_id", by=["created", "author"]).scores
     top = scored.orderBy("author", "created", "doc_id", "class").limit(20)
     return top.select("author", "created", "doc_id", "class", rounded("score"))
 
@@ -142,7 +143,7 @@ metrics AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0 ELSE 2 * precision
 
 
 def _pairs(spark, sf_dir):
-    return evaluate.pred_labels(classify(posts(spark, sf_dir), "doc_id", by=["created", "author"]).predictions)
+    return evaluate.pred_labels(classify(texts(spark, sf_dir), "doc_id", by=["created", "author"]).predictions)
 
 
 @query("pred_labels", f"{PAIRS} SELECT prediction, label FROM pairs")
@@ -211,7 +212,7 @@ sums AS (SELECT m.doc_id, c.flair AS class, sum(ln(c.prior * (0.5::DOUBLE * coal
     FROM posts p CROSS JOIN classes c LEFT JOIN sums s ON s.doc_id = p.doc_id AND s.class = c.flair""",
 )
 def scores_positional(spark, sf_dir):
-    p = posts(spark, sf_dir)
+    p = texts(spark, sf_dir)
     tokens = ws_tokens(F.col("text"))
     words = label_terms(p)
     word_index = rank_terms(words.groupBy(F.col("word").alias("term")).agg(F.sum("n").alias("n")))
@@ -231,7 +232,7 @@ def scores_positional(spark, sf_dir):
 )
 def sql_unigram_lm(spark, sf_dir):
     sqlfn.register(spark)
-    freq = word_freq_maps(posts(spark, sf_dir), "doc_id", ws_tokens(F.col("text")))
+    freq = word_freq_maps(texts(spark, sf_dir), "doc_id", ws_tokens(F.col("text")))
     lm = spark.sql("SELECT doc_id, unigram_lm(words_freq) AS lm FROM {freq}", freq=freq)
     return lm.select("doc_id", F.explode_outer("lm").alias("term", "p")).where("term IS NOT NULL").select(
         "doc_id", "term", rounded("p", 9)
@@ -241,7 +242,7 @@ def sql_unigram_lm(spark, sf_dir):
 @query("sql_lm_score", f"WITH {ALL_SCORES} SELECT doc_id, label, class, round(score, 6) AS score FROM scores")
 def sql_lm_score(spark, sf_dir):
     sqlfn.register(spark)
-    p = posts(spark, sf_dir)
+    p = texts(spark, sf_dir)
     p = label_index(p).transform(p, spread_by="doc_id", name="label")
     pairs = crossed(p, models.fit(p, "label"), "doc_id", keep=("label",))
     return spark.sql(
@@ -255,7 +256,7 @@ def sql_lm_score(spark, sf_dir):
 @query("sql_predict", f"WITH {ALL_SCORES}, {predicted('doc_id')} {PREDICTION}")
 def sql_predict(spark, sf_dir):
     """The last stages as SQL text over temporary views, each dropped once its stage is planned."""
-    scored = classify(posts(spark, sf_dir), "doc_id").scores
+    scored = classify(texts(spark, sf_dir), "doc_id").scores
     top = spark.sql("SELECT *, max(score) OVER (PARTITION BY doc_id) AS max_score FROM {scored}", scored=scored)
     return spark.sql(
         """SELECT doc_id, label, class AS prediction, round(score, 6) + 0D AS score, round(max_score, 6) + 0D AS max_score

@@ -17,6 +17,7 @@ from corpuslm.catalog.registry import (
     query,
     rounded,
     table,
+    texts,
 )
 from corpuslm.functions.text import word_tokens, ws_tokens
 from corpuslm.operators import class_text, labels, terms
@@ -102,7 +103,7 @@ def word_freq(spark, sf_dir):
 
 @query("label_word_freq", f"WITH {POSTS}, {LABEL_TERMS} SELECT flair, word, CAST(n AS BIGINT) AS n FROM label_terms")
 def label_word_freq(spark, sf_dir):
-    return terms.label_terms(posts(spark, sf_dir))
+    return terms.label_terms(texts(spark, sf_dir))
 
 
 VOCABULARY = """vocabulary AS (SELECT term, CAST(sum(n) AS BIGINT) AS n, count(*) AS df,
@@ -146,9 +147,9 @@ JOINED = f"""count(*) AS n_posts, length(string_agg(text, ' ' ORDER BY doc_id))
 
 @query("label_text_sizes", f"WITH {POSTS} SELECT flair, {JOINED} FROM posts GROUP BY flair")
 def label_text_sizes(spark, sf_dir):
-    return class_text.label_text_sizes(posts(spark, sf_dir))
+    return class_text.label_text_sizes(texts(spark, sf_dir))
 
 
 @query("background_text", f"WITH {POSTS} SELECT {JOINED} FROM posts")
 def background_text(spark, sf_dir):
-    return class_text.background_text(posts(spark, sf_dir))
+    return class_text.background_text(texts(spark, sf_dir))

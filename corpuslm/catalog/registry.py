@@ -34,9 +34,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents"), "doc_id")
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def as_posts(docs: DataFrame) -> DataFrame:
     """documents as a post table: a language as class, a key that is not unique."""
-    return documents(spark, sf_dir).select(
+    return docs.select(
         "doc_id",
         F.col("source").alias("author"),
         F.col("n_chars").cast("string").alias("created"),
@@ -45,6 +45,15 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_posts(table(spark, sf_dir, "documents"))
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts, read for work on their texts."""
+    return as_posts(documents(spark, sf_dir))
+
+
 def rounded(column: str, digits: int = 6):
     # adding zero turns a rounded -0.0 into 0.0
     return (F.round(column, digits) + F.lit(0.0)).alias(column)
