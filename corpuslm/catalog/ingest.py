@@ -49,7 +49,7 @@ def sink_if_absent(spark, sf_dir):
 )
 def limit_posts(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
-    return take_posts(documents, [F.desc("n_chars"), F.asc("doc_id")], limit=990, page=25).select(
+    return take_posts(documents, [("n_chars", False), ("doc_id", True)], limit=990, page=25).select(
         "doc_id", "source", "text"
     )
 

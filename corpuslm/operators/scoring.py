@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from corpuslm.functions.text import ws_tokens
 from corpuslm.operators.models import UnigramModel
+from corpuslm.plans.shared import materialize
 from corpuslm.plans.sizes import BROADCAST_BYTES, SMALL_ROWS, is_small
 
 # Fixed value: the smoothing weight when the caller does not say.
@@ -57,7 +58,14 @@ def _fixed(gain: Column, bits: int) -> Column:
     return F.round(gain * F.lit(float(1 << bits))).cast("bigint")
 
 
-def expand_classes(posts: DataFrame, classes: DataFrame, label: str, spread_by: str, name: str = "class") -> DataFrame:
+def expand_classes(
+    posts: DataFrame,
+    classes: DataFrame,
+    label: str,
+    spread_by: str,
+    name: str = "class",
+    small_limit: int = SMALL_ROWS,
+) -> DataFrame:
     """Every post with every class, as (posts.*, class columns).
 
     A checked number of classes is carried as one array and unrolled within each post's row. More are
@@ -65,7 +73,7 @@ def expand_classes(posts: DataFrame, classes: DataFrame, label: str, spread_by:
     """
     fields = [F.col(label).alias(name)] + [F.col(c) for c in classes.columns if c != label]
     classes = classes.select(*fields)
-    if is_small(classes, SMALL_ROWS):
+    if is_small(classes, small_limit):
         every = classes.agg(F.sort_array(F.collect_list(F.struct("*"))))
         return posts.select("*", F.inline(every.scalar()))
     tile = F.pmod(F.xxhash64(spread_by), F.lit(PAIR_TILES)).cast("int")
@@ -144,38 +152,79 @@ def scores(
     keys = [id, *keep]
     if terms is None:
         terms = distinct_terms(posts, keys, ws_tokens(F.col(text)) if tokens is None else tokens)
-    bits = fraction_bits(model, lam)
-    args = (terms, model, keys, lam, bits, prior, same_corpus, broadcast_bytes, name)
-    return _scores_wide(*args) if model.classes is not None else _scores_long(posts, *args)
+    if model.classes is None:
+        return _scores_long(posts, terms, model, keys, lam, prior, same_corpus, broadcast_bytes, name)
+    sums = _sums(terms, model, keys, lam, same_corpus, broadcast_bytes)
+    entries = [F.struct(F.lit(c[model.label]).alias(name), _class_score(model, i, lam, prior).alias("score"))
+               for i, c in enumerate(model.classes)]
+    return sums.select(*keys, F.inline_outer(F.array(*entries)))
+
+
+def best_classes(
+    posts: DataFrame,
+    model: UnigramModel,
+    id: str,
+    text: str = "text",
+    keep: tuple[str, ...] = (),
+    lam: float = LAMBDA,
+    ties: str = "all",
+    same_corpus: bool = True,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """(id, keep..., prediction, score, max_score): the highest scores of each post.
+
+    The same as predict over scores by id, but the classes of a post are compared within its row, so
+    neither the other classes' rows nor a window over them are made. Needs a model of few classes.
+    """
+    lam = check_lambda(lam)
+    keys = [id, *keep]
+    terms = distinct_terms(posts, keys, ws_tokens(F.col(text)))
+    sums = _sums(terms, model, keys, lam, same_corpus, broadcast_bytes)
+    k = len(model.classes)
+    scored = sums.select(*keys, *[_class_score(model, i, lam, "word").alias(f"_s_{i}") for i in range(k)])
+    top = F.greatest(*[F.col(f"_s_{i}") for i in range(k)]) if k > 1 else F.col("_s_0")
+    scored = scored.withColumn("max_score", top)
+    entries = [
+        F.when(
+            F.col(f"_s_{i}") == F.col("max_score"),
+            F.struct(F.lit(c[model.label]).alias("prediction"), F.col(f"_s_{i}").alias("score")),
+        )
+        for i, c in enumerate(model.classes)
+    ]
+    if ties == "all":
+        return scored.select(*keys, F.inline_outer(F.array_compact(F.array(*entries))), "max_score")
+    if ties != "first":
+        raise ValueError("ties must be 'all' or 'first'")
+    first = F.coalesce(*entries)  # classes stand in ascending order
+    return scored.select(*keys, first["prediction"].alias("prediction"), first["score"].alias("score"), "max_score")
 
 
-def _scores_wide(terms, model, keys, lam, bits, prior, same_corpus, broadcast_bytes, name) -> DataFrame:
-    """Few classes: one row per word and post, one gain column per class, one shuffle by post."""
-    odds, gains = (1 - lam) / lam, []
+def _sums(
+    terms: DataFrame, model: UnigramModel, keys: list[str], lam: float, same_corpus: bool, broadcast_bytes: int
+) -> DataFrame:
+    """(keys, _matched, _g_0, _g_1, ...): matched words and summed gains of each post, in one shuffle by post."""
+    odds, bits, gains = (1 - lam) / lam, fraction_bits(model, lam), []
     for i, total in enumerate(model.class_totals):
         ratio = F.col(f"n_{i}").cast("double") * F.lit(float(model.total)) / F.lit(float(max(total, 1))) / F.col("n")
         gains.append(_fixed(F.log1p(F.lit(odds) * ratio), bits).alias(f"g_{i}"))
     table = model.table.select("word", "n", *gains)
     k = len(model.classes)
     joined = match(terms, table, model, 8 * (k + 1), model.n_words, same_corpus, broadcast_bytes)
-    sums = joined.groupBy(*keys).agg(
+    return joined.groupBy(*keys).agg(
         F.count("n").alias("_matched"), *[F.coalesce(F.sum(f"g_{i}"), F.lit(0)).alias(f"_g_{i}") for i in range(k)]
     )
-    unit = F.lit(float(1 << bits))
+
+
+def _class_score(model: UnigramModel, i: int, lam: float, prior: str) -> Column:
+    """The score under classes[i], of a row of _sums."""
     times = F.col("_matched") if prior == "word" else F.lit(1)
-    entries = [
-        F.struct(
-            F.lit(c[model.label]).alias(name),
-            (times * F.lit(math.log(c["n"] / model.n_posts)) + F.col(f"_g_{i}") / unit).alias("score"),
-        )
-        for i, c in enumerate(model.classes)
-    ]
-    return sums.select(*keys, F.inline(F.array(*entries)))
+    share = math.log(model.classes[i]["n"] / model.n_posts)
+    return times * F.lit(share) + F.col(f"_g_{i}") / F.lit(float(1 << fraction_bits(model, lam)))
 
 
-def _scores_long(posts, terms, model, keys, lam, bits, prior, same_corpus, broadcast_bytes, name) -> DataFrame:
+def _scores_long(posts, terms, model, keys, lam, prior, same_corpus, broadcast_bytes, name) -> DataFrame:
     """Many classes: one row per (word, class), sums by (post, class), then the classes without a match."""
-    id = keys[0]
+    id, bits = keys[0], fraction_bits(model, lam)
     ratio = F.col("n").cast("double") * F.lit(float(model.total)) / F.col("label_total") / F.col("word_total")
     gain = _fixed(F.log1p(F.lit((1 - lam) / lam) * ratio), bits)
     table = model.table.select(
@@ -184,6 +233,7 @@ def _scores_long(posts, terms, model, keys, lam, bits, prior, same_corpus, broad
     rows = model.table.count()
     joined = match(terms.select(id, "word"), table, model, 64, rows, same_corpus, broadcast_bytes)
     found = joined.where(F.col(name).isNotNull()).groupBy(id, name).agg(F.sum("_g").alias("_g"), F.sum("_m").alias("_m"))
+    found = materialize(found, "evidence")  # read twice below
     matched = found.groupBy(id).agg(F.sum("_m").alias("_matched"))
     pairs = expand_classes(posts.select(*keys), model.class_table, model.label, id, name)
     full = pairs.join(found.drop("_m"), [id, name], "left").join(matched, id, "left")

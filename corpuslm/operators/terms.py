@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuslm.functions.frequency import run_lengths, word_freq
@@ -48,12 +48,12 @@ def vocabulary(posts: DataFrame, tokens: Column, size: int | None = VOCABULARY_S
 
 
 def rank_terms(counts: DataFrame, size: int | None = VOCABULARY_SIZE) -> DataFrame:
-    """Add term_index to (term, n, ...), by falling n and then by term; keep the first `size`."""
-    order = [F.desc("n"), F.asc("term")]
-    if size is None:
-        return number_rows(counts, order, "term_index")
-    top = counts.orderBy(*order).limit(size)
-    return top.withColumn("term_index", (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint"))
+    """Add term_index to (term, n, ...), by falling n and then by term; keep the first `size`.
+
+    A vocabulary is too long for a top-k, which would merge that many rows of every task in one.
+    """
+    ranked = number_rows(counts, [F.desc("n"), F.asc("term")], "term_index")
+    return ranked if size is None else ranked.where(F.col("term_index") < size)
 
 
 def count_vectors(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Row
 from corpuslm.operators.labels import LabelIndex, label_index
 from corpuslm.operators.models import UnigramModel, fit
 from corpuslm.operators.predict import predict
-from corpuslm.operators.scoring import LAMBDA, scores
+from corpuslm.operators.scoring import LAMBDA, best_classes, scores
 
 
 @dataclass
@@ -42,4 +42,8 @@ def classify(
     by = by or [id]
     keep = tuple(c for c in by if c != id) + ("label",)
     scored = scores(indexed, model, id, text, keep=keep, lam=lam)
-    return Classified(labels, model, scored, predict(scored, by, id, ties))
+    if by == [id] and model.classes is not None:
+        best = best_classes(indexed, model, id, text, keep=keep, lam=lam, ties=ties)
+    else:
+        best = predict(scored, by, id, ties)
+    return Classified(labels, model, scored, best)

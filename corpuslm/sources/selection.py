@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from corpuslm.plans.numbering import number_rows
 
 # Fixed value: how many posts are taken when the caller does not say.
 DEFAULT_LIMIT = 25
-# Up to here a limit is a top-k; above it the rows are numbered without meeting in one task.
-TOP_K = 100_000
+# Up to here the last key is found by a top-k; above it the keys are numbered without meeting in one task.
+TOP_K = 1_000
 
 
 def select_sources(posts: DataFrame, sources: Collection[str] | None, column: str = "source") -> DataFrame:
@@ -22,11 +22,30 @@ def select_sources(posts: DataFrame, sources: Collection[str] | None, column: st
     return posts.where(F.col(column).isin(*sorted(set(sources))))
 
 
+def _up_to(last: Row, order: list[tuple[str, bool]]) -> Column:
+    """Condition that a row does not come after `last`: nulls first ascending, last descending."""
+    within = F.lit(True)
+    for column, ascending in reversed(order):
+        here, there = F.col(column), F.lit(last[column])
+        closer = here < there if ascending else here > there
+        null_first = here.isNull() & there.isNotNull() if ascending else here.isNotNull() & there.isNull()
+        within = F.coalesce(closer, F.lit(False)) | null_first | (here.eqNullSafe(there) & within)
+    return within
+
+
 def take_posts(
-    posts: DataFrame, order: list[Column], limit: int = DEFAULT_LIMIT, page: int = 1, top_k: int = TOP_K
+    posts: DataFrame, order: list[tuple[str, bool]], limit: int = DEFAULT_LIMIT, page: int = 1, top_k: int = TOP_K
 ) -> DataFrame:
-    """The first posts in the given (total) order, in whole pages: at least `limit` where there are so many."""
+    """The first posts in order, in whole pages: at least `limit` where there are so many.
+
+    `order` lists (column, ascending) and must be total. The last key to take is found from the
+    order columns alone; the posts then pass a filter, so that no text is sorted or moved.
+    """
     wanted = -(-limit // page) * page
+    keys = posts.select(*[c for c, _ in order])
+    sort = [F.asc(c) if ascending else F.desc(c) for c, ascending in order]
     if wanted <= top_k:
-        return posts.orderBy(*order).limit(wanted)
-    return number_rows(posts, order, "_n").where(F.col("_n") < wanted).drop("_n")
+        last = keys.orderBy(*sort).offset(wanted - 1).limit(1).first()
+    else:
+        last = number_rows(keys, sort, "_n").where(F.col("_n") == wanted - 1).first()
+    return posts if last is None else posts.where(_up_to(last, order))

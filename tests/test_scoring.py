@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from corpuslm.operators import models
 from corpuslm.operators.crossed import crossed
-from corpuslm.operators.scoring import expand_classes, fraction_bits, scores
+from corpuslm.operators.predict import predict
+from corpuslm.operators.scoring import best_classes, expand_classes, fraction_bits, scores
 from tests import brute
 
 WANT = {
@@ -78,6 +79,17 @@ def test_ways_agree_exactly(documents):
                 assert got == {k: pytest.approx(v, rel=1e-12, abs=1e-9) for k, v in first.items()}
 
 
+@pytest.mark.parametrize("ties", ["all", "first"])
+def test_best_classes_are_those_of_predict(documents, ties):
+    posts = small_documents(documents)
+    model = models.fit(posts)
+    for size in (64 << 20, 1):
+        best = best_classes(posts, model, "doc_id", keep=("flair",), ties=ties, broadcast_bytes=size)
+        want = predict(scores(posts, model, "doc_id", keep=("flair",)), ["doc_id"], "doc_id", ties)
+        assert sorted(best.columns) == sorted(want.columns)
+        assert sorted(map(tuple, best.collect())) == sorted(map(tuple, want.select(best.columns).collect()))
+
+
 def test_posts_of_another_corpus(spark, micro):
     """New posts, one word of which fills most of them, under a fitted model."""
     train = [tuple(r) for r in micro.where("flair IS NOT NULL").select("id", "flair", "text").collect()]
@@ -137,12 +149,10 @@ def test_no_sum_of_gains_can_overflow(micro):
 
 
 @pytest.mark.parametrize("limit", [10_000, 1])
-def test_expand_classes(spark, monkeypatch, limit):
-    monkeypatch.setattr("corpuslm.operators.scoring.SMALL_ROWS", limit)
-    monkeypatch.setattr("corpuslm.operators.scoring.is_small", lambda df: df.count() <= limit)
+def test_expand_classes(spark, limit):
     posts = spark.range(50).withColumnRenamed("id", "post")
     classes = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "flair string, n int")
-    got = expand_classes(posts, classes, "flair", spread_by="post").collect()
+    got = expand_classes(posts, classes, "flair", spread_by="post", small_limit=limit).collect()
     assert sorted(map(tuple, got)) == [(i, c, n) for i in range(50) for c, n in (("a", 1), ("b", 2), ("c", 3))]
 
 

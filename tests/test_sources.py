@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from corpuslm.sources.jsonlines import POST_SCHEMA, append_posts, has_data, read_posts, write_if_absent
@@ -41,7 +42,7 @@ def test_write_if_absent(spark, tmp_path):
 
 def test_take_posts(spark):
     df = spark.range(100).withColumn("k", -F.col("id"))
-    order = [F.asc("k"), F.asc("id")]
+    order = [("k", True)]
     assert sorted(r["id"] for r in take_posts(df, order).collect()) == list(range(75, 100))
     assert sorted(r["id"] for r in take_posts(df, order, limit=21, page=10).collect()) == list(range(70, 100))
     # the same beyond the size of a top-k
@@ -49,6 +50,18 @@ def test_take_posts(spark):
     assert take_posts(df, order, limit=1000).count() == 100
 
 
+@pytest.mark.parametrize("a_up", [True, False])
+@pytest.mark.parametrize("b_up", [True, False])
+def test_take_posts_orders_nulls_as_a_sort_does(spark, a_up, b_up):
+    rows = [(i, (None, "x", "y")[i % 3], None if i == 4 else i // 3) for i in range(12)]
+    df = spark.createDataFrame(rows, "id int, a string, b int")
+    sort = [F.asc(c) if up else F.desc(c) for c, up in (("a", a_up), ("b", b_up))]
+    ids = [r["id"] for r in df.orderBy(*sort).collect()]
+    for limit in range(1, 14):
+        got = take_posts(df, [("a", a_up), ("b", b_up)], limit=limit).collect()
+        assert {r["id"] for r in got} == set(ids[:limit])
+
+
 def test_select_sources(spark):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "source string")
     assert select_sources(df, None).count() == 3
