@@ -42,8 +42,12 @@ def classify(
     by = by or [id]
     keep = tuple(c for c in by if c != id) + ("label",)
     scored = scores(indexed, model, id, text, keep=keep, lam=lam)
-    if by == [id] and model.classes is not None:
+    if model.classes is None:
+        best = predict(scored, by, id, ties)
+    elif by == [id]:
         best = best_classes(indexed, model, id, text, keep=keep, lam=lam, ties=ties)
     else:
-        best = predict(scored, by, id, ties)
+        # the best of a key is among the best of its posts
+        own = best_classes(indexed, model, id, text, keep=keep, lam=lam)
+        best = predict(own.drop("max_score"), by, id, ties, name="prediction")
     return Classified(labels, model, scored, best)

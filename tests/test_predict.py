@@ -57,3 +57,14 @@ def test_no_match_keeps_a_row_per_class(spark, micro):
     extra = micro.unionByName(spark.createDataFrame([(6, "eve", "d6", "tech", "xx!! yy??")], micro.schema))
     assert keyed(classify(extra, "id").predictions.where("id = 6"), "prediction") == [(0.0,), (1.0,)]
     assert keyed(classify(extra, "id", ties="first").predictions.where("id = 6"), "prediction") == [(0.0,)]
+
+
+@pytest.mark.parametrize("ties", ["all", "first"])
+def test_classify_by_key_is_predict_over_all_scores(documents, ties):
+    from pyspark.sql import functions as F
+
+    posts = documents.select("doc_id", F.col("lang").alias("flair"), "text", F.length("source").alias("author"), "source")
+    done = classify(posts, "doc_id", by=["author"], ties=ties)
+    want = predict(done.scores, ["author"], "doc_id", ties)
+    assert keyed(done.predictions, *sorted(want.columns)) == keyed(want, *sorted(want.columns))
+    assert done.predictions.columns == want.columns
