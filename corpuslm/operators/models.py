@@ -89,6 +89,7 @@ class UnigramModel:
     label: str
     classes: list[Row] | None
     class_table: DataFrame
+    n_classes: int
     n_posts: int
     n_words: int  # distinct words
     total: int  # all words
@@ -138,6 +139,7 @@ def fit(
         label=label,
         classes=classes,
         class_table=counts,
+        n_classes=len(classes),
         n_posts=sum(c["n"] for c in classes),
         n_words=size["words"],
         total=size["total"] or 0,
@@ -165,12 +167,13 @@ def _fit_long(terms: DataFrame, label: str, counts: DataFrame) -> UnigramModel:
         F.min("label_total").alias("least"),
     ).first()
     counts = materialize(counts, "classes")
-    n_posts = counts.agg(F.sum("n")).first()[0]
+    n_posts, n_classes = counts.agg(F.sum("n"), F.count("*")).first()
     return UnigramModel(
         table=table,
         label=label,
         classes=None,
         class_table=counts.withColumn("prior", F.col("n") / F.lit(n_posts)),
+        n_classes=n_classes,
         n_posts=n_posts,
         n_words=size["words"],
         total=size["total"] or 0,

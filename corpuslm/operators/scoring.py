@@ -110,7 +110,8 @@ def match(
     """
     if model.word_bytes + rows * (value_bytes + ROW_BYTES) <= broadcast_bytes:
         return terms.join(F.broadcast(gains), "word", "left")
-    per_word = (value_bytes + ROW_BYTES) * max(1, rows // max(model.n_words, 1)) + LONGEST_HEAD_WORD
+    most_rows = 1 if model.classes is not None else model.n_classes  # of one word
+    per_word = (value_bytes + ROW_BYTES + LONGEST_HEAD_WORD) * most_rows
     words = max(1, broadcast_bytes // per_word // 2)
     count = "word_total" if "word_total" in gains.columns else "n"
     is_hot = (F.col(count) * F.lit(words) >= F.lit(model.total)) & (F.length("word") <= LONGEST_HEAD_WORD)
