@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslm.llm import byte_bpe
+from corpuslm.llm import byte_bpe, simhash
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -24,3 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return byte_bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_copies(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
