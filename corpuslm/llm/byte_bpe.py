@@ -7,9 +7,9 @@ cut by the pattern of the vocabulary, and each distinct piece of a task is merge
 from __future__ import annotations
 
 import base64
-from itertools import accumulate
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
@@ -17,7 +17,9 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from corpuslm.llm.common import map_texts
 
 # Distinct pieces that a task remembers; then it starts anew. It bounds memory and changes no result.
-REMEMBERED = 1_000_000
+REMEMBERED = 250_000
+# Ids that are decoded at a time.
+DECODED = 1 << 19
 
 
 def byte_symbols() -> list[str]:
@@ -37,11 +39,11 @@ class Pieces:
     """Token ids and offsets of the distinct pieces seen so far, laid end to end."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        from tokenizers import models
+        import numpy as np
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
-        symbols = byte_symbols()
-        self.table = {b: symbols[b] for b in range(256)}
-        word = lambda token: token.decode("latin-1").translate(self.table)
+        symbols = dict(enumerate(byte_symbols()))
+        word = lambda token: token.decode("latin-1").translate(symbols)
         # every way to put a token together from two, as a rank file merges by the result alone
         merges = [
             (word(token[:i]), word(token[i:]))
@@ -49,32 +51,40 @@ class Pieces:
             for i in range(1, len(token))
             if token[:i] in ranks and token[i:] in ranks
         ]
-        self.model = models.BPE(vocab={word(t): r for t, r in ranks.items()}, merges=merges)
+        self.tokenizer = Tokenizer(models.BPE(vocab={word(t): r for t, r in ranks.items()}, merges=merges))
+        # a piece is given as one word: only its bytes are mapped, it is not cut again
+        self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.token_bytes = np.zeros(max(ranks.values()) + 1, dtype=np.int32)
+        for token, rank in ranks.items():
+            self.token_bytes[rank] = len(token)
         self.clear()
 
     def clear(self) -> None:
+        import numpy as np
+
         self.index: dict[str, int] = {}
-        self.ids: list[int] = []
-        self.starts: list[int] = []
-        self.ends: list[int] = []
-        self.first: list[int] = [0]
-
-    def add(self, piece: str) -> int:
-        raw = piece.encode("utf-8", "replace")
-        tokens = self.model.tokenize(raw.decode("latin-1").translate(self.table))
-        self.ids.extend(t.id for t in tokens)
-        # a symbol is a byte, so lengths in symbols are lengths in bytes
-        ends = [*accumulate(len(t.value) for t in tokens)]
-        if len(raw) == len(piece):
-            self.starts.extend([0, *ends[:-1]])
-            self.ends.extend(ends)
-        else:
-            char_of = [i for i, c in enumerate(piece) for _ in c.encode("utf-8", "replace")]
-            self.starts.extend(char_of[e] for e in [0, *ends[:-1]])
-            self.ends.extend(char_of[e - 1] + 1 for e in ends)
-        self.first.append(len(self.ids))
-        self.index[piece] = len(self.index)
-        return len(self.index) - 1
+        self.ids, self.starts, self.ends = (np.zeros(0, np.int32) for _ in range(3))
+        self.first = np.zeros(1, np.int64)
+
+    def add(self, pieces: list[str]) -> None:
+        import numpy as np
+
+        self.index |= zip(pieces, range(len(self.index), len(self.index) + len(pieces)), strict=True)
+        found = self.tokenizer.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)[0]
+        ids = np.array(found.ids, dtype=np.int32)
+        # bytes to characters: a character begins at each byte that continues none
+        raw = np.frombuffer("".join(pieces).encode(), dtype=np.uint8)
+        char_of = np.cumsum((raw & 0xC0) != 0x80, dtype=np.int64) - 1
+        end = np.cumsum(self.token_bytes[ids], dtype=np.int64)
+        chars = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        # no token reaches over the end of its piece, so its last byte tells the piece
+        of = (np.cumsum(chars) - 1).searchsorted(char_of[end - 1])
+        before = (np.cumsum(chars) - chars)[of]
+        self.starts = np.concatenate([self.starts, (char_of[end - self.token_bytes[ids]] - before).astype(np.int32)])
+        self.ends = np.concatenate([self.ends, (char_of[end - 1] + 1 - before).astype(np.int32)])
+        self.ids = np.concatenate([self.ids, ids])
+        each = np.bincount(of, minlength=len(pieces))
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(each)])
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -94,16 +104,13 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id: str = "doc_id", t
         def step(texts: list[str]) -> list:
             if len(pieces.index) > REMEMBERED:
                 pieces.clear()
-            seen, add, which, per_text = pieces.index.get, pieces.add, [], []
-            for t in texts:
-                found = cut.findall(t)
-                numbers = [*map(seen, found)]
-                if None in numbers:
-                    numbers = [add(p) if (n := seen(p)) is None else n for p in found]
-                which.append(np.array(numbers, dtype=np.int64))
-                per_text.append(np.fromiter(map(len, found), dtype=np.int64, count=len(found)))
-            first = np.array(pieces.first, dtype=np.int64)
-            ids, starts, ends = (np.array(x, dtype=np.int32) for x in (pieces.ids, pieces.starts, pieces.ends))
+            found = [cut.findall(t) for t in texts]
+            new = [*set().union(*found).difference(pieces.index)]
+            if new:
+                pieces.add(new)
+            which = [np.array([*map(pieces.index.__getitem__, f)], dtype=np.int64) for f in found]
+            per_text = [np.fromiter(map(len, f), dtype=np.int64, count=len(f)) for f in found]
+            first, ids, starts, ends = pieces.first, pieces.ids, pieces.starts, pieces.ends
             counts = np.array([int((first[w + 1] - first[w]).sum()) for w in which], dtype=np.int64)
             all_which = np.concatenate(which) if which else np.zeros(0, np.int64)
             lengths = first[all_which + 1] - first[all_which]
@@ -123,6 +130,18 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id: str = "doc_id", t
     ).withColumnRenamed("doc_id", id)
 
 
+def id_slices(batch: pa.RecordBatch, column: int):
+    """The batch in pieces of at most DECODED ids, or one row."""
+    start, held = 0, 0
+    for row, n in enumerate(pa.compute.list_value_length(batch.column(column)).to_pylist()):
+        if held and held + (n or 0) > DECODED:
+            yield batch.slice(start, row - start)
+            start, held = row, 0
+        held += n or 0
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", bytes_as: str = "decoded") -> DataFrame:
     """Add the bytes that the ids stand for: `bytes_as` binary.
 
@@ -146,16 +165,17 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", bytes_as: str
         lengths = np.array([len(t) for t in tokens], dtype=np.int64)
         first = np.cumsum(lengths) - lengths
         flat = np.frombuffer(b"".join(tokens), dtype=np.uint8)
-        for part in parts:
-            lists = part.column(place)
-            values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            n = lengths[values]
-            ends = np.concatenate([[0], np.cumsum(n)])
-            joined = flat[np.arange(int(n.sum())) + np.repeat(first[values] - ends[:-1], n)].tobytes()
-            counts = [c or 0 for c in pa.compute.list_value_length(lists).to_pylist()]
-            bounds = ends[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-            out = [None if not ok else joined[a:b] for a, b, ok in zip(bounds, bounds[1:], lists.is_valid().to_pylist(), strict=False)]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], names=[*part.schema.names, bytes_as])
+        for whole in parts:
+            for part in id_slices(whole, place):
+                lists = part.column(place)
+                values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                n = lengths[values]
+                ends = np.concatenate([[0], np.cumsum(n)])
+                joined = flat[np.arange(int(n.sum())) + np.repeat(first[values] - ends[:-1], n)].tobytes()
+                counts = [c or 0 for c in pa.compute.list_value_length(lists).to_pylist()]
+                at = ends[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)].tolist()
+                out = [joined[a:b] if ok else None for a, b, ok in zip(at, at[1:], lists.is_valid().to_pylist(), strict=False)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], names=[*part.schema.names, bytes_as])
 
     return encoded.mapInArrow(run, schema)
 

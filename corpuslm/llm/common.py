@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from corpuslm.plans.shared import materialize
 cloudpickle.register_pickle_by_value(sys.modules["corpuslm.llm"])
 
 # Text that a Python worker holds at a time; one longer text is a batch of its own.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def slices(batch: pa.RecordBatch, column: int, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
@@ -42,8 +43,6 @@ def map_texts(
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute  # noqa: F401
-
         step = make()
         for whole in parts:
             for part in slices(whole, whole.num_columns - 1):
