@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslm.llm import byte_bpe, simhash
+from corpuslm.llm import byte_bpe, license_scan, pii, simhash
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +30,13 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_copies(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(table(spark, sf_dir, "documents"))
