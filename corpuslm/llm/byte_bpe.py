@@ -19,7 +19,7 @@ from corpuslm.llm.common import map_texts
 # Distinct pieces that a task remembers; then it starts anew. It bounds memory and changes no result.
 REMEMBERED = 250_000
 # Ids that are decoded at a time.
-DECODED = 1 << 19
+DECODED = 1 << 18
 
 
 def byte_symbols() -> list[str]:
@@ -187,11 +187,16 @@ def decoded_text(column: str = "decoded"):
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Encode, decode, and give digests of both, one row per document."""
-    both = decode(encode(docs, ranks_path, pattern), ranks_path)
-    return both.select(
+    encoded = encode(docs, ranks_path, pattern).select(
+        "doc_id",
+        "n_tokens",
+        "ids",
+        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_chars_covered"),
+    )
+    return decode(encoded, ranks_path).select(
         "doc_id",
         "n_tokens",
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
-        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_chars_covered"),
+        "n_chars_covered",
     )
