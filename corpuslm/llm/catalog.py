@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslm.llm import byte_bpe, license_scan, pii, simhash
+from corpuslm.llm import byte_bpe, language_id, license_scan, lm_scoring, pii, simhash
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -40,3 +40,14 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs))
