@@ -17,9 +17,9 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from corpuslm.llm.common import map_texts
 
 # Distinct pieces that a task remembers; then it starts anew. It bounds memory and changes no result.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 # Ids that are decoded at a time.
-DECODED = 1 << 18
+DECODED = 1 << 17
 
 
 def byte_symbols() -> list[str]:

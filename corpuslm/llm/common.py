@@ -18,7 +18,7 @@ from corpuslm.plans.shared import materialize
 cloudpickle.register_pickle_by_value(sys.modules["corpuslm.llm"])
 
 # Text that a Python worker holds at a time; one longer text is a batch of its own.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def slices(batch: pa.RecordBatch, column: int, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
