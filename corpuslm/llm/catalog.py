@@ -5,7 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslm.llm import byte_bpe, language_id, license_scan, lm_scoring, pii, simhash
+from corpuslm.llm import (
+    byte_bpe,
+    decontaminate,
+    embedding_dedup,
+    importance,
+    language_id,
+    license_scan,
+    lm_scoring,
+    pii,
+    simhash,
+    substring_dedup,
+)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -51,3 +62,23 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.predict(docs, language_id.fit(docs))
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_copies(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op8_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
