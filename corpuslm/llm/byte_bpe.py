@@ -200,3 +200,9 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"),
         "n_chars_covered",
     )
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, n_tokens, ids, decoded_sha256): the tokens of each text, and a digest of the bytes they decode to."""
+    encoded = encode(docs, ranks_path, pattern, id, text).select(id, "n_tokens", "ids")
+    return decode(encoded, ranks_path).select(id, "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))

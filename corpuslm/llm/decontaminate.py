@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -275,17 +277,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of docs, unchanged, in which no benchmark passage stands."""
-    from collections.abc import Iterator
-
-    import pandas as pd
-
     out = docs
     for fitted in fit(docs, benchmark, text):
+        out = out.where(~_leaking(fitted)(F.col(text)))
+    return out
 
-        @F.pandas_udf("boolean")
-        def leaks(parts: Iterator[pd.Series], fitted=fitted) -> Iterator[pd.Series]:
-            for texts in parts:
-                yield pd.Series([bool(_leaks(t, fitted)) if isinstance(t, str) else False for t in texts], dtype=bool)
 
-        out = out.where(~leaks(F.col(text)))
-    return out
+def _leaking(fitted: Passages):
+    @F.pandas_udf("boolean")
+    def leaks(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in parts:
+            yield pd.Series([bool(_leaks(t, fitted)) if isinstance(t, str) else False for t in texts], dtype=bool)
+
+    return leaks

@@ -8,12 +8,16 @@ of all words of a text add up.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslm.llm.common import crc_bucket, map_texts
+from corpuslm.llm.common import crc_bucket, map_texts, slices
 
 FOLDS = 5
 LONGEST = 4
@@ -42,8 +46,8 @@ class LanguageModel:
         import numpy as np
 
         n = len(self.languages)
-        known = np.array(self.word_scores, dtype=np.float64).reshape(-1, n)
-        grams = np.array([*self.gram_scores, [0.0] * n], dtype=np.float64).reshape(-1, n)
+        known = np.array(self.word_scores, dtype=np.float64).reshape(len(self.word_scores), n)
+        grams = np.array([*self.gram_scores, [0.0] * n], dtype=np.float64).reshape(len(self.gram_scores) + 1, n)
         state = {"rows": dict(self.words), "table": known}
 
         def learn(new: list[str]) -> None:
@@ -93,31 +97,32 @@ class LanguageModel:
 def _counted(docs: DataFrame, lang: str, text: str) -> DataFrame:
     """(lang, gram, n): words as they are, n-grams with a leading tab, summed over the given texts."""
 
-    def make():
-        from collections import Counter
-
-        import pyarrow as pa
+    def run(parts):
+        words: dict[str, Counter] = {}
 
-        kind = pa.list_(pa.struct([("gram", pa.string()), ("n", pa.int64())]))
-
-        def step(texts):
-            out = []
-            for t in texts:
-                counts = Counter(WORD.findall(t.lower()))
+        def handed():
+            for name, counts in words.items():
                 grams: Counter = Counter()
                 for word, n in counts.items():
                     marked = f"^{word}$"
                     for at in range(len(marked) - 1):
                         for size in range(1, min(LONGEST, len(marked) - at) + 1):
                             grams["\t" + marked[at : at + size]] += n
-                out.append([{"gram": g, "n": n} for c in (counts, grams) for g, n in c.items()])
-            return [pa.array(out, kind)]
+                for found in (counts, grams):
+                    columns = [pa.array([name] * len(found)), pa.array([*found]), pa.array([*found.values()], pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n"])
+            words.clear()
 
-        return step
+        for whole in parts:
+            for part in slices(whole, 1):
+                for name, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    words.setdefault(name, Counter()).update(WORD.findall((t or "").lower()))
+                if sum(map(len, words.values())) > REMEMBERED:
+                    yield from handed()
+        yield from handed()
 
-    keep = [F.col(lang).cast("string").alias("lang")]
-    found = map_texts(docs, keep, F.col(text), make, "grams array<struct<gram:string,n:long>>", kept="lang string")
-    return found.select("lang", F.inline("grams")).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
@@ -174,10 +179,6 @@ def predict(docs: DataFrame, model: LanguageModel, id: str = "doc_id", text: str
 
 def accepted(docs: DataFrame, model: LanguageModel, text: str = "text", least: float = 0.0) -> DataFrame:
     """The rows of docs, unchanged, whose text has a language with a score of at least `least`."""
-    from collections.abc import Iterator
-
-    import pandas as pd
-
     @F.pandas_udf("boolean")
     def known(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         score = model.scorer()

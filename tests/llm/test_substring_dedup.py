@@ -1,0 +1,64 @@
+import hashlib
+import random
+from collections import Counter
+
+from corpuslm.llm import substring_dedup as sd
+
+
+def brute(rows, window=sd.WINDOW):
+    words = [(t or "").encode().split() for _, t in rows]
+    places = Counter(tuple(w[i : i + window]) for w in words for i in range(len(w) - window + 1))
+    out = []
+    for (doc, _), w in zip(rows, words, strict=True):
+        covered = [False] * len(w)
+        for i in range(len(w) - window + 1):
+            if places[tuple(w[i : i + window])] > 1:
+                covered[i : i + window] = [True] * window
+        kept = b" ".join(x for x, c in zip(w, covered, strict=True) if not c)
+        out.append((doc, len(w), sum(covered), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def check(df, rows):
+    assert sorted((tuple(r) for r in sd.digests(df).collect()), key=repr) == brute(rows)
+
+
+def test_documents(documents):
+    check(documents, [(r.doc_id, r.text) for r in documents.collect()])
+
+
+def test_edge_rows(spark):
+    pick = random.Random(1)
+    fresh = lambda n: [f"w{pick.randrange(10**6)}" for _ in range(n)]
+    a, b, c = fresh(40), fresh(35), fresh(34)
+    rows = [(1, None), (2, ""), (3, " \t "), (4, " ".join(b)), (5, " ".join(fresh(3) + b + fresh(2))), (6, " ".join(c)), (7, " ".join(c)),
+            (8, " ".join(a + fresh(9) + a[:36])), (9, " ".join(["la"] * 35)), (10, " ".join(["lo"] * 36)), (11, "ab ba " * 50),
+            (12, "\n".join(fresh(20_000) + a)), (13, "twice " + " ".join(fresh(60))), (None, " ".join(a[3:38] + ["é"])), (None, "x")]
+    rows += [rows[12], (13, "other text of equal id"), (14, " ".join(a[:20] + ["changed"] + a[21:]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS key", "2 AS packed", "3 AS windows")
+    check(df, rows)
+
+
+def test_shared_passages_at_random_places(spark):
+    pick = random.Random(7)
+    few = [f"v{i}" for i in range(40)]
+    passages = [[pick.choice(few) for _ in range(pick.randint(30, 80))] for _ in range(6)]
+    rows = []
+    for i in range(60):
+        words = []
+        for _ in range(pick.randint(0, 5)):
+            p = pick.choice(passages)
+            at = pick.randrange(len(p))
+            words += p[at:] if pick.random() < 0.5 else p[: at + 30]
+            words += [pick.choice(few) for _ in range(pick.randint(0, 30))]
+        rows.append((i, " ".join(words)))
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+
+
+def test_empty_and_spans(spark):
+    check(spark.createDataFrame([], "doc_id long, text string"), [])
+    p = " ".join(f"w{i}" for i in range(35))
+    df = spark.createDataFrame([(1, f"a b {p} c"), (2, f"{p} d")], "doc_id long, text string")
+    found = {r.doc_id: r for r in sd.repeated_spans(df).collect()}
+    assert [tuple(s) for s in found[1].spans] == [(2, 37)] and found[1].kept == "a b c"
+    assert [tuple(s) for s in found[2].spans] == [(0, 35)] and found[2].kept == "d"
