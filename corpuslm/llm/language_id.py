@@ -151,8 +151,9 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
         counts[own["gram"].map(place).to_numpy(int), own["lang"].map({l: i for i, l in enumerate(languages)}).to_numpy(int)] = own["n"]
         if is_gram:  # frequencies among n-grams of one length
             size = np.array([len(g) for g in names], dtype=int)
-            all_ = np.array([counts[size == s].sum(axis=0) for s in size]).reshape(counts.shape)
-            kinds = np.array([(size == s).sum() for s in size]).reshape(-1, 1)
+            sums, kinds = np.zeros((LONGEST + 2, len(languages))), np.bincount(size, minlength=LONGEST + 2)
+            np.add.at(sums, size, counts)
+            all_, kinds = sums[size], kinds[size].reshape(-1, 1)
         else:
             all_, kinds = counts.sum(axis=0), max(1, len(names))
         scores = np.log((counts + SMOOTHING) / (all_ + SMOOTHING * kinds))
