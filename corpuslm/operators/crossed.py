@@ -19,7 +19,6 @@ def crossed(
     text: str = "text",
     keep: tuple[str, ...] = (),
     tokens: Column | None = None,
-    same_corpus: bool = True,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(id, keep..., words_freq, class, prior, statistical_lm, background_statistical_lm).
@@ -36,7 +35,7 @@ def crossed(
     k = len(model.classes)
     counts = [f"n_{i}" for i in range(k)]
     table = model.table.select("word", "n", *counts)
-    joined = match(terms, table, model, 8 * (k + 1) + ROW_BYTES, model.n_words, same_corpus, broadcast_bytes)
+    joined = match(terms, table, model, 8 * (k + 1) + ROW_BYTES, id, broadcast_bytes)
     used = F.when(F.col("word").isNotNull(), F.struct("word", "freq"))
     found = F.when(F.col("n").isNotNull(), F.struct("word", "n", *counts))
     rows = joined.groupBy(*keys).agg(F.collect_set(used).alias("_used"), F.collect_list(found).alias("_found"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslm.operators.scoring import expand_classes
+from corpuslm.plans.shared import materialize
 
 
 def pred_labels(predictions: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
@@ -20,9 +21,12 @@ def pair_counts(pairs: DataFrame) -> DataFrame:
 
 
 def confusion(pairs: DataFrame) -> DataFrame:
-    """(label, prediction, n) for every pair of actual classes, zeros included."""
-    counts = pair_counts(pairs)
-    labels = pairs.select("label").distinct()
+    """(label, prediction, n) for every pair of actual classes, zeros included.
+
+    The counts, at most one narrow row per pair of classes, are written first: whatever makes the pairs runs once.
+    """
+    counts = materialize(pair_counts(pairs), "pair-counts")
+    labels = counts.select("label").distinct()
     cells = expand_classes(labels, labels, "label", spread_by="label", name="prediction")
     cells = cells.join(counts, ["label", "prediction"], "left")
     return cells.select("label", "prediction", F.coalesce("n", F.lit(0)).alias("n"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslm.functions.text import word_tokens
@@ -44,8 +45,8 @@ def models(posts: DataFrame, label: str = "flair", text: str = "text") -> DataFr
     """(label, word, p_label, p_background) for the words each class has."""
     terms = label_terms(posts, label, text)
     small = is_small(label_counts(posts, label), SMALL_ROWS)
-    by_word = Window.partitionBy("word")  # at most one row per class
-    terms = with_class_totals(terms.withColumn("word_total", F.sum("n").over(by_word)), label, small)
+    totals = terms.groupBy("word").agg(F.sum("n").alias("word_total"))
+    terms = with_class_totals(terms.join(totals, "word"), label, small)
     total = label_terms(posts, label, text).agg(F.sum("n")).scalar()
     return terms.select(
         label,
@@ -80,9 +81,9 @@ class UnigramModel:
     """A fitted model as a written table, with its measured size.
 
     Few classes: `classes` lists them and `table` has one row per word (word, n, n_0, n_1, ...), where
-    n_i is the count in classes[i]. Many classes: `classes` is None and `table` has one row per
-    (word, label) with n, word_total, label_total and is_first (true on one row of each word);
-    `class_table` holds (label, n, prior).
+    n_i is the count in classes[i]. Many classes: `classes` is None and `table` has one row per word too,
+    (word, n, counts), where counts is an array of (label, n, label_total) of the classes that have the word.
+    `class_table` holds (label, n), with many classes also prior. save() and load() keep a model.
     """
 
     table: DataFrame
@@ -96,6 +97,23 @@ class UnigramModel:
     word_bytes: int
     class_totals: list[int] | None
     least_class_total: int
+    most_classes: int = 0  # classes of one word at most, with many classes
+    entries: int = 0  # of all words, with many classes
+
+    def save(self, path: str) -> None:
+        """Write the model below `path`, a folder that does not exist yet."""
+        self.table.write.parquet(f"{path}/table")
+        self.class_table.write.parquet(f"{path}/classes")
+        facts = {k: v for k, v in vars(self).items() if k not in ("table", "class_table")}
+        facts["classes"] = None if self.classes is None else [[c[self.label], c["n"]] for c in self.classes]
+        self.table.sparkSession.createDataFrame([(json.dumps(facts),)], "facts string").coalesce(1).write.text(f"{path}/facts")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> UnigramModel:
+        facts = json.loads(spark.read.text(f"{path}/facts").first()[0])
+        if facts["classes"] is not None:
+            facts["classes"] = [Row(**{facts["label"]: c, "n": n}) for c, n in facts["classes"]]
+        return UnigramModel(table=spark.read.parquet(f"{path}/table"), class_table=spark.read.parquet(f"{path}/classes"), **facts)
 
 
 def fit(
@@ -150,21 +168,18 @@ def fit(
 
 
 def _fit_long(terms: DataFrame, label: str, counts: DataFrame) -> UnigramModel:
-    by_word = Window.partitionBy("word")  # at most one row per class
-    terms = terms.select(
-        label,
-        "word",
-        "n",
-        F.sum("n").over(by_word).alias("word_total"),
-        (F.min(label).over(by_word) == F.col(label)).alias("is_first"),
-    )
-    terms = materialize(terms, "terms")
-    table = materialize(with_class_totals(terms, label, is_small(counts, SMALL_ROWS)), "model")
+    """The counts of a word in its classes are gathered in one row: at most one entry per class."""
+    terms = with_class_totals(materialize(terms.select(label, "word", "n"), "terms"), label, is_small(counts, SMALL_ROWS))
+    entry = F.struct(F.col(label).alias("label"), "n", "label_total")
+    words = terms.groupBy("word").agg(F.sum("n").alias("n"), F.collect_list(entry).alias("counts"))
+    table = materialize(words, "model")
     size = table.agg(
-        F.count_if("is_first").alias("words"),
+        F.count("*").alias("words"),
         F.sum("n").alias("total"),
         F.sum(F.octet_length("word")).alias("bytes"),
-        F.min("label_total").alias("least"),
+        F.min(F.array_min(F.transform("counts", lambda e: e["label_total"]))).alias("least"),
+        F.max(F.size("counts")).alias("most"),
+        F.sum(F.size("counts")).alias("entries"),
     ).first()
     counts = materialize(counts, "classes")
     n_posts, n_classes = counts.agg(F.sum("n"), F.count("*")).first()
@@ -180,4 +195,6 @@ def _fit_long(terms: DataFrame, label: str, counts: DataFrame) -> UnigramModel:
         word_bytes=size["bytes"] or 0,
         class_totals=None,
         least_class_total=size["least"] or 1,
+        most_classes=size["most"] or 0,
+        entries=size["entries"] or 0,
     )

@@ -10,33 +10,33 @@ however often the post repeats it. Splitting the logarithm gives a sparse sum:
     score(d, f) = matched(d) * ln prior(f) + sum over w in D with p(w|f) > 0 of  gain(w, f)
     gain(w, f)  = ln( 1 + (1-L)/L * p(w|f) / p(w) )
 
-so the work is one look-up per distinct token. Gains are added as whole multiples of 2^-bits: the
-sum does not depend on the order of addition, hence equal posts get equal scores on any cluster.
+so the work is one look-up per distinct token. Gains are added as whole multiples of 2^-44: the
+sum does not depend on the order of addition, hence equal posts get equal scores on any cluster, and
+the resolution is the same for every model.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslm.functions.text import ws_tokens
 from corpuslm.operators.models import UnigramModel
 from corpuslm.plans.shared import materialize
 from corpuslm.plans.sizes import BROADCAST_BYTES, SMALL_ROWS, is_small
+from corpuslm.plans.skew import LONGEST_KEY, lookup_join
 
 # Fixed value: the smoothing weight when the caller does not say.
 LAMBDA = 0.5
 
-# Words longer than this are never put in the broadcast part of a model.
-LONGEST_HEAD_WORD = 256
-# Bytes per row of a broadcast hash table, besides its values.
+# Bytes per row of a broadcast hash table, besides its values, and of a class's entry in it.
 ROW_BYTES = 48
-# No cell of text can hold more distinct words than this (it is at most 2^31 bytes).
-MOST_WORDS = 1 << 28
-# A token with any other character is no model word.
-WORD_LIKE = "^[a-z0-9_]+$"
+ENTRY_BYTES = 48
+# Gains are multiples of 2^-FRACTION, summed as a high part and the LOW lowest bits: a gain is below 64 and a cell of
+# text holds fewer than 2^31 words, so neither sum can leave 63 bits.
+FRACTION, LOW = 44, 24
 # Copies of the class table when classes are too many to list.
 PAIR_TILES = 256
 
@@ -47,15 +47,20 @@ def check_lambda(lam: float) -> float:
     return float(lam)
 
 
-def fraction_bits(model: UnigramModel, lam: float) -> int:
-    """Finest resolution at which no sum of gains can leave 63 bits."""
-    most = math.log1p((1 - lam) / lam * max(model.total, 1) / model.least_class_total)
-    words = min(max(model.n_words, 1), MOST_WORDS)
-    return min(44, 62 - math.ceil(math.log2(max(most, 1.0))) - math.ceil(math.log2(words + 1)))
+def _fixed(gain: Column) -> Column:
+    return F.round(gain * F.lit(float(1 << FRACTION))).cast("bigint")
 
 
-def _fixed(gain: Column, bits: int) -> Column:
-    return F.round(gain * F.lit(float(1 << bits))).cast("bigint")
+def _high(gain: str) -> Column:
+    return F.coalesce(F.sum(F.shiftright(gain, LOW)), F.lit(0))
+
+
+def _low(gain: str) -> Column:
+    return F.coalesce(F.sum(F.col(gain).bitwiseAND(F.lit((1 << LOW) - 1))), F.lit(0))
+
+
+def _as_double(high: Column, low: Column) -> Column:
+    return (high + low / F.lit(float(1 << LOW))) / F.lit(float(1 << (FRACTION - LOW)))
 
 
 def expand_classes(
@@ -86,44 +91,23 @@ def distinct_terms(posts: DataFrame, keys: list[str], tokens: Column) -> DataFra
     return posts.select(*keys, F.explode_outer(F.array_distinct(tokens)).alias("word"))
 
 
-def hot_words(terms: DataFrame, words: int) -> DataFrame:
-    """Words that make up at least 1/words of all rows of `terms`: at most that many."""
-    counts = terms.where("word IS NOT NULL").groupBy("word").agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    return counts.where((F.col("n") * F.lit(words) >= total) & (F.length("word") <= LONGEST_HEAD_WORD))
-
-
 def match(
-    terms: DataFrame,
-    gains: DataFrame,
-    model: UnigramModel,
-    value_bytes: int,
-    rows: int,
-    same_corpus: bool,
-    broadcast_bytes: int,
+    terms: DataFrame, gains: DataFrame, model: UnigramModel, value_bytes: int, spread_by: str, broadcast_bytes: int
 ) -> DataFrame:
-    """terms LEFT JOIN gains on word (rows of words without gains may be left out after the first).
+    """terms LEFT JOIN gains on word; gains has one row per word, with its count n.
 
-    A model of checked size is broadcast whole. A larger one is cut in two: the hot words, so few
-    that they can be broadcast, find their gains in place and are never shuffled; what remains has
-    no hot key and is joined by a shuffle.
+    A model of checked size is broadcast whole. Otherwise the few words that make up a large part of
+    the model are looked up by broadcast and their rows spread, and all rows go through one join.
+    Either way the terms are read once. What is common in the posts but not in the model has one row on the
+    model's side, so that Spark can split it.
     """
-    if model.word_bytes + rows * (value_bytes + ROW_BYTES) <= broadcast_bytes:
+    words, entries = model.n_words * (value_bytes + ROW_BYTES), model.entries * ENTRY_BYTES
+    if model.word_bytes + words + entries <= broadcast_bytes:
         return terms.join(F.broadcast(gains), "word", "left")
-    most_rows = 1 if model.classes is not None else model.n_classes  # of one word
-    per_word = (value_bytes + ROW_BYTES + LONGEST_HEAD_WORD) * most_rows
-    words = max(1, broadcast_bytes // per_word // 2)
-    count = "word_total" if "word_total" in gains.columns else "n"
-    is_hot = (F.col(count) * F.lit(words) >= F.lit(model.total)) & (F.length("word") <= LONGEST_HEAD_WORD)
-    hot = gains.where(is_hot).select("word")
-    if not same_corpus:
-        # posts of another corpus may repeat a word that the model hardly knows
-        hot = hot.union(hot_words(terms, words).select("word"))
-    hot = hot.distinct()
-    head = gains.join(F.broadcast(hot), "word", "left_semi")
-    in_place = terms.join(F.broadcast(head), "word", "left")
-    rest = terms.where(F.col("word").rlike(WORD_LIKE)).join(F.broadcast(hot), "word", "left_anti")
-    return in_place.unionByName(rest.join(gains, "word"))
+    per_word = value_bytes + ROW_BYTES + LONGEST_KEY + model.most_classes * ENTRY_BYTES
+    values = [c for c in gains.columns if c != "word"]
+    hot = broadcast_bytes // per_word // 2
+    return lookup_join(terms, gains, ["word"], "n", values, spread_by, keys=hot, spread_nulls=True)
 
 
 def scores(
@@ -135,7 +119,6 @@ def scores(
     lam: float = LAMBDA,
     tokens: Column | None = None,
     prior: str = "word",
-    same_corpus: bool = True,
     terms: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     name: str = "class",
@@ -144,8 +127,7 @@ def scores(
 
     `id` must be unique; `keep` should be narrow columns, as they travel with the post. `tokens`
     replaces the whitespace tokens; `terms` replaces them by a table (id, keep..., word) of distinct
-    words. prior="once" counts the prior once per post. Set same_corpus=False for posts
-    that are not those the model was fitted on.
+    words. prior="once" counts the prior once per post. The posts need not be those the model was fitted on.
     """
     lam = check_lambda(lam)
     if prior not in ("word", "once"):
@@ -154,8 +136,8 @@ def scores(
     if terms is None:
         terms = distinct_terms(posts, keys, ws_tokens(F.col(text)) if tokens is None else tokens)
     if model.classes is None:
-        return _scores_long(posts, terms, model, keys, lam, prior, same_corpus, broadcast_bytes, name)
-    sums = _sums(terms, model, keys, lam, same_corpus, broadcast_bytes)
+        return _scores_long(posts, terms, model, keys, lam, prior, broadcast_bytes, name)
+    sums = _sums(terms, model, keys, lam, broadcast_bytes)
     entries = [F.struct(F.lit(c[model.label]).alias(name), _class_score(model, i, lam, prior).alias("score"))
                for i, c in enumerate(model.classes)]
     return sums.select(*keys, F.inline_outer(F.array(*entries)))
@@ -169,18 +151,21 @@ def best_classes(
     keep: tuple[str, ...] = (),
     lam: float = LAMBDA,
     ties: str = "all",
-    same_corpus: bool = True,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(id, keep..., prediction, score, max_score): the highest scores of each post.
 
     The same as predict over scores by id, but the classes of a post are compared within its row, so
-    neither the other classes' rows nor a window over them are made. Needs a model of few classes.
+    neither the other classes' rows nor a window over them are made.
     """
     lam = check_lambda(lam)
+    if ties not in ("all", "first"):
+        raise ValueError("ties must be 'all' or 'first'")
     keys = [id, *keep]
     terms = distinct_terms(posts, keys, ws_tokens(F.col(text)))
-    sums = _sums(terms, model, keys, lam, same_corpus, broadcast_bytes)
+    if model.classes is None:
+        return _best_long(terms, model, keys, lam, ties, broadcast_bytes)
+    sums = _sums(terms, model, keys, lam, broadcast_bytes)
     k = len(model.classes)
     scored = sums.select(*keys, *[_class_score(model, i, lam, "word").alias(f"_s_{i}") for i in range(k)])
     top = F.greatest(*[F.col(f"_s_{i}") for i in range(k)]) if k > 1 else F.col("_s_0")
@@ -194,50 +179,97 @@ def best_classes(
     ]
     if ties == "all":
         return scored.select(*keys, F.inline_outer(F.array_compact(F.array(*entries))), "max_score")
-    if ties != "first":
-        raise ValueError("ties must be 'all' or 'first'")
     first = F.coalesce(*entries)  # classes stand in ascending order
     return scored.select(*keys, first["prediction"].alias("prediction"), first["score"].alias("score"), "max_score")
 
 
-def _sums(
-    terms: DataFrame, model: UnigramModel, keys: list[str], lam: float, same_corpus: bool, broadcast_bytes: int
-) -> DataFrame:
-    """(keys, _matched, _g_0, _g_1, ...): matched words and summed gains of each post, in one shuffle by post."""
-    odds, bits, gains = (1 - lam) / lam, fraction_bits(model, lam), []
+def _sums(terms: DataFrame, model: UnigramModel, keys: list[str], lam: float, broadcast_bytes: int) -> DataFrame:
+    """(keys, _matched, _h_0, _l_0, ...): matched words and summed gains of each post, in one shuffle by post."""
+    odds, gains = (1 - lam) / lam, []
     for i, total in enumerate(model.class_totals):
         ratio = F.col(f"n_{i}").cast("double") * F.lit(float(model.total)) / F.lit(float(max(total, 1))) / F.col("n")
-        gains.append(_fixed(F.log1p(F.lit(odds) * ratio), bits).alias(f"g_{i}"))
+        gains.append(_fixed(F.log1p(F.lit(odds) * ratio)).alias(f"g_{i}"))
     table = model.table.select("word", "n", *gains)
     k = len(model.classes)
-    joined = match(terms, table, model, 8 * (k + 1), model.n_words, same_corpus, broadcast_bytes)
-    return joined.groupBy(*keys).agg(
-        F.count("n").alias("_matched"), *[F.coalesce(F.sum(f"g_{i}"), F.lit(0)).alias(f"_g_{i}") for i in range(k)]
-    )
+    joined = match(terms, table, model, 8 * (k + 1), keys[0], broadcast_bytes)
+    parts = [part(f"g_{i}").alias(f"{name}_{i}") for i in range(k) for part, name in ((_high, "_h"), (_low, "_l"))]
+    return joined.groupBy(*keys).agg(F.count("n").alias("_matched"), *parts)
 
 
 def _class_score(model: UnigramModel, i: int, lam: float, prior: str) -> Column:
     """The score under classes[i], of a row of _sums."""
     times = F.col("_matched") if prior == "word" else F.lit(1)
     share = math.log(model.classes[i]["n"] / model.n_posts)
-    return times * F.lit(share) + F.col(f"_g_{i}") / F.lit(float(1 << fraction_bits(model, lam)))
+    return times * F.lit(share) + _as_double(F.col(f"_h_{i}"), F.col(f"_l_{i}"))
+
+
+def _evidence(terms: DataFrame, model: UnigramModel, keys: list[str], lam: float, broadcast_bytes: int) -> DataFrame:
+    """(keys, _label, _h, _l, _m) of the classes that have words of a post; _m is the number of the post's words
+    that the model has, on one row of each post whose _label is null. Many classes only."""
+    table = model.table.select("word", "n", "counts")
+    joined = match(terms, table, model, 16, keys[0], broadcast_bytes)
+    own = F.transform(
+        "counts",
+        lambda e: F.struct(
+            e["label"].alias("_label"),
+            _fixed(F.log1p(F.lit((1 - lam) / lam) * e["n"].cast("double") * F.lit(float(model.total)) / e["label_total"] / F.col("n"))).alias("_g"),
+        ),
+    )
+    none = F.array(F.struct(F.lit(None).cast(model.class_table.schema[model.label].dataType).alias("_label"), F.lit(None).cast("bigint").alias("_g")))
+    rows = joined.select(*keys, "n", F.inline(F.concat(none, F.coalesce(own, F.slice(none, 1, 0)))))
+    matched = F.count(F.when(F.col("_label").isNull(), F.col("n")))
+    return rows.groupBy(*keys, "_label").agg(_high("_g").alias("_h"), _low("_g").alias("_l"), matched.alias("_m"))
 
 
-def _scores_long(posts, terms, model, keys, lam, prior, same_corpus, broadcast_bytes, name) -> DataFrame:
-    """Many classes: one row per (word, class), sums by (post, class), then the classes without a match."""
-    id, bits = keys[0], fraction_bits(model, lam)
-    ratio = F.col("n").cast("double") * F.lit(float(model.total)) / F.col("label_total") / F.col("word_total")
-    gain = _fixed(F.log1p(F.lit((1 - lam) / lam) * ratio), bits)
-    table = model.table.select(
-        "word", "word_total", F.col(model.label).alias(name), gain.alias("_g"), F.col("is_first").cast("int").alias("_m")
-    )
-    rows = model.table.count()
-    joined = match(terms.select(id, "word"), table, model, 64, rows, same_corpus, broadcast_bytes)
-    found = joined.where(F.col(name).isNotNull()).groupBy(id, name).agg(F.sum("_g").alias("_g"), F.sum("_m").alias("_m"))
-    found = materialize(found, "evidence")  # read twice below
-    matched = found.groupBy(id).agg(F.sum("_m").alias("_matched"))
+def _best_long(terms: DataFrame, model: UnigramModel, keys: list[str], lam: float, ties: str, broadcast_bytes: int) -> DataFrame:
+    """Sparse argmax over many classes, without posts times classes.
+
+    Gains are never negative, and a class without evidence scores matched * ln prior. So besides the
+    classes with evidence only the most frequent class without any can win, with those as frequent as it:
+    the first rank, by prior, that the evidence leaves out.
+    """
+    name = model.label
+    order = Window.orderBy(F.desc("n"), F.asc(name))  # narrow rows, one per class
+    ranked = model.class_table.select(F.col(name).alias("_label"), F.ln("prior").alias("_share"), "n", (F.row_number().over(order) - 1).alias("_rank"))
+    ranked = materialize(ranked, "ranked-classes")
+    found = _evidence(terms, model, keys, lam, broadcast_bytes)
+    shares = F.broadcast(ranked.drop("n")) if is_small(ranked) else ranked.drop("n")
+    found = found.join(shares, "_label", "left")
+    entry = F.when(F.col("_label").isNotNull(), F.struct("_rank", "_label", "_share", _as_double(F.col("_h"), F.col("_l")).alias("_gain")))
+    rows = found.groupBy(*keys).agg(F.max("_m").alias("_matched"), F.array_sort(F.collect_list(entry)).alias("_own"))
+    # entries stand by rank, so the first gap is where an entry's rank is not its place
+    gap = F.filter(F.transform("_own", lambda e, i: F.when(e["_rank"] != i, i)), lambda i: i.isNotNull())
+    rows = rows.withColumn("_gap", F.coalesce(F.get(gap, F.lit(0)), F.size("_own")))
+    next_ = ranked.select(F.col("_rank").alias("_gap"), F.col("n").alias("_n"), F.col("_share").alias("_next"))
+    rows = rows.join(F.broadcast(next_) if is_small(ranked) else next_, "_gap", "left")
+    of_own = lambda e: F.col("_matched") * e["_share"] + e["_gain"]
+    of_next = F.col("_matched") * F.col("_next") + F.lit(0.0)
+    best = F.greatest(F.array_max(F.transform("_own", of_own)), of_next)
+    rows = materialize(rows.withColumn("max_score", best), "best")
+    winners = F.filter("_own", lambda e: of_own(e) == F.col("max_score"))
+    with_words = rows.select(*keys, F.inline(F.transform(winners, lambda e: F.struct(e["_label"].alias("prediction"), F.col("max_score").alias("score")))), "max_score")
+    # classes without evidence: as frequent as the first of them; all of them where no word matched
+    open_ = rows.where(of_next == F.col("max_score")).withColumn("_taken", F.transform("_own", lambda e: e["_rank"]))
+    no_words, some = open_.where("_matched = 0"), open_.where("_matched > 0")
+    every = expand_classes(no_words.select(*keys, "max_score"), ranked.select("_label"), "_label", keys[0], "prediction")
+    same = some.select(*keys, "max_score", "_taken", "_n").join(ranked.select(F.col("_label").alias("prediction"), "_rank", F.col("n").alias("_n")), "_n")
+    same = same.where(~F.array_contains("_taken", F.col("_rank")))
+    without = every.unionByName(same.select(*keys, "max_score", "prediction")).select(*keys, "prediction", F.col("max_score").alias("score"), "max_score")
+    both = with_words.unionByName(without)
+    if ties == "all":
+        return both
+    first = both.groupBy(*keys).agg(F.min("prediction").alias("prediction"), F.max("max_score").alias("max_score"))
+    return first.select(*keys, "prediction", F.col("max_score").alias("score"), "max_score")
+
+
+def _scores_long(posts, terms, model, keys, lam, prior, broadcast_bytes, name) -> DataFrame:
+    """Many classes: sums by (post, class) that has evidence, then the classes without a match."""
+    id = keys[0]
+    found = materialize(_evidence(terms.select(id, "word"), model, [id], lam, broadcast_bytes), "evidence")
+    matched = found.where("_label IS NULL").select(id, F.col("_m").alias("_matched"))
+    found = found.where("_label IS NOT NULL").select(id, F.col("_label").alias(name), _as_double(F.col("_h"), F.col("_l")).alias("_gain"))
     pairs = expand_classes(posts.select(*keys), model.class_table, model.label, id, name)
-    full = pairs.join(found.drop("_m"), [id, name], "left").join(matched, id, "left")
+    full = pairs.join(found, [id, name], "left").join(matched, id, "left")
     times = F.coalesce("_matched", F.lit(0)) if prior == "word" else F.lit(1)
-    score = times * F.ln("prior") + F.coalesce("_g", F.lit(0)) / F.lit(float(1 << bits))
+    score = times * F.ln("prior") + F.coalesce("_gain", F.lit(0.0))
     return full.select(*keys, name, score.alias("score"))

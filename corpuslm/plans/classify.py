@@ -42,9 +42,7 @@ def classify(
     by = by or [id]
     keep = tuple(c for c in by if c != id) + ("label",)
     scored = scores(indexed, model, id, text, keep=keep, lam=lam)
-    if model.classes is None:
-        best = predict(scored, by, id, ties)
-    elif by == [id]:
+    if by == [id]:
         best = best_classes(indexed, model, id, text, keep=keep, lam=lam, ties=ties)
     else:
         # the best of a key is among the best of its posts

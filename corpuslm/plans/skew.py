@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 HOT_KEYS = 1_000
 # How many ways the rows of hot keys are spread once they have found their match.
 SPREAD = 4_096
+# Bytes of a hot key at most: with HOT_KEYS it bounds what is broadcast. A longer key counts as not hot.
+LONGEST_KEY = 256
 
 
 def hot(table: DataFrame, weight: str, keys: int = HOT_KEYS) -> Column:
@@ -25,15 +27,20 @@ def lookup_join(
     values: list[str],
     spread_by: str,
     keys: int = HOT_KEYS,
+    spread_nulls: bool = False,
 ) -> DataFrame:
     """left LEFT JOIN table, for a table of one row per key with the key's number of left rows.
 
     Hot keys (a bounded number by definition) are looked up by broadcast. Their rows then enter the
     shuffle under a spread key that has no partner, so no task receives a hot key whole. All other
     keys hold less than 1/keys of the rows each and are joined by a plain shuffle. Keys compare
-    null-safe.
+    null-safe; spread_nulls says that the table holds no null key, so that rows with one are spread too.
+    keys=0 broadcasts nothing, and leaves hot keys to Spark's own splitting of skewed joins.
     """
-    is_hot = hot(table, weight, keys)
+    short = F.lit(True)
+    for k in on:
+        short = short & F.coalesce(F.octet_length(F.col(k).cast("string")) <= LONGEST_KEY, F.lit(True))
+    is_hot = F.coalesce(hot(table, weight, keys) & short, F.lit(False)) if keys else F.lit(False)
     head = table.where(is_hot).select(
         *[F.col(k).alias(f"_h_{k}") for k in on],
         *[F.col(v).alias(f"_hv_{v}") for v in values],
@@ -45,9 +52,11 @@ def lookup_join(
         F.lit(0).alias("_t_spread"),
     )
     in_head = [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in on]
+    away = F.coalesce(F.col("_hot"), F.lit(False))
+    if spread_nulls:
+        away = away | F.greatest(*[F.col(k).isNull() for k in on], F.lit(False))
     looked = left.join(F.broadcast(head), in_head, "left").withColumn(
-        "_spread",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)).cast("int") + 1).otherwise(0),
+        "_spread", F.when(away, F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)).cast("int") + 1).otherwise(0)
     )
     in_tail = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in on] + [F.col("_spread") == F.col("_t_spread")]
     joined = looked.join(tail, in_tail, "left")

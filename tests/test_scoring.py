@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from corpuslm.operators import models
 from corpuslm.operators.crossed import crossed
 from corpuslm.operators.predict import predict
-from corpuslm.operators.scoring import best_classes, expand_classes, fraction_bits, scores
+from corpuslm.operators.scoring import _as_double, _high, _low, best_classes, distinct_terms, expand_classes, match, scores
 from tests import brute
 
 WANT = {
@@ -48,12 +48,11 @@ def test_models_sum_to_one(documents):
 
 @pytest.mark.parametrize("wide", [32, 1])
 @pytest.mark.parametrize("broadcast_bytes", [64 << 20, 1])
-@pytest.mark.parametrize("same_corpus", [True, False])
-def test_micro_scores(micro, wide, broadcast_bytes, same_corpus):
+def test_micro_scores(micro, wide, broadcast_bytes):
     """Every way to run the look-up gives the hand-made scores."""
     posts = micro.where("flair IS NOT NULL")
     model = models.fit(posts, wide=wide)
-    got = table(scores(posts, model, "id", same_corpus=same_corpus, broadcast_bytes=broadcast_bytes))
+    got = table(scores(posts, model, "id", broadcast_bytes=broadcast_bytes))
     assert got == {k: pytest.approx(v, abs=1e-6) for k, v in WANT.items()}
 
 
@@ -74,9 +73,8 @@ def test_ways_agree_exactly(documents):
     first = table(scores(posts, wide, "doc_id"), "doc_id")
     for model in (wide, long):
         for size in (64 << 20, 200_000, 1):
-            for same in (True, False):
-                got = table(scores(posts, model, "doc_id", broadcast_bytes=size, same_corpus=same), "doc_id")
-                assert got == {k: pytest.approx(v, rel=1e-12, abs=1e-9) for k, v in first.items()}
+            got = table(scores(posts, model, "doc_id", broadcast_bytes=size), "doc_id")
+            assert got == {k: pytest.approx(v, rel=1e-12, abs=1e-9) for k, v in first.items()}
 
 
 @pytest.mark.parametrize("ties", ["all", "first"])
@@ -98,7 +96,7 @@ def test_posts_of_another_corpus(spark, micro):
     model = models.fit(micro)
     want = brute.scores(new, train=train)
     for size in (64 << 20, 1):
-        got = table(scores(posts, model, "id", same_corpus=False, broadcast_bytes=size))
+        got = table(scores(posts, model, "id", broadcast_bytes=size))
         assert got == {k: pytest.approx(v, abs=1e-9) for k, v in want.items()}
 
 
@@ -139,13 +137,57 @@ def test_lambda_bounds_and_options(micro):
     assert many == {k: pytest.approx(v, abs=1e-9) for k, v in once.items()}
 
 
-def test_no_sum_of_gains_can_overflow(micro):
-    model = models.fit(micro)
-    model.n_words, model.total, model.least_class_total = 10**9, 10**14, 1
-    for lam in (0.5, 1e-12):
-        bits = fraction_bits(model, lam)
-        most = math.log1p((1 - lam) / lam * model.total)
-        assert bits > 20 and most * 2**bits * 2**28 < 2**63
+def test_sums_of_gains_neither_overflow_nor_lose_bits(spark):
+    """As if one post had 2^31 words of the greatest gain, and the least step still counts."""
+    most, least = 63 * 2**44 + 12345, 1
+    rows = spark.createDataFrame([(most,), (least,), (None,)], "g bigint")
+    high, low = rows.agg(_high("g").alias("h"), _low("g").alias("l")).first()
+    assert high * 2**24 + low == most + least and max(most >> 24, 2**24) * 2**31 < 2**63
+    assert rows.agg(_as_double(_high("g"), _low("g"))).first()[0] == (most + least) / 2**44
+
+
+@pytest.mark.parametrize("wide", [32, 1])
+def test_own_terms_of_any_characters(spark, wide):
+    """Words with punctuation or beyond ASCII score the same whatever the model's size."""
+    terms = spark.createDataFrame([("a", "al.,", 3), ("a", "é", 1), ("b", "é", 4), ("b", "x", 2)], "flair string, word string, n bigint")
+    posts = spark.createDataFrame([(1, "a", "AL., é none"), (2, "b", "x É al.,")], "id int, flair string, text string")
+    model = models.fit(posts, terms=terms, wide=wide)
+    want = None
+    for size in (64 << 20, 3_000, 1):
+        got = table(scores(posts, model, "id", broadcast_bytes=size))
+        want = want or got
+        assert got == {k: pytest.approx(v, abs=1e-12) for k, v in want.items()}
+    assert want[1, "a"] == pytest.approx(2 * math.log(0.5) + math.log1p(3 / 4 * 10 / 3) + math.log1p(1 / 4 * 10 / 5))
+
+
+@pytest.mark.parametrize("ties", ["all", "first"])
+@pytest.mark.parametrize("size", [64 << 20, 20_000, 1])
+def test_best_of_many_classes(spark, documents, ties, size):
+    """Forty and more classes, some equally frequent; posts without a known word tie in all of them."""
+    posts = documents.select("doc_id", F.concat("source", F.lit("-"), "lang").alias("flair"), "text")
+    odd = spark.createDataFrame([(-1, "src1-en", "!!! ???"), (-2, "src1-en", None), (-3, "src2-en", "the"), (-4, "src2-en", "Qq ww")], posts.schema)
+    model, posts = models.fit(posts), posts.limit(60).union(odd)
+    assert model.classes is None and model.n_classes > 32
+    best = best_classes(posts, model, "doc_id", keep=("flair",), ties=ties, broadcast_bytes=size)
+    want = predict(scores(posts, model, "doc_id", keep=("flair",)), ["doc_id"], "doc_id", ties).select(best.columns)
+    key = lambda r: (r["doc_id"], r["prediction"], r["flair"], round(r["score"], 9), round(r["max_score"], 9))
+    assert sorted(map(key, best.collect())) == sorted(map(key, want.collect()))
+
+
+@pytest.mark.parametrize("wide", [32, 1])
+def test_a_large_model_reads_the_posts_once(micro, wide):
+    model = models.fit(micro, wide=wide)
+    terms = distinct_terms(micro, ["id"], F.split("text", " "))
+    plan = match(terms, model.table, model, 24, "id", 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+
+
+def test_a_saved_model_scores_the_same(spark, micro, tmp_path):
+    for wide in (32, 1):
+        model = models.fit(micro, wide=wide)
+        model.save(f"{tmp_path}/{wide}")
+        again = models.UnigramModel.load(spark, f"{tmp_path}/{wide}")
+        assert table(scores(micro, again, "id")) == table(scores(micro, model, "id"))
 
 
 @pytest.mark.parametrize("limit", [10_000, 1])
