@@ -32,7 +32,8 @@ def _buckets(h):
 
 
 def _hashed(texts):
-    return Hashed([t.encode("utf-8", "replace").lower() for t in texts]).hashes
+    found = Hashed([t.encode("utf-8", "replace").lower() for t in texts])
+    return [found.of_text(i) for i in range(len(texts))]
 
 
 def log_ratios(docs: DataFrame, good: DataFrame, id: str = "doc_id", text: str = "text"):

@@ -29,7 +29,7 @@ _P, _Q = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
 class Hashed:
-    """64-bit hashes of the words of texts, and of word sequences by differences of prefix sums."""
+    """The words of texts, and their 64-bit hashes end to end: text i has those from first[i] to first[i + 1]."""
 
     def __init__(self, texts: list[bytes]):
         import numpy as np
@@ -39,11 +39,17 @@ class Hashed:
         distinct = [*set().union(*self.words)]
         place = dict(zip(distinct, range(len(distinct)), strict=True))
         one = np.array([xxhash.xxh64_intdigest(w, 42) for w in distinct], dtype=np.uint64)
-        self.hashes = [one[[*map(place.__getitem__, w)]] if w else one[:0] for w in self.words]
+        self.hashes = one[[place[w] for words in self.words for w in words]]
+        sizes = np.array([len(w) for w in self.words], dtype=np.int64)
+        self.first = np.concatenate([[0], np.cumsum(sizes)])
+        self.text_of = np.repeat(np.arange(len(texts)), sizes)
+
+    def of_text(self, i: int):
+        return self.hashes[self.first[i] : self.first[i + 1]]
 
 
 def _sums(h, base: int):
-    """Prefix sums of h[t] * base^t, and base^-t, modulo 2^64."""
+    """Prefix sums of h[t] * base^t, and base^-t, modulo 2^64: digests of word sequences by two differences."""
     import numpy as np
 
     inverse = pow(base, -1, 1 << 64)
@@ -71,43 +77,60 @@ def _digest(prefix, start, size):
     return _mixed((sums[start + size] - sums[start]) * back[start] + np.asarray(size, dtype=np.uint64))
 
 
-def _minimizers(h, window: int):
-    """(n-gram hashes, least of them in each window); None for a text shorter than a window."""
-    import numpy as np
+def _sliding(x, size: int, best):
+    """best (a minimum or maximum) of each `size` consecutive values, by doubling."""
+    have = 1
+    while 2 * have <= size:
+        x = best(x[:-have], x[have:])
+        have *= 2
+    return x if have == size else best(x[: len(x) - (size - have)], x[size - have :])
 
-    if len(h) < window:
-        return None
-    grams = _digest(_sums(h, _P), np.arange(len(h) - ANCHOR + 1), ANCHOR)
-    view = np.lib.stride_tricks.sliding_window_view(grams, window - ANCHOR + 1)
-    return grams, view.min(axis=1)
 
+def _minimizers(texts: Hashed, window: int):
+    """(n-gram hashes, positions of windows, least n-gram of each window), windows by their first word."""
+    import numpy as np
 
-def _anchors(h, window: int):
-    """The minimizers of a text and at how many places each stands."""
+    h = texts.hashes
+    if len(h) < window:
+        none = np.zeros(0, np.int64)
+        return none.astype(np.uint64), none, none.astype(np.uint64)
+    left = np.repeat(texts.first[1:], np.diff(texts.first)) - np.arange(len(h))  # words to the end of the text
+    start = np.arange(len(h) - ANCHOR + 1)
+    grams = _digest(_sums(h, _P), start, ANCHOR)
+    grams[left[start] < ANCHOR] = np.uint64(2**64 - 1)  # runs over the end of its text
+    least = _sliding(grams, window - ANCHOR + 1, np.minimum)
+    at = np.flatnonzero(left[: len(least)] >= window)
+    return grams, at, least[at]
+
+
+def _anchors(texts: Hashed, window: int):
+    """(minimizer, text, number of places): the minimizers of each text and at how many places each stands."""
     import numpy as np
 
-    both = _minimizers(h, window)
-    if both is None:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    grams, least = both
+    grams, at, least = _minimizers(texts, window)
     reach = window - ANCHOR
-    around = np.concatenate([np.zeros(reach, np.uint64), least, np.zeros(reach, np.uint64)])
-    chosen = np.lib.stride_tricks.sliding_window_view(around, reach + 1).max(axis=1) == grams
-    return np.unique(grams[chosen], return_counts=True)
-
-
-def _paths(h, window: int, repeated):
-    """(start, number of windows) of the runs of windows with one minimizer, among the repeated ones."""
+    around = np.zeros(len(grams) + reach, np.uint64)
+    around[at + reach] = least
+    chosen = np.flatnonzero(_sliding(around, reach + 1, np.maximum) == grams) if len(at) else at
+    value, text = grams[chosen], texts.text_of[chosen]
+    order = np.lexsort((value, text))
+    value, text = value[order], text[order]
+    new = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (text[1:] != text[:-1])])) if len(value) else chosen
+    return value[new], text[new], np.diff(np.concatenate([new, [len(value)]]))
+
+
+def _paths(texts: Hashed, window: int, repeated):
+    """(position, number of windows) of the runs of windows with one minimizer, among the repeated ones."""
     import numpy as np
 
-    both = _minimizers(h, window)
-    if both is None or not len(repeated):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    least = both[1]
-    start = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    size = np.diff(np.concatenate([start, [len(least)]]))
-    own = np.isin(least[start].view(np.int64), repeated)
-    return start[own], size[own]
+    _, at, least = _minimizers(texts, window)
+    if not len(at):
+        return at, at
+    new = (least[1:] != least[:-1]) | (texts.text_of[at[1:]] != texts.text_of[at[:-1]])
+    new = np.flatnonzero(np.concatenate([[True], new]))
+    size = np.diff(np.concatenate([new, [len(at)]]))
+    own = np.isin(least[new].view(np.int64), repeated)
+    return at[new[own]], size[own]
 
 
 def _batch(names: list[str], *columns) -> pa.RecordBatch:
@@ -152,10 +175,8 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
 
         for whole in parts:
             for part in slices(whole, 1):
-                found = [_anchors(h, window) for h in Hashed([t.encode() for t in part.column(1).to_pylist()]).hashes]
-                keys = np.repeat(part.column(0).to_numpy(), [len(v) for v, _ in found])
-                values, counts = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-                yield _batch(["anchor", "key", "n"], values.view(np.int64), keys, counts.astype(np.int32))
+                value, of, n = _anchors(Hashed([t.encode() for t in part.column(1).to_pylist()]), window)
+                yield _batch(["anchor", "key", "n"], value.view(np.int64), part.column(0).to_numpy()[of], n.astype(np.int32))
 
     def pack(parts):
         import zstandard
@@ -181,13 +202,12 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
 
         for whole in parts:
             for part in _few(whole.filter(whole.column(3).is_valid()), 2):
-                out = []
-                for key, h, own in zip(part.column(0).to_pylist(), Hashed(_decoded(part, 2)).hashes, part.column(3), strict=True):
-                    start, size = _paths(h, window, own.values.to_numpy())
-                    out.append((*_both_digests(h, start, size + window - 1), np.full(len(start), key), start, size))
-                if out:
-                    first, second, keys, start, size = (np.concatenate(c) for c in zip(*out, strict=True))
-                    yield _batch(["d", "e", "key", "start", "size"], first, second, keys, start.astype(np.int32), size.astype(np.int32))
+                texts = Hashed(_decoded(part, 2))
+                at, size = _paths(texts, window, part.column(3).flatten().to_numpy())
+                of = texts.text_of[at]
+                first, second = _both_digests(texts.hashes, at, size + window - 1)
+                start, keys = at - texts.first[of], part.column(0).to_numpy()[of]
+                yield _batch(["d", "e", "key", "start", "size"], first, second, keys, start.astype(np.int32), size.astype(np.int32))
 
     paths = joined(by_doc).mapInArrow(path, "d long, e int, key long, start int, size int")
     counted = paths.groupBy("d", "e").agg(F.count("*").alias("n"), F.min_by("key", F.struct("key", "start")).alias("k"), F.min(F.struct("key", "start"))["start"].alias("s"))
@@ -202,17 +222,17 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
 
         for whole in parts:
             for part in _few(whole.filter(whole.column(3).is_valid()), 2):
-                out = []
-                for key, h, own in zip(part.column(0).to_pylist(), Hashed(_decoded(part, 2)).hashes, part.column(3), strict=True):
-                    start, size, which = (own.values.field(i).to_numpy() for i in range(3))
-                    keep = which != 2
-                    start, size, which = start[keep].astype(np.int64), size[keep], which[keep]
-                    at = np.repeat(start, size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-                    out.append((*_both_digests(h, at, window), np.full(len(at), key), at, np.repeat(which, size)))
-                if out:
-                    first, second, keys, at, which = (np.concatenate(c) for c in zip(*out, strict=True))
-                    weight = np.where(which == 3, 2, 1).astype(np.int32)
-                    yield _batch(["d", "e", "key", "start", "weight"], first, second, keys, at.astype(np.int32), weight)
+                texts, lists = Hashed(_decoded(part, 2)), part.column(3)
+                start, size, which = (lists.flatten().field(i).to_numpy().astype(np.int64) for i in range(3))
+                of = np.repeat(np.arange(len(lists)), pa.compute.list_value_length(lists).to_numpy())
+                keep = which != 2
+                start, size, which, of = start[keep], size[keep], which[keep], of[keep]
+                step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+                start, which, of = (np.repeat(x, size) for x in (start, which, of))
+                start += step
+                first, second = _both_digests(texts.hashes, texts.first[of] + start, window)
+                weight, keys = np.where(which == 3, 2, 1).astype(np.int32), part.column(0).to_numpy()[of]
+                yield _batch(["d", "e", "key", "start", "weight"], first, second, keys, start.astype(np.int32), weight)
 
     edges = joined(status).mapInArrow(edge, "d long, e int, key long, start int, weight int")
     again = edges.groupBy("d", "e").agg(F.sum("weight").alias("n")).where("n > 1").select("d", "e")
