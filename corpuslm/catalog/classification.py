@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from corpuslm.catalog.features import DOC_TERMS, VOCABULARY
@@ -79,6 +81,38 @@ def score_table(spark, sf_dir):
     return classify(texts(spark, sf_dir), "doc_id").scores.select("doc_id", "label", "class", rounded("score"))
 
 
+@query("scores_split", f"WITH {ALL_SCORES} SELECT doc_id, label, class, round(score, 6) AS score FROM scores")
+def scores_split(spark, sf_dir):
+    """As a model too large to broadcast is scored."""
+    p = texts(spark, sf_dir)
+    p = label_index(p).transform(p, spread_by="doc_id", name="label")
+    scored = scores(p, models.fit(p, "label"), "doc_id", keep=("label",), broadcast_bytes=1 << 14)
+    return scored.select("doc_id", "label", "class", rounded("score"))
+
+
+# source and language together as class: more classes than are counted side by side
+MANY = ALL_SCORES.replace("lang AS flair", "source || '-' || lang AS flair")
+
+
+def _many(spark, sf_dir):
+    p = texts(spark, sf_dir)
+    return p.withColumn("flair", F.concat("author", F.lit("-"), "flair"))
+
+
+@query("label_index_many", f"WITH {MANY} SELECT flair, n, idx AS label_index FROM classes")
+def label_index_many(spark, sf_dir):
+    return label_index(_many(spark, sf_dir)).dictionary
+
+
+@query(
+    "predict_many",
+    f"""WITH {MANY}, {predicted('doc_id')}
+    SELECT doc_id, label, prediction, round(score, 6) AS score, round(max_score, 6) AS max_score FROM predictions""",
+)
+def predict_many(spark, sf_dir):
+    return _rounded_predictions(classify(_many(spark, sf_dir), "doc_id").predictions)
+
+
 @query(
     "max_score",
     f"""WITH {ALL_SCORES} SELECT doc_id, label, class, round(score, 6) AS score,
@@ -253,9 +287,66 @@ def sql_lm_score(spark, sf_dir):
     )
 
 
+def _in_sql(spark, steps: list[tuple[str, str]], **tables):
+    """Run SQL text stage by stage over named temporary views; they are dropped once the last is planned."""
+    tag = uuid.uuid4().hex[:8]
+    names = {name: f"{name}_{tag}" for name in [*tables, *[n for n, _ in steps]]}
+    try:
+        for name, df in tables.items():
+            df.createOrReplaceTempView(names[name])
+        for name, text in steps:
+            df = spark.sql(text.format(**names))
+            df.createOrReplaceTempView(names[name])
+        return df
+    finally:
+        for name in names.values():
+            spark.catalog.dropTempView(name)
+
+
+# one statement per stage; a curly name is a view of an earlier stage
+SQL_STAGES = [
+    ("labelled", "SELECT doc_id, flair, coalesce(text, '') AS text FROM {posts} WHERE flair IS NOT NULL"),
+    (
+        "classes",
+        """SELECT flair, n, CAST(row_number() OVER (ORDER BY n DESC, flair) - 1 AS DOUBLE) AS idx, n / sum(n) OVER () AS prior
+        FROM (SELECT flair, count(*) AS n FROM {labelled} GROUP BY flair)""",
+    ),
+    (
+        "label_terms",
+        r"""SELECT flair, word, count(*) AS n FROM (SELECT flair, explode_outer(array_remove(split(lower(text), '\\W+'), '')) AS word
+        FROM {labelled}) WHERE word IS NOT NULL GROUP BY flair, word""",
+    ),
+    ("totals", "SELECT flair, sum(n) AS n FROM {label_terms} GROUP BY flair"),
+    ("background", "SELECT word, sum(n) / (SELECT sum(n) FROM {label_terms}) AS p FROM {label_terms} GROUP BY word"),
+    (
+        "terms",
+        r"""SELECT doc_id, explode_outer(array_distinct(split(lower(rtrim(' \t\n\u000b\f\r', text)), '\\s'))) AS word FROM {labelled}""",
+    ),
+    ("matched", "SELECT doc_id, t.word, b.p FROM {terms} t JOIN {background} b ON t.word = b.word"),
+    ("counted", "SELECT doc_id, count(*) AS m FROM {matched} GROUP BY doc_id"),
+    (
+        "gains",
+        """SELECT m.doc_id, l.flair, sum(ln(1 + l.n / t.n / m.p)) AS gain
+        FROM {matched} m JOIN {label_terms} l ON l.word = m.word JOIN {totals} t ON t.flair = l.flair GROUP BY m.doc_id, l.flair""",
+    ),
+    (
+        "scores",
+        """SELECT p.doc_id, own.idx AS label, c.idx AS class, coalesce(m.m, 0) * ln(c.prior) + coalesce(g.gain, 0) AS score
+        FROM {labelled} p JOIN {classes} own ON own.flair = p.flair CROSS JOIN {classes} c
+        LEFT JOIN {counted} m ON m.doc_id = p.doc_id LEFT JOIN {gains} g ON g.doc_id = p.doc_id AND g.flair = c.flair""",
+    ),
+]
+
+
+@query("sql_pipeline", f"WITH {ALL_SCORES} SELECT doc_id, label, class, round(score, 6) AS score FROM scores")
+def sql_pipeline(spark, sf_dir):
+    """All stages from term counts to scores as SQL text, in rows, for smoothing weight 0.5."""
+    return _in_sql(spark, SQL_STAGES, posts=texts(spark, sf_dir)).select("doc_id", "label", "class", rounded("score"))
+
+
 @query("sql_predict", f"WITH {ALL_SCORES}, {predicted('doc_id')} {PREDICTION}")
 def sql_predict(spark, sf_dir):
-    """The last stages as SQL text over temporary views, each dropped once its stage is planned."""
+    """The last stages as SQL text; each names the table before it as a parameter."""
     scored = classify(texts(spark, sf_dir), "doc_id").scores
     top = spark.sql("SELECT *, max(score) OVER (PARTITION BY doc_id) AS max_score FROM {scored}", scored=scored)
     return spark.sql(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from corpuslm.catalog.registry import (
@@ -110,10 +108,7 @@ VOCABULARY = """vocabulary AS (SELECT term, CAST(sum(n) AS BIGINT) AS n, count(*
   row_number() OVER (ORDER BY sum(n) DESC, term) - 1 AS term_index FROM doc_terms GROUP BY term)"""
 
 
-@query(
-    "vocabulary",
-    f"WITH {DOC_TERMS}, {VOCABULARY} SELECT * FROM vocabulary WHERE term_index < 262144",
-)
+@query("vocabulary", f"WITH {DOC_TERMS}, {VOCABULARY} SELECT * FROM vocabulary")
 def vocabulary(spark, sf_dir):
     return terms.vocabulary(documents(spark, sf_dir), ws_tokens(F.col("text")))
 
@@ -123,17 +118,46 @@ def vocabulary_full(spark, sf_dir):
     return terms.vocabulary(documents(spark, sf_dir), ws_tokens(F.col("text")), size=None)
 
 
-@query("count_vectors", f"WITH {DOC_TERMS}, {VOCABULARY} SELECT term_index, CAST(n AS DOUBLE) AS n, CAST(df AS DOUBLE) AS df FROM vocabulary WHERE term_index < 5000")
+@query("vocabulary_top", f"WITH {DOC_TERMS}, {VOCABULARY} SELECT * FROM vocabulary WHERE term_index < 1000")
+def vocabulary_top(spark, sf_dir):
+    """The 1,000 most frequent terms, as asked for."""
+    return terms.vocabulary(documents(spark, sf_dir), ws_tokens(F.col("text")), size=1000)
+
+
+@query(
+    "count_vectors",
+    f"""WITH {DOC_TERMS}, {VOCABULARY} SELECT doc_id, (SELECT count(*) FROM vocabulary) AS size, term_index,
+    CAST(d.n AS DOUBLE) AS value FROM doc_terms d JOIN vocabulary USING (term)""",
+)
 def count_vectors(spark, sf_dir):
-    """Slots of the ML vectors, summed over all posts: a vocabulary of the top 5,000 terms."""
-    docs = documents(spark, sf_dir)
-    tokens = ws_tokens(F.col("text"))
-    vectors, _ = terms.count_vectors(docs, tokens, terms.vocabulary(docs, tokens, size=5000))
-    summary = vectors.select(Summarizer.metrics("sum", "numNonZeros").summary(F.col("words_features")).alias("s"))
-    slots = F.arrays_zip(vector_to_array("s.sum").alias("n"), vector_to_array("s.numNonZeros").alias("df"))
-    return summary.select(F.posexplode(slots).alias("i", "slot")).select(
-        F.col("i").cast("bigint").alias("term_index"), F.round("slot.n", 6).alias("n"), F.col("slot.df")
-    )
+    """The entries of each document's vector over the whole vocabulary."""
+    docs, tokens = documents(spark, sf_dir), ws_tokens(F.col("text"))
+    vectors = terms.count_vectors(docs, "doc_id", tokens, terms.vocabulary(docs, tokens))
+    entries = F.arrays_zip(F.col("words_features.indices").alias("term_index"), F.col("words_features.values").alias("value"))
+    return vectors.select("doc_id", F.col("words_features.size").alias("size"), F.inline(entries))
+
+
+WORDS = """word_index AS (SELECT word, CAST(sum(n) AS BIGINT) AS n, row_number() OVER (ORDER BY sum(n) DESC, word) - 1 AS term_index
+  FROM label_terms GROUP BY word)"""
+
+
+def _word_index(counts):
+    return terms.rank_terms(counts.groupBy(F.col("word").alias("term")).agg(F.sum("n").alias("n")))
+
+
+@query(
+    "label_vectors",
+    f"""WITH {POSTS}, {LABEL_TERMS}, {WORDS} SELECT flair, term_index, CAST(l.n AS BIGINT) AS n
+    FROM label_terms l JOIN word_index USING (word)""",
+)
+def label_vectors(spark, sf_dir):
+    counts = terms.label_terms(texts(spark, sf_dir))
+    return terms.label_vectors(counts, "flair", _word_index(counts))
+
+
+@query("background_vector", f"WITH {POSTS}, {LABEL_TERMS}, {WORDS} SELECT term_index, n FROM word_index")
+def background_vector(spark, sf_dir):
+    return _word_index(terms.label_terms(texts(spark, sf_dir))).select("term_index", "n")
 
 
 @query("label_text", f"WITH {POSTS} SELECT flair, doc_id, text FROM posts")

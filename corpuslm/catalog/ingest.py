@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpuslm.catalog.registry import POSTS, posts, query, table
+from corpuslm.catalog.preparation import CASCADE_TEXT, SUBMISSIONS, submissions
+from corpuslm.catalog.registry import LABEL_TERMS, LABELS, MODELS, POSTS, SCORES, WS, posts, predicted, query, rounded, table
+from corpuslm.operators import prep
+from corpuslm.plans.ingest import classify_stored, ingest, prepare
 from corpuslm.plans.shared import new_path
 from corpuslm.sources.jsonlines import append_posts, read_posts, write_if_absent
 from corpuslm.sources.selection import select_sources, take_posts
@@ -45,11 +48,24 @@ def sink_if_absent(spark, sf_dir):
 
 @query(
     "limit_posts",
-    "SELECT doc_id, source, text FROM documents ORDER BY n_chars DESC, doc_id LIMIT 1000",
+    "SELECT doc_id, source, text FROM documents ORDER BY n_chars DESC, doc_id LIMIT 100",
 )
 def limit_posts(spark, sf_dir):
+    """90 posts are wanted, in whole pages of 25."""
     documents = table(spark, sf_dir, "documents")
-    return take_posts(documents, [("n_chars", False), ("doc_id", True)], limit=990, page=25).select(
+    return take_posts(documents, [("n_chars", False), ("doc_id", True)], limit=90, page=25).select(
+        "doc_id", "source", "text"
+    )
+
+
+@query(
+    "limit_posts_numbered",
+    "SELECT doc_id, source, text FROM documents ORDER BY n_chars DESC, doc_id LIMIT 140",
+)
+def limit_posts_numbered(spark, sf_dir):
+    """More than a top-k takes: the last key is found by numbering the keys."""
+    documents = table(spark, sf_dir, "documents")
+    return take_posts(documents, [("n_chars", False), ("doc_id", True)], limit=131, page=20, top_k=50).select(
         "doc_id", "source", "text"
     )
 
@@ -61,3 +77,46 @@ def limit_posts(spark, sf_dir):
 def sources(spark, sf_dir):
     chosen = select_sources(table(spark, sf_dir, "documents"), ["src4", "src1", "src17", "src4"])
     return chosen.select("doc_id", "source", "text")
+
+
+# pages as submissions: routed, filtered, stored, scanned, classified ---------------------------------
+
+STORED = rf"""{SUBMISSIONS},
+routed AS (SELECT domain AS author, CAST(page_id AS VARCHAR) AS created, regexp_extract(url, '/([a-z][a-z])/', 1) AS flair,
+  CASE WHEN domain IN ('blog.tionsh.example.net', 'thther.example.org') THEN own
+    ELSE regexp_replace({CASCADE_TEXT}, '{WS}+', ' ', 'g') END AS text FROM submissions),
+posts AS (SELECT DISTINCT author || '_' || created AS doc_id, author, created, flair, text FROM routed
+  WHERE length(text) >= 150)"""
+
+
+def _stored(spark, sf_dir):
+    pages = submissions(spark, sf_dir)
+    extractors = [("first paragraph", F.col("first")), ("whole page", F.col("second")), ("title", F.col("third"))]
+    # the cascade's own threshold is that of the other queries over these pages
+    text, _ = prep.extract_cascade(F.col("url"), extractors, min_chars=1500, mark="blog")
+    ready = prepare(
+        pages.withColumn("extracted", text),
+        is_self=F.col("domain").isin("blog.tionsh.example.net", "thther.example.org"),
+        self_text=F.col("own"),
+        url=F.col("url"),
+        extractors=[("cascade", F.col("extracted"))] * 3,
+        author=F.col("domain"),
+        created=F.col("page_id"),
+        flair=F.regexp_extract("url", "/([a-z][a-z])/", 1),
+    )
+    return ingest(ready, new_path(spark, "ingested-json"))
+
+
+@query("ingest_posts", f"WITH {STORED} SELECT author, created, flair, text FROM posts")
+def ingest_posts(spark, sf_dir):
+    return _stored(spark, sf_dir)
+
+
+@query(
+    "ingest_classify",
+    f"""WITH {STORED}, {LABELS}, {LABEL_TERMS}, {MODELS}, {SCORES}, {predicted('doc_id')}
+    SELECT doc_id AS key, label, prediction, round(score, 6) AS score, round(max_score, 6) AS max_score FROM predictions""",
+)
+def ingest_classify(spark, sf_dir):
+    best = classify_stored(_stored(spark, sf_dir)).predictions
+    return best.select("key", "label", "prediction", rounded("score"), rounded("max_score"))

@@ -12,8 +12,13 @@ HOST = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+
 
 
 def html_sql(html: str) -> str:
-    no_code = rf"regexp_replace({html}, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g')"
-    return rf"regexp_replace(regexp_replace({no_code}, '<[^>]*>', ' ', 'g'), '{WS}+', ' ', 'g')"
+    gone = ["(?s)<!--.*?-->", r"(?is)<(script|style)(\s[^>]*)?>.*?</(script|style)\s*>", r"(?is)<head(\s[^>]*)?>.*?</head\s*>", "<[^>]*>"]
+    for pattern in gone:
+        html = f"regexp_replace({html}, '{pattern}', ' ', 'g')"
+    # the entities that the pages have
+    for name, character in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        html = f"replace({html}, '&{name};', '{character}')"
+    return rf"regexp_replace({html}, '{WS}+', ' ', 'g')"
 
 
 @query(
@@ -45,7 +50,7 @@ def bucket_by_self(spark, sf_dir):
     return prep.bucket_by_self(documents, ["SRC0", "src3", "Src3", "Src11"]).select("doc_id", "bucket")
 
 
-def _submissions(spark, sf_dir):
+def submissions(spark, sf_dir):
     """pages as raw submissions, with the outcome of three extractors."""
     return table(spark, sf_dir, "pages").select(
         "page_id",
@@ -80,7 +85,7 @@ CASCADE_METHOD = CASCADE.format(a="'first paragraph'", b="'whole page'", c="'tit
 )
 def extract_cascade(spark, sf_dir):
     text, method = prep.extract_cascade(F.col("url"), _extractors(), min_chars=1500, mark="blog")
-    return _submissions(spark, sf_dir).select("page_id", text.alias("text"), method.alias("method"))
+    return submissions(spark, sf_dir).select("page_id", text.alias("text"), method.alias("method"))
 
 
 @query(
@@ -93,7 +98,7 @@ def extract_cascade(spark, sf_dir):
 def route_text(spark, sf_dir):
     is_self = F.col("domain").isin("blog.tionsh.example.net", "thther.example.org")
     routed = prep.route_text(
-        _submissions(spark, sf_dir), is_self, F.col("own"), F.col("url"), _extractors(), min_chars=1500, mark="blog"
+        submissions(spark, sf_dir), is_self, F.col("own"), F.col("url"), _extractors(), min_chars=1500, mark="blog"
     )
     return routed.select("page_id", "text", "method")
 

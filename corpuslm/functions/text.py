@@ -39,10 +39,50 @@ def collapse_ws(text: Column) -> Column:
     return F.regexp_replace(text, WHITESPACE + "+", " ")
 
 
+# The named entities that are decoded, besides &amp;.
+ENTITIES = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "©", "reg": "®", "middot": "·", "hellip": "…",
+    "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "laquo": "«", "raquo": "»",
+    "euro": "€", "times": "×",
+}
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point; null outside of Unicode."""
+    valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+
+def numeric_entities(text: Column) -> Column:
+    """Decode &#233; and &#xE9;; what is no such entity stays as it is."""
+
+    def one(part: Column) -> Column:
+        decimal = F.regexp_extract(part, r"^([0-9]{1,7});", 1)
+        hexadecimal = F.regexp_extract(part, r"^[xX]([0-9a-fA-F]{1,6});", 1)
+        code = F.when(decimal != "", decimal.cast("bigint")).when(hexadecimal != "", F.conv(hexadecimal, 16, 10).cast("bigint"))
+        rest = F.regexp_replace(part, r"^[^;]*;", "")
+        return F.coalesce(F.concat(_character(code), rest), F.concat(F.lit("&#"), part))
+
+    parts = F.split(text, "&#")
+    decoded = F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1))), one), ""))
+    return F.when(F.contains(text, F.lit("&#")), decoded).otherwise(text)
+
+
 def html_text(html: Column) -> Column:
-    """Visible text of a page: scripts, styles and tags become spaces, then whitespace collapses."""
-    no_code = F.regexp_replace(html, r"(?is)<(script|style)[^>]*>.*?</(script|style)>", " ")
-    return collapse_ws(F.regexp_replace(no_code, r"<[^>]*>", " "))
+    """Visible text of a page's body: the head, comments, scripts, styles and tags become spaces, entities are
+    decoded (&amp; last), then whitespace collapses."""
+    shown = html
+    for gone in (
+        r"(?s)<!--.*?-->",
+        r"(?is)<(script|style)(\s[^>]*)?>.*?</(script|style)\s*>",
+        r"(?is)<head(\s[^>]*)?>.*?</head\s*>",
+        r"<[^>]*>",
+    ):
+        shown = F.regexp_replace(shown, gone, " ")
+    for name, character in ENTITIES.items():
+        shown = F.replace(shown, F.lit(f"&{name};"), F.lit(character))
+    shown = F.replace(numeric_entities(shown), F.lit("&amp;"), F.lit("&"))
+    return collapse_ws(shown)
 
 
 def json_text(document: Column, path: str = "$.article.body") -> Column:

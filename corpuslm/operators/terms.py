@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,10 +10,8 @@ from corpuslm.functions.text import word_tokens
 from corpuslm.functions.unroll import unroll, unroll_structs
 from corpuslm.operators.prep import labelled_only
 from corpuslm.plans.numbering import number_rows
-from corpuslm.plans.sizes import BROADCAST_BYTES
-
-# Fixed value: how many terms a vocabulary holds when the caller does not say.
-VOCABULARY_SIZE = 262_144
+from corpuslm.plans.shared import materialize
+from corpuslm.plans.skew import lookup_join
 
 
 def term_counts(posts: DataFrame, id: str, tokens: Column) -> DataFrame:
@@ -37,18 +34,18 @@ def label_terms(posts: DataFrame, label: str = "flair", text: str = "text") -> D
     return words.groupBy(label, "word").agg(F.count("*").alias("n"))
 
 
-def vocabulary(posts: DataFrame, tokens: Column, size: int | None = VOCABULARY_SIZE) -> DataFrame:
+def vocabulary(posts: DataFrame, tokens: Column, size: int | None = None) -> DataFrame:
     """(term, n, df, term_index): terms by falling count, equal counts by term.
 
-    With a size, the top terms; size=None numbers all of them.
+    All terms are numbered; a size keeps the top ones.
     """
     counts = unroll_structs(posts, [], run_lengths(tokens), "term")
     counts = counts.groupBy("term").agg(F.sum("n").alias("n"), F.count("*").alias("df"))
     return rank_terms(counts, size)
 
 
-def rank_terms(counts: DataFrame, size: int | None = VOCABULARY_SIZE) -> DataFrame:
-    """Add term_index to (term, n, ...), by falling n and then by term; keep the first `size`.
+def rank_terms(counts: DataFrame, size: int | None = None) -> DataFrame:
+    """Add term_index to (term, n, ...), by falling n and then by term; with a size, keep the first ones.
 
     A vocabulary is too long for a top-k, which would merge that many rows of every task in one.
     """
@@ -56,16 +53,33 @@ def rank_terms(counts: DataFrame, size: int | None = VOCABULARY_SIZE) -> DataFra
     return ranked if size is None else ranked.where(F.col("term_index") < size)
 
 
-def count_vectors(
-    posts: DataFrame, tokens: Column, vocabulary: DataFrame, output: str = "words_features"
-) -> tuple[DataFrame, list[str]]:
-    """Add sparse ML vectors of term counts, over a vocabulary from vocabulary(size=...).
+def count_vectors(posts: DataFrame, id: str, tokens: Column, vocabulary: DataFrame, output: str = "words_features") -> DataFrame:
+    """(id, output struct<size, indices, values>): sparse term counts of each post, as ML vectors have them.
 
-    As with any ML vectorizer the vocabulary becomes part of the model, so its bytes are checked.
+    `vocabulary` is one of vocabulary(). Indices rise; terms outside the vocabulary count nowhere, and a
+    post without any has an empty vector. A vector is bounded by its post; the vocabulary is joined and never
+    brought to the driver.
+    """
+    index = materialize(vocabulary.select("term", F.col("n").alias("_weight"), "term_index"), "vocabulary")
+    counts = posts.select(id, F.inline_outer(run_lengths(tokens)))
+    placed = lookup_join(counts, index, ["term"], "_weight", ["term_index"], spread_by=id, spread_nulls=True)
+    entry = F.when(F.col("term_index").isNotNull(), F.struct("term_index", F.col("n").cast("double").alias("n")))
+    rows = placed.groupBy(id).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
+    vector = F.struct(
+        F.lit(index.count()).cast("bigint").alias("size"),
+        F.transform("_entries", lambda e: e["term_index"].cast("bigint")).alias("indices"),
+        F.transform("_entries", lambda e: e["n"]).alias("values"),
+    )
+    return rows.select(id, vector.alias(output))
+
+
+def label_vectors(counts: DataFrame, label: str, vocabulary: DataFrame) -> DataFrame:
+    """(label, term_index, n): the vector of each class in rows, from (label, word, n) counts.
+
+    A class may have every term of the corpus, so its vector is not gathered in one cell. The
+    background's vector is the vocabulary's own (term_index, n).
     """
-    size = vocabulary.agg(F.count("*").alias("n"), F.sum(F.octet_length("term")).alias("b")).first()
-    if size["n"] > VOCABULARY_SIZE or (size["b"] or 0) > BROADCAST_BYTES:
-        raise ValueError("vocabulary too large for vectors: use term_counts, which has no limit")
-    terms = [r["term"] for r in vocabulary.orderBy("term_index").select("term").collect()]
-    model = CountVectorizerModel.from_vocabulary(terms, inputCol="_tokens", outputCol=output)
-    return model.transform(posts.withColumn("_tokens", tokens)).drop("_tokens"), terms
+    index = vocabulary.select(F.col("term").alias("word"), F.col("n").alias("_weight"), "term_index")
+    index = materialize(index, "vocabulary")
+    placed = lookup_join(counts, index, ["word"], "_weight", ["term_index"], spread_by=label)
+    return placed.where("term_index IS NOT NULL").select(label, "term_index", "n")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -11,7 +13,8 @@ _LOCAL_DIR: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; only a local session may fall back to a temp folder."""
+    """The folder named by spark.checkpoint.dir. Only a local session without one, as in tests, has a temp folder
+    instead, which goes when the process ends."""
     global _LOCAL_DIR
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -20,6 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     if _LOCAL_DIR is None:
         _LOCAL_DIR = tempfile.mkdtemp(prefix="corpuslm-")
+        atexit.register(shutil.rmtree, _LOCAL_DIR, ignore_errors=True)
     return _LOCAL_DIR
 
 

@@ -9,9 +9,20 @@ from pyspark.sql import types as T
 POST_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("author", "created", "flair", "text")])
 
 
-def read_posts(spark: SparkSession, path: str, schema: T.StructType | None = POST_SCHEMA) -> DataFrame:
-    """Scan JSON lines (blank lines are skipped). schema=None infers it, at the price of a second scan."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
+def read_posts(
+    spark: SparkSession, path: str, schema: T.StructType | None = POST_SCHEMA, bad_lines: str | None = None
+) -> DataFrame:
+    """Scan JSON lines (blank lines are skipped). schema=None infers it, at the price of a second scan.
+
+    A line that is no JSON object becomes a row of nulls. bad_lines names a further column that holds such
+    lines as they are, and null for the good ones.
+    """
+    reader = spark.read
+    if bad_lines:
+        reader = reader.option("columnNameOfCorruptRecord", bad_lines)
+    if schema is not None:
+        schema = T.StructType([*schema.fields, T.StructField(bad_lines, T.StringType())]) if bad_lines else schema
+        reader = reader.schema(schema)
     return reader.json(path)
 
 

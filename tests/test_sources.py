@@ -75,3 +75,10 @@ def test_spread_only_deals_badly_split_scans(spark, tmp_path):
     assert spread(spark.read.parquet(path), "id").rdd.getNumPartitions() == 4
     many = spark.range(0, 100, 1, 6)
     assert spread(many, "id") is many
+
+
+def test_bad_lines_stay_visible(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"author": "x", "text": "t"}\nno json\n\n{"author": "y"}\n')
+    rows = read_posts(spark, str(tmp_path), bad_lines="bad").collect()
+    assert sorted((r["author"] or "", r["bad"]) for r in rows) == [("", "no json"), ("x", None), ("y", None)]
+    assert read_posts(spark, str(tmp_path)).columns == ["author", "created", "flair", "text"]

@@ -36,16 +36,27 @@ def test_vocabulary(documents):
         assert [tuple(r) for r in rows] == want[:size]
 
 
-def test_count_vectors(documents):
+@pytest.mark.parametrize("size", [None, 500])
+def test_count_vectors(documents, spark, size):
     tokens = ws_tokens(F.col("text"))
-    vectors, words = terms.count_vectors(documents, tokens, terms.vocabulary(documents, tokens, size=500))
-    assert vectors.schema["words_features"].dataType.simpleString() == "vector" and len(words) == 500
-    for r in vectors.select("text", F.col("words_features").alias("v")).collect():
-        count = Counter(brute.ws_tokens(r["text"]))
-        assert r["v"].size == 500
-        assert {words[i]: n for i, n in zip(r["v"].indices.tolist(), r["v"].values.tolist())} == {
-            w: count[w] for w in words if count[w]
-        }
+    posts = documents.select("doc_id", "text").union(spark.createDataFrame([(-1, "  "), (-2, "unheard-of"), (-3, None)], "doc_id bigint, text string"))
+    index = terms.vocabulary(documents, tokens, size=size)
+    place = {r["term"]: r["term_index"] for r in index.collect()}
+    found = {r["doc_id"]: r["words_features"] for r in terms.count_vectors(posts, "doc_id", tokens, index).collect()}
+    assert len(found) == posts.count()
+    for r in posts.collect():
+        want = {place[w]: n for w, n in Counter(brute.ws_tokens(r["text"] or "")).items() if w in place}
+        vector = found[r["doc_id"]]
+        assert vector["size"] == len(place) and vector["indices"] == sorted(want)
+        assert dict(zip(vector["indices"], vector["values"], strict=True)) == want
+
+
+def test_label_vectors(micro):
+    counts = terms.label_terms(micro)
+    index = terms.rank_terms(counts.groupBy(F.col("word").alias("term")).agg(F.sum("n").alias("n")))
+    place = {r["term"]: r["term_index"] for r in index.collect()}
+    got = {(r["flair"], r["term_index"]): r["n"] for r in terms.label_vectors(counts, "flair", index).collect()}
+    assert got == {(r["flair"], place[r["word"]]): r["n"] for r in counts.collect()}
 
 
 def test_class_text_adds_up_to_the_joined_text(micro):

@@ -85,3 +85,18 @@ def test_post_key(spark):
     df = spark.createDataFrame([(None, "d1"), ("a", None), ("a", "d")], "a string, c string")
     keys = [r[0] for r in df.select(tx.post_key(F.col("a"), F.col("c"))).collect()]
     assert keys == ["_d1", "a_", "a_d"]
+
+
+@pytest.mark.parametrize("html, want", [
+    ("<html><head><title>no</title></head><body>a<!-- <b>no</b> -->b</body></html>", " a b "),
+    ("<header>kept</header><p>x</p>", " kept x "),
+    ("1 &lt;b&gt; 2 &amp;lt; &amp;amp; &nbsp; &copy;", "1 <b> 2 &lt; &amp; ©"),
+    ("&#233;&#xE9;&#x1F600; &#0; &#55296; &#1114112; &#12 &#; &# x", "éé😀 &#0; &#55296; &#1114112; &#12 &#; &# x"),
+    ("<script>if (a<b) {}</script>s<style>p{}</style>t<SCRIPT src=x>\n</SCRIPT >u", " s t u"),
+    ("&middot;&unknown;&quot;", '·&unknown;"'),
+    ("", ""),
+    (None, None),
+])
+def test_html_body_text(spark, html, want):
+    df = spark.createDataFrame([(html,)], "html string")
+    assert df.select(tx.html_text(F.col("html"))).first()[0] == want
