@@ -22,63 +22,126 @@ QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(sql: str | None = None):
+    """Register a query, with its equivalent SQL where SQL can say it."""
+
+    def add(fn):
+        QUERIES[fn.__name__] = fn
+        if sql is not None:
+            ORACLES[fn.__name__] = sql
+        return fn
+
+    return add
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query
+@query()
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return byte_bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
-@query
+@query()
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_copies(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
-@query
+def _rows(pairs) -> str:
+    return ", ".join("('{}', '{}')".format(*p) for p in pairs)
+
+
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+LICENSE_WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+LICENSES = rf"""WITH d AS (SELECT doc_id, {LOWER} AS t FROM documents),
+counted AS (SELECT doc_id, len(regexp_extract_all(t, {LICENSE_WORD})) AS n_words FROM d),
+words AS (SELECT doc_id, unnest(regexp_extract_all(t, {LICENSE_WORD})) AS w, unnest(range(0, len(regexp_extract_all(t, {LICENSE_WORD})))) AS i FROM d),
+next AS (SELECT doc_id, i, w, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2, lead(w, 3) OVER o AS w3 FROM words
+  WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+places AS (SELECT doc_id, i, 'mit' AS label FROM next WHERE w = 'mit' AND w1 = 'license'
+  UNION ALL SELECT doc_id, i, 'apache' FROM next WHERE w = 'apache' AND w1 = 'license'
+  UNION ALL SELECT doc_id, i, 'cc-by' FROM next WHERE w = 'cc' AND w1 = 'by'
+  UNION ALL SELECT doc_id, i, 'gpl' FROM next WHERE w = 'gnu' AND w1 = 'general' AND w2 = 'public' AND w3 = 'license'),
+base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+  string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, unnest(range(0, len(string_split(t, chr(10))))) AS n FROM d),
+blocks AS (SELECT DISTINCT doc_id, n, unnest(regexp_extract_all(line, {LICENSE_WORD})) AS w FROM lines),
+templates AS (SELECT * FROM (VALUES {_rows(license_scan.TEMPLATES)}) AS x(label, t)),
+template_words AS (SELECT DISTINCT label, t, unnest(regexp_extract_all(lower(t), {LICENSE_WORD})) AS w FROM templates),
+sizes AS (SELECT t, count(*) AS size FROM template_words GROUP BY t),
+shares AS (SELECT b.doc_id, k.label, count(*) / CAST(any_value(s.size) AS DOUBLE) AS share FROM blocks b
+  JOIN template_words k ON k.w = b.w JOIN sizes s ON s.t = k.t GROUP BY b.doc_id, b.n, k.t, k.label),
+met AS (SELECT doc_id, label, max(share) AS share FROM shares WHERE share >= {license_scan.THRESHOLD} - 1e-9 GROUP BY doc_id, label),
+every AS (SELECT doc_id, label, share FROM met UNION ALL SELECT DISTINCT doc_id, label, 1.0 FROM places),
+labelled AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM every GROUP BY doc_id)
+SELECT c.doc_id, c.n_words, coalesce(b.n_base, 0) AS n_base, b.first_word, b.last_word, coalesce(b.base_labels, '') AS base_labels,
+  coalesce(l.labels, '') AS labels, coalesce(l.score, 0.0) AS score
+FROM counted c LEFT JOIN base b ON b.doc_id = c.doc_id LEFT JOIN labelled l ON l.doc_id = c.doc_id"""
+
+
+@query(LICENSES)
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
-@query
+@query()
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
 
 
-@query
+@query()
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents"))
 
 
-@query
+@query()
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.predict(docs, language_id.fit(docs))
 
 
-@query
+REPEATS = r"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+words AS (SELECT doc_id, unnest(ws) AS w, unnest(range(0, len(ws))) AS i FROM d),
+windows AS (SELECT doc_id, i, w, string_agg(w, ' ') OVER f AS s, count(*) OVER f AS n FROM words
+  WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+twice AS (SELECT s FROM windows WHERE n = 35 GROUP BY s HAVING count(*) > 1),
+marked AS (SELECT x.doc_id, x.i, x.w, CASE WHEN x.n = 35 AND t.s IS NOT NULL THEN 1 ELSE 0 END AS r
+  FROM windows x LEFT JOIN twice t ON t.s = x.s),
+covered AS (SELECT doc_id, i, w, max(r) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS c FROM marked),
+kept AS (SELECT doc_id, sum(c) AS n_removed, string_agg(CASE WHEN c = 0 THEN w END, ' ' ORDER BY i) AS k FROM covered GROUP BY doc_id)
+SELECT d.doc_id, len(d.ws) AS n_words, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.k, '')) AS kept_sha256
+FROM d LEFT JOIN kept k ON k.doc_id = d.doc_id"""
+
+
+@query(REPEATS)
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
 
 
-@query
+VECTORS = """WITH RECURSIVE good AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+roots AS (SELECT a, min(b) AS root FROM reach GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, r.root AS component_id, e.vec_id = r.root AS kept
+FROM embeddings e JOIN roots r ON r.a = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id"""
+
+
+@query(VECTORS)
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_copies(table(spark, sf_dir, "embeddings"))
 
 
-@query
+@query()
 def op8_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query
+@query()
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
