@@ -102,10 +102,18 @@ def randomised_svd(rows: DataFrame, n_words: int, rank: int = RANK):
             number = np.concatenate([used, n_words + np.arange(thin)])
             yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), pa.array(both.tolist(), pa.list_(pa.float64()))], names=["row", "sums"])
 
+        def add(parts):
+            sums: dict[int, object] = {}
+            for part in parts:
+                for row, x in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    sums[row] = sums[row] + np.array(x) if row in sums else np.array(x)
+            lists = pa.array([x.tolist() for x in sums.values()], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array([*sums], pa.int64()), lists], names=["row", "sums"])
+
         out = np.zeros((n_words + thin, thin))
-        found = rows.select("words", "weights").mapInArrow(run, "row long, sums array<double>")
-        each = found.select("row", F.posexplode("sums").alias("at", "x")).groupBy("row", "at").agg(F.sum("x").alias("x")).toPandas()
-        out[each["row"].to_numpy(int), each["at"].to_numpy(int)] = each["x"]
+        found = rows.select("words", "weights").mapInArrow(run, "row long, sums array<double>").repartition("row")
+        found = found.mapInArrow(add, "row long, sums array<double>").toArrow()
+        out[found.column("row").to_numpy()] = found.column("sums").combine_chunks().flatten().to_numpy().reshape(-1, thin)
         return out[:n_words], out[n_words:]
 
     for _ in range(ROUNDS):

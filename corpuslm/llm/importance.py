@@ -63,7 +63,7 @@ def log_ratios(docs: DataFrame, good: DataFrame, id: str = "doc_id", text: str =
         if len(at):
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(sums[0][at]), pa.array(sums[1][at])], names=["bucket", "n", "good"])
 
-    rows = marked.mapInArrow(run, "bucket int, n long, good long").groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).toPandas()
+    rows = marked.mapInArrow(run, "bucket int, n long, good long").groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).toArrow().to_pandas()
     counts = np.zeros((2, BUCKETS))
     counts[:, rows["bucket"].to_numpy(int)] = [rows["n"], rows["good"]]
     if not counts[1].any():  # nothing to learn from: all alike

@@ -140,7 +140,7 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
     part = min(1.0, SAMPLE_DOCS / total) if total else 1.0
     sample = learned.where(F.pmod(F.xxhash64(F.col(id), F.lit("lang")), F.lit(1 << 20)) < F.lit(int(part * (1 << 20))))
     sample = sample.where(F.length(text) <= SAMPLE_CHARS)
-    rows = _counted(sample, lang, text).where(F.col("n") >= LEAST).toPandas()
+    rows = _counted(sample, lang, text).where(F.col("n") >= LEAST).toArrow().to_pandas()
     languages = sorted(rows["lang"].unique())
     tables = []
     for is_gram in (False, True):
