@@ -8,15 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuslm.functions import text as tx
-from corpuslm.plans.skew import hot
+from corpuslm.plans.skew import SPREAD
 
 # The shortest text that counts as extracted, and what marks a url for the last extractor.
 MIN_CHARS = 150
 PDF_MARK = "pdf"
 
-# Rows of a hot url are dealt to this many copies of its page.
-PAGE_COPIES = 64
-HOT_PAGES = 100
+# Posts per copy of a page: a page is copied when more posts than that point to it, and when these are more than
+# 1 / SPREAD of all posts, so that there are at most 2 * SPREAD copies of hot pages.
+POSTS_PER_COPY = 1_000
 
 
 def bucket_by_flag(posts: DataFrame, flag: Column, name: str = "bucket") -> DataFrame:
@@ -81,6 +81,14 @@ def route_text(
     )
 
 
+def hot_pages(posts: DataFrame, url: str = "url", posts_per_copy: int = POSTS_PER_COPY) -> DataFrame:
+    """(_h, _copies): hash of each page that needs copies, at most SPREAD rows of two numbers."""
+    _, rest = tx.scheme_and_rest(F.col(url))
+    counts = posts.where(F.col(url).isNotNull()).groupBy(F.xxhash64(rest).alias("_h")).agg(F.count("*").alias("_n"))
+    share = F.greatest(F.lit(posts_per_copy), F.ceil(counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar() / F.lit(SPREAD)))
+    return counts.where(F.col("_n") > share).select("_h", F.ceil(F.col("_n") / share).cast("int").alias("_copies"))
+
+
 def url_scheme_fallback(
     posts: DataFrame,
     fetched: DataFrame,
@@ -88,13 +96,13 @@ def url_scheme_fallback(
     url: str = "url",
     body: str = "body",
     name: str = "text",
-    hot_pages: int = HOT_PAGES,
+    posts_per_copy: int = POSTS_PER_COPY,
 ) -> DataFrame:
     """The fetched body of each post's url or, if that failed, of the same url under the other scheme.
 
     A failure is a missing row or a null body; an empty body is a success; '' if both fail. `fetched`
     has one row per url. Both schemes of a page meet in one row, so a post looks it up once. Pages
-    that many posts point to (a bounded number) are copied, and their posts dealt to the copies.
+    that many posts point to are copied by their measured number of posts, which are dealt to the copies.
     """
     scheme, rest = tx.scheme_and_rest(F.col(url))
     pages = fetched.select(rest.alias("_rest"), scheme.alias("_s"), F.col(body).alias("_b"))
@@ -102,19 +110,14 @@ def url_scheme_fallback(
         *[F.max(F.when(F.col("_s") == s, F.col("_b"))).alias(f"_b_{s or 'none'}") for s in ("http", "https", "")]
     )
     wanted = posts.withColumns({"_want": rest, "_s": scheme})
-    counts = posts.select(rest.alias("_hot")).groupBy("_hot").agg(F.count("*").alias("_n"))
-    hot_rest = F.broadcast(counts.where(hot(counts, "_n", hot_pages) & F.col("_hot").isNotNull()).select("_hot"))
-
-    last = F.when(F.col("_hot").isNotNull(), PAGE_COPIES - 1).otherwise(0)
-    pages = pages.join(hot_rest, F.col("_rest") == F.col("_hot"), "left")
-    pages = pages.withColumn("_copy", F.explode(F.sequence(F.lit(0), last))).drop("_hot")
-    dealt = wanted.join(hot_rest, F.col("_want") == F.col("_hot"), "left").withColumn(
-        "_deal",
-        # a post without a url has no page: spread such posts over copies that do not exist
-        F.when(F.col("_want").isNull() | F.col("_hot").isNotNull(), F.pmod(F.xxhash64(id), F.lit(PAGE_COPIES)))
-        .otherwise(0)
-        .cast("int"),
-    )
+    hot = hot_pages(posts, url, posts_per_copy)
+    copies = F.coalesce("_copies", F.lit(1))
+    pages = pages.withColumn("_h", F.xxhash64("_rest")).join(F.broadcast(hot), "_h", "left")
+    pages = pages.withColumn("_copy", F.explode(F.sequence(F.lit(0), copies - 1))).drop("_h", "_copies")
+    # a post without a url has no page: spread such posts over copies that do not exist
+    ways = F.when(F.col("_want").isNull(), F.lit(SPREAD)).otherwise(copies)
+    dealt = wanted.withColumn("_h", F.xxhash64("_want")).join(F.broadcast(hot), "_h", "left")
+    dealt = dealt.withColumn("_deal", F.pmod(F.xxhash64(id), ways).cast("int")).drop("_h", "_copies")
     found = dealt.join(pages, (F.col("_want") == F.col("_rest")) & (F.col("_deal") == F.col("_copy")), "left")
     http, https, none = F.col("_b_http"), F.col("_b_https"), F.col("_b_none")
     best = F.when(F.col("_s") == "http", F.coalesce(http, https)).when(

@@ -6,13 +6,16 @@ from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuslm.plans.numbering import number_rows
 
 # Fixed value: how many posts are taken when the caller does not say.
 DEFAULT_LIMIT = 25
-# Up to here the last key is found by a top-k; above it the keys are numbered without meeting in one task.
+# Up to here the last key is found by a top-k; above it keys are numbered without meeting in one task.
 TOP_K = 1_000
+# Share of the keys by which the bracket around the last one reaches to either side.
+BRACKET = 0.005
 
 
 def select_sources(posts: DataFrame, sources: Collection[str] | None, column: str = "source") -> DataFrame:
@@ -33,6 +36,32 @@ def _up_to(last: Row, order: list[tuple[str, bool]]) -> Column:
     return within
 
 
+def _numbered(keys: DataFrame, order: list[tuple[str, bool]], wanted: int) -> Row | None:
+    """The key at place `wanted`, counted from 1, or None where there are fewer.
+
+    Approximate quantiles of the first column bracket it, an exact count says how many keys come before the
+    bracket, and only what lies inside is numbered. A column without quantiles, or a bracket that
+    misses, is numbered whole.
+    """
+    sort = [F.asc(c) if ascending else F.desc(c) for c, ascending in order]
+    first, ascending = order[0]
+    if isinstance(keys.schema[first].dataType, T.NumericType | T.DateType | T.TimestampType):
+        total, known = keys.agg(F.count("*"), F.count(first)).first()
+        # nulls come first ascending and last descending
+        place = wanted - (total - known) if ascending else wanted
+        if wanted <= total and 0 < place <= known:
+            share = place / known if ascending else 1 - place / known
+            ends = [max(0.0, share - BRACKET), min(1.0, share + BRACKET)]
+            low, high = keys.agg(F.percentile_approx(first, ends, 10_000)).first()[0]
+            before = F.col(first).isNull() | (F.col(first) < low) if ascending else F.col(first) > high
+            skipped = keys.where(before).count()
+            inside = keys.where(F.col(first).between(low, high))
+            found = number_rows(inside, sort, "_n").where(F.col("_n") == wanted - 1 - skipped).first()
+            if found is not None:
+                return found
+    return number_rows(keys, sort, "_n").where(F.col("_n") == wanted - 1).first()
+
+
 def take_posts(
     posts: DataFrame, order: list[tuple[str, bool]], limit: int = DEFAULT_LIMIT, page: int = 1, top_k: int = TOP_K
 ) -> DataFrame:
@@ -47,5 +76,5 @@ def take_posts(
     if wanted <= top_k:
         last = keys.orderBy(*sort).offset(wanted - 1).limit(1).first()
     else:
-        last = number_rows(keys, sort, "_n").where(F.col("_n") == wanted - 1).first()
+        last = _numbered(keys, order, wanted)
     return posts if last is None else posts.where(_up_to(last, order))

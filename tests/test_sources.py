@@ -82,3 +82,15 @@ def test_bad_lines_stay_visible(spark, tmp_path):
     rows = read_posts(spark, str(tmp_path), bad_lines="bad").collect()
     assert sorted((r["author"] or "", r["bad"]) for r in rows) == [("", "no json"), ("x", None), ("y", None)]
     assert read_posts(spark, str(tmp_path)).columns == ["author", "created", "flair", "text"]
+
+
+@pytest.mark.parametrize("up", [True, False])
+@pytest.mark.parametrize("wanted", [1, 7, 300, 1000, 2600, 2990, 3000])
+def test_the_last_key_is_bracketed(spark, up, wanted):
+    """Ties, nulls and a value that holds a third of the rows."""
+    value = F.when(F.col("id") % 11 == 0, None).when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") % 997)
+    df = spark.range(3000).select("id", value.alias("v"))
+    order = [("v", up), ("id", True)]
+    sort = [F.asc(c) if a else F.desc(c) for c, a in order]
+    want = {r["id"] for r in df.orderBy(*sort).limit(wanted).collect()}
+    assert {r["id"] for r in take_posts(df, order, limit=wanted, top_k=0).collect()} == want
