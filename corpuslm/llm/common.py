@@ -33,6 +33,19 @@ def slices(batch: pa.RecordBatch, column: int, most: int = BATCH_BYTES) -> Itera
         yield batch.slice(start)
 
 
+def bounded(texts: list[str], most: int = BATCH_BYTES) -> Iterator[list[str]]:
+    """The texts in lists of at most `most` characters, or one text."""
+    part, held = [], 0
+    for t in texts:
+        if part and held + len(t) > most:
+            yield part
+            part, held = [], 0
+        part.append(t)
+        held += len(t)
+    if part:
+        yield part
+
+
 def map_texts(
     df: DataFrame, keep: list[Column], text: Column, make: Callable, fields: str, *, kept: str
 ) -> DataFrame:
@@ -72,4 +85,4 @@ def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:8]}"
 
 
-__all__ = ["BATCH_BYTES", "crc_bucket", "map_texts", "materialize", "row_key", "slices", "unique_name"]
+__all__ = ["BATCH_BYTES", "bounded", "crc_bucket", "map_texts", "materialize", "row_key", "slices", "unique_name"]

@@ -15,13 +15,15 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import chain
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslm.llm.common import map_texts, materialize
+from corpuslm.llm.common import map_texts, materialize, row_key
 from corpuslm.llm.license_scan import words_of
 
 # Passages that are searched at a time, and words of a passage at most: a longer item is several passages.
@@ -259,20 +261,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
     document is contaminated. A benchmark of several blocks is searched block by block, and rows of equal
     id are then told apart by their text.
     """
-    blocks = [search(docs, fitted, id, text) for fitted in fit(docs, benchmark, text)]
+    blocks = fit(docs, benchmark, text)
+    first, second = next(blocks, None), next(blocks, None)
     leak = "array<struct<item:long,cosine:double,share:double>>"
-    if not blocks:
+    if first is None:
         found = docs.select(F.col(id).cast("long").alias(id), F.array().cast(leak).alias("leaks"))
-    elif len(blocks) == 1:
-        found = blocks[0]
+    elif second is None:
+        found = search(docs, first, id, text)
     else:
-        keyed = docs.select(F.xxhash64(F.col(id), F.col(text)).alias("_row"), F.col(id), F.col(text))
-        each = [search(keyed, fitted, "_row", text) for fitted in fit(docs, benchmark, text)]
-        hits = each[0]
-        for e in each[1:]:
-            hits = hits.union(e)
-        hits = materialize(hits.where(F.size("leaks") > 0).select("_row", F.inline("leaks")).distinct(), "leaks")
-        hits = hits.groupBy("_row").agg(F.collect_list(F.struct("item", "cosine", "share")).alias("leaks"))
+        keyed = docs.select(row_key(id, text).alias("_row"), F.col(id), F.col(text))
+        parts = []
+        for fitted in chain((first, second), blocks):
+            hits = search(keyed, fitted, "_row", text).where(F.size("leaks") > 0)
+            parts.append(materialize(hits.select("_row", F.inline("leaks")).distinct(), "leaks"))
+        hits = reduce(DataFrame.union, parts).groupBy("_row").agg(F.collect_list(F.struct("item", "cosine", "share")).alias("leaks"))
         rows = keyed.select("_row", F.col(id).cast("long").alias(id))
         found = rows.join(hits, "_row", "left").select(id, F.coalesce("leaks", F.array().cast(leak)).alias("leaks"))
     greatest = lambda field: F.coalesce(F.array_max(F.transform("leaks", lambda x: x[field])), F.lit(0.0))

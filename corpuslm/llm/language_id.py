@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslm.llm.common import crc_bucket, map_texts, slices
+from corpuslm.llm.common import bounded, crc_bucket, map_texts, slices
 
 FOLDS = 5
 LONGEST = 4
@@ -184,6 +184,8 @@ def accepted(docs: DataFrame, model: LanguageModel, text: str = "text", least: f
     def known(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         score = model.scorer()
         for texts in parts:
-            yield pd.Series([lang != UNDETERMINED and share >= least for lang, share in score([t if isinstance(t, str) else "" for t in texts])], dtype=bool)
+            given = [t if isinstance(t, str) else "" for t in texts]
+            found = [x for part in bounded(given) for x in score(part)]
+            yield pd.Series([lang != UNDETERMINED and share >= least for lang, share in found], dtype=bool)
 
     return docs.where(known(F.col(text)))
