@@ -32,6 +32,8 @@ PASSAGE_WORDS = 96
 RANK, OVERSAMPLED, ROUNDS = 128, 8, 2
 # Words of a window; the next begins half a window later.
 WINDOWS = (12, 24, 48, 96)
+# Words of a text whose windows are looked at together; bounds memory and changes no result.
+STRETCH = 4_608
 # Cosine of candidates, and share of a window's weight that lies in words of the benchmark.
 CANDIDATE = 0.35
 SURE, PARAPHRASE, ANSWER = 0.8, 0.6, 0.5
@@ -167,30 +169,42 @@ def lcs(passage: list[int], around: list[int]) -> int:
 
 
 def candidates(ids, fitted: Passages):
-    """(passage, start, size, cosine) of the windows of one text, given as word numbers (-1: not in a passage)."""
+    """(passage, start, size, cosine) of the windows of one text, given as word numbers (-1: not in a passage).
+
+    The text is taken in stretches, each with the windows that begin in it. A window's place in the latent space is
+    the difference of two prefix sums, over the words that passages have.
+    """
     import numpy as np
 
-    known = ids >= 0
-    square = np.full(len(ids), fitted.unknown**2)
-    square[known] = fitted.idf[ids[known]] ** 2
-    all_ = np.concatenate([[0], np.cumsum(square)])
-    own = np.concatenate([[0], np.cumsum(np.where(known, square, 0.0))])
     out = []
-    for size in WINDOWS:
-        if size > WINDOWS[0] and len(ids) <= size // 2:
-            break
-        start = np.arange(0, max(1, len(ids) - size // 2), size // 2)
-        end = np.minimum(start + size, len(ids))
-        weight, inside = all_[end] - all_[start], own[end] - own[start]
-        # no cosine can be greater than the share of the window that lies in the passages' words
-        for s, e in zip(*(x[inside >= CANDIDATE**2 * weight] for x in (start, end)), strict=True):
-            at, n = np.unique(ids[s:e][known[s:e]], return_counts=True)
-            if not len(at):
-                continue
-            x = n * fitted.idf[at]
-            outside = ((~known[s:e]) * fitted.unknown**2).sum()
-            cosine = fitted.latent @ (x @ fitted.basis[at]) / math.sqrt(x @ x + outside)
-            out += [(int(p), int(s), int(e - s), float(cosine[p])) for p in np.flatnonzero(cosine >= CANDIDATE)]
+    for at in range(0, len(ids), STRETCH):
+        part = ids[at : at + STRETCH + WINDOWS[-1]]
+        known = np.flatnonzero(part >= 0)
+        if not len(known):
+            continue
+        weight = fitted.idf[part[known]]
+        square = np.full(len(part), fitted.unknown**2)
+        square[known] = weight**2
+        all_ = np.concatenate([[0], np.cumsum(square)])
+        own = np.concatenate([[0], np.cumsum(weight**2)])
+        before = np.searchsorted(known, np.arange(len(part) + 1))  # known words in front of each place
+        sums = np.zeros((len(known) + 1, fitted.basis.shape[1]), dtype=np.float32)
+        np.cumsum(fitted.basis[part[known]] * weight[:, None].astype(np.float32), axis=0, out=sums[1:])
+        for size in WINDOWS:
+            if size > WINDOWS[0] and len(ids) <= size // 2:
+                break
+            # windows begin at multiples of half their size, counted from the start of the text
+            half = size // 2
+            first = -(-at // half) * half
+            start = np.arange(first, min(at + STRETCH, max(1, len(ids) - half)), half) - at
+            end = np.minimum(start + size, len(part))
+            total, inside = all_[end] - all_[start], own[before[end]] - own[before[start]]
+            # no cosine can be greater than the share of the window that lies in the passages' words
+            held = inside >= CANDIDATE**2 * total
+            start, end, total = start[held], end[held], total[held]
+            place = (sums[before[end]] - sums[before[start]]) / np.sqrt(total)[:, None].astype(np.float32)
+            cosine = place @ fitted.latent.T
+            out += [(int(p), int(at + start[w]), int(end[w] - start[w]), float(cosine[w, p])) for w, p in zip(*np.nonzero(cosine >= CANDIDATE), strict=True)]
     return out
 
 
