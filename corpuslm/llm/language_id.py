@@ -28,7 +28,9 @@ SAMPLE_CHARS = 50_000
 LEAST = 4
 SMOOTHING = 0.5
 # Unseen words whose scores a task remembers; bounds memory and changes no result.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
+# Distinct words that a task gathers before it hands their counts, and those of their n-grams, on.
+GATHERED = 50_000
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -117,7 +119,7 @@ def _counted(docs: DataFrame, lang: str, text: str) -> DataFrame:
             for part in slices(whole, 1):
                 for name, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     words.setdefault(name, Counter()).update(WORD.findall((t or "").lower()))
-                if sum(map(len, words.values())) > REMEMBERED:
+                if sum(map(len, words.values())) > GATHERED:
                     yield from handed()
         yield from handed()
 
