@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from corpuslm.functions.frequency import run_lengths
 from corpuslm.functions.text import ws_tokens
 from corpuslm.operators.models import UnigramModel
-from corpuslm.operators.scoring import ROW_BYTES, match
+from corpuslm.operators.scoring import ROW_BYTES, expand_classes, match
+from corpuslm.plans.shared import materialize
 from corpuslm.plans.sizes import BROADCAST_BYTES
 
 
@@ -26,12 +27,12 @@ def crossed(
     One row per post and class. The model maps hold the words of the post only, as no other word
     can add to its score; so a row is bounded by its post, not by the vocabulary.
     """
-    if model.classes is None:
-        raise ValueError("too many classes for maps: use scores, which has no limit")
     keys = [id, *keep]
     tokens = ws_tokens(F.col(text)) if tokens is None else tokens
     terms = posts.select(*keys, F.inline_outer(run_lengths(tokens)))
     terms = terms.select(*keys, F.col("term").alias("word"), F.col("n").cast("double").alias("freq"))
+    if model.classes is None:
+        return _many_classes(posts, terms, model, keys, broadcast_bytes)
     k = len(model.classes)
     counts = [f"n_{i}" for i in range(k)]
     table = model.table.select("word", "n", *counts)
@@ -60,3 +61,25 @@ def crossed(
         as_map(F.col("_found"), share("n", model.total)).alias("background_statistical_lm"),
         F.inline_outer(F.array(*[of_class(i) for i in range(k)])),
     )
+
+
+def _many_classes(posts: DataFrame, terms: DataFrame, model: UnigramModel, keys: list[str], broadcast_bytes: int) -> DataFrame:
+    """The same rows from a model of many classes: the maps of a class are gathered by (post, class)."""
+    id = keys[0]
+    joined = materialize(match(terms, model.table, model, 16, id, broadcast_bytes), "crossed-terms")
+    used = F.when(F.col("word").isNotNull(), F.struct("word", "freq"))
+    found = F.when(F.col("n").isNotNull(), F.struct("word", F.col("n") / F.lit(float(max(model.total, 1)))))
+    maps = joined.groupBy(id).agg(
+        F.map_from_entries(F.collect_set(used)).alias("words_freq"),
+        F.map_from_entries(F.collect_list(found)).alias("background_statistical_lm"),
+    )
+    own = joined.where("counts IS NOT NULL").select(id, "word", F.inline("counts"))
+    own = own.groupBy(id, F.col("label").alias("class")).agg(
+        F.map_from_entries(F.collect_list(F.struct("word", F.col("n") / F.col("label_total")))).alias("statistical_lm")
+    )
+    pairs = expand_classes(posts.select(*keys), model.class_table.drop("n"), model.label, id)
+    full = pairs.join(maps, id).join(own, [id, "class"], "left")
+    empty = F.create_map().cast("map<string,double>")
+    return full.select(
+        *keys, "words_freq", "background_statistical_lm", "class", "prior", F.coalesce("statistical_lm", empty).alias("statistical_lm")
+    )

@@ -209,5 +209,13 @@ def test_crossed_maps(micro):
         assert food["statistical_lm"] == {"bread": 2 / 3, "fresh": 1 / 3} and food["prior"] == 0.25
         assert food["background_statistical_lm"] == {"bread": 3 / 12, "fresh": 1 / 12}
         assert by_class["tech"]["statistical_lm"] == {"bread": 1 / 9}
-    with pytest.raises(ValueError):
-        crossed(micro, models.fit(micro, wide=1), "id")
+
+
+def test_crossed_maps_of_many_classes(spark, micro):
+    posts = micro.where("flair IS NOT NULL").select("id", "text").union(spark.createDataFrame([(8, ""), (9, None), (10, "zz")], "id bigint, text string"))
+    few, many = models.fit(micro), models.fit(micro, wide=1)
+    flat = lambda r: (r["id"], r["class"], r["prior"], *(sorted(r[m].items()) for m in ("words_freq", "statistical_lm", "background_statistical_lm")))
+    want = sorted(map(flat, crossed(posts, few, "id").collect()))
+    for size in (64 << 20, 1):
+        got = crossed(posts, many, "id", broadcast_bytes=size)
+        assert sorted(map(flat, got.collect())) == want
