@@ -17,6 +17,7 @@ from corpuslm.llm import (
     simhash,
     substring_dedup,
 )
+from corpuslm.llm.common import bounded_batches
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +36,7 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslm.plans.shared import materialize
@@ -19,6 +19,13 @@ cloudpickle.register_pickle_by_value(sys.modules["corpuslm.llm"])
 
 # Text that a Python worker holds at a time; one longer text is a batch of its own.
 BATCH_BYTES = 2 << 20
+# An Arrow batch on its way to a Python worker; the default of 64 MB is held several times over by each task.
+ARROW_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let no Arrow batch between the JVM and Python take more than ARROW_BYTES, however long the texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def slices(batch: pa.RecordBatch, column: int, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
@@ -85,4 +92,4 @@ def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:8]}"
 
 
-__all__ = ["BATCH_BYTES", "bounded", "crc_bucket", "map_texts", "materialize", "row_key", "slices", "unique_name"]
+__all__ = ["BATCH_BYTES", "bounded", "bounded_batches", "crc_bucket", "map_texts", "materialize", "row_key", "slices", "unique_name"]
