@@ -16,7 +16,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
-from itertools import chain
+from itertools import chain, repeat
 
 import pandas as pd
 import pyarrow as pa
@@ -32,6 +32,7 @@ PASSAGE_WORDS = 96
 RANK, OVERSAMPLED, ROUNDS = 128, 8, 2
 # Words of a window; the next begins half a window later.
 WINDOWS = (12, 24, 48, 96)
+STEP = WINDOWS[0] // 2
 # Words of a text whose windows are looked at together; bounds memory and changes no result.
 STRETCH = 4_608
 # Cosine of candidates, and share of a window's weight that lies in words of the benchmark.
@@ -49,7 +50,7 @@ class Passages:
     vocabulary: dict[bytes, int]
     idf: object  # array by word
     unknown: float  # idf of a word that no passage has
-    basis: object  # words x rank
+    weighted: object  # words x rank: the basis times the idf
     latent: object  # passages x rank, of length at most one
 
 
@@ -153,7 +154,7 @@ def fit_block(spark, passages: list[tuple[int, list[bytes], set[bytes]]], docs:
     numbered = [[vocabulary[w] for w in words] for _, words, _ in passages]
     answers = [{vocabulary[w] for w in answer} for _, _, answer in passages]
     ids = [i for i, _, _ in passages]
-    return Passages(ids, numbered, answers, vocabulary, idf, math.log(1 + n_docs) + 1, basis.astype(np.float32), latent.astype(np.float32))
+    return Passages(ids, numbered, answers, vocabulary, idf, math.log(1 + n_docs) + 1, (basis * idf[:, None]).astype(np.float32), latent.astype(np.float32))
 
 
 def lcs(passage: list[int], around: list[int]) -> int:
@@ -171,8 +172,8 @@ def lcs(passage: list[int], around: list[int]) -> int:
 def candidates(ids, fitted: Passages):
     """(passage, start, size, cosine) of the windows of one text, given as word numbers (-1: not in a passage).
 
-    The text is taken in stretches, each with the windows that begin in it. A window's place in the latent space is
-    the difference of two prefix sums, over the words that passages have.
+    Windows begin and end at multiples of STEP words. The text is taken in stretches, each with the windows that
+    begin in it: words are added up by steps, and a window is the difference of two prefix sums over steps.
     """
     import numpy as np
 
@@ -182,29 +183,37 @@ def candidates(ids, fitted: Passages):
         known = np.flatnonzero(part >= 0)
         if not len(known):
             continue
-        weight = fitted.idf[part[known]]
         square = np.full(len(part), fitted.unknown**2)
-        square[known] = weight**2
+        square[known] = fitted.idf[part[known]] ** 2
         all_ = np.concatenate([[0], np.cumsum(square)])
-        own = np.concatenate([[0], np.cumsum(weight**2)])
-        before = np.searchsorted(known, np.arange(len(part) + 1))  # known words in front of each place
-        sums = np.zeros((len(known) + 1, fitted.basis.shape[1]), dtype=np.float32)
-        np.cumsum(fitted.basis[part[known]] * weight[:, None].astype(np.float32), axis=0, out=sums[1:])
+        square[part < 0] = 0
+        own = np.concatenate([[0], np.cumsum(square)])
+        windows = []
         for size in WINDOWS:
             if size > WINDOWS[0] and len(ids) <= size // 2:
                 break
-            # windows begin at multiples of half their size, counted from the start of the text
             half = size // 2
-            first = -(-at // half) * half
-            start = np.arange(first, min(at + STRETCH, max(1, len(ids) - half)), half) - at
+            start = np.arange(-(-at // half) * half, min(at + STRETCH, max(1, len(ids) - half)), half) - at
             end = np.minimum(start + size, len(part))
-            total, inside = all_[end] - all_[start], own[before[end]] - own[before[start]]
+            total = all_[end] - all_[start]
             # no cosine can be greater than the share of the window that lies in the passages' words
-            held = inside >= CANDIDATE**2 * total
-            start, end, total = start[held], end[held], total[held]
-            place = (sums[before[end]] - sums[before[start]]) / np.sqrt(total)[:, None].astype(np.float32)
-            cosine = place @ fitted.latent.T
-            out += [(int(p), int(at + start[w]), int(end[w] - start[w]), float(cosine[w, p])) for w, p in zip(*np.nonzero(cosine >= CANDIDATE), strict=True)]
+            held = own[end] - own[start] >= CANDIDATE**2 * total
+            windows.append((start[held], end[held], total[held]))
+        start, end, total = (np.concatenate(x) for x in zip(*windows, strict=True))
+        if not len(start):
+            continue
+        # sums of the words of each step that has known ones
+        step = known // STEP
+        new = np.flatnonzero(np.concatenate([[True], step[1:] != step[:-1]]))
+        sums = np.zeros((len(new) + 1, fitted.weighted.shape[1]), dtype=np.float32)
+        np.cumsum(np.add.reduceat(fitted.weighted[part[known]], new, axis=0), axis=0, out=sums[1:])
+        before = np.searchsorted(step[new], np.arange(len(part) // STEP + 2))
+        place = sums[before[-(-end // STEP)]] - sums[before[start // STEP]]
+        # nor can it be greater than the length of the window's projection
+        held = np.einsum("ij,ij->i", place, place) >= CANDIDATE**2 * total
+        start, end, total, place = start[held], end[held], total[held], place[held]
+        cosine = place @ fitted.latent.T / np.sqrt(total)[:, None].astype(np.float32)
+        out += [(int(p), int(at + start[w]), int(end[w] - start[w]), float(cosine[w, p])) for w, p in zip(*np.nonzero(cosine >= CANDIDATE), strict=True)]
     return out
 
 
@@ -213,7 +222,7 @@ def _leaks(text: str, fitted: Passages) -> dict[int, tuple[float, float]]:
     import numpy as np
 
     of = fitted.vocabulary.get
-    ids = np.array([of(w, -1) for w in words_of(text)], dtype=np.int64)
+    ids = np.array([*map(of, words_of(text), repeat(-1))], dtype=np.int64)
     if not len(ids):
         return {}
     found: dict[int, tuple[float, float]] = {}
@@ -226,6 +235,9 @@ def _leaks(text: str, fitted: Passages) -> dict[int, tuple[float, float]]:
     for (p, _), (cosine, start, size) in best.items():
         words = fitted.words[p]
         around = ids[max(0, start - len(words)) : start + size + len(words)].tolist()
+        there = set(around)
+        if sum(w in there for w in words) < PARAPHRASE * len(words):  # then no order of them can reach it
+            continue
         share = lcs(words, around) / len(words)
         answer = fitted.answers[p]
         answered = not answer or len(answer.intersection(around)) >= ANSWER * len(answer)
