@@ -202,7 +202,13 @@ def candidates(ids, fitted: Passages):
         start, end, total = (np.concatenate(x) for x in zip(*windows, strict=True))
         if not len(start):
             continue
-        # sums of the words of each step that has known ones
+        # sums of the words of each step that has known ones, in the windows held
+        change = np.zeros(len(part) // STEP + 3, dtype=np.int64)
+        np.add.at(change, start // STEP, 1)
+        np.add.at(change, -(-end // STEP), -1)
+        known = known[np.cumsum(change)[known // STEP] > 0]
+        if not len(known):
+            continue
         step = known // STEP
         new = np.flatnonzero(np.concatenate([[True], step[1:] != step[:-1]]))
         sums = np.zeros((len(new) + 1, fitted.weighted.shape[1]), dtype=np.float32)
