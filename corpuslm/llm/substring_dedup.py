@@ -11,8 +11,9 @@ part of them can repeat, so the graph is built of those alone:
 4. Source coordinates come along in every step: they lead back to the documents, where the words that the
    repeated windows cover are marked and joined to maximal spans.
 
-A digest has 96 bits. Counts are summed in the tasks first, and joins are plain, so that Spark can split
-what a common passage makes large. The documents are shuffled once, compressed; the three joins with them share it.
+A digest has 96 bits. Counts are summed in the tasks first. What a common passage makes large, its minimizers, paths
+and edges, is looked up by broadcast, of a bounded number of digests, and its rows are spread. The documents travel
+compressed.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslm.llm.common import BATCH_BYTES, materialize, row_key, slices
+from corpuslm.plans.skew import lookup_join
 
 WINDOW = 35
 ANCHOR = 8
@@ -190,12 +192,13 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
     packed = given.mapInArrow(pack, "key long, doc_id long, packed binary")
 
     def joined(lists: DataFrame) -> DataFrame:
-        # the same shuffle of the documents each time: Spark makes it once
+        # the same shuffle of the documents within a query: Spark makes it once
         return packed.join(lists, "key", "left")
 
     anchors = materialize(given.select("key", "text").mapInArrow(anchor, "anchor long, key long, n int"), "anchors")
-    twice = anchors.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
-    by_doc = anchors.join(twice, "anchor").groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
+    twice = anchors.groupBy("anchor").agg(F.sum("n").alias("places")).where("places > 1")
+    found = lookup_join(anchors, materialize(twice, "repeated-anchors"), ["anchor"], "places", ["places"], spread_by="key")
+    by_doc = found.where("places > 1").groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
 
     def path(parts):
         import numpy as np
@@ -210,10 +213,13 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
                 yield _batch(["d", "e", "key", "start", "size"], first, second, keys, start.astype(np.int32), size.astype(np.int32))
 
     paths = joined(by_doc).mapInArrow(path, "d long, e int, key long, start int, size int")
-    counted = paths.groupBy("d", "e").agg(F.count("*").alias("n"), F.min_by("key", F.struct("key", "start")).alias("k"), F.min(F.struct("key", "start"))["start"].alias("s"))
+    first = F.min(F.struct("key", "start"))
+    counted = paths.groupBy("d", "e").agg(F.count("*").alias("n"), first["key"].alias("k"), first["start"].alias("s"))
+    counted = materialize(counted.where("n > 1"), "repeated-paths")
     # 1: occurs once; 2: settled; 3: settled, and this occurrence stands for it
-    kind = F.when(F.col("n") == 1, 1).when((F.col("k") == F.col("key")) & (F.col("s") == F.col("start")), 3).otherwise(2)
-    status = paths.join(counted, ["d", "e"]).select("key", F.struct("start", "size", kind.alias("kind")).alias("path"))
+    kind = F.when(F.col("k").isNull(), 1).when((F.col("k") == F.col("key")) & (F.col("s") == F.col("start")), 3).otherwise(2)
+    status = lookup_join(paths, counted, ["d", "e"], "n", ["k", "s"], spread_by="key")
+    status = status.select("key", F.struct("start", "size", kind.alias("kind")).alias("path"))
     status = status.groupBy("key").agg(F.collect_set("path").alias("paths"))
     status = materialize(status, "paths")
 
@@ -235,8 +241,9 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
                 yield _batch(["d", "e", "key", "start", "weight"], first, second, keys, start.astype(np.int32), weight)
 
     edges = joined(status).mapInArrow(edge, "d long, e int, key long, start int, weight int")
-    again = edges.groupBy("d", "e").agg(F.sum("weight").alias("n")).where("n > 1").select("d", "e")
-    branched = edges.where("weight = 1").join(again, ["d", "e"]).select("key", "start", F.lit(1).alias("size"))
+    again = edges.groupBy("d", "e").agg(F.sum("weight").alias("n")).where("n > 1")
+    branched = lookup_join(edges.where("weight = 1"), materialize(again, "repeated-edges"), ["d", "e"], "n", ["n"], spread_by="key")
+    branched = branched.where("n > 1").select("key", "start", F.lit(1).alias("size"))
     settled = status.select("key", F.inline("paths")).where("kind > 1").select("key", "start", "size")
     found = settled.union(branched).groupBy("key").agg(F.collect_set(F.struct("start", "size")).alias("windows"))
 
