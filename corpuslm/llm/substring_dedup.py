@@ -212,7 +212,7 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
                 start, keys = at - texts.first[of], part.column(0).to_numpy()[of]
                 yield _batch(["d", "e", "key", "start", "size"], first, second, keys, start.astype(np.int32), size.astype(np.int32))
 
-    paths = joined(by_doc).mapInArrow(path, "d long, e int, key long, start int, size int")
+    paths = materialize(joined(by_doc).mapInArrow(path, "d long, e int, key long, start int, size int"), "all-paths")
     first = F.min(F.struct("key", "start"))
     counted = paths.groupBy("d", "e").agg(F.count("*").alias("n"), first["key"].alias("k"), first["start"].alias("s"))
     counted = materialize(counted.where("n > 1"), "repeated-paths")
