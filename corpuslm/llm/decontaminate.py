@@ -6,6 +6,9 @@ is kept when most of the passage's words stand in the window's surroundings in t
 subsequence); where only a part does, as in a paraphrase, the words of the passage's answer, its last sentence, must
 stand there too.
 
+A passage of which the basis keeps less than KEPT of its length is not searched there: an inverted list of its
+rarest words finds every place where enough of its words for the share asked can stand (prefix filter).
+
 Benchmark passages are the query set: they are taken in blocks of BLOCK, each against all documents.
 """
 
@@ -35,11 +38,69 @@ WINDOWS = (12, 24, 48, 96)
 STEP = WINDOWS[0] // 2
 # Words of a text whose windows are looked at together; bounds memory and changes no result.
 STRETCH = 4_608
+# Length that a passage keeps in the latent space, at least, to be searched there.
+KEPT = 0.9
+# Share of a passage whose words are wanted from its rarest ones near a hit; any share loses none.
+HITS = 0.2
 # Cosine of candidates, and share of a window's weight that lies in words of the benchmark.
 CANDIDATE = 0.35
 SURE, PARAPHRASE, ANSWER = 0.8, 0.6, 0.5
 
 
+class Lists:
+    """The rarest words of passages, with the passages that have them.
+
+    A text that holds `need` words of a passage of n lacks n - need at most, so of any n - need + hits words
+    of the passage it has `hits`. The words are taken rarest first.
+    """
+
+    def __init__(self, words: list[list[int]], numbers: list[int], idf):
+        import numpy as np
+
+        posted = []
+        self.sizes, self.hits = (np.zeros(len(words), dtype=np.int64) for _ in range(2))
+        for p in numbers:
+            n = len(words[p])
+            need = max(1, math.ceil(PARAPHRASE * n - 1e-9))
+            self.sizes[p], self.hits[p] = n, min(need, max(1, math.ceil(HITS * n)))
+            at, times = np.unique(words[p], return_counts=True)
+            order = np.argsort(-idf[at], kind="stable")
+            enough = int(np.searchsorted(np.cumsum(times[order]), n - need + self.hits[p])) + 1
+            posted += [(w, p, k) for w, k in zip(at[order[:enough]].tolist(), times[order[:enough]].tolist(), strict=True)]
+        word, self.passage, self.times = np.array(sorted(posted), dtype=np.int64).reshape(-1, 3).T
+        self.first = np.searchsorted(word, np.arange(len(idf) + 1))
+
+    def places(self, ids):
+        """(passage, start, size) of the steps of a text near which a passage has its hits."""
+        import numpy as np
+
+        out: set[tuple[int, int, int]] = set()
+        if not len(self.passage):
+            return out
+        wide = PASSAGE_WORDS + WINDOWS[0]
+        for at in range(0, len(ids), STRETCH):
+            low = max(0, at - wide)
+            part = ids[low : at + STRETCH + wide]
+            known = np.flatnonzero(part >= 0)
+            n = self.first[part[known] + 1] - self.first[part[known]]
+            known, n = known[n > 0], n[n > 0]
+            if not len(known):
+                continue
+            row = np.repeat(self.first[part[known]] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            passage, place = self.passage[row], np.repeat(known, n)
+            key = passage * (len(part) + 2 * wide) + place
+            order = np.argsort(key)
+            key, passage, place = key[order], passage[order], place[order]
+            sums = np.concatenate([[0], np.cumsum(self.times[row[order]])])
+            reach = self.sizes[passage] + WINDOWS[0]
+            near = sums[np.searchsorted(key, key + reach, "right")] - sums[np.searchsorted(key, key - reach)]
+            place += low
+            held = (near >= self.hits[passage]) & (place >= at) & (place < at + STRETCH)
+            start = place[held] // WINDOWS[0] * WINDOWS[0]
+            out.update(zip(passage[held].tolist(), start.tolist(), repeat(WINDOWS[0])))
+        return out
+
+
 @dataclass
 class Passages:
     """One block of the benchmark, fitted."""
@@ -51,7 +112,9 @@ class Passages:
     idf: object  # array by word
     unknown: float  # idf of a word that no passage has
     weighted: object  # words x rank: the basis times the idf
-    latent: object  # passages x rank, of length at most one
+    latent: object  # passages x rank, scaled to length one
+    near: object  # the passages' numbers in latent
+    lists: Lists  # of the other passages
 
 
 def _idf(found: dict[bytes, int], n_docs: int):
@@ -154,7 +217,12 @@ def fit_block(spark, passages: list[tuple[int, list[bytes], set[bytes]]], docs:
     numbered = [[vocabulary[w] for w in words] for _, words, _ in passages]
     answers = [{vocabulary[w] for w in answer} for _, _, answer in passages]
     ids = [i for i, _, _ in passages]
-    return Passages(ids, numbered, answers, vocabulary, idf, math.log(1 + n_docs) + 1, (basis * idf[:, None]).astype(np.float32), latent.astype(np.float32))
+    kept = np.linalg.norm(latent, axis=1)
+    near = np.flatnonzero(kept >= KEPT)
+    latent = (latent[near] / kept[near, None]).astype(np.float32)
+    lists = Lists(numbered, np.flatnonzero(kept < KEPT).tolist(), idf)
+    unknown = math.log(1 + n_docs) + 1
+    return Passages(ids, numbered, answers, vocabulary, idf, unknown, (basis * idf[:, None]).astype(np.float32), latent, near, lists)
 
 
 def lcs(passage: list[int], around: list[int]) -> int:
@@ -178,7 +246,7 @@ def candidates(ids, fitted: Passages):
     import numpy as np
 
     out = []
-    for at in range(0, len(ids), STRETCH):
+    for at in range(0, len(ids) if len(fitted.near) else 0, STRETCH):
         part = ids[at : at + STRETCH + WINDOWS[-1]]
         known = np.flatnonzero(part >= 0)
         if not len(known):
@@ -219,10 +287,29 @@ def candidates(ids, fitted: Passages):
         held = np.einsum("ij,ij->i", place, place) >= CANDIDATE**2 * total
         start, end, total, place = start[held], end[held], total[held], place[held]
         cosine = place @ fitted.latent.T / np.sqrt(total)[:, None].astype(np.float32)
-        out += [(int(p), int(at + start[w]), int(end[w] - start[w]), float(cosine[w, p])) for w, p in zip(*np.nonzero(cosine >= CANDIDATE), strict=True)]
+        out += [(int(fitted.near[p]), int(at + start[w]), int(end[w] - start[w]), float(cosine[w, p])) for w, p in zip(*np.nonzero(cosine >= CANDIDATE), strict=True)]
     return out
 
 
+def _cosine(passage: list[int], around, fitted: Passages) -> float:
+    """TF-IDF cosine between a passage and the window of its size that is most like it."""
+    import numpy as np
+
+    at, n = np.unique(passage, return_counts=True)
+    weight = n * fitted.idf[at] / np.linalg.norm(n * fitted.idf[at])
+    place = np.minimum(np.searchsorted(at, around), len(at) - 1)
+    idf = np.where(around >= 0, fitted.idf[around], fitted.unknown)
+    sums = lambda x: np.concatenate([[0.0], np.cumsum(x)])
+    own, all_ = sums(np.where(at[place] == around, weight[place] * idf, 0.0)), sums(idf**2)
+    start = np.arange(max(1, len(around) - len(passage) + 1))
+    end = np.minimum(start + len(passage), len(around))
+    best = int(np.argmax((own[end] - own[start]) / np.sqrt(all_[end] - all_[start])))
+    part = around[start[best] : end[best]]
+    words, times = np.unique(part[part >= 0], return_counts=True)
+    length = math.sqrt(float(((times * fitted.idf[words]) ** 2).sum()) + (len(part) - int(times.sum())) * fitted.unknown**2)
+    return float(own[end[best]] - own[start[best]]) / length
+
+
 def _leaks(text: str, fitted: Passages) -> dict[int, tuple[float, float]]:
     """item: (cosine, share of the passage in order) of the passages that stand in the text."""
     import numpy as np
@@ -238,9 +325,11 @@ def _leaks(text: str, fitted: Passages) -> dict[int, tuple[float, float]]:
         key = (p, (start + size // 2) // (2 * PASSAGE_WORDS))
         if cosine > best.get(key, (0.0,))[0]:
             best[key] = (cosine, start, size)
-    for (p, _), (cosine, start, size) in best.items():
+    listed = [(p, -1.0, start, size) for p, start, size in fitted.lists.places(ids)]
+    for p, cosine, start, size in [*((p, *x) for (p, _), x in best.items()), *listed]:
         words = fitted.words[p]
-        around = ids[max(0, start - len(words)) : start + size + len(words)].tolist()
+        part = ids[max(0, start - len(words)) : start + size + len(words)]
+        around = part.tolist()
         there = set(around)
         if sum(w in there for w in words) < PARAPHRASE * len(words):  # then no order of them can reach it
             continue
@@ -249,7 +338,9 @@ def _leaks(text: str, fitted: Passages) -> dict[int, tuple[float, float]]:
         answered = not answer or len(answer.intersection(around)) >= ANSWER * len(answer)
         if share >= SURE or share >= PARAPHRASE and answered:
             item = fitted.item_ids[p]
-            found[item] = max(found.get(item, (0.0, 0.0)), (cosine, share), key=lambda x: x[1])
+            if cosine < 0:
+                cosine = _cosine(words, part, fitted)
+            found[item] = max(found.get(item, (0.0, 0.0)), (cosine, share), key=lambda x: (x[1], x[0]))
     return found
 
 

@@ -110,3 +110,18 @@ def test_randomised_svd_spans_the_leading_directions(spark):
     exact = np.linalg.svd(a)[2][:6]
     assert np.linalg.norm(basis.T @ basis - np.eye(6)) < 1e-6
     assert np.linalg.norm(exact - exact @ basis @ basis.T) == pytest.approx(0, abs=0.01)
+
+
+def test_more_passages_than_directions(spark):
+    pick, sentence, items = made(spark, 1_000)
+    rows = []
+    for i in range(0, 1_000, 5):
+        words = sentence(400).split()
+        for k, item in enumerate(items[i : i + 5]):
+            at = 80 * k + pick.randrange(60)
+            words[at:at] = [item]
+        rows.append((i, " ".join(words)))
+    _, _, found = run(spark, rows, enumerate(items))
+    got = {i for r in found for i in r["items"]}
+    assert len(got) == 1_000 and all(set(r["items"]) == set(range(r.doc_id, r.doc_id + 5)) for r in found)
+    assert all(0.35 <= r.cosine <= 1.01 and r.share == 1 for r in found)
