@@ -310,6 +310,18 @@ def _cosine(passage: list[int], around, fitted: Passages) -> float:
     return float(own[end[best]] - own[start[best]]) / length
 
 
+def _widest(ranges: dict[tuple[int, int], float]) -> list[tuple[int, int, float]]:
+    """Ranges that lie in no other, each with the greatest cosine of those in it; what fails there fails in them."""
+    out: list[tuple[int, int, float]] = []
+    for (low, high), cosine in sorted(ranges.items(), key=lambda x: (x[0][0], -x[0][1])):
+        # of the ranges before, the last kept reaches furthest
+        if out and high <= out[-1][1]:
+            out[-1] = (*out[-1][:2], max(out[-1][2], cosine))
+        else:
+            out.append((low, high, cosine))
+    return out
+
+
 def _leaks(text: str, fitted: Passages) -> dict[int, tuple[float, float]]:
     """item: (cosine, share of the passage in order) of the passages that stand in the text."""
     import numpy as np
@@ -319,16 +331,14 @@ def _leaks(text: str, fitted: Passages) -> dict[int, tuple[float, float]]:
     if not len(ids):
         return {}
     found: dict[int, tuple[float, float]] = {}
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    for p, start, size, cosine in candidates(ids, fitted):
-        # windows around one place are looked at once
-        key = (p, (start + size // 2) // (2 * PASSAGE_WORDS))
-        if cosine > best.get(key, (0.0,))[0]:
-            best[key] = (cosine, start, size)
-    listed = [(p, -1.0, start, size) for p, start, size in fitted.lists.places(ids)]
-    for p, cosine, start, size in [*((p, *x) for (p, _), x in best.items()), *listed]:
+    ranges: dict[int, dict[tuple[int, int], float]] = {}
+    for p, start, size, cosine in chain(candidates(ids, fitted), (x + (-1.0,) for x in fitted.lists.places(ids))):
+        own = ranges.setdefault(p, {})
+        key = (max(0, start - len(fitted.words[p])), min(len(ids), start + size + len(fitted.words[p])))
+        own[key] = max(own.get(key, -1.0), cosine)
+    for p, low, high, cosine in ((p, *x) for p, own in ranges.items() for x in _widest(own)):
         words = fitted.words[p]
-        part = ids[max(0, start - len(words)) : start + size + len(words)]
+        part = ids[low:high]
         around = part.tolist()
         there = set(around)
         if sum(w in there for w in words) < PARAPHRASE * len(words):  # then no order of them can reach it

@@ -125,3 +125,17 @@ def test_more_passages_than_directions(spark):
     got = {i for r in found for i in r["items"]}
     assert len(got) == 1_000 and all(set(r["items"]) == set(range(r.doc_id, r.doc_id + 5)) for r in found)
     assert all(0.35 <= r.cosine <= 1.01 and r.share == 1 for r in found)
+
+
+def test_a_likelier_window_hides_no_copy(spark):
+    pick, sentence, items = made(spark, 20)
+    rows = []
+    for i, item in enumerate(items):
+        own = item.split()
+        like = own * 2
+        pick.shuffle(like)
+        # the words in another order, then the copy further on, within the same 192 words
+        words = [*like[: len(own)], *sentence(80).split(), *own, *sentence(40).split()]
+        rows.append((i, " ".join(words)))
+    _, _, found = run(spark, rows, enumerate(items))
+    assert [r["items"] for r in found] == [[i] for i in range(20)] and all(r.share == 1 for r in found)
