@@ -7,7 +7,8 @@ list is cut into blocks and compared block by block, so no task holds a list who
 on sums and one edge per vector, never pairs.
 
 The index is fitted on a sample, the pivots; every vector is indexed. There are PIVOTS * sqrt(n) of them,
-so that describing n vectors and comparing in lists both take about n^1.5 steps.
+so that describing n vectors and comparing in lists both take about n^1.5 steps. Of pivots closer than twice
+the angle of a link one stays: else a large group would hold many, and its members have different ones.
 """
 
 from __future__ import annotations
@@ -36,8 +37,27 @@ def usable(vector, label):
     return label.isNotNull() & vector.isNotNull() & F.coalesce(good, F.lit(False)) & F.exists(vector, lambda x: x != 0)
 
 
-def describe(distinct: DataFrame, vector: str) -> DataFrame:
-    """Add `pivots`: numbers of the nearest pivots, nearest first. Pivots are vectors chosen by a hash."""
+def thinned(pivots, least: float):
+    """The pivots without those closer to one before them than twice the angle of a link."""
+    import numpy as np
+
+    closest = math.cos(min(math.pi, 2 * math.acos(max(-1.0, min(1.0, least)))))
+    kept, n = np.empty_like(pivots), 0
+    for at in range(0, len(pivots), BLOCK):
+        part = pivots[at : at + BLOCK]
+        part = part[~(part @ kept[:n].T >= closest).any(axis=1)]
+        near = part @ part.T >= closest
+        held = np.zeros(len(part), dtype=bool)
+        for row in range(len(part)):
+            held[row] = not (near[row, :row] & held[:row]).any()
+        part = part[held]
+        kept[n : n + len(part)] = part
+        n += len(part)
+    return kept[:n]
+
+
+def describe(distinct: DataFrame, vector: str, least: float = LEAST) -> DataFrame:
+    """Add `pivots`: numbers of the nearest pivots, nearest first. Pivots are vectors chosen by a hash, thinned."""
     import numpy as np
 
     n = distinct.count()
@@ -49,6 +69,7 @@ def describe(distinct: DataFrame, vector: str) -> DataFrame:
     for row, r in enumerate(chosen):
         x = np.array(r[0], dtype=np.float64)
         pivots[row, : len(x)] = x / np.abs(x).max() / np.linalg.norm(x / np.abs(x).max())
+    pivots = thinned(pivots, least)
     place = distinct.columns.index(vector)
 
     def run(parts):
@@ -79,27 +100,28 @@ def _unit(column, width: int):
 
 
 def _compare(pivot: int, first: int, second: int, blocks, x, own, sizes, ids, least: float):
-    """(links, star) of the vectors of one pair of blocks: linked vectors' sizes, and the least id reached."""
+    """(ids, links, star) of the vectors near others in one pair of blocks: linked vectors' sizes, and the least id reached."""
     import numpy as np
 
-    known, place = np.unique(own, return_inverse=True)
-    marks = np.zeros((len(own), len(known)), dtype=np.float32)
-    marks[np.repeat(np.arange(len(own)), own.shape[1]), place.ravel()] = 1
-    linked = (marks @ marks.T >= min(SHARED, own.shape[1])) & (x @ x.T >= least)
+    linked = x @ x.T >= least
     np.fill_diagonal(linked, False)
     if first != second:
         linked &= blocks[:, None] != blocks[None, :]
-    a, b = np.nonzero(linked)
-    for at in range(0, len(a), 1 << 16):  # the first shared pivot by number is this one
-        i, j = a[at : at + (1 << 16)], b[at : at + (1 << 16)]
-        common = (own[i][:, :, None] == own[j][:, None, :]).any(axis=2)
-        linked[i, j] = np.where(common, own[i], np.iinfo(np.int32).max).min(axis=1) == pivot
+    some = np.flatnonzero(linked.any(axis=1))
+    linked, own, sizes, ids = linked[np.ix_(some, some)], own[some], sizes[some], ids[some]
+    known, place = np.unique(own, return_inverse=True)
+    marks = np.zeros((len(own), len(known)), dtype=np.float32)
+    marks[np.repeat(np.arange(len(own)), own.shape[1]), place.ravel()] = 1
+    linked &= marks @ marks.T >= min(SHARED, own.shape[1])
+    # the first shared pivot by number is this one
+    before = marks[:, known < pivot]
+    linked &= before @ before.T == 0
     links = linked @ sizes
     star = ids.copy()
     while True:
         lower = np.minimum(star, np.where(linked, star[None, :], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max))
         if (lower == star).all():
-            return links, star
+            return ids, links, star
         star = lower
 
 
@@ -121,7 +143,7 @@ def compare(described: DataFrame, least: float = LEAST) -> DataFrame:
         ids, sizes, blocks = (group.column(c).to_numpy() for c in ("id", "size", "block"))
         own = np.array(group.column("pivots").to_pylist(), dtype=np.int32)
         x = _unit(group.column("vector"), key[1].as_py())
-        links, star = _compare(pivot, first, second, blocks, x, own, sizes, ids, least)
+        ids, links, star = _compare(pivot, first, second, blocks, x, own, sizes, ids, least)
         held = links > 0
         return pa.table({"id": ids[held], "links": links[held], "reaches": star[held]})
 
@@ -144,7 +166,7 @@ def near_copies(
     distinct = rows.where("ok").groupBy("label", "vector").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("size"))
     # a number for each distinct vector, fixed by writing it
     distinct = materialize(distinct.withColumn("id", F.monotonically_increasing_id()), "vectors")
-    described = materialize(describe(distinct, "vector"), "described")
+    described = materialize(describe(distinct, "vector", least), "described")
     compared = materialize(compare(described, least), "compared")
     links = compared.groupBy("id").agg(F.sum("links").alias("links"))
     root = components(compared.select("id", "reaches"), "id", "reaches").withColumnRenamed("node", "id")

@@ -72,3 +72,18 @@ def test_recall_on_the_embeddings(spark):
     want = dict(zip(data["vec_id"], links.sum(axis=1) - 1, strict=True))
     got = {r.vec_id: r.n_links for r in ed.near_copies(df).collect()}
     assert all(got[i] <= n for i, n in want.items()) and sum(got.values()) >= 0.9 * sum(want.values())
+
+
+def test_a_group_of_a_third_of_the_vectors(spark):
+    pick = np.random.default_rng(5)
+    n, middle = 3_000, pick.normal(size=64)
+    x = pick.normal(size=(n, 64))
+    x[: n // 3] = middle / np.linalg.norm(middle) + 0.012 * x[: n // 3]
+    rows = [(i, [float(v) for v in r], 0) for i, r in enumerate(x.astype(np.float32))]
+    x = x.astype(np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    want = (x @ x.T >= ed.LEAST).sum(axis=1) - 1
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in ed.near_copies(df).collect()}
+    assert all(got[i][0] <= w for i, w in enumerate(want)) and sum(n for n, _ in got.values()) >= 0.98 * want.sum() > 0
+    assert {got[i][1] for i in range(n // 3) if want[i]} == {0}
