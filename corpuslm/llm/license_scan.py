@@ -5,6 +5,9 @@ stand in it. The exact set-similarity join finds every such pair: words are orde
 all documents, rarest first; a block that meets a template has one of the template's first words in
 that order (prefix filter), has enough words (length filter), and what is left on both sides behind a
 common word can still fill the gap (position filter). The words left over are then counted.
+
+With `wrapped`, notices that are broken over lines are met too: blocks are then also the windows of a paragraph's
+words that are as long as the template, and a short template wants the words that set it apart.
 """
 
 from __future__ import annotations
@@ -40,6 +43,8 @@ TEMPLATES = [
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
 ]
 THRESHOLD = 0.8
+# Distinct words of a short template, at most.
+SHORT = 8
 
 # Words are digits, letters a-z, and all characters beyond ASCII; every other byte separates.
 _SEPARATED = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -87,14 +92,19 @@ class Templates:
         for number, (t, need) in enumerate(zip(self.words, self.needed, strict=True)):
             for at, w in enumerate(t[: len(t) - need + 1]):
                 self.lists.setdefault(w, []).append((number, at))
+        self.lengths = [len(words_of(t)) for _, t in templates]
+        self.apart = [
+            set(t).difference(*(o for o, other in zip(self.words, self.labels, strict=True) if other != label)) if len(t) <= SHORT else set()
+            for t, label in zip(self.words, self.labels, strict=True)
+        ]
         place = {i: w for w, i in self.order.items()}
         self.probes = {place[w] for w in self.lists}
 
-    def matches(self, line_words: list[bytes]) -> dict[str, float]:
-        """Labels of the templates that the block meets, with the greatest containment."""
-        distinct = set(line_words)
+    def met(self, words: list[bytes]) -> list[tuple[int, int]]:
+        """(number, common words) of the templates that the block meets."""
+        distinct = set(words)
         block = sorted(self.order[w] for w in distinct if w in self.order)
-        seen, found = set(), {}
+        seen, found = set(), []
         for at, w in enumerate(block):
             for number, position in self.lists.get(w, ()):
                 t, need = self.words[number], self.needed[number]
@@ -106,10 +116,58 @@ class Templates:
                     continue
                 common = len(set(block) & set(t))
                 if common >= need:
+                    found.append((number, common))
+        return found
+
+    def matches(self, line_words: list[bytes]) -> dict[str, float]:
+        """Labels of the templates that the block meets, with the greatest containment."""
+        found: dict[str, float] = {}
+        for number, common in self.met(line_words):
+            label = self.labels[number]
+            found[label] = max(found.get(label, 0.0), common / len(self.words[number]))
+        return found
+
+    def wrapped(self, lines: list[list[bytes]]) -> dict[str, float]:
+        """The same for the lines of a text: a block is a line, or a window over a paragraph of lines.
+
+        A paragraph ends at a line without words. A window has as many words as the template.
+        """
+        found: dict[str, float] = {}
+        blocks = [(line, None) for line in lines]
+        paragraph: list[list[bytes]] = []
+        for line in [*lines, []]:
+            if line:
+                paragraph.append(line)
+                continue
+            if len(paragraph) > 1:
+                blocks.append(([w for part in paragraph for w in part], True))
+            paragraph = []
+        for words, sliding in blocks:
+            for number, _ in self.met(words):
+                common = self._most(words, number, self.lengths[number] if sliding else len(words))
+                if common >= self.needed[number]:
                     label = self.labels[number]
-                    found[label] = max(found.get(label, 0.0), common / len(t))
+                    found[label] = max(found.get(label, 0.0), common / len(self.words[number]))
         return found
 
+    def _most(self, words: list[bytes], number: int, wide: int) -> int:
+        """The most words of the template in a window of the given width that has those that set it apart."""
+        t, apart = set(self.words[number]), self.apart[number]
+        places = [(at, self.order[w]) for at, w in enumerate(words) if self.order.get(w) in t]
+        held: dict[int, int] = {}
+        most = first = 0
+        for at, w in places:
+            held[w] = held.get(w, 0) + 1
+            while places[first][0] <= at - wide:
+                gone = places[first][1]
+                held[gone] -= 1
+                if not held[gone]:
+                    del held[gone]
+                first += 1
+            if len(held) > most and apart <= held.keys():
+                most = len(held)
+        return most
+
 
 def scan(
     docs: DataFrame,
@@ -118,6 +176,7 @@ def scan(
     phrases: dict[str, str] = PHRASES,
     templates: list[tuple[str, str]] = TEMPLATES,
     threshold: float = THRESHOLD,
+    wrapped: bool = False,
 ) -> DataFrame:
     """(id, n_words, n_base, first_word, last_word long, base_labels, labels string, score double).
 
@@ -126,6 +185,7 @@ def scan(
     holds those of met templates; score is the greatest containment, 1 where a phrase stands, else
     0. Null text is empty: no words, empty labels. One row per row, equal or null ids too. The texts
     are read twice (the counts of template words come first); only those counts reach the driver.
+    With `wrapped`, templates are also met across the lines of a paragraph, and short ones by their own words only.
     """
     index = Templates(templates, template_counts(docs, templates, text), threshold)
 
@@ -145,8 +205,9 @@ def scan(
                     at = joined.find(needle, at + 1)
             labels, score = set(base), 1.0 if base else 0.0
             if not index.probes.isdisjoint(words):
-                for line in lower.split(b"\n"):
-                    for label, share in index.matches(line.translate(_SEPARATED).split()).items():
+                lines = [line.translate(_SEPARATED).split() for line in lower.split(b"\n")]
+                for found in [index.wrapped(lines)] if wrapped else map(index.matches, lines):
+                    for label, share in found.items():
                         labels.add(label)
                         score = max(score, share)
             edge = (min(starts), max(starts)) if starts else (None, None)

@@ -58,3 +58,18 @@ def test_every_similar_block_is_found(documents):
     lines = sorted({line for _, t in rows for line in t.split("\n") if 3 <= len(words(line)) <= 30})[::29]
     for threshold in (0.3, 0.6):
         check(documents, rows, templates=[(f"t{n}", line) for n, line in enumerate(lines)], threshold=threshold)
+
+
+def test_wrapped_notices(spark):
+    import textwrap
+
+    mit, bsd = (" ".join(t.split()) for label, t in (ls.TEMPLATES[0], ls.TEMPLATES[7]))
+    mark = lambda t, m: "\n".join(f"{m} {line}" for line in textwrap.wrap(t, 50))
+    rows = [(1, f"some code\n\n{mark(mit, ' *')}\n *\nother"), (2, f"# head\n{mark(bsd, '#')}\n# tail of it"), (3, mit),
+            (4, "Released under the Apache License"), (5, "released under\nthe MIT License"), (6, mark(mit, "#").replace("\n", "\n\n")),
+            (7, "\n".join(bsd.split()[:9] + ["filler"] * 40 + bsd.split()[9:])), (8, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in ls.scan(df, wrapped=True).collect()}
+    assert got == {1: ("mit", 1.0), 2: ("bsd", 1.0), 3: ("mit", 1.0), 4: ("apache", 1.0), 5: ("mit", 1.0), 6: ("", 0.0), 7: ("", 0.0), 8: ("", 0.0)}
+    by_line = {r.doc_id: r.labels for r in ls.scan(df).collect()}
+    assert by_line[1] == by_line[2] == "" and by_line[4] == "apache,mit"
