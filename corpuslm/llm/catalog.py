@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpuslm.llm import (
     byte_bpe,
+    chunk_bpe,
+    collocations,
     decontaminate,
     embedding_dedup,
     importance,
@@ -14,6 +16,7 @@ from corpuslm.llm import (
     license_scan,
     lm_scoring,
     pii,
+    prefix_trie,
     simhash,
     substring_dedup,
 )
@@ -147,3 +150,62 @@ def op8_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+PHRASES = r"""WITH d AS (SELECT coalesce(lang, 'und') AS lang, {lower} AS t FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws FROM d),
+places AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM pieces),
+sizes AS (SELECT unnest(range(1, 6)) AS size),
+f AS (SELECT lang, list_slice(ws, i, i + size - 1) AS p, count(*) AS f FROM places, sizes WHERE i + size - 1 <= len(ws) GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE len(p) = 1 GROUP BY lang),
+c AS (SELECT lang, p, f AS a FROM f WHERE len(p) > 1 AND f >= 100),
+inner_ AS (SELECT DISTINCT lang, list_slice(p, x.i, x.j) AS p, a FROM c,
+  (SELECT i, j FROM (SELECT unnest(range(1, 6)) AS i), (SELECT unnest(range(1, 6)) AS j) WHERE i < j) x WHERE x.j <= len(p) AND x.j - x.i + 1 < len(p)),
+held AS (SELECT c.* FROM c WHERE NOT EXISTS (SELECT 1 FROM inner_ o WHERE o.lang = c.lang AND o.p = c.p AND 100 * o.a >= 100 * c.a)),
+cuts AS (SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM held),
+scored AS (SELECT x.lang, x.p, x.a, x.k, b.f AS l, e.f AS r, t.n, CAST((1000::HUGEINT * x.a * t.n) // (b.f::HUGEINT * e.f) AS BIGINT) AS score
+  FROM cuts x JOIN f b ON b.lang = x.lang AND b.p = list_slice(x.p, 1, x.k) JOIN f e ON e.lang = x.lang AND e.p = list_slice(x.p, x.k + 1, len(x.p))
+  JOIN totals t ON t.lang = x.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ranked AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM best)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM ranked
+QUALIFY rank <= 2000""".replace("{lower}", LOWER)
+
+
+@query(PHRASES)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+TRIE = r"""WITH ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+steps AS (SELECT c, flatten(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])) AS s FROM ids),
+shares AS (SELECT c, c - c % 20 AS family, xor(list_reduce(list_concat([4294967295], s), lambda x, y: CASE WHEN y >= 0 THEN xor(x, y)
+  WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END), 4294967295) % 4 AS h FROM steps),
+own AS (SELECT conv_id AS c, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS t,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM conversations),
+whole AS (SELECT c, list(t ORDER BY i) AS ts FROM own GROUP BY c),
+built AS (SELECT s.c, list_concat(coalesce(list_slice(f.ts, 1, s.h), []), list_slice(w.ts, s.h + 1, len(w.ts))) AS ts
+  FROM shares s JOIN whole w ON w.c = s.c LEFT JOIN whole f ON f.c = s.family),
+members AS (SELECT c, len(ts) AS size, unnest(range(0, len(ts) + 1)) AS d, ts FROM built),
+nodes AS (SELECT list_slice(ts, 1, d) AS p, d, min(c) AS c, count(*) AS n, sha256(coalesce(string_agg(CASE WHEN size = d THEN CAST(c AS VARCHAR) END, ',' ORDER BY c), '')) AS ends
+  FROM members GROUP BY ALL),
+parents AS (SELECT k.p, k.d, k.c, k.n, k.ends, u.c AS up FROM nodes k LEFT JOIN nodes u ON u.d = k.d - 1 AND u.p = list_slice(k.p, 1, k.d - 1)),
+kids AS (SELECT list_slice(p, 1, d - 1) AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+own_sums AS (SELECT k.p, k.d, CASE WHEN coalesce(x.n_children, 0) = 0 THEN 1 ELSE 0 END AS leaf,
+  CASE WHEN k.d = 0 THEN 0 ELSE (k.n - 1) * len(regexp_extract_all(k.p[k.d].text, '[^ 	-
+]+')) END AS saved FROM nodes k LEFT JOIN kids x ON x.p = k.p),
+spread AS (SELECT list_slice(p, 1, a) AS p, leaf, saved FROM (SELECT p, leaf, saved, unnest(range(0, d + 1)) AS a FROM own_sums)),
+sums AS (SELECT p, sum(leaf) AS n_leaves, sum(saved) AS saved FROM spread GROUP BY p)
+SELECT CAST(k.c AS BIGINT) AS conv_id, CAST(k.d AS BIGINT) AS depth, CAST(k.up AS BIGINT) AS parent_conv_id, k.n AS n_convs, coalesce(x.n_children, 0) AS n_children,
+  CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, k.ends AS ends_sha256
+FROM parents k LEFT JOIN kids x ON x.p = k.p JOIN sums s ON s.p = k.p"""
+
+
+@query(TRIE)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
