@@ -319,26 +319,18 @@ def _merged_upper(nodes: DataFrame) -> DataFrame:
     leaf = F.when(F.col("n_children") == 0, 1).otherwise(0)
     upper = upper.withColumns({"n_leaves": F.col("n_leaves") + leaf, "saved": F.col("saved") + (F.col("n_convs") - 1) * F.col("words")})
     upper = materialize(upper, "upper-nodes")
-    # round i: sums of what lies less than 2^i below, and the ancestor 2^i above
-    reach = upper.select("k1", "k2", F.col("p1").alias("a1"), F.col("p2").alias("a2"), "n_leaves", "saved")
-    while not reach.where("a1 IS NOT NULL").isEmpty():
-        asked = reach.where("a1 IS NOT NULL").groupBy("a1", "a2").agg(
-            F.sum("n_leaves").alias("_leaves"), F.sum("saved").alias("_saved"), F.count("*").alias("_rows")
-        )
-        asked = asked.withColumnsRenamed({"a1": "k1", "a2": "k2"})
-        more = reach.join(asked, ["k1", "k2"], "left")
-        above = asked.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), "_rows").join(
-            reach.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("a1").alias("_up1"), F.col("a2").alias("_up2")), ["a1", "a2"]
-        )
-        more = lookup_join(more.drop("_rows"), above, ["a1", "a2"], "_rows", ["_up1", "_up2"], spread_by="k1", spread_nulls=True)
-        reach = materialize(
-            more.select(
-                "k1", "k2", F.col("_up1").alias("a1"), F.col("_up2").alias("a2"),
-                (F.col("n_leaves") + F.coalesce("_leaves", F.lit(0))).alias("n_leaves"),
-                (F.col("saved") + F.coalesce("_saved", F.lit(0))).alias("saved"),
-            ),
-            "reach",
-        )
+    # round i: sums of what lies less than 2^i below, and the ancestor 2^i above; beyond the root a number that no node has
+    none = [-1 - F.col("k1"), F.col("k2")]
+    first = [F.coalesce("p1", none[0]).alias("a1"), F.coalesce("p2", none[1]).alias("a2")]
+    reach = upper.select("k1", "k2", *first, "n_leaves", "saved")
+    while not reach.where("a1 >= 0").isEmpty():
+        below = reach.where("a1 >= 0").groupBy(F.col("a1").alias("k1"), F.col("a2").alias("k2"))
+        below = below.agg(F.sum("n_leaves").alias("_leaves"), F.sum("saved").alias("_saved"))
+        above = reach.where("a1 >= 0").select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("a1").alias("_up1"), F.col("a2").alias("_up2"))
+        more = reach.join(below, ["k1", "k2"], "left").join(above, ["a1", "a2"], "left")
+        next_ = [F.coalesce("_up1", none[0]).alias("a1"), F.coalesce("_up2", none[1]).alias("a2")]
+        sums = [(F.col(c) + F.coalesce(f"_{d}", F.lit(0))).alias(c) for c, d in (("n_leaves", "leaves"), ("saved", "saved"))]
+        reach = materialize(more.select("k1", "k2", *next_, *sums), "reach")
     return materialize(upper.drop("n_leaves", "saved").join(reach.drop("a1", "a2"), ["k1", "k2"]), "upper-nodes")
 
 
