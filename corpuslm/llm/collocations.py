@@ -4,8 +4,9 @@ A node is a run of up to four words, an edge the run of up to five words that st
 five where the piece goes on so far, and fewer at its end, which is the piece-end correction. Edges are counted
 once. The count of every shorter phrase is then the flow through its node: the sum of the edges that begin with it.
 
-An edge is only drawn between words that occur min_count times, as no phrase with a rarer word can. Which words
-do is told by a map of bits of fixed size, so a rare word may pass where another has its bit; that costs work and changes no count.
+An edge is only drawn along words that occur min_count times, and along pairs of words that do, as no phrase with a rarer
+one can. Which words do is told by a map of bits, which pairs do by counters that pairs share by their hash, both of fixed size: a rare
+word or pair may pass where another has its place. That costs work and changes no count; where a corpus fills them, every edge is drawn.
 
 The edges lie range-partitioned in word order, where the edges of a node are neighbours. A task adds them up
 as they stream by and hands on the nodes that reach min_count and those that its first and last row share with
@@ -28,8 +29,8 @@ from corpuslm.plans.skew import lookup_join
 
 # What ends a piece, what parts words, the longest phrase, and what a language is called that is null.
 PIECE_ENDS, BLANKS, LONGEST, NO_LANG = b".,;:!?\n\v\f\r", b" \t", 5, "und"
-# Bits of the map of frequent words: 4 MB, whatever the corpus.
-BITS = 1 << 25
+# Bits of the map of frequent words, 4 MB, and counters of pairs, 2 MB as bits, whatever the corpus; counters that travel together.
+BITS, PAIRS, CELLS = 1 << 25, 1 << 24, 4_096
 # Bytes of text that a task looks at together.
 BLOCK_BYTES = 8 << 20
 
@@ -112,64 +113,114 @@ def frequent_bits(counts: DataFrame, min_count: int, bits: int = BITS) -> np.nda
     return held.view(np.uint64)
 
 
-def _longest_runs(bits: np.ndarray, n_bits: int):
-    """Counts of the edges of a part of the texts: (lang, run of words with a space behind each, n)."""
-
-    def frequent(lang: str, words: list[str]) -> np.ndarray:
-        seed = xxhash.xxh64_intdigest(lang, 42)
-        at = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
-        # the hash counts as signed, and so does its remainder
-        at = np.mod(at.view(np.int64), n_bits).astype(np.uint64)
-        return (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+class _Runs:
+    """Words of a part of the texts, numbered; `step` says that a word and the next one may lie on an edge."""
 
-    def edges(langs: pa.Array, data: np.ndarray, starts: np.ndarray) -> pa.RecordBatch | None:
+    def __init__(self, langs: pa.Array, data: np.ndarray, starts: np.ndarray, bits: np.ndarray):
         words, text, piece = _words(data, starts)
-        if len(words) < 2:
-            return None
         langs, words = langs.dictionary_encode(), words.dictionary_encode()
         code = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[text]
-        held, word = np.unique(code * len(words.dictionary) + words.indices.to_numpy(), return_inverse=True)
-        lang_of, names = held // len(words.dictionary), words.dictionary.take(pa.array(held % len(words.dictionary)))
-        known = np.zeros(len(held), bool)
-        for i, name in enumerate(langs.dictionary.to_pylist()):
+        size = max(len(words.dictionary), 1)
+        held, self.word = np.unique(code * size + words.indices.to_numpy(), return_inverse=True)
+        lang_of = held // size
+        self.names, self.langs = words.dictionary.take(pa.array(held % size)), langs.dictionary.take(pa.array(lang_of))
+        self.hash = np.zeros(len(held), np.uint64)
+        for i, lang in enumerate(langs.dictionary.to_pylist()):
             own = np.flatnonzero(lang_of == i)
-            known[own] = frequent(name, names.take(pa.array(own)).to_pylist())
-        known = known[word]
-        step = np.zeros(len(word), bool)  # the next word belongs to the same run
-        step[:-1] = known[:-1] & known[1:] & (text[:-1] == text[1:]) & (piece[:-1] == piece[1:])
-        at = np.flatnonzero(step)
-        if not len(at):
-            return None
-        # number the different runs, one word further each time; word 0 is none
-        run, more, parts = word[at], np.ones(len(at), bool), [at]
-        for k in range(1, LONGEST):
-            ahead = np.minimum(at + k, len(word) - 1)
-            more = more & (at + k < len(word)) & step[ahead - 1]
-            parts.append(np.where(more, ahead, -1))
-            _, one, run, n = np.unique(run * (len(held) + 1) + np.where(more, word[ahead] + 1, 0), return_index=True, return_inverse=True, return_counts=True)
-        columns = []
-        for places in parts:
-            p = places[one]
-            columns.append(names.take(pa.array(np.where(p >= 0, word[p], 0), mask=p < 0)))
-        phrase = pc.binary_join_element_wise(*columns, pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string()), null_handling="skip")
-        of = langs.dictionary.take(pa.array(lang_of[word[at[one]]]))
-        return pa.RecordBatch.from_arrays([of, phrase.cast(pa.string()), pa.array(n)], names=["lang", "phrase", "n"])
-
-    return edges
-
-
-def edges(docs: DataFrame, lang: Column, bits: np.ndarray) -> DataFrame:
-    """(lang, phrase, n): the runs of two to five frequent words that start at each place, a space behind each word.
+            seed = xxhash.xxh64_intdigest(lang, 42)
+            self.hash[own] = [xxhash.xxh64_intdigest(w, seed) for w in self.names.take(pa.array(own)).to_pylist()]
+        # the bits are those of the signed hash's remainder
+        at = np.mod(self.hash.view(np.int64), len(bits) * 64).astype(np.uint64)
+        known = ((bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1)[self.word]
+        self.step = np.zeros(len(known), bool)
+        self.step[:-1] = known[:-1] & known[1:] & (text[:-1] == text[1:]) & (piece[:-1] == piece[1:])
+
+    def pair_cells(self, at: np.ndarray, cells: int) -> np.ndarray:
+        """The counter of the pair that starts at each place."""
+        h = self.hash[self.word]
+        mixed = (h[at] * np.uint64(0x9E3779B97F4A7C15) + h[at + 1]) * np.uint64(0xC2B2AE3D27D4EB4F)
+        return ((mixed >> np.uint64(32)) % np.uint64(cells)).astype(np.int64)
+
+
+def frequent_pairs(docs: DataFrame, lang: Column, bits: np.ndarray, min_count: int, pairs: int = PAIRS) -> np.ndarray:
+    """Which of the pairs' counters reach min_count, as packed bits. A task counts up to min_count and hands its counters on."""
+    kind = np.min_scalar_type(min_count)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = np.zeros(pairs, kind)
+        for batch in batches:
+            for part in _texts(batch):
+                runs = _Runs(*part, bits)
+                cells, n = np.unique(runs.pair_cells(np.flatnonzero(runs.step), pairs), return_counts=True)
+                counters[cells] = np.minimum(counters[cells].astype(np.int64) + n, min_count)
+        for at in range(0, pairs, CELLS):
+            own = counters[at : at + CELLS]
+            if own.any():
+                yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([own.tobytes()], pa.binary())], names=["at", "cells"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, total = None, None
+
+        def out():
+            packed = np.packbits(total >= min_count).tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([place]), pa.array([packed], pa.binary())], names=["at", "held"])
+
+        for batch in batches:
+            for at, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if at != place:
+                    if place is not None:
+                        yield out()
+                    place, total = at, np.zeros(len(cells) // kind.itemsize, np.int64)
+                total = np.minimum(total + np.frombuffer(cells, kind), min_count)
+        if place is not None:
+            yield out()
+
+    counted = docs.select(lang, "text").mapInArrow(count, "at long, cells binary")
+    merged = counted.repartition("at").sortWithinPartitions("at").mapInArrow(add, "at long, held binary").toArrow()
+    held = np.zeros(-(-pairs // 8), np.uint8)
+    for at, packed in zip(merged["at"].to_pylist(), merged["held"].to_pylist()):
+        held[at // 8 : at // 8 + len(packed)] = np.frombuffer(packed, np.uint8)
+    return held
+
+
+def _longest_runs(part: tuple, bits: np.ndarray, pair_bits: np.ndarray, pairs: int) -> pa.RecordBatch | None:
+    """Counts of the edges of a part of the texts: (lang, run of words with a space behind each, n)."""
+    runs = _Runs(*part, bits)
+    word, step = runs.word, runs.step
+    at = np.flatnonzero(step)
+    cells = runs.pair_cells(at, pairs)
+    step[at] = (pair_bits[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8)) & 1 == 1
+    at = np.flatnonzero(step)
+    if not len(at):
+        return None
+    # number the different runs, one word further each time; word 0 is none
+    run, more, parts = word[at], np.ones(len(at), bool), [at]
+    for k in range(1, LONGEST):
+        ahead = np.minimum(at + k, len(word) - 1)
+        more = more & (at + k < len(word)) & step[ahead - 1]
+        parts.append(np.where(more, ahead, -1))
+        key = run * (len(runs.hash) + 1) + np.where(more, word[ahead] + 1, 0)
+        _, one, run, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    columns = []
+    for places in parts:
+        p = places[one]
+        columns.append(runs.names.take(pa.array(np.where(p >= 0, word[p], 0), mask=p < 0)))
+    gap, end = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
+    phrase = pc.binary_join_element_wise(*columns, end, gap, null_handling="skip")
+    of = runs.langs.take(pa.array(word[at[one]]))
+    return pa.RecordBatch.from_arrays([of, phrase.cast(pa.string()), pa.array(n)], names=["lang", "phrase", "n"])
+
+
+def edges(docs: DataFrame, lang: Column, bits: np.ndarray, pair_bits: np.ndarray, pairs: int = PAIRS) -> DataFrame:
+    """(lang, phrase, n): the runs of two to five words that start at each place, along frequent words and pairs, a space behind each word.
 
     Equal runs are added up within a task's blocks only.
     """
-    n_bits = len(bits) * 64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _longest_runs(bits, n_bits)
         for batch in batches:
             for part in _texts(batch):
-                found = count(*part)
+                found = _longest_runs(part, bits, pair_bits, pairs)
                 if found is not None:
                     yield found
 
@@ -261,7 +312,7 @@ def _look_up(rows: DataFrame, table: DataFrame, phrase: str, name: str) -> DataF
     return lookup_join(rows, weighed, ["lang", phrase], "_rows", [name], spread_by="phrase")
 
 
-def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000, lang: str = "lang", bits: int = BITS) -> DataFrame:
+def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000, lang: str = "lang", bits: int = BITS, pairs: int = PAIRS) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the phrases of each language whose parts belong together most.
 
     A phrase of two to five words that occurs a >= min_count times scores by its weakest cut into a first part, which
@@ -273,7 +324,9 @@ def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000, lang: s
     own = F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANG)).alias("lang")
     docs = docs.select(own, F.col("text").cast("string").alias("text"))
     words = materialize(word_counts(docs, F.col("lang")), "words")
-    held = materialize(edges(docs, F.col("lang"), frequent_bits(words, min_count, bits)), "word-edges")
+    known = frequent_bits(words, min_count, bits)
+    along = frequent_pairs(docs, F.col("lang"), known, min_count, pairs)
+    held = materialize(edges(docs, F.col("lang"), known, along, pairs), "word-edges")
     phrases = materialize(flow(held, min_count), "phrases")
     counts = phrases.union(words.where(F.col("n") >= min_count).select("lang", F.col("word").alias("phrase"), "n"))
     size = F.size(F.split("phrase", " "))

@@ -51,10 +51,11 @@ def texts(seed, n):
     return ["".join(rng.choice(words) + rng.choice(ends) for _ in range(rng.randrange(40))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("min_count,top,bits", [(2, 2000, 1 << 12), (5, 7, 64)])
-def test_equals_brute_force(spark, min_count, top, bits):
+@pytest.mark.parametrize("min_count,top,bits,pairs", [(2, 2000, 1 << 12, col.PAIRS), (5, 7, 64, 1 << 13), (300, 2000, 1 << 12, 8)])
+def test_equals_brute_force(spark, min_count, top, bits, pairs):
     rows = [(i, t, [None, "und", "en", "de"][i % 4]) for i, t in enumerate(texts(1, 120))]
-    got = collocations(spark.createDataFrame(rows, SCHEMA), min_count, top, bits=bits)
+    rows += [(1000 + i, "the end of of it, " * 3, "en") for i in range(150)]
+    got = collocations(spark.createDataFrame(rows, SCHEMA).repartition(3), min_count, top, bits=bits, pairs=pairs)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     assert sorted(map(tuple, got.collect())) == brute(rows, min_count, top)
 
