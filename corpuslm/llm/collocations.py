@@ -31,8 +31,8 @@ from corpuslm.plans.skew import lookup_join
 PIECE_ENDS, BLANKS, LONGEST, NO_LANG = b".,;:!?\n\v\f\r", b" \t", 5, "und"
 # Bits of the map of frequent words, 4 MB, and counters of pairs, 2 MB as bits, whatever the corpus; counters that travel together.
 BITS, PAIRS, CELLS = 1 << 25, 1 << 24, 4_096
-# Bytes of text that a task looks at together.
-BLOCK_BYTES = 8 << 20
+# Bytes of text that a task looks at together; different edges that it holds before it hands them on.
+BLOCK_BYTES, HELD = 8 << 20, 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -214,15 +214,31 @@ def _longest_runs(part: tuple, bits: np.ndarray, pair_bits: np.ndarray, pairs: i
 def edges(docs: DataFrame, lang: Column, bits: np.ndarray, pair_bits: np.ndarray, pairs: int = PAIRS) -> DataFrame:
     """(lang, phrase, n): the runs of two to five words that start at each place, along frequent words and pairs, a space behind each word.
 
-    Equal runs are added up within a task's blocks only.
+    Equal runs are added up within a task, as far as HELD different ones go.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, rows, least = [], 0, 0
+
+        def added() -> pa.Table:
+            table = pa.Table.from_batches(parts).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+            return table.select(["lang", "phrase", "n_sum"]).rename_columns(["lang", "phrase", "n"]).combine_chunks()
+
         for batch in batches:
             for part in _texts(batch):
                 found = _longest_runs(part, bits, pair_bits, pairs)
-                if found is not None:
-                    yield found
+                if found is None:
+                    continue
+                parts.append(found)
+                rows += found.num_rows
+                if rows > max(2 * least, HELD // 2):
+                    parts = added().to_batches()
+                    least = rows = sum(p.num_rows for p in parts)
+                    if rows > HELD:
+                        yield from parts
+                        parts, rows, least = [], 0, 0
+        if parts:
+            yield from added().to_batches(max_chunksize=1 << 16)
 
     return docs.select(lang, "text").mapInArrow(run, "lang string, phrase string, n bigint")
 
