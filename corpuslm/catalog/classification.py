@@ -24,10 +24,10 @@ from corpuslm.functions.text import ws_tokens
 from corpuslm.operators import evaluate, models
 from corpuslm.operators.crossed import crossed
 from corpuslm.operators.labels import label_index
-from corpuslm.operators.positional import positional
-from corpuslm.operators.predict import max_score
+from corpuslm.operators.positional import first_words, positional
+from corpuslm.operators.predict import max_score, scores_with_max
 from corpuslm.operators.scoring import expand_classes, scores
-from corpuslm.operators.terms import label_terms, rank_terms, term_counts, vocabulary, word_freq_maps
+from corpuslm.operators.terms import label_terms, rank_terms, vocabulary, word_freq_maps
 from corpuslm.plans.classify import classify
 
 LM = f"WITH {POSTS}, {LABELS}, {LABEL_TERMS}, {MODELS} "
@@ -120,9 +120,22 @@ def predict_many(spark, sf_dir):
 )
 def max_by_key(spark, sf_dir):
     """The highest score of each (created, author), which several posts may share."""
-    scored = classify(texts(spark, sf_dir), "doc_id", by=["created", "author"]).scores
+    p = texts(spark, sf_dir)
+    p = label_index(p).transform(p, spread_by="doc_id", name="label")
     # the key columns are not the id, so posts of one key compete
-    top = max_score(scored, ["created", "author"], "doc_id")
+    top = scores_with_max(p, models.fit(p, "label"), "doc_id", ["created", "author"], keep=("created", "author", "label"))
+    return top.select("doc_id", "label", "class", rounded("score"), rounded("max_score"))
+
+
+@query(
+    "max_score_many",
+    f"""WITH {MANY} SELECT doc_id, label, class, round(score, 6) AS score,
+    round(max(score) OVER (PARTITION BY author), 6) AS max_score FROM scores""",
+)
+def max_by_author(spark, sf_dir):
+    """The highest score of each author, under many classes."""
+    scored = classify(_many(spark, sf_dir), "doc_id", by=["author"]).scores
+    top = max_score(scored, ["author"], "doc_id")
     return top.select("doc_id", "label", "class", rounded("score"), rounded("max_score"))
 
 
@@ -251,7 +264,7 @@ def scores_positional(spark, sf_dir):
     words = label_terms(p)
     word_index = rank_terms(words.groupBy(F.col("word").alias("term")).agg(F.sum("n").alias("n")))
     model = models.fit(p, terms=positional(words, "flair", word_index, term="word"))
-    own = positional(term_counts(p, "doc_id", tokens), "doc_id", vocabulary(p, tokens))
+    own = first_words(p, "doc_id", tokens, vocabulary(p, tokens))
     own = p.select("doc_id").join(own.withColumnRenamed("term", "word"), "doc_id", "left").select("doc_id", "word")
     return scores(p, model, "doc_id", terms=own).select("doc_id", "class", rounded("score"))
 

@@ -89,7 +89,7 @@ posts AS (SELECT DISTINCT author || '_' || created AS doc_id, author, created, f
   WHERE length(text) >= 150)"""
 
 
-def _stored(spark, sf_dir):
+def _stored(spark, sf_dir, created="page_id"):
     pages = submissions(spark, sf_dir)
     extractors = [("first paragraph", F.col("first")), ("whole page", F.col("second")), ("title", F.col("third"))]
     # the cascade's own threshold is that of the other queries over these pages
@@ -101,7 +101,7 @@ def _stored(spark, sf_dir):
         url=F.col("url"),
         extractors=[("cascade", F.col("extracted"))] * 3,
         author=F.col("domain"),
-        created=F.col("page_id"),
+        created=F.expr(created),
         flair=F.regexp_extract("url", "/([a-z][a-z])/", 1),
     )
     return ingest(ready, new_path(spark, "ingested-json"))
@@ -120,3 +120,20 @@ def ingest_posts(spark, sf_dir):
 def ingest_classify(spark, sf_dir):
     best = classify_stored(_stored(spark, sf_dir)).predictions
     return best.select("key", "label", "prediction", rounded("score"), rounded("max_score"))
+
+
+# posts of one author on one of seven days share a key, and only the best of them is kept
+SHARED = STORED.replace("CAST(page_id AS VARCHAR) AS created", "CAST(page_id % 7 AS VARCHAR) AS created").replace(
+    "SELECT DISTINCT author || '_' || created AS doc_id, author, created, flair, text FROM routed",
+    "SELECT row_number() OVER (ORDER BY author, created, flair, text) AS doc_id, author, created, flair, text FROM (SELECT DISTINCT * FROM routed)",
+)
+
+
+@query(
+    "ingest_classify_shared",
+    f"""WITH {SHARED}, {LABELS}, {LABEL_TERMS}, {MODELS}, {SCORES}, {predicted('created, author')}
+    SELECT author || '_' || created AS key, label, prediction, round(score, 6) AS score, round(max_score, 6) AS max_score FROM predictions JOIN posts USING (doc_id)""",
+)
+def ingest_classify_shared(spark, sf_dir):
+    best = classify_stored(_stored(spark, sf_dir, "page_id % 7")).predictions
+    return best.select("key", "label", "prediction", rounded("score"), rounded("max_score"))

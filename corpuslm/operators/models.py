@@ -13,17 +13,35 @@ from corpuslm.functions.unroll import unroll
 from corpuslm.operators.labels import label_counts
 from corpuslm.operators.prep import labelled_only
 from corpuslm.operators.terms import label_terms
+from corpuslm.plans.numbering import number_rows
 from corpuslm.plans.shared import materialize
 from corpuslm.plans.sizes import SMALL_ROWS, WIDE_CLASSES, is_small, small_rows
 from corpuslm.plans.skew import lookup_join
 
 
-def with_class_totals(terms: DataFrame, label: str, small: bool) -> DataFrame:
-    """Add to (label, word, n) the number of words of the class."""
+# Classes whose counts of a word stand side by side when there are too many for one column each.
+BLOCK = 16
+
+
+def with_class_totals(terms: DataFrame, label: str, small: bool, ranks: DataFrame | None = None) -> DataFrame:
+    """Add to (label, word, n) the number of words of the class, and its rank where `ranks` has (label, rank)."""
     totals = terms.groupBy(label).agg(F.sum("n").alias("label_total"), F.count("*").alias("_words"))
+    values = ["label_total"]
+    if ranks is not None:
+        totals, values = totals.join(ranks.select(label, "rank"), label), [*values, "rank"]
     if small:
         return terms.join(F.broadcast(totals.drop("_words")), label)
-    return lookup_join(terms, totals, [label], "_words", ["label_total"], spread_by="word")
+    return lookup_join(terms, totals, [label], "_words", values, spread_by="word")
+
+
+def ranked_classes(counts: DataFrame, label: str) -> DataFrame:
+    """(label, n, rank, last) of (label, n): ranks from 0 by falling n and then by label; `last` is the greatest rank with the same n.
+
+    Classes as frequent as each other thus are a range of ranks, in the order of their labels.
+    """
+    ranked = number_rows(counts, [F.desc("n"), F.asc(label)], "rank")
+    equal = ranked.groupBy("n").agg(F.max("rank").alias("last"), F.count("*").alias("_rows"))
+    return lookup_join(ranked, equal, ["n"], "_rows", ["last"], spread_by="rank")
 
 
 def label_lm(posts: DataFrame, label: str = "flair", text: str = "text") -> DataFrame:
@@ -82,8 +100,9 @@ class UnigramModel:
 
     Few classes: `classes` lists them and `table` has one row per word (word, n, n_0, n_1, ...), where
     n_i is the count in classes[i]. Many classes: `classes` is None and `table` has one row per word too,
-    (word, n, counts), where counts is an array of (label, n, label_total) of the classes that have the word.
-    `class_table` holds (label, n), with many classes also prior. save() and load() keep a model.
+    (word, n, counts, blocks): counts is an array of (label, n, label_total) of the classes that have the word, blocks one of
+    (block, shares), where shares[i] is n / label_total of the class of rank block * BLOCK + i, and null if that has no such word.
+    `class_table` holds (label, n), with many classes also prior, rank and last (see ranked_classes). save() and load() keep a model.
     """
 
     table: DataFrame
@@ -99,6 +118,8 @@ class UnigramModel:
     least_class_total: int
     most_classes: int = 0  # classes of one word at most, with many classes
     entries: int = 0  # of all words, with many classes
+    most_blocks: int = 0  # blocks of one word at most, with many classes
+    blocks: int = 0  # of all words, with many classes
 
     def save(self, path: str) -> None:
         """Write the model below `path`, a folder that does not exist yet."""
@@ -169,9 +190,17 @@ def fit(
 
 def _fit_long(terms: DataFrame, label: str, counts: DataFrame) -> UnigramModel:
     """The counts of a word in its classes are gathered in one row: at most one entry per class."""
-    terms = with_class_totals(materialize(terms.select(label, "word", "n"), "terms"), label, is_small(counts, SMALL_ROWS))
+    counts = materialize(ranked_classes(materialize(counts, "class-counts"), label), "classes")
+    terms = materialize(terms.select(label, "word", "n"), "terms")
+    terms = with_class_totals(terms, label, is_small(counts, SMALL_ROWS), counts)
     entry = F.struct(F.col(label).alias("label"), "n", "label_total")
-    words = terms.groupBy("word").agg(F.sum("n").alias("n"), F.collect_list(entry).alias("counts"))
+    place, share = F.col("rank") % BLOCK, F.col("n") / F.col("label_total")
+    shares = [F.max(F.when(place == i, share)) for i in range(BLOCK)]
+    block = F.floor(F.col("rank") / BLOCK).cast("int").alias("block")
+    parts = terms.groupBy("word", block).agg(F.sum("n").alias("n"), F.collect_list(entry).alias("counts"), F.array(*shares).alias("shares"))
+    words = parts.groupBy("word").agg(
+        F.sum("n").alias("n"), F.flatten(F.collect_list("counts")).alias("counts"), F.collect_list(F.struct("block", "shares")).alias("blocks")
+    )
     table = materialize(words, "model")
     size = table.agg(
         F.count("*").alias("words"),
@@ -180,8 +209,9 @@ def _fit_long(terms: DataFrame, label: str, counts: DataFrame) -> UnigramModel:
         F.min(F.array_min(F.transform("counts", lambda e: e["label_total"]))).alias("least"),
         F.max(F.size("counts")).alias("most"),
         F.sum(F.size("counts")).alias("entries"),
+        F.max(F.size("blocks")).alias("most_blocks"),
+        F.sum(F.size("blocks")).alias("blocks"),
     ).first()
-    counts = materialize(counts, "classes")
     n_posts, n_classes = counts.agg(F.sum("n"), F.count("*")).first()
     return UnigramModel(
         table=table,
@@ -197,4 +227,6 @@ def _fit_long(terms: DataFrame, label: str, counts: DataFrame) -> UnigramModel:
         least_class_total=size["least"] or 1,
         most_classes=size["most"] or 0,
         entries=size["entries"] or 0,
+        most_blocks=size["most_blocks"] or 0,
+        blocks=size["blocks"] or 0,
     )

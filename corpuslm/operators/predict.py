@@ -5,21 +5,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuslm.operators.models import UnigramModel
+from corpuslm.operators.scoring import LAMBDA, score_columns, scores
 from corpuslm.plans.shared import materialize
+from corpuslm.plans.sizes import BROADCAST_BYTES
 from corpuslm.plans.skew import lookup_join
 
 
 def max_score(scores: DataFrame, by: list[str], id: str, score: str = "score") -> DataFrame:
     """Add max_score, the highest score among the rows that share `by`.
 
-    by=[id] has one row per class in a group and uses a window. Any other key may hold many posts:
-    its maximum is combined before the shuffle and looked up.
+    by=[id] has one row per class in a group and uses a window. Any other key may hold many posts: the maximum of
+    each post is written, one row for each, that of a key is taken from those, and the scores meet their post's row again. `id` must be
+    unique for a post; scores_with_max saves making the scores twice.
     """
     if list(by) == [id]:
         return scores.withColumn("max_score", F.max(score).over(Window.partitionBy(*by)))
-    scores = materialize(scores, "scores")
-    best = scores.groupBy(*by).agg(F.max(score).alias("max_score"), F.count("*").alias("_rows"))
-    return lookup_join(scores, best, list(by), "_rows", ["max_score"], spread_by=id)
+    posts = materialize(scores.groupBy(id, *by).agg(F.max(score).alias("_top"), F.count("*").alias("_scores")), "post-maxima")
+    best = _of_keys(posts, by, id).select(F.col(id).alias("_post"), "max_score")
+    return scores.join(best, scores[id].eqNullSafe(best["_post"])).drop("_post")
+
+
+def _of_keys(posts: DataFrame, by: list[str], id: str) -> DataFrame:
+    """Add max_score, the highest _top among the posts that share `by`."""
+    best = posts.groupBy(*by).agg(F.max("_top").alias("max_score"), F.count("*").alias("_rows"))
+    return lookup_join(posts, best, list(by), "_rows", ["max_score"], spread_by=id)
+
+
+def scores_with_max(
+    posts: DataFrame,
+    model: UnigramModel,
+    id: str,
+    by: list[str],
+    text: str = "text",
+    keep: tuple[str, ...] = (),
+    lam: float = LAMBDA,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """(id, keep..., class, score, max_score): max_score over scores; `by` are among id and keep.
+
+    With few classes a post's sums are written once, in one row; its scores, its maximum and that of its key all come from them.
+    """
+    if model.classes is None or list(by) == [id]:
+        return max_score(scores(posts, model, id, text, keep, lam, broadcast_bytes=broadcast_bytes), by, id)
+    rows = materialize(score_columns(posts, model, id, text, keep, lam, broadcast_bytes), "post-scores")
+    tops = [f"_s_{i}" for i in range(len(model.classes))]
+    best = _of_keys(rows.withColumn("_top", F.greatest(*tops) if len(tops) > 1 else F.col(tops[0])), by, id)
+    entries = [F.struct(F.lit(c[model.label]).alias("class"), F.col(s).alias("score")) for c, s in zip(model.classes, tops)]
+    return best.select(id, *keep, F.inline(F.array(*entries)), "max_score")
 
 
 def predict(

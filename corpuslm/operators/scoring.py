@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslm.functions.text import ws_tokens
-from corpuslm.operators.models import UnigramModel
+from corpuslm.operators.models import BLOCK, UnigramModel
 from corpuslm.plans.shared import materialize
 from corpuslm.plans.sizes import BROADCAST_BYTES, SMALL_ROWS, is_small
 from corpuslm.plans.skew import LONGEST_KEY, lookup_join
@@ -34,11 +34,12 @@ LAMBDA = 0.5
 # Bytes per row of a broadcast hash table, besides its values, and of a class's entry in it.
 ROW_BYTES = 48
 ENTRY_BYTES = 48
+BLOCK_BYTES = 8 * BLOCK + 64
 # Gains are multiples of 2^-FRACTION, summed as a high part and the LOW lowest bits: a gain is below 64 and a cell of
 # text holds fewer than 2^31 words, so neither sum can leave 63 bits.
 FRACTION, LOW = 44, 24
-# Copies of the class table when classes are too many to list.
-PAIR_TILES = 256
+# Pairs of a post and a class in a tile, when classes are too many to list, and tiles that are dealt one to a task at most.
+TILE_PAIRS, MOST_TILES = 1_000_000, 100_000
 
 
 def check_lambda(lam: float) -> float:
@@ -63,6 +64,17 @@ def _as_double(high: Column, low: Column) -> Column:
     return (high + low / F.lit(float(1 << LOW))) / F.lit(float(1 << (FRACTION - LOW)))
 
 
+def tile_grid(n_posts: int, n_classes: int, tile_pairs: int = TILE_PAIRS) -> tuple[int, int]:
+    """(rows, columns) of tiles for so many posts and classes.
+
+    A post is copied once for each column and a class once for each row; of all grids with enough tiles, this
+    one makes the fewest copies.
+    """
+    tiles = max(1, -(-n_posts * n_classes // tile_pairs))
+    columns = min(max(1, round(math.sqrt(tiles * n_classes / max(n_posts, 1)))), max(n_classes, 1))
+    return max(1, -(-tiles // columns)), columns
+
+
 def expand_classes(
     posts: DataFrame,
     classes: DataFrame,
@@ -70,20 +82,26 @@ def expand_classes(
     spread_by: str,
     name: str = "class",
     small_limit: int = SMALL_ROWS,
+    tile_pairs: int = TILE_PAIRS,
 ) -> DataFrame:
     """Every post with every class, as (posts.*, class columns).
 
     A checked number of classes is carried as one array and unrolled within each post's row. More are
-    copied into tiles and joined on the tile, so that the posts stay spread over all tasks.
+    joined by tiles: both sides are counted, posts dealt to the rows of a grid and classes to its columns, so that
+    a tile holds about tile_pairs pairs however many of either there are.
     """
     fields = [F.col(label).alias(name)] + [F.col(c) for c in classes.columns if c != label]
     classes = classes.select(*fields)
     if is_small(classes, small_limit):
         every = classes.agg(F.sort_array(F.collect_list(F.struct("*"))))
         return posts.select("*", F.inline(every.scalar()))
-    tile = F.pmod(F.xxhash64(spread_by), F.lit(PAIR_TILES)).cast("int")
-    tiles = F.explode(F.sequence(F.lit(0), F.lit(PAIR_TILES - 1)))
-    return posts.withColumn("_tile", tile).join(classes.withColumn("_tile", tiles), "_tile").drop("_tile")
+    rows, columns = tile_grid(posts.count(), classes.count(), tile_pairs)
+    row, column = F.pmod(F.xxhash64(spread_by), F.lit(rows)), F.pmod(F.xxhash64(name), F.lit(columns))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = posts.withColumn("_column", every(columns)).withColumn("_tile", row * columns + F.col("_column")).drop("_column")
+    right = classes.withColumn("_row", every(rows)).withColumn("_tile", F.col("_row") * columns + column).drop("_row")
+    tasks = min(rows * columns, MOST_TILES)
+    return left.repartition(tasks, "_tile").join(right.repartition(tasks, "_tile"), "_tile").drop("_tile")
 
 
 def distinct_terms(posts: DataFrame, keys: list[str], tokens: Column) -> DataFrame:
@@ -92,19 +110,27 @@ def distinct_terms(posts: DataFrame, keys: list[str], tokens: Column) -> DataFra
 
 
 def match(
-    terms: DataFrame, gains: DataFrame, model: UnigramModel, value_bytes: int, spread_by: str, broadcast_bytes: int
+    terms: DataFrame,
+    gains: DataFrame,
+    model: UnigramModel,
+    value_bytes: int,
+    spread_by: str,
+    broadcast_bytes: int,
+    entries: tuple[int, int, int] | None = None,
 ) -> DataFrame:
     """terms LEFT JOIN gains on word; gains has one row per word, with its count n.
 
     A model of checked size is broadcast whole. Otherwise the few words that make up a large part of
     the model are looked up by broadcast and their rows spread, and all rows go through one join.
     Either way the terms are read once. What is common in the posts but not in the model has one row on the
-    model's side, so that Spark can split it.
+    model's side, so that Spark can split it. `entries` tells how many array entries all rows and one row at most have, and
+    their bytes; without it they are the classes of the words.
     """
-    words, entries = model.n_words * (value_bytes + ROW_BYTES), model.entries * ENTRY_BYTES
-    if model.word_bytes + words + entries <= broadcast_bytes:
+    n, most, size = entries or (model.entries, model.most_classes, ENTRY_BYTES)
+    words = model.n_words * (value_bytes + ROW_BYTES)
+    if model.word_bytes + words + n * size <= broadcast_bytes:
         return terms.join(F.broadcast(gains), "word", "left")
-    per_word = value_bytes + ROW_BYTES + LONGEST_KEY + model.most_classes * ENTRY_BYTES
+    per_word = value_bytes + ROW_BYTES + LONGEST_KEY + most * size
     values = [c for c in gains.columns if c != "word"]
     hot = broadcast_bytes // per_word // 2
     return lookup_join(terms, gains, ["word"], "n", values, spread_by, keys=hot, spread_nulls=True)
@@ -143,6 +169,21 @@ def scores(
     return sums.select(*keys, F.inline_outer(F.array(*entries)))
 
 
+def score_columns(
+    posts: DataFrame,
+    model: UnigramModel,
+    id: str,
+    text: str = "text",
+    keep: tuple[str, ...] = (),
+    lam: float = LAMBDA,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """(id, keep..., _s_0, _s_1, ...): the scores of a post under each of a few classes, side by side."""
+    keys = [id, *keep]
+    sums = _sums(distinct_terms(posts, keys, ws_tokens(F.col(text))), model, keys, check_lambda(lam), broadcast_bytes)
+    return sums.select(*keys, *[_class_score(model, i, lam, "word").alias(f"_s_{i}") for i in range(len(model.classes))])
+
+
 def best_classes(
     posts: DataFrame,
     model: UnigramModel,
@@ -165,9 +206,8 @@ def best_classes(
     terms = distinct_terms(posts, keys, ws_tokens(F.col(text)))
     if model.classes is None:
         return _best_long(terms, model, keys, lam, ties, broadcast_bytes)
-    sums = _sums(terms, model, keys, lam, broadcast_bytes)
     k = len(model.classes)
-    scored = sums.select(*keys, *[_class_score(model, i, lam, "word").alias(f"_s_{i}") for i in range(k)])
+    scored = score_columns(posts, model, id, text, keep, lam, broadcast_bytes)
     top = F.greatest(*[F.col(f"_s_{i}") for i in range(k)]) if k > 1 else F.col("_s_0")
     scored = scored.withColumn("max_score", top)
     entries = [
@@ -221,45 +261,85 @@ def _evidence(terms: DataFrame, model: UnigramModel, keys: list[str], lam: float
     return rows.groupBy(*keys, "_label").agg(_high("_g").alias("_h"), _low("_g").alias("_l"), matched.alias("_m"))
 
 
+def _block_sums(terms: DataFrame, model: UnigramModel, keys: list[str], lam: float, broadcast_bytes: int) -> DataFrame:
+    """(keys, block, gains, _m): the summed gains of the BLOCK classes of each block that has words of a post; _m is the number of
+    the post's words that the model has, on one row of each post whose block is -1. Many classes only."""
+    ratio = F.lit(float(model.total)) / F.col("n")
+    gain = lambda share: _fixed(F.log1p(F.lit((1 - lam) / lam) * share * ratio))
+    own = F.transform("blocks", lambda b: F.struct(b["block"].alias("block"), F.transform(b["shares"], gain).alias("_g")))
+    table = model.table.select("word", "n", own.alias("_blocks"))
+    joined = match(terms, table, model, 16, keys[0], broadcast_bytes, (model.blocks, model.most_blocks, BLOCK_BYTES))
+    none = F.array(F.struct(F.lit(-1).alias("block"), F.lit(None).cast("array<bigint>").alias("_g")))
+    rows = joined.select(*keys, "n", F.inline(F.concat(none, F.coalesce("_blocks", F.slice(none, 1, 0)))))
+    rows = rows.select(*keys, "block", "n", *[F.get("_g", F.lit(i)).alias(f"_g_{i}") for i in range(BLOCK)])
+    sums = [part(f"_g_{i}").alias(f"{name}_{i}") for i in range(BLOCK) for part, name in ((_high, "_h"), (_low, "_l"))]
+    matched = F.count(F.when(F.col("block") == -1, F.col("n")))
+    found = rows.groupBy(*keys, "block").agg(*sums, matched.alias("_m"))
+    gains = F.array(*[_as_double(F.col(f"_h_{i}"), F.col(f"_l_{i}")) for i in range(BLOCK)])
+    return found.select(*keys, "block", gains.alias("gains"), "_m")
+
+
+def _join_blocks(rows: DataFrame, blocks: DataFrame, on: str, small: bool, spread_by: str) -> DataFrame:
+    """Add labels, shares and last ranks of a block's classes; any share of the rows may ask for one block."""
+    table = blocks.withColumnRenamed("block", on)
+    if small:
+        return rows.join(F.broadcast(table), on, "left")
+    asked = rows.groupBy(on).agg(F.count("*").alias("_rows"))
+    return lookup_join(rows, asked.join(table, on), [on], "_rows", ["_labels", "_shares", "_lasts"], spread_by)
+
+
 def _best_long(terms: DataFrame, model: UnigramModel, keys: list[str], lam: float, ties: str, broadcast_bytes: int) -> DataFrame:
     """Sparse argmax over many classes, without posts times classes.
 
-    Gains are never negative, and a class without evidence scores matched * ln prior. So besides the
-    classes with evidence only the most frequent class without any can win, with those as frequent as it:
-    the first rank, by prior, that the evidence leaves out.
+    Classes are ranked by falling prior and stand in blocks of ranks. A block with words of the post is compared within
+    its row. Gains are never negative, and a class without evidence scores matched * ln prior, so of all other blocks only
+    the first can win, with its first class; as good as that are just the ranks up to the last class of the same prior, and
+    all of them where no word matched. These ties are a range of ranks, unrolled only where all ties are asked for.
     """
-    name = model.label
-    order = Window.orderBy(F.desc("n"), F.asc(name))  # narrow rows, one per class
-    ranked = model.class_table.select(F.col(name).alias("_label"), F.ln("prior").alias("_share"), "n", (F.row_number().over(order) - 1).alias("_rank"))
-    ranked = materialize(ranked, "ranked-classes")
-    found = _evidence(terms, model, keys, lam, broadcast_bytes)
-    shares = F.broadcast(ranked.drop("n")) if is_small(ranked) else ranked.drop("n")
-    found = found.join(shares, "_label", "left")
-    entry = F.when(F.col("_label").isNotNull(), F.struct("_rank", "_label", "_share", _as_double(F.col("_h"), F.col("_l")).alias("_gain")))
-    rows = found.groupBy(*keys).agg(F.max("_m").alias("_matched"), F.array_sort(F.collect_list(entry)).alias("_own"))
-    # entries stand by rank, so the first gap is where an entry's rank is not its place
-    gap = F.filter(F.transform("_own", lambda e, i: F.when(e["_rank"] != i, i)), lambda i: i.isNotNull())
-    rows = rows.withColumn("_gap", F.coalesce(F.get(gap, F.lit(0)), F.size("_own")))
-    next_ = ranked.select(F.col("_rank").alias("_gap"), F.col("n").alias("_n"), F.col("_share").alias("_next"))
-    rows = rows.join(F.broadcast(next_) if is_small(ranked) else next_, "_gap", "left")
-    of_own = lambda e: F.col("_matched") * e["_share"] + e["_gain"]
-    of_next = F.col("_matched") * F.col("_next") + F.lit(0.0)
-    best = F.greatest(F.array_max(F.transform("_own", of_own)), of_next)
-    rows = materialize(rows.withColumn("max_score", best), "best")
-    winners = F.filter("_own", lambda e: of_own(e) == F.col("max_score"))
-    with_words = rows.select(*keys, F.inline(F.transform(winners, lambda e: F.struct(e["_label"].alias("prediction"), F.col("max_score").alias("score")))), "max_score")
-    # classes without evidence: as frequent as the first of them; all of them where no word matched
-    open_ = rows.where(of_next == F.col("max_score")).withColumn("_taken", F.transform("_own", lambda e: e["_rank"]))
-    no_words, some = open_.where("_matched = 0"), open_.where("_matched > 0")
-    every = expand_classes(no_words.select(*keys, "max_score"), ranked.select("_label"), "_label", keys[0], "prediction")
-    same = some.select(*keys, "max_score", "_taken", "_n").join(ranked.select(F.col("_label").alias("prediction"), "_rank", F.col("n").alias("_n")), "_n")
-    same = same.where(~F.array_contains("_taken", F.col("_rank")))
-    without = every.unionByName(same.select(*keys, "max_score", "prediction")).select(*keys, "prediction", F.col("max_score").alias("score"), "max_score")
-    both = with_words.unionByName(without)
-    if ties == "all":
-        return both
-    first = both.groupBy(*keys).agg(F.min("prediction").alias("prediction"), F.max("max_score").alias("max_score"))
-    return first.select(*keys, "prediction", F.col("max_score").alias("score"), "max_score")
+    name, id = model.label, keys[0]
+    rank = F.struct("rank", F.col(name).alias("label"), F.ln("prior").alias("share"), "last")
+    blocks = model.class_table.groupBy(F.floor(F.col("rank") / BLOCK).cast("int").alias("block")).agg(F.sort_array(F.collect_list(rank)).alias("_c"))
+    blocks = blocks.select("block", F.col("_c.label").alias("_labels"), F.col("_c.share").alias("_shares"), F.col("_c.last").alias("_lasts"))
+    small, n_blocks = model.n_classes <= SMALL_ROWS, -(-model.n_classes // BLOCK)
+    found = materialize(_block_sums(terms, model, keys, lam, broadcast_bytes), "block-sums")
+    # how many words of the post matched stands in one of its rows
+    found = found.withColumn("_matched", F.max("_m").over(Window.partitionBy(*keys))).drop("_m")
+    found = _join_blocks(found, blocks, "block", small, id)
+    scores_ = F.zip_with("gains", "_shares", lambda g, s: F.col("_matched") * s + g)
+    found = found.withColumn("_scores", F.when(F.col("block") >= 0, scores_)).withColumn("_top", F.array_max("_scores"))
+    best_here = F.filter(F.arrays_zip(F.col("_labels").alias("label"), F.col("_scores").alias("score")), lambda c: c["score"] == F.col("_top"))
+    first_here = F.array_min(F.transform(best_here, lambda c: c["label"]))
+    own = F.when(F.col("block") >= 0, F.col("block"))
+    posts = found.groupBy(*keys).agg(
+        F.max("_matched").alias("_matched"),
+        F.sort_array(F.collect_list(own)).alias("_own"),
+        F.max("_top").alias("_own_top"),
+        F.min(F.when(F.col("block") >= 0, F.struct((-F.col("_top")).alias("neg"), first_here.alias("label")))).alias("_first"),
+    )
+    # blocks stand in order, so the first without words of the post is where a block is not its place
+    gap = F.filter(F.transform("_own", lambda b, i: F.when(b != i, i)), lambda i: i.isNotNull())
+    posts = posts.withColumn("_gap", F.coalesce(F.get(gap, F.lit(0)), F.size("_own")))
+    posts = _join_blocks(posts, blocks, "_gap", small, id)
+    next_ = F.col("_matched") * F.get("_shares", F.lit(0)) + F.lit(0.0)
+    posts = posts.withColumn("max_score", F.greatest("_own_top", next_)).withColumn("_open", F.coalesce(next_ == F.col("max_score"), F.lit(False)))
+    if ties == "first":
+        least = F.lit(model.class_table.agg(F.min(name)).first()[0])
+        from_own = F.when(F.col("_own_top") == F.col("max_score"), F.col("_first.label"))
+        from_next = F.when(F.col("_open"), F.get("_labels", F.lit(0)))
+        label = F.when(F.col("_matched") == 0, least).otherwise(F.coalesce(F.least(from_own, from_next), from_own, from_next))
+        return posts.select(*keys, label.alias("prediction"), F.col("max_score").alias("score"), "max_score")
+    last = F.when(F.col("_matched") == 0, F.lit(model.n_classes - 1)).otherwise(F.get("_lasts", F.lit(0)))
+    posts = materialize(posts.select(*keys, "_own", "_gap", last.alias("_last"), "_open", "max_score"), "best")
+    rows = found.where("block >= 0").join(posts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "max_score"), F.col(id).eqNullSafe(F.col(f"_k_{id}")))
+    rows = rows.where(F.col("_top") == F.col("max_score"))
+    winner = lambda label: F.struct(label.alias("prediction"), F.col("max_score").alias("score"))
+    with_words = rows.select(*keys, F.inline(F.transform(best_here, lambda c: winner(c["label"]))), "max_score")
+    to_last = F.array_except(F.sequence("_gap", F.least(F.floor(F.col("_last") / BLOCK).cast("int"), F.lit(n_blocks - 1))), "_own")
+    ranges = posts.where("_open").select(*keys, "max_score", "_last", F.explode(to_last).alias("block"))
+    ranges = _join_blocks(ranges, blocks, "block", small, id)
+    tied = F.filter("_labels", lambda _, i: F.col("block") * BLOCK + i <= F.col("_last"))
+    without = ranges.select(*keys, F.inline(F.transform(tied, winner)), "max_score")
+    return with_words.unionByName(without)
 
 
 def _scores_long(posts, terms, model, keys, lam, prior, broadcast_bytes, name) -> DataFrame:

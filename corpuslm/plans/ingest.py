@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpuslm.functions import text as tx
 from corpuslm.operators import prep
 from corpuslm.plans.classify import Classified, classify
+from corpuslm.plans.shared import materialize
 from corpuslm.sources.jsonlines import read_posts, write_if_absent
 
 
@@ -37,9 +38,16 @@ def ingest(posts: DataFrame, path: str) -> DataFrame:
 
 
 def classify_stored(stored: DataFrame, lam: float = 0.5, ties: str = "all") -> Classified:
-    """Classify a scanned post table; a post is known by author and creation time."""
-    keyed = stored.withColumn("key", tx.post_key(F.col("author"), F.col("created")))
-    return classify(keyed, "key", lam=lam, ties=ties)
+    """Classify a scanned post table. Posts of one author and creation time compete, as a post is known by these two.
+
+    The stored rows are written with a number of their own, so each is scored by itself however many share its key, null
+    ones included. The predictions are the best rows of a key, with the key as text.
+    """
+    posts = materialize(stored.withColumn("post", F.monotonically_increasing_id()), "stored-posts")
+    done = classify(posts, "post", by=["created", "author"], lam=lam, ties=ties)
+    key = tx.post_key(F.col("author"), F.col("created")).alias("key")
+    done.predictions = done.predictions.select(key, *[c for c in done.predictions.columns if c != "post"])
+    return done
 
 
 def stage_table(posts: DataFrame, index, id: str) -> DataFrame:

@@ -1,6 +1,8 @@
 import pytest
 
-from corpuslm.operators.predict import max_score, predict
+from corpuslm.operators import models
+from corpuslm.operators.predict import max_score, predict, scores_with_max
+from corpuslm.operators.scoring import scores
 from corpuslm.plans.classify import classify
 
 
@@ -68,3 +70,29 @@ def test_classify_by_key_is_predict_over_all_scores(documents, ties):
     want = predict(done.scores, ["author"], "doc_id", ties)
     assert keyed(done.predictions, *sorted(want.columns)) == keyed(want, *sorted(want.columns))
     assert done.predictions.columns == want.columns
+
+
+@pytest.mark.parametrize("wide", [32, 1])
+def test_scores_with_max_is_max_score_over_scores(spark, micro, wide):
+    """One row per post is written at most; shared and null keys; the score's own columns stay."""
+    posts = micro.where("flair IS NOT NULL").union(spark.createDataFrame([(7, None, "d1", "tech", "bread"), (8, None, "d1", "food", "fast sql"), (9, "ann", "d1", "food", None)], micro.schema))
+    model = models.fit(posts, wide=wide)
+    got = scores_with_max(posts, model, "id", ["created", "author"], keep=("created", "author"))
+    own = {(r["id"], r["class"]): r for r in scores(posts, model, "id", keep=("created", "author")).collect()}
+    best = {}
+    for r in own.values():
+        best[r["created"], r["author"]] = max(best.get((r["created"], r["author"]), -1e9), r["score"])
+    rows = got.collect()
+    assert got.columns == ["id", "created", "author", "class", "score", "max_score"] and len(rows) == len(own)
+    assert all((r["score"], r["max_score"]) == (own[r["id"], r["class"]]["score"], best[r["created"], r["author"]]) for r in rows)
+
+
+def test_max_score_writes_a_row_per_post(spark, monkeypatch):
+    from corpuslm.operators import predict as module
+
+    written = []
+    keep = module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, name: written.append(keep(df, name)) or written[-1])
+    df = spark.createDataFrame([(i, f"k{i % 3}", "a", float(c), float(c * i % 5)) for i in range(50) for c in range(6)], "id int, created string, author string, class double, score double")
+    assert max_score(df, ["created", "author"], "id").count() == 300
+    assert [w.count() for w in written] == [50]

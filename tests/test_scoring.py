@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from corpuslm.operators import models
 from corpuslm.operators.crossed import crossed
 from corpuslm.operators.predict import predict
-from corpuslm.operators.scoring import _as_double, _high, _low, best_classes, distinct_terms, expand_classes, match, scores
+from corpuslm.operators.scoring import _as_double, _high, _low, best_classes, distinct_terms, expand_classes, match, scores, tile_grid
 from tests import brute
 
 WANT = {
@@ -174,6 +174,30 @@ def test_best_of_many_classes(spark, documents, ties, size):
     assert sorted(map(key, best.collect())) == sorted(map(key, want.collect()))
 
 
+def test_ties_of_many_classes_are_ranges_of_ranks(spark):
+    """Seventy classes in four ranges of equal priors; words of some of them, of one block, of none."""
+    train = [(i, f"c{i % 70:02d}", f"w{i % 70 % 9} common" if i % 70 < 40 else f"own{i % 70}") for i in range(70 * 2 + 35)]
+    schema = "id bigint, flair string, text string"
+    texts = ["common", "w3", "w3 common", "own69", "own41 own42", "", "zz", None, " ".join(f"own{i}" for i in range(40, 70))]
+    posts = spark.createDataFrame([(1000 + i, "c00", t) for i, t in enumerate(texts)], schema)
+    model = models.fit(spark.createDataFrame(train, schema))
+    ranks = {r["flair"]: (r["rank"], r["last"]) for r in model.class_table.collect()}
+    assert ranks["c00"] == (0, 34) and ranks["c69"] == (69, 69) and ranks["c35"] == (35, 69)
+    key = lambda r: (r["id"], r["prediction"], round(r["score"], 9))
+    for ties in ("all", "first"):
+        best = best_classes(posts, model, "id", ties=ties)
+        want = predict(scores(posts, model, "id"), ["id"], "id", ties)
+        assert sorted(map(key, best.collect())) == sorted(map(key, want.collect()))
+
+
+def test_first_of_many_classes_makes_no_row_per_class(spark, documents):
+    posts = documents.select("doc_id", F.concat("source", F.lit("-"), "lang").alias("flair"), "text")
+    best = best_classes(posts, models.fit(posts), "doc_id", ties="first")
+    plan = best._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Cartesian" not in plan
+    assert all("doc_id" in line for line in plan.splitlines() if "Window [" in line)
+
+
 @pytest.mark.parametrize("wide", [32, 1])
 def test_a_large_model_reads_the_posts_once(micro, wide):
     model = models.fit(micro, wide=wide)
@@ -198,6 +222,27 @@ def test_expand_classes(spark, limit):
     assert sorted(map(tuple, got)) == [(i, c, n) for i in range(50) for c, n in (("a", 1), ("b", 2), ("c", 3))]
 
 
+def test_tiles_follow_both_sides(spark):
+    assert tile_grid(10, 10) == (1, 1)
+    for n, k in ((1_000, 12_000), (10**9, 20_000), (50, 10**6), (10**6, 10**6)):
+        rows, columns = tile_grid(n, k)
+        assert rows * columns >= n * k / 1e6 and columns <= k
+        # copying less on one side costs more on the other
+        copies = n * columns + k * rows
+        assert all(copies <= 1.6 * (n * c + k * -(-rows * columns // c)) for c in (max(1, columns // 3), columns * 3))
+
+
+def test_more_than_ten_thousand_classes_by_tiles(spark):
+    posts = spark.range(60).withColumnRenamed("id", "post")
+    classes = spark.range(10_050).select(F.concat(F.lit("c"), "id").alias("flair"), F.col("id").alias("n"))
+    by_tiles = expand_classes(posts, classes, "flair", spread_by="post", tile_pairs=1_500)
+    unrolled = expand_classes(posts, classes, "flair", spread_by="post", small_limit=20_000)
+    digest = lambda df: df.agg(F.count("*"), F.bit_xor(F.xxhash64("post", "class", "n"))).first()
+    assert digest(by_tiles) == digest(unrolled)
+    filled = by_tiles.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert filled > 256
+
+
 def test_crossed_maps(micro):
     model = models.fit(micro)
     for size in (64 << 20, 1):
