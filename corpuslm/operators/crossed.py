@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuslm.functions.frequency import run_lengths
 from corpuslm.functions.text import ws_tokens
-from corpuslm.operators.models import UnigramModel
+from corpuslm.operators.models import BLOCK, UnigramModel
 from corpuslm.operators.scoring import ROW_BYTES, expand_classes, match
 from corpuslm.plans.shared import materialize
 from corpuslm.plans.sizes import BROADCAST_BYTES
@@ -73,12 +73,13 @@ def _many_classes(posts: DataFrame, terms: DataFrame, model: UnigramModel, keys:
         F.map_from_entries(F.collect_set(used)).alias("words_freq"),
         F.map_from_entries(F.collect_list(found)).alias("background_statistical_lm"),
     )
-    own = joined.where("counts IS NOT NULL").select(id, "word", F.inline("counts"))
-    own = own.groupBy(id, F.col("label").alias("class")).agg(
-        F.map_from_entries(F.collect_list(F.struct("word", F.col("n") / F.col("label_total")))).alias("statistical_lm")
+    own = joined.where("blocks IS NOT NULL").select(id, "word", F.inline("blocks"))
+    own = own.select(id, "word", "block", F.posexplode("shares").alias("_i", "_p")).where("_p IS NOT NULL")
+    own = own.groupBy(id, (F.col("block") * BLOCK + F.col("_i")).cast("bigint").alias("rank")).agg(
+        F.map_from_entries(F.collect_list(F.struct("word", "_p"))).alias("statistical_lm")
     )
-    pairs = expand_classes(posts.select(*keys), model.class_table.drop("n"), model.label, id)
-    full = pairs.join(maps, id).join(own, [id, "class"], "left")
+    pairs = expand_classes(posts.select(*keys), model.class_table.select(model.label, "prior", "rank"), model.label, id)
+    full = pairs.join(maps, id).join(own, [id, "rank"], "left")
     empty = F.create_map().cast("map<string,double>")
     return full.select(
         *keys, "words_freq", "background_statistical_lm", "class", "prior", F.coalesce("statistical_lm", empty).alias("statistical_lm")

@@ -100,8 +100,8 @@ class UnigramModel:
 
     Few classes: `classes` lists them and `table` has one row per word (word, n, n_0, n_1, ...), where
     n_i is the count in classes[i]. Many classes: `classes` is None and `table` has one row per word too,
-    (word, n, counts, blocks): counts is an array of (label, n, label_total) of the classes that have the word, blocks one of
-    (block, shares), where shares[i] is n / label_total of the class of rank block * BLOCK + i, and null if that has no such word.
+    (word, n, blocks), where blocks is an array of (block, shares) and shares[i] is the share of the word among the words of the
+    class of rank block * BLOCK + i, null if that has no such word.
     `class_table` holds (label, n), with many classes also prior, rank and last (see ranked_classes). save() and load() keep a model.
     """
 
@@ -115,9 +115,6 @@ class UnigramModel:
     total: int  # all words
     word_bytes: int
     class_totals: list[int] | None
-    least_class_total: int
-    most_classes: int = 0  # classes of one word at most, with many classes
-    entries: int = 0  # of all words, with many classes
     most_blocks: int = 0  # blocks of one word at most, with many classes
     blocks: int = 0  # of all words, with many classes
 
@@ -184,7 +181,6 @@ def fit(
         total=size["total"] or 0,
         word_bytes=size["bytes"] or 0,
         class_totals=totals,
-        least_class_total=min([t for t in totals if t], default=1),
     )
 
 
@@ -193,22 +189,16 @@ def _fit_long(terms: DataFrame, label: str, counts: DataFrame) -> UnigramModel:
     counts = materialize(ranked_classes(materialize(counts, "class-counts"), label), "classes")
     terms = materialize(terms.select(label, "word", "n"), "terms")
     terms = with_class_totals(terms, label, is_small(counts, SMALL_ROWS), counts)
-    entry = F.struct(F.col(label).alias("label"), "n", "label_total")
     place, share = F.col("rank") % BLOCK, F.col("n") / F.col("label_total")
-    shares = [F.max(F.when(place == i, share)) for i in range(BLOCK)]
+    shares = [F.max(F.when(place == i, share)).alias(f"_{i}") for i in range(BLOCK)]
     block = F.floor(F.col("rank") / BLOCK).cast("int").alias("block")
-    parts = terms.groupBy("word", block).agg(F.sum("n").alias("n"), F.collect_list(entry).alias("counts"), F.array(*shares).alias("shares"))
-    words = parts.groupBy("word").agg(
-        F.sum("n").alias("n"), F.flatten(F.collect_list("counts")).alias("counts"), F.collect_list(F.struct("block", "shares")).alias("blocks")
-    )
-    table = materialize(words, "model")
+    parts = terms.groupBy("word", block).agg(F.sum("n").alias("n"), *shares)
+    entry = F.struct("block", F.array(*[f"_{i}" for i in range(BLOCK)]).alias("shares"))
+    table = materialize(parts.groupBy("word").agg(F.sum("n").alias("n"), F.collect_list(entry).alias("blocks")), "model")
     size = table.agg(
         F.count("*").alias("words"),
         F.sum("n").alias("total"),
         F.sum(F.octet_length("word")).alias("bytes"),
-        F.min(F.array_min(F.transform("counts", lambda e: e["label_total"]))).alias("least"),
-        F.max(F.size("counts")).alias("most"),
-        F.sum(F.size("counts")).alias("entries"),
         F.max(F.size("blocks")).alias("most_blocks"),
         F.sum(F.size("blocks")).alias("blocks"),
     ).first()
@@ -224,9 +214,6 @@ def _fit_long(terms: DataFrame, label: str, counts: DataFrame) -> UnigramModel:
         total=size["total"] or 0,
         word_bytes=size["bytes"] or 0,
         class_totals=None,
-        least_class_total=size["least"] or 1,
-        most_classes=size["most"] or 0,
-        entries=size["entries"] or 0,
         most_blocks=size["most_blocks"] or 0,
         blocks=size["blocks"] or 0,
     )

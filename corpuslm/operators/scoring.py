@@ -31,9 +31,8 @@ from corpuslm.plans.skew import LONGEST_KEY, lookup_join
 # Fixed value: the smoothing weight when the caller does not say.
 LAMBDA = 0.5
 
-# Bytes per row of a broadcast hash table, besides its values, and of a class's entry in it.
+# Bytes per row of a broadcast hash table, besides its values, and of a block of classes in it.
 ROW_BYTES = 48
-ENTRY_BYTES = 48
 BLOCK_BYTES = 8 * BLOCK + 64
 # Gains are multiples of 2^-FRACTION, summed as a high part and the LOW lowest bits: a gain is below 64 and a cell of
 # text holds fewer than 2^31 words, so neither sum can leave 63 bits.
@@ -116,21 +115,18 @@ def match(
     value_bytes: int,
     spread_by: str,
     broadcast_bytes: int,
-    entries: tuple[int, int, int] | None = None,
 ) -> DataFrame:
     """terms LEFT JOIN gains on word; gains has one row per word, with its count n.
 
     A model of checked size is broadcast whole. Otherwise the few words that make up a large part of
     the model are looked up by broadcast and their rows spread, and all rows go through one join.
     Either way the terms are read once. What is common in the posts but not in the model has one row on the
-    model's side, so that Spark can split it. `entries` tells how many array entries all rows and one row at most have, and
-    their bytes; without it they are the classes of the words.
+    model's side, so that Spark can split it.
     """
-    n, most, size = entries or (model.entries, model.most_classes, ENTRY_BYTES)
     words = model.n_words * (value_bytes + ROW_BYTES)
-    if model.word_bytes + words + n * size <= broadcast_bytes:
+    if model.word_bytes + words + model.blocks * BLOCK_BYTES <= broadcast_bytes:
         return terms.join(F.broadcast(gains), "word", "left")
-    per_word = value_bytes + ROW_BYTES + LONGEST_KEY + most * size
+    per_word = value_bytes + ROW_BYTES + LONGEST_KEY + model.most_blocks * BLOCK_BYTES
     values = [c for c in gains.columns if c != "word"]
     hot = broadcast_bytes // per_word // 2
     return lookup_join(terms, gains, ["word"], "n", values, spread_by, keys=hot, spread_nulls=True)
@@ -243,24 +239,6 @@ def _class_score(model: UnigramModel, i: int, lam: float, prior: str) -> Column:
     return times * F.lit(share) + _as_double(F.col(f"_h_{i}"), F.col(f"_l_{i}"))
 
 
-def _evidence(terms: DataFrame, model: UnigramModel, keys: list[str], lam: float, broadcast_bytes: int) -> DataFrame:
-    """(keys, _label, _h, _l, _m) of the classes that have words of a post; _m is the number of the post's words
-    that the model has, on one row of each post whose _label is null. Many classes only."""
-    table = model.table.select("word", "n", "counts")
-    joined = match(terms, table, model, 16, keys[0], broadcast_bytes)
-    own = F.transform(
-        "counts",
-        lambda e: F.struct(
-            e["label"].alias("_label"),
-            _fixed(F.log1p(F.lit((1 - lam) / lam) * e["n"].cast("double") * F.lit(float(model.total)) / e["label_total"] / F.col("n"))).alias("_g"),
-        ),
-    )
-    none = F.array(F.struct(F.lit(None).cast(model.class_table.schema[model.label].dataType).alias("_label"), F.lit(None).cast("bigint").alias("_g")))
-    rows = joined.select(*keys, "n", F.inline(F.concat(none, F.coalesce(own, F.slice(none, 1, 0)))))
-    matched = F.count(F.when(F.col("_label").isNull(), F.col("n")))
-    return rows.groupBy(*keys, "_label").agg(_high("_g").alias("_h"), _low("_g").alias("_l"), matched.alias("_m"))
-
-
 def _block_sums(terms: DataFrame, model: UnigramModel, keys: list[str], lam: float, broadcast_bytes: int) -> DataFrame:
     """(keys, block, gains, _m): the summed gains of the BLOCK classes of each block that has words of a post; _m is the number of
     the post's words that the model has, on one row of each post whose block is -1. Many classes only."""
@@ -268,7 +246,7 @@ def _block_sums(terms: DataFrame, model: UnigramModel, keys: list[str], lam: flo
     gain = lambda share: _fixed(F.log1p(F.lit((1 - lam) / lam) * share * ratio))
     own = F.transform("blocks", lambda b: F.struct(b["block"].alias("block"), F.transform(b["shares"], gain).alias("_g")))
     table = model.table.select("word", "n", own.alias("_blocks"))
-    joined = match(terms, table, model, 16, keys[0], broadcast_bytes, (model.blocks, model.most_blocks, BLOCK_BYTES))
+    joined = match(terms, table, model, 16, keys[0], broadcast_bytes)
     none = F.array(F.struct(F.lit(-1).alias("block"), F.lit(None).cast("array<bigint>").alias("_g")))
     rows = joined.select(*keys, "n", F.inline(F.concat(none, F.coalesce("_blocks", F.slice(none, 1, 0)))))
     rows = rows.select(*keys, "block", "n", *[F.get("_g", F.lit(i)).alias(f"_g_{i}") for i in range(BLOCK)])
@@ -279,6 +257,14 @@ def _block_sums(terms: DataFrame, model: UnigramModel, keys: list[str], lam: flo
     return found.select(*keys, "block", gains.alias("gains"), "_m")
 
 
+def _class_blocks(model: UnigramModel) -> DataFrame:
+    """(block, _labels, _shares, _lasts): labels, log priors and last equal ranks of the classes of each block, by rank."""
+    rank = F.struct("rank", F.col(model.label).alias("label"), F.ln("prior").alias("share"), "last")
+    block = F.floor(F.col("rank") / BLOCK).cast("int").alias("block")
+    blocks = model.class_table.groupBy(block).agg(F.sort_array(F.collect_list(rank)).alias("_c"))
+    return blocks.select("block", F.col("_c.label").alias("_labels"), F.col("_c.share").alias("_shares"), F.col("_c.last").alias("_lasts"))
+
+
 def _join_blocks(rows: DataFrame, blocks: DataFrame, on: str, small: bool, spread_by: str) -> DataFrame:
     """Add labels, shares and last ranks of a block's classes; any share of the rows may ask for one block."""
     table = blocks.withColumnRenamed("block", on)
@@ -297,9 +283,7 @@ def _best_long(terms: DataFrame, model: UnigramModel, keys: list[str], lam: floa
     all of them where no word matched. These ties are a range of ranks, unrolled only where all ties are asked for.
     """
     name, id = model.label, keys[0]
-    rank = F.struct("rank", F.col(name).alias("label"), F.ln("prior").alias("share"), "last")
-    blocks = model.class_table.groupBy(F.floor(F.col("rank") / BLOCK).cast("int").alias("block")).agg(F.sort_array(F.collect_list(rank)).alias("_c"))
-    blocks = blocks.select("block", F.col("_c.label").alias("_labels"), F.col("_c.share").alias("_shares"), F.col("_c.last").alias("_lasts"))
+    blocks = _class_blocks(model)
     small, n_blocks = model.n_classes <= SMALL_ROWS, -(-model.n_classes // BLOCK)
     found = materialize(_block_sums(terms, model, keys, lam, broadcast_bytes), "block-sums")
     # how many words of the post matched stands in one of its rows
@@ -343,13 +327,13 @@ def _best_long(terms: DataFrame, model: UnigramModel, keys: list[str], lam: floa
 
 
 def _scores_long(posts, terms, model, keys, lam, prior, broadcast_bytes, name) -> DataFrame:
-    """Many classes: sums by (post, class) that has evidence, then the classes without a match."""
+    """Many classes: every post with every block of classes, and the sums of the blocks that have words of it."""
     id = keys[0]
-    found = materialize(_evidence(terms.select(id, "word"), model, [id], lam, broadcast_bytes), "evidence")
-    matched = found.where("_label IS NULL").select(id, F.col("_m").alias("_matched"))
-    found = found.where("_label IS NOT NULL").select(id, F.col("_label").alias(name), _as_double(F.col("_h"), F.col("_l")).alias("_gain"))
-    pairs = expand_classes(posts.select(*keys), model.class_table, model.label, id, name)
-    full = pairs.join(found, [id, name], "left").join(matched, id, "left")
+    found = materialize(_block_sums(terms.select(id, "word"), model, [id], lam, broadcast_bytes), "block-sums")
+    matched = found.where("block = -1").select(id, F.col("_m").alias("_matched"))
+    pairs = expand_classes(posts.select(*keys), _class_blocks(model), "block", id, "block")
+    full = pairs.join(found.where("block >= 0").select(id, "block", "gains"), [id, "block"], "left").join(matched, id, "left")
     times = F.coalesce("_matched", F.lit(0)) if prior == "word" else F.lit(1)
-    score = times * F.ln("prior") + F.coalesce("_gain", F.lit(0.0))
-    return full.select(*keys, name, score.alias("score"))
+    gain = lambda i: F.coalesce(F.get("gains", i), F.lit(0.0))
+    entry = lambda i: F.struct(F.get("_labels", i).alias(name), (times * F.get("_shares", i) + gain(i)).alias("score"))
+    return full.select(*keys, F.inline(F.transform("_labels", lambda _, i: entry(i))))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Row
 
@@ -16,8 +18,13 @@ from corpuslm.operators.scoring import LAMBDA, best_classes, scores
 class Classified:
     labels: LabelIndex
     model: UnigramModel
-    scores: DataFrame
     predictions: DataFrame
+    score_all: Callable[[], DataFrame]
+
+    @cached_property
+    def scores(self) -> DataFrame:
+        """All scores. With many classes they take jobs of their own, which the predictions don't need."""
+        return self.score_all()
 
 
 def classify(
@@ -41,11 +48,10 @@ def classify(
     model = fit(indexed, "label", text, classes)
     by = by or [id]
     keep = tuple(c for c in by if c != id) + ("label",)
-    scored = scores(indexed, model, id, text, keep=keep, lam=lam)
     if by == [id]:
         best = best_classes(indexed, model, id, text, keep=keep, lam=lam, ties=ties)
     else:
         # the best of a key is among the best of its posts
         own = best_classes(indexed, model, id, text, keep=keep, lam=lam)
         best = predict(own.drop("max_score"), by, id, ties, name="prediction")
-    return Classified(labels, model, scored, best)
+    return Classified(labels, model, best, lambda: scores(indexed, model, id, text, keep=keep, lam=lam))
