@@ -33,7 +33,7 @@ _WIDE = [
     ("phone", re.compile(r"(?<![0-9A-Za-z])(?:\([0-9]{2,4}\)|[0-9]{2,4})[ ./-][0-9]{3,4}[ .-][0-9]{3,4}(?![0-9A-Za-z])")),
     ("id", re.compile(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])")),
     ("id", re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![0-9A-Za-z])")),
-    ("secret", re.compile(r"(?<![0-9A-Za-z_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{20,200}(?![0-9A-Za-z_+/-])")),
+    ("secret", re.compile(r"(?<![0-9A-Za-z_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{20,}+")),
 ]
 _ASSIGNED = re.compile(r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth)[\"']?\s{0,3}[=:]\s{0,3}[\"']?$")
 _HINT = re.compile(r"(?i)mail|phone|tel|call|mobile|fax|card|visa|pay|host|addr|server|ssn|iban|account|contact")
@@ -47,6 +47,14 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+_PARTS, _WORDY = re.compile(r"[^A-Za-z0-9]+"), re.compile(r"[0-9]*|[A-Z]?[a-z]*|[A-Z]+")
+
+
+def mixed_share(s: str) -> float:
+    """Share of the characters in parts that are neither a number nor a word: 0 for paths, names and dates."""
+    return sum(len(p) for p in _PARTS.split(s) if not _WORDY.fullmatch(p)) / len(s)
+
+
 def digits_of(s: str) -> str:
     return "".join(c for c in s if c in "0123456789")
 
@@ -97,13 +105,14 @@ def proposals(t: str, wide: bool = True) -> tuple[list[tuple[str, int, int]], li
                 label = -1
                 if kind == "secret":
                     assigned = _ASSIGNED.search(t, max(0, m.start() - 40), m.start())
-                    label = 1 if assigned else 0 if len(set(m[0])) < 8 else -1
+                    # words and numbers with separators, as in a path, are no secret unless something says so
+                    label = 1 if assigned else 0 if len(set(m[0])) < 8 or mixed_share(m[0]) == 0 else -1
                 candidates.append((kind, *m.span(), label))
     return base, candidates
 
 
 FEATURES = ("email ip card phone secret id length digits digit_share upper_share lower_share separators distinct luhn "
-            "small_parts plus word_before word_after assigned hint distance_digits").split()
+            "small_parts plus word_before word_after assigned hint distance_digits mixed").split()
 
 
 def features(t: str, kind: str, start: int, end: int) -> list[float]:
@@ -116,7 +125,7 @@ def features(t: str, kind: str, start: int, end: int) -> list[float]:
         n, len(digits), len(digits) / n, sum(c.isupper() for c in s) / n, sum(c.islower() for c in s) / n,
         sum(not c.isalnum() for c in s), len(set(s)), luhn(digits) if digits else 0.0,
         all(len(p) <= 3 for p in parts), s[0] == "+", before[-1:].isalnum(), t[end : end + 1].isalnum(),
-        bool(_ASSIGNED.search(before)), bool(_HINT.search(before)), abs(len(digits) - 16),
+        bool(_ASSIGNED.search(before)), bool(_HINT.search(before)), abs(len(digits) - 16), mixed_share(s),
     ]
 
 

@@ -97,3 +97,23 @@ def test_redaction_and_added_secrets(spark):
     out = {r.doc_id: r for r in pii.redact(df, model).collect()}
     assert out[1].text == '😀 token = "[SECRET]" mail [EMAIL] [PHONE]'
     assert out[2].text is None and out[3].text == "plain words only" and out[3].source == "z"
+
+
+def test_secrets_of_any_length_and_no_paths(spark):
+    """Assigned secrets of up to 5,000 characters are found, bare ones too; paths of words and numbers are left alone."""
+    import random
+    import string
+
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice(string.ascii_lowercase) for _ in range(rng.randrange(3, 9)))
+    secret = lambda n: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
+    path = lambda: f"{word()}/{word()}_{word()}/{word()}-{rng.randrange(1000, 9999)}/{word()}_{rng.randrange(99)}"
+    train = [(i, f"{word()} api_key = {secret(rng.choice([24, 40, 64]))} and https://www.example.org/{path()} {word()}") for i in range(400)]
+    model = pii.fit(spark.createDataFrame(train, "doc_id bigint, text string"))
+    lengths = [20, 40, 200, 201, 5_000]
+    planted = [(i, f"see token: {secret(n)} here") for i, n in enumerate(lengths)]
+    paths = [(100 + i, f"go to https://www.example.org/{path()}/article_about_things_2024 now") for i in range(200)]
+    rows = pii.redact(spark.createDataFrame(planted + paths, "doc_id bigint, text string"), model).collect()
+    texts = {r["doc_id"]: r["text"] for r in rows}
+    assert all("see token: " in texts[i] and len(texts[i]) < 40 for i in range(len(lengths)))
+    assert sum(texts[i] != t for i, t in paths) <= 2
