@@ -14,6 +14,10 @@ from corpuslm.plans.shared import materialize
 from corpuslm.plans.skew import lookup_join
 
 
+# Ranges of a histogram that is brought to the driver.
+HISTOGRAM = 1_024
+
+
 def term_counts(posts: DataFrame, id: str, tokens: Column) -> DataFrame:
     """(id, term, n). A post is one row, so its counts are made in place, without a shuffle."""
     return unroll_structs(posts, [id], run_lengths(tokens), "term")
@@ -47,10 +51,38 @@ def vocabulary(posts: DataFrame, tokens: Column, size: int | None = None) -> Dat
 def rank_terms(counts: DataFrame, size: int | None = None) -> DataFrame:
     """Add term_index to (term, n, ...), by falling n and then by term; with a size, keep the first ones.
 
-    A vocabulary is too long for a top-k, which would merge that many rows of every task in one.
+    A vocabulary is too long for a top-k, which would merge that many rows of every task in one. With a size the count
+    of the last term is found first, and only terms that reach it are numbered: the wanted ones and those that tie with the last.
+    """
+    order = [F.desc("n"), F.asc("term")]
+    if size is None:
+        return number_rows(counts, order, "term_index")
+    counts = materialize(counts, "term-counts")
+    cut = least_count(counts, size)
+    reached = counts.where(F.col("n") >= cut) if cut is not None else counts
+    return number_rows(reached, order, "term_index").where(F.col("term_index") < size)
+
+
+def least_count(counts: DataFrame, size: int, ranges: int = HISTOGRAM) -> int | None:
+    """The greatest n that at least `size` rows of (n, ...) reach, or None where there are fewer rows.
+
+    A histogram of at most `ranges` ranges of n tells in which of them that count lies; the next one splits that range, until it
+    holds a single count. So the driver sees a bounded number of sums, however long the table or great the counts are.
     """
-    ranked = number_rows(counts, [F.desc("n"), F.asc("term")], "term_index")
-    return ranked if size is None else ranked.where(F.col("term_index") < size)
+    low, high, total = counts.agg(F.min("n"), F.max("n"), F.count("*")).first()
+    if size <= 0 or total < size:
+        return None if size > 0 else high + 1 if high is not None else None
+    above = 0  # rows beyond the range
+    while low < high:
+        width = -(-(high - low + 1) // ranges)
+        place = F.floor((F.col("n") - low) / width).alias("place")
+        inside = counts.where(F.col("n").between(low, high)).groupBy(place).agg(F.count("*").alias("rows"))
+        for place, rows in sorted(map(tuple, inside.collect()), reverse=True):
+            if above + rows >= size:
+                low, high = low + place * width, min(high, low + (place + 1) * width - 1)
+                break
+            above += rows
+    return low
 
 
 def count_vectors(posts: DataFrame, id: str, tokens: Column, vocabulary: DataFrame, output: str = "words_features") -> DataFrame:

@@ -77,3 +77,25 @@ def test_positional(spark, broadcast_bytes):
     counts = spark.createDataFrame([(1, "z", 5), (1, "y", 7), (2, "z", 1), (3, "out", 9)], "id int, term string, n bigint")
     got = positional(counts, "id", vocabulary, broadcast_bytes=broadcast_bytes).collect()
     assert sorted(map(tuple, got)) == [(1, "x", 7), (1, "y", 5), (2, "x", 1)]
+
+
+@pytest.mark.parametrize("ranges", [8, 1024])
+def test_count_of_the_last_term(spark, ranges):
+    """For any size: the n of that row in falling order, from histograms of few ranges."""
+    values = [1] * 50 + [2] * 20 + [3, 3, 7, 7, 7, 40, 41, 1000, 10**6]
+    counts = spark.createDataFrame([(f"t{i}", n) for i, n in enumerate(values)], "term string, n bigint")
+    falling = sorted(values, reverse=True)
+    for size in (1, 4, 7, 29, len(values)):
+        assert terms.least_count(counts, size, ranges) == falling[size - 1]
+    assert terms.least_count(counts, len(values) + 1) is None and terms.least_count(counts.limit(0), 3) is None
+
+
+def test_only_terms_that_reach_the_cut_are_numbered(spark, monkeypatch):
+    values = [9, 8, 8, 5, 5, 5, 1, 1, 1, 1]
+    counts = spark.createDataFrame([(f"t{i}", n) for i, n in enumerate(values)], "term string, n bigint")
+    numbered = []
+    keep = terms.number_rows
+    monkeypatch.setattr(terms, "number_rows", lambda df, *rest: numbered.append(df.count()) or keep(df, *rest))
+    got = sorted(map(tuple, terms.rank_terms(counts, 4).select("term_index", "term").collect()))
+    assert got == [(0, "t0"), (1, "t1"), (2, "t2"), (3, "t3")] and numbered == [6]
+    assert terms.rank_terms(counts, 0).count() == 0 and terms.rank_terms(counts, 99).count() == 10
