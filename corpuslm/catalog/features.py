@@ -18,7 +18,7 @@ from corpuslm.catalog.registry import (
     texts,
 )
 from corpuslm.functions.text import word_tokens, ws_tokens
-from corpuslm.operators import class_text, labels, terms
+from corpuslm.operators import class_text, labels, terms, vectors
 
 
 @query(
@@ -137,6 +137,16 @@ def count_vectors(spark, sf_dir):
     return vectors.select("doc_id", F.col("words_features.size").alias("size"), F.inline(entries))
 
 
+@query("vector_word_freq", f"WITH {DOC_TERMS} SELECT doc_id, term, CAST(n AS DOUBLE) AS freq FROM doc_terms")
+def vector_word_freq(spark, sf_dir):
+    """Word maps of ML vectors, which are those of the texts again."""
+    docs, tokens = documents(spark, sf_dir), ws_tokens(F.col("text"))
+    vocabulary = terms.vocabulary(docs, tokens)
+    made = vectors.ml_vectors(terms.count_vectors(docs, "doc_id", tokens, vocabulary), "words_features")
+    maps = vectors.vector_word_freq(made, "doc_id", "words_features", vocabulary)
+    return maps.select("doc_id", F.explode("words_freq").alias("term", "freq"))
+
+
 WORDS = """word_index AS (SELECT word, CAST(sum(n) AS BIGINT) AS n, row_number() OVER (ORDER BY sum(n) DESC, word) - 1 AS term_index
   FROM label_terms GROUP BY word)"""
 

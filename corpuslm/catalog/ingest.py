@@ -10,7 +10,8 @@ from corpuslm.operators import prep
 from corpuslm.plans.ingest import classify_stored, ingest, prepare
 from corpuslm.plans.shared import new_path
 from corpuslm.sources.jsonlines import append_posts, read_posts, write_if_absent
-from corpuslm.sources.selection import select_sources, take_posts
+from corpuslm.sources.selection import select_sources, select_sources_of, take_posts
+from corpuslm.sources.staged import append_batch, read_batches
 
 FIELDS = ["author", "created", "flair", "text"]
 
@@ -79,6 +80,49 @@ def sources(spark, sf_dir):
     return chosen.select("doc_id", "source", "text")
 
 
+TOXIC = "toxic AS (SELECT DISTINCT source FROM documents JOIN labels USING (doc_id) WHERE toxic = 1)"
+
+
+def _toxic(spark, sf_dir):
+    named = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return named.join(table(spark, sf_dir, "labels").where("toxic = 1"), "doc_id", "left_semi").select("source")
+
+
+@query(
+    "select_sources_table",
+    f"WITH {TOXIC} SELECT doc_id, source, text FROM documents WHERE source IN (SELECT source FROM toxic WHERE source IS NOT NULL)",
+)
+def sources_table(spark, sf_dir):
+    """The sources that have a toxic document, as a table."""
+    chosen = select_sources_of(table(spark, sf_dir, "documents"), _toxic(spark, sf_dir), spread_by="doc_id")
+    return chosen.select("doc_id", "source", "text")
+
+
+@query(
+    "without_documents_table",
+    "SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)",
+)
+def without_documents(spark, sf_dir):
+    """Documents that no label names: a set that grows with the data, not listed in the plan."""
+    rest = select_sources_of(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id"), "doc_id",
+        spread_by="doc_id", keep=False, listed=0,
+    )
+    return rest.select("doc_id", "text")
+
+
+@query("sink_batches", f"WITH {POSTS} SELECT author, created, flair, length(text) AS n_chars, md5(text) AS text_md5 FROM posts")
+def sink_batches(spark, sf_dir):
+    """A batch per language, each handed in twice: the repeated run adds nothing."""
+    path, rows = new_path(spark, "batches-json"), posts(spark, sf_dir)
+    for _ in range(2):
+        for name, batch in (("en", F.col("flair") == "en"), ("other", F.coalesce(F.col("flair") != "en", F.lit(True)))):
+            append_batch(rows.where(batch).select(*FIELDS), path, name)
+    return read_batches(spark, path).select(
+        "author", "created", "flair", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("text_md5")
+    )
+
+
 # pages as submissions: routed, filtered, stored, scanned, classified ---------------------------------
 
 STORED = rf"""{SUBMISSIONS},

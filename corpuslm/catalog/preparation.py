@@ -50,6 +50,19 @@ def bucket_by_self(spark, sf_dir):
     return prep.bucket_by_self(documents, ["SRC0", "src3", "Src3", "Src11"]).select("doc_id", "bucket")
 
 
+@query(
+    "bucket_by_self_table",
+    """SELECT doc_id, lower('Self.' || source) IN (SELECT 'self.' || lower(d.source) FROM documents d JOIN labels l
+    USING (doc_id) WHERE l.toxic = 1) AS bucket FROM documents""",
+)
+def bucket_by_self_table(spark, sf_dir):
+    """The sources are a table: those that have a toxic document."""
+    documents = table(spark, sf_dir, "documents").withColumn("domain", F.concat(F.lit("Self."), "source"))
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1")
+    chosen = documents.join(toxic, "doc_id", "left_semi").select(F.upper("source").alias("source"))
+    return prep.bucket_by_self_of(documents, chosen, spread_by="doc_id").select("doc_id", "bucket")
+
+
 def submissions(spark, sf_dir):
     """pages as raw submissions, with the outcome of three extractors."""
     return table(spark, sf_dir, "pages").select(

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from corpuslm.operators.prep import labelled_only
 from corpuslm.plans.numbering import number_rows
-from corpuslm.plans.sizes import SMALL_ROWS, WIDE_CLASSES, is_small, small_rows
+from corpuslm.plans.shared import materialize
+from corpuslm.plans.sizes import BROADCAST_BYTES, SMALL_ROWS, WIDE_CLASSES, fits, is_small, small_rows
 from corpuslm.plans.skew import lookup_join
 
 
@@ -34,7 +35,11 @@ def priors(posts: DataFrame, label: str = "flair") -> DataFrame:
 
 @dataclass
 class LabelIndex:
-    """Dictionary (label, n, label_index). `entries` holds its rows when there are few, else None."""
+    """Dictionary (label, n, label_index). `entries` holds its rows when there are few, else None.
+
+    `small` says that its measured bytes may be broadcast; posts then stay where they are. Beyond that they are
+    joined with it by a shuffle.
+    """
 
     dictionary: DataFrame
     label: str
@@ -65,17 +70,27 @@ class LabelIndex:
 
 
 def label_index(
-    posts: DataFrame, label: str = "flair", few: int = WIDE_CLASSES, small_limit: int = SMALL_ROWS
+    posts: DataFrame,
+    label: str = "flair",
+    few: int = WIDE_CLASSES,
+    small_limit: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> LabelIndex:
-    """Number the labels by falling count, equal counts by label. Counts them once."""
+    """Number the labels by falling count, equal counts by label. Counts them once.
+
+    The dictionary is broadcast when its measured bytes allow it, or, with `small_limit`, when it has at most that many rows.
+    """
     counts = label_counts(posts, label)
     entries = small_rows(counts, few)
-    small = entries is not None or is_small(counts, small_limit)
+    small = True
+    if entries is None:
+        counts = materialize(counts, "label-counts")
+        small = fits(counts, [label], broadcast_bytes) if small_limit is None else is_small(counts, small_limit)
     order = [F.desc("n"), F.asc(label)]
-    if small:
+    if entries is not None or is_small(counts, SMALL_ROWS if small_limit is None else small_limit):
         numbered = counts.withColumn("label_index", F.row_number().over(Window.orderBy(*order)) - 1)
     else:
-        numbered = number_rows(counts, order, "label_index")
+        numbered = materialize(number_rows(counts, order, "label_index"), "labels")
     if entries is not None:
         ranked = sorted(sorted(entries, key=lambda r: r[label]), key=lambda r: -r["n"])
         entries = [Row(**{label: r[label], "n": r["n"], "label_index": float(i)}) for i, r in enumerate(ranked)]

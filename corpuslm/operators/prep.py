@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuslm.functions import text as tx
+from corpuslm.plans.members import KeySet
 from corpuslm.plans.skew import SPREAD
 
 # The shortest text that counts as extracted, and what marks a url for the last extractor.
@@ -41,6 +42,15 @@ def bucket_by_self(
     return posts.withColumn(name, F.coalesce(is_self, F.lit(False)))
 
 
+def bucket_by_self_of(
+    posts: DataFrame, sources: DataFrame, domain: str = "domain", name: str = "bucket", *, spread_by: str, **limits: int
+) -> DataFrame:
+    """bucket_by_self() for sources in the first column of a table of any length."""
+    domains = KeySet(sources.select(F.lower(F.concat(F.lit("self."), F.col(sources.columns[0])))), **limits)
+    keyed = posts.withColumn("_domain", F.lower(domain))
+    return domains.flag(keyed, "_domain", spread_by, name).drop("_domain")
+
+
 def bucket_sizes(bucketed: DataFrame, name: str = "bucket") -> DataFrame:
     return bucketed.groupBy(name).agg(F.count("*").alias("n"))
 

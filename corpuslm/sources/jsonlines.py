@@ -10,7 +10,7 @@ POST_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("author",
 
 
 def read_posts(
-    spark: SparkSession, path: str, schema: T.StructType | None = POST_SCHEMA, bad_lines: str | None = None
+    spark: SparkSession, path: str | list[str], schema: T.StructType | None = POST_SCHEMA, bad_lines: str | None = None
 ) -> DataFrame:
     """Scan JSON lines (blank lines are skipped). schema=None infers it, at the price of a second scan.
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpuslm.plans.members import KeySet
 from corpuslm.plans.numbering import number_rows
 
 # Fixed value: how many posts are taken when the caller does not say.
@@ -25,6 +26,19 @@ def select_sources(posts: DataFrame, sources: Collection[str] | None, column: st
     return posts.where(F.col(column).isin(*sorted(set(sources))))
 
 
+def select_sources_of(
+    posts: DataFrame, sources: DataFrame, column: str = "source", *, spread_by: str, keep: bool = True, **limits: int
+) -> DataFrame:
+    """Posts whose source stands in the first column of a table of any length; keep=False: the other posts.
+
+    An empty table means no restriction, as no sources do. A post without a source is in no set.
+    """
+    chosen = KeySet(sources, **limits)
+    if not chosen.n:
+        return posts
+    return (chosen.keep if keep else chosen.drop)(posts, column, spread_by)
+
+
 def _up_to(last: Row, order: list[tuple[str, bool]]) -> Column:
     """Condition that a row does not come after `last`: nulls first ascending, last descending."""
     within = F.lit(True)

@@ -1,0 +1,53 @@
+from pyspark.ml.feature import CountVectorizer, Normalizer
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from corpuslm.functions.text import ws_tokens
+from corpuslm.operators import terms, vectors
+
+SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", VectorUDT())])
+
+
+def maps(df):
+    return {r["id"]: r["words_freq"] for r in df.collect()}
+
+
+def test_count_vectorizer_vectors_give_the_word_maps(spark, documents):
+    docs = documents.select("doc_id", "text", ws_tokens(F.col("text")).alias("words"))
+    model = CountVectorizer(inputCol="words", outputCol="v", vocabSize=1 << 20).fit(docs)
+    vocabulary = spark.createDataFrame(list(enumerate(model.vocabulary)), "term_index long, term string")
+    got = vectors.vector_word_freq(model.transform(docs), "doc_id", "v", vocabulary)
+    want = terms.word_freq_maps(docs, "doc_id", F.col("words"))
+    assert {r["doc_id"]: r["words_freq"] for r in got.collect()} == {r["doc_id"]: r["words_freq"] for r in want.collect()}
+
+
+def test_dense_empty_and_null_vectors(spark):
+    rows = [(1, Vectors.sparse(5, [1, 3], [2.0, 0.0])), (2, Vectors.dense([1.0, 0.0, 3.0])), (3, None), (4, Vectors.sparse(9, [], []))]
+    rows.append((5, Vectors.sparse(1 << 30, [2, 1 << 29], [4.0, 7.0])))
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert sorted(map(tuple, vectors.vector_rows(df, "id", "v").collect())) == [
+        (1, 1, 2.0), (2, 0, 1.0), (2, 2, 3.0), (5, 2, 4.0), (5, 1 << 29, 7.0)
+    ]
+    vocabulary = spark.createDataFrame([(i, w, "x") for i, w in enumerate("abc")], "term_index long, term string, id string")
+    got = maps(vectors.vector_word_freq(df, "id", "v", vocabulary))
+    assert got == {1: {"b": 2.0}, 2: {"a": 1.0, "c": 3.0}, 3: {}, 4: {}, 5: {"c": 4.0}}
+    assert vectors.vector_word_freq(df.limit(0), "id", "v", vocabulary).count() == 0
+
+
+def test_written_vectors_are_those_of_spark_ml(spark):
+    docs = spark.createDataFrame([(1, "b a b"), (2, ""), (3, None), (4, "a")], "id long, text string")
+    words = ws_tokens(F.coalesce("text", F.lit("")))
+    vocabulary = terms.vocabulary(docs, words)
+    made = vectors.ml_vectors(terms.count_vectors(docs, "id", words, vocabulary, "v"), "v")
+    place = {r["term"]: r["term_index"] for r in vocabulary.collect()}
+    got = {r["id"]: r["v"] for r in made.collect()}
+    assert got[1] == Vectors.sparse(len(place), {place["a"]: 1.0, place["b"]: 2.0})
+    # a transformer of Spark ML takes them
+    assert Normalizer(inputCol="v", outputCol="w", p=1.0).transform(made.where("id = 4")).first()["w"][place["a"]] == 1.0
+
+
+def test_neither_way_uses_python_workers(spark):
+    df = spark.createDataFrame([(1, Vectors.sparse(5, [1], [2.0]))], SCHEMA)
+    plan = vectors.vector_rows(df, "id", "v")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
