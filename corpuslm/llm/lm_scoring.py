@@ -1,20 +1,24 @@
 """Scoring texts by a language model that is counted on the corpus itself.
 
-The model is a weighted backoff automaton over the tokens of a text. From its first state an arc leads
-over each word that training has seen, weighted by its discounted frequency. A failure arc, weighted
-by the mass that discounting frees, leads to states that spell the word byte by byte: smoothed n-grams
-of bytes, learned from the distinct words. The state is the last four bytes; its failure arc leads to the
-state of the last two, and from there to the one without context. The end of the word leads back to
-the first state. One traversal from left to right carries the state and adds the log-probabilities of the
-arcs.
-
-Texts are dealt to chunks of bounded size; each chunk asks for the counts of its distinct words, by
-their 64-bit hash, so a frequent word is one row per chunk. Only byte n-grams reach the driver: four
+The model is a weighted backoff automaton over the tokens of a text. A state is the last two words, or one, or none.
+From it an arc leads over each word that followed it at least MIN_COUNT times in training, weighted by the
+discounted share. A failure arc, weighted by the mass that discounting and rarer followers free, leads to the state
+of one word less. The state without words has arcs over all words that training has seen; its failure arc leads to states that
+spell the word byte by byte: smoothed n-grams of bytes, learned from the distinct words, whose failure arcs lead from the
+last four bytes to the last two and to none. One traversal from left to right carries the state and adds the
+log-probabilities of the arcs. A state that training has not met MIN_COUNT times has no arcs and passes on at no cost.
+
+Word n-grams are counted order by order: only where both n-grams of one word less reach MIN_COUNT can one reach
+it, and a map of bits of fixed size tells where. The map saves work and never decides: counts are exact.
+
+Texts are dealt to chunks of bounded size; each chunk asks for the counts of its distinct words and n-grams, by
+their 64-bit hash, so a frequent one is one row per chunk. Maps of bits and byte n-grams reach the driver: four
 bytes are a state by a hash of 16 bits, so there are at most 2^24 arcs of a length, however large the corpus.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 import pyarrow as pa
@@ -27,10 +31,19 @@ FOLDS = 10
 ADDED = 0.1
 # Text of a chunk, on average.
 CHUNK_BYTES = 12 << 20
+# Words of the longest n-gram, and how often an n-gram of two words or more stands in training to be an arc.
+ORDER = 3
+MIN_COUNT = 5
+# Bits of the map of the n-grams that reach MIN_COUNT: 8 MB, whatever the corpus. Only work depends on them.
+BITS = 1 << 26
+# Tokens whose n-grams a task adds up before it hands them on.
+ADDED_UP = 1 << 21
 # Distinct words that a task gathers before it hands their counts on.
 GATHERED = 250_000
 # The hash of the end token is that of the empty word, which no text holds.
 END = b""
+# Stands before the first word of a text; no word holds its byte.
+BEGIN = b" "
 # Stands before a spelled word and ends it; the byte is never part of a word.
 STOP = 32
 # Bytes of context of the spelling states, longest last; each context is a number of 16 bits.
@@ -48,6 +61,134 @@ def _hashes(words):
     return np.array([xxhash.xxh64_intdigest(w, 42) for w in words], dtype=np.uint64).view(np.int64)
 
 
+class _Known(dict):
+    """The hash of each word, worked out once."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        self[word] = found = xxhash.xxh64_intdigest(word, 42)
+        return found
+
+
+def _sequence(texts: list[list[bytes]], known: _Known):
+    """The hashes of all tokens, BEGIN before and END after each text's words, and the place of each in its text."""
+    import numpy as np
+
+    if len(known) > GATHERED:
+        known.clear()
+    tokens = np.fromiter((known[w] for ws in texts for w in (BEGIN, *ws, END)), np.uint64)
+    sizes = np.array([len(ws) + 2 for ws in texts], dtype=np.int64)
+    return tokens, np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def _key(context, word):
+    """The hash of an n-gram from that of its context and that of its last word."""
+    import numpy as np
+
+    mixed = context * np.uint64(0x9E3779B97F4A7C15) + word
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0xD6E8FEB86659FD93)
+    return mixed ^ (mixed >> np.uint64(32))
+
+
+def _ngrams(tokens, order: int):
+    """(context, key) of the n-grams of each order from 2 that end at each token; those that reach before the text mean nothing."""
+    import numpy as np
+
+    keys, out = tokens, []
+    for _ in range(1, order):
+        context = np.concatenate([keys[:1], keys[:-1]])
+        keys = _key(context, tokens)
+        out.append((context, keys))
+    return out
+
+
+def _is_set(held, keys):
+    import numpy as np
+
+    at = keys & np.uint64(len(held) * 64 - 1)
+    return held[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1) == 1
+
+
+def key_bits(keys: DataFrame, bits: int = BITS):
+    """The map of bits of the hashes in the column h: `bits` of them, a power of two, however many hashes there are."""
+    import numpy as np
+
+    place = F.col("h").bitwiseAND(F.lit(bits - 1)).alias("place")
+    words = keys.select(place).groupBy(F.expr("shiftright(place, 6)").alias("at"))
+    found = words.agg(F.expr("bit_or(shiftleft(1L, int(place & 63)))").alias("word")).toArrow()
+    held = np.zeros(bits >> 6, np.int64)
+    held[found["at"].to_numpy()] = found["word"].to_numpy()
+    return held.view(np.uint64)
+
+
+def _candidates(ngrams, tokens, place, order: int, held):
+    """Where an n-gram of the order stands whose two n-grams of one word less are in the map."""
+    import numpy as np
+
+    known = _is_set(held, ngrams[order - 3][1] if order > 2 else tokens)
+    return np.flatnonzero((place >= order - 1) & known & np.concatenate([[False], known[:-1]]))
+
+
+def count_ngrams(docs: DataFrame, order: int, held, text: str = "text") -> DataFrame:
+    """(h, context, n long) of the n-grams of that many words, BEGIN and END included, that stand MIN_COUNT times or more.
+
+    `held` is the map of bits of the n-grams of one word less that reach MIN_COUNT.
+    """
+
+    def run(parts):
+        import numpy as np
+
+        known, gathered, size = _Known(), [], 0
+
+        def added_up():
+            key, context = (np.concatenate([g[i] for g in gathered]) for i in (0, 1))
+            key, first, n = np.unique(key, return_index=True, return_counts=True)
+            gathered.clear()
+            columns = [pa.array(key.view(np.int64)), pa.array(context[first].view(np.int64)), pa.array(n, pa.int64())]
+            whole = pa.RecordBatch.from_arrays(columns, names=["h", "context", "n"])
+            for at in range(0, len(key), 1 << 17):
+                yield whole.slice(at, 1 << 17)
+
+        for whole in parts:
+            for part in slices(whole, 0):
+                tokens, place = _sequence([_words(t or "") for t in part.column(0).to_pylist()], known)
+                ngrams = _ngrams(tokens, order)
+                at = _candidates(ngrams, tokens, place, order, held)
+                context, key = ngrams[-1]
+                gathered.append((key[at], context[at]))
+                size += len(at)
+                if size > ADDED_UP:
+                    yield from added_up()
+                    size = 0
+        if gathered:
+            yield from added_up()
+
+    found = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "h long, context long, n long")
+    return found.groupBy("h", "context").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT)
+
+
+def word_ngrams(docs: DataFrame, counts: DataFrame, discount: float):
+    """The states and arcs of words: (h, c, kept) and the map of bits of its n-grams of two words or more.
+
+    h is a word or n-gram, c its count, 0 <= kept <= c what its arcs over following words hold, discounted. BEGIN counts
+    as often as there are texts.
+    """
+    begin = counts.where(F.col("word") == F.lit(END)).select(F.lit(int(_hashes([BEGIN])[0])).alias("h"), "c")
+    hashes = counts.select("h", "c").unionByName(begin)
+    held, grams, arcs = key_bits(hashes.where(F.col("c") >= MIN_COUNT)), hashes, []
+    for order in range(2, ORDER + 1):
+        found = materialize(count_ngrams(docs, order, held), f"ngrams-{order}")
+        held = key_bits(found)
+        arcs.append(found)
+        grams = grams.unionByName(found.select("h", F.col("n").alias("c")))
+    every = functools.reduce(DataFrame.unionByName, arcs)
+    kept = every.groupBy(F.col("context").alias("h")).agg(F.sum(F.col("n") - F.lit(discount)).alias("kept"))
+    table = grams.join(kept, "h", "left").select("h", "c", F.coalesce("kept", F.lit(0.0)).alias("kept"))
+    return materialize(table, "states"), key_bits(every)
+
+
 def _arcs(words: list[bytes]):
     """The arcs along the spelling of each word and its end: one code per level and byte, context << 8 | byte,
     and where each word's begin."""
@@ -159,6 +300,35 @@ class Automaton:
         return np.add.reduceat(self.weights(codes), first)
 
 
+def _at(texts: list[list[bytes]], place, tokens) -> list[bytes]:
+    """The words at the given places of a sequence; none is asked for at a BEGIN."""
+    import numpy as np
+
+    text = np.cumsum(place == 0)[tokens] - 1
+    return [END if i == len(texts[t]) else texts[t][i] for t, i in zip(text, place[tokens] - 1, strict=True)]
+
+
+def _follow(arc, ngrams, place, counted, discount: float):
+    """log10 weights of the way over each token from the state of the words before it.
+
+    `arc` is the weight from the state without words. A longer state that is known adds its own arc, and what it leaves for its
+    failure arc.
+    """
+    import numpy as np
+
+    weight = arc
+    for n, (context, key) in enumerate(ngrams, 1):
+        at = np.flatnonzero(place >= n)
+        c, kept = counted(context[at])
+        # a state has arcs only where some follower was met often enough
+        at, c, kept = at[kept > 0], c[kept > 0], kept[kept > 0]
+        times, _ = counted(key[at])
+        direct = np.where(times >= MIN_COUNT, times - discount, 0.0) / c
+        weight = weight.copy()
+        weight[at] = np.logaddexp(np.log(np.maximum(direct, 1e-300)), np.log((c - kept) / c) + weight[at] * math.log(10)) / math.log(10)
+    return weight
+
+
 def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, held_out boolean, n_tokens, n_known, train_tokens long, base_score, score double).
 
@@ -175,6 +345,7 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
         F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)
     ).first()
     discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
+    states, held = word_ngrams(narrow.where(~F.col("held_out")), counts, discount)
     arcs = count_arcs(counts).toArrow().to_pandas()
     automaton = Automaton(arcs["level"], arcs["code"], arcs["n"])
     size = narrow.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
@@ -184,52 +355,72 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     dealt = narrow.select(chunk, "*").repartition("chunk")
 
     def ask(parts):
-        """The distinct tokens of each chunk; chunks come one after the other."""
-        now, words = None, set()
+        """The distinct tokens and n-grams of each chunk; chunks come one after the other."""
+        import numpy as np
+
+        now, wanted, known = None, [], _Known()
 
         def asked():
-            h = _hashes(words)
-            return pa.RecordBatch.from_arrays([pa.array([now] * len(h), pa.int32()), pa.array(h)], names=["chunk", "h"])
+            h = np.unique(np.concatenate(wanted)).view(np.int64)
+            whole = pa.RecordBatch.from_arrays([pa.array(np.full(len(h), now, np.int32)), pa.array(h)], names=["chunk", "h"])
+            for at in range(0, len(h), 1 << 17):
+                yield whole.slice(at, 1 << 17)
 
         for whole in parts:
             for part in slices(whole, 3):
-                for c, t in zip(part.column(0).to_pylist(), part.column(3).to_pylist(), strict=True):
-                    if c != now:
-                        if words:
-                            yield asked()
-                        now, words = c, {END}
-                    words.update(_words(t or ""))
-        if words:
-            yield asked()
+                chunks_of, texts = part.column(0).to_numpy(), part.column(3).to_pylist()
+                # rows of one chunk are neighbours
+                for own in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(chunks_of)) + 1):
+                    if now != chunks_of[own[0]]:
+                        if wanted:
+                            yield from asked()
+                        now, wanted = chunks_of[own[0]], []
+                    tokens, place = _sequence([_words(texts[i] or "") for i in own], known)
+                    wanted.append(np.unique(tokens))
+                    for n, (_, key) in enumerate(_ngrams(tokens, ORDER), 1):
+                        wanted.append(np.unique(key[(place >= n) & _is_set(held, key)]))
+        if wanted:
+            yield from asked()
 
     asked = dealt.sortWithinPartitions("chunk").mapInArrow(ask, "chunk int, h long")
-    told = asked.join(counts.select("h", "c"), "h").select("chunk", "h", "c")
+    told = asked.join(states, "h").select("chunk", "h", "c", "kept")
 
     def answer(texts, known):
         import numpy as np
 
-        h, c = (known.column(x).to_numpy() for x in ("h", "c"))
-        order = np.argsort(h)
-        h, c = h[order], c[order]
-        out = []
+        h, c, kept = (known.column(x).to_numpy() for x in ("h", "c", "kept"))
+        order = np.argsort(h.view(np.uint64))
+        h, c, kept = h.view(np.uint64)[order], c[order], kept[order]
+
+        def counted(keys):
+            """The count of each word or n-gram, 0 for one that is not known, and what its arcs hold."""
+            if not len(h):
+                return np.zeros(len(keys), np.int64), np.zeros(len(keys))
+            at = np.minimum(np.searchsorted(h, keys), len(h) - 1)
+            found = h[at] == keys
+            return np.where(found, c[at], 0), np.where(found, kept[at], 0.0)
+
+        out, index = [], _Known()
         for batch in texts.to_batches():
             for part in slices(batch, 3):
                 found = [_words(t or "") for t in part.column(3).to_pylist()]
-                words = [END, *sorted(set().union(*found) - {END})]
-                index = dict(zip(words, range(len(words)), strict=True))
-                own = _hashes(words)
-                at = np.minimum(np.searchsorted(h, own), max(0, len(h) - 1))
-                n = np.where(h[at] == own, c[at], 0) if len(h) else np.zeros(len(own), dtype=np.int64)
+                tokens, place = _sequence(found, index)
+                hashes, first, path = np.unique(tokens, return_index=True, return_inverse=True)
+                n, _ = counted(hashes)
                 base = np.log10((n + ADDED) / (total + ADDED * (kinds + 1)))
-                arc = np.empty(len(words))
-                seen = n > 0
-                arc[seen] = np.log10((n[seen] - discount) / total) if total else 0.0
-                fail = math.log10(discount * kinds / total) if total else 0.0
-                arc[~seen] = fail + automaton.spell([words[i] for i in np.flatnonzero(~seen)])
-                rows = []
-                for w in found:
-                    path = np.array([*map(index.__getitem__, w), 0])
-                    rows.append((len(path), int(seen[path].sum()), float(base[path].sum()), float(arc[path].sum())))
+                chance = np.where(n > 0, (n - discount) / max(total, 1), 0.0)
+                unseen = np.flatnonzero((n == 0) & (place[first] > 0))
+                spelled = automaton.spell(_at(found, place, first[unseen]))
+                arc = np.log10(np.maximum(chance, 1e-300))
+                arc[unseen] = (math.log10(discount * kinds / total) if total else 0.0) + spelled
+                weight = _follow(arc[path], _ngrams(tokens, ORDER), place, counted, discount)
+                begins = np.flatnonzero(place == 0)
+                inner = place > 0
+                sums = lambda x: np.add.reduceat(np.where(inner, x, 0), begins) if len(begins) else x  # noqa: E731, B023
+                rows = list(zip(
+                    [len(ws) + 1 for ws in found], sums((n > 0)[path].astype(np.int64)).tolist(), sums(base[path]).tolist(),
+                    sums(weight).tolist(), strict=True,
+                ))
                 columns = [part.column(1), part.column(2)]
                 columns += [pa.array([r[i] for r in rows], k) for i, k in ((0, pa.int64()), (1, pa.int64()))]
                 columns += [pa.array([total] * len(rows), pa.int64())]

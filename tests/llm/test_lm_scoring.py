@@ -89,3 +89,75 @@ def test_seen_and_unseen_words_share_the_mass(spark):
     rows += [(test[0], "common"), (test[1], "w3"), (test[2], "wholly unseen")]
     found = check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
     assert found[test[0]][6] > found[test[1]][6] > found[test[2]][6]
+
+
+def automaton_brute(rows, order=lm.ORDER):
+    """Scores by a walk over dictionaries, token by token."""
+    train = [[lm.BEGIN, *lm._words(t or ""), lm.END] for i, t in rows if not held(i)]
+    grams = [Counter(tuple(ws[k : k + n]) for ws in train for k in range(len(ws) - n + 1)) for n in range(1, order + 1)]
+    words = Counter(w for ws in train for w in ws[1:])
+    total, kinds = sum(words.values()), len(words)
+    once, twice = (sum(c == k for c in words.values()) for k in (1, 2))
+    discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
+    spelling = spelled(sorted(set(words) - {lm.END}))
+    arcs: dict = {}
+    for counts in grams[1:]:
+        for gram, n in counts.items():
+            if n >= lm.MIN_COUNT:
+                arcs.setdefault(gram[:-1], {})[gram[-1]] = n - discount
+    kept = {context: sum(own.values()) for context, own in arcs.items()}
+    context_count = lambda g: grams[len(g) - 1][g]
+
+    def weight(state, word):
+        if not state:
+            if word in words:
+                return (words[word] - discount) / total
+            return discount * kinds / total * 10 ** spelling.spell([word])[0]
+        if state not in arcs:
+            return weight(state[1:], word)
+        own = arcs[state].get(word, 0.0)
+        return (own + (context_count(state) - kept[state]) * weight(state[1:], word)) / context_count(state)
+
+    found = {}
+    for i, t in rows:
+        state, sum_ = (lm.BEGIN,), 0.0
+        for word in [*lm._words(t or ""), lm.END]:
+            sum_ += math.log10(weight(state, word))
+            state = (*state, word)[-(order - 1) :] if order > 1 else ()
+        found[i] = sum_
+    return found
+
+
+def test_scores_equal_a_walk_in_plain_python(spark, documents, monkeypatch):
+    rows = [(r.doc_id, r.text) for r in documents.collect() if len(r.text) < 20_000]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    walked, words = automaton_brute(rows), automaton_brute([*rows], 1)
+    got = {r.doc_id: r for r in lm.score(df).collect()}
+    for i, want in walked.items():
+        assert got[i].score == pytest.approx(want, rel=1e-9)
+    # held-out texts are likelier than by single words
+    out = [i for i in walked if held(i)]
+    assert sum(got[i].score for i in out) > sum(words[i] for i in out)
+    # a map of bits that is full changes the work, not the scores
+    monkeypatch.setattr(lm, "BITS", 64)
+    monkeypatch.setattr(lm, "ADDED_UP", 1_000)
+    for r in lm.score(df).collect():
+        assert r.score == pytest.approx(got[r.doc_id].score, rel=1e-9)
+
+
+def test_the_order_of_the_words_counts(spark, documents):
+    rng = np.random.default_rng(0)
+    rows = [(r.doc_id, r.text) for r in documents.collect() if len(set(r.text.lower().split())) > 5]
+    test = [(i, t) for i, t in rows if held(i)]
+    mixed = [(i + (1 << 40), " ".join(rng.permutation(t.split()))) for i, t in test]
+    mixed = [(next(j for j in range(i, i + 1000) if held(j)), t) for i, t in mixed]
+    got = {r.doc_id: r.score for r in lm.score(spark.createDataFrame(rows + mixed, "doc_id long, text string")).collect()}
+    higher = sum(got[i] > got[j] for (i, _), (j, _) in zip(test, mixed, strict=True))
+    assert higher > 0.95 * len(test)
+
+
+def test_no_training_rows_spell_every_word(spark):
+    only = [i for i in range(1000) if held(i)][:3]
+    rows = [(only[0], "unseen words"), (only[1], ""), (only[2], "again unseen")]
+    found = check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+    assert [found[i][6] for i in only] == pytest.approx([n * math.log10(1 / 256) for n in (14, 1, 14)])
