@@ -6,7 +6,8 @@ is kept when most of the passage's words stand in the window's surroundings in t
 subsequence); where only a part does, as in a paraphrase, the words of the passage's answer, its last sentence, must
 stand there too.
 
-A passage of which the basis keeps less than KEPT of its length is not searched there: an inverted list of its
+The basis has a direction for each passage as far as a matrix of fixed size allows, and RANK at least. A passage of which it
+keeps less than KEPT of its length is not searched there: an inverted list of its
 rarest words finds every place where enough of its words for the share asked can stand (prefix filter).
 
 Benchmark passages are the query set: they are taken in blocks of BLOCK, each against all documents.
@@ -32,7 +33,9 @@ from corpuslm.llm.license_scan import words_of
 # Passages that are searched at a time, and words of a passage at most: a longer item is several passages.
 BLOCK = 5_000
 PASSAGE_WORDS = 96
+# Directions of the basis at least, and cells of its matrix, words x directions, that let a block have one for each passage.
 RANK, OVERSAMPLED, ROUNDS = 128, 8, 2
+CELLS = 1 << 22
 # Words of a window; the next begins half a window later.
 WINDOWS = (12, 24, 48, 96)
 STEP = WINDOWS[0] // 2
@@ -113,6 +116,7 @@ class Passages:
     unknown: float  # idf of a word that no passage has
     weighted: object  # words x rank: the basis times the idf
     latent: object  # passages x rank, scaled to length one
+    most: object  # array by word: the greatest share in the product with any passage
     near: object  # the passages' numbers in latent
     lists: Lists  # of the other passages
 
@@ -212,7 +216,7 @@ def fit_block(spark, passages: list[tuple[int, list[bytes], set[bytes]]], docs:
         at, n = np.unique([vocabulary[w] for w in words], return_counts=True)
         rows.append((at.tolist(), (n * idf[at] / np.linalg.norm(n * idf[at])).tolist()))
     table = spark.createDataFrame(rows, "words array<int>, weights array<double>")
-    basis = randomised_svd(table, len(vocabulary))
+    basis = randomised_svd(table, len(vocabulary), max(RANK, min(len(passages), CELLS // max(1, len(vocabulary)))))
     latent = np.stack([np.array(w) @ basis[at] for at, w in rows])
     numbered = [[vocabulary[w] for w in words] for _, words, _ in passages]
     answers = [{vocabulary[w] for w in answer} for _, _, answer in passages]
@@ -222,7 +226,11 @@ def fit_block(spark, passages: list[tuple[int, list[bytes], set[bytes]]], docs:
     latent = (latent[near] / kept[near, None]).astype(np.float32)
     lists = Lists(numbered, np.flatnonzero(kept < KEPT).tolist(), idf)
     unknown = math.log(1 + n_docs) + 1
-    return Passages(ids, numbered, answers, vocabulary, idf, unknown, (basis * idf[:, None]).astype(np.float32), latent, near, lists)
+    weighted = (basis * idf[:, None]).astype(np.float32)
+    most = np.full(len(vocabulary), -np.inf)
+    for at in range(0, len(near), 256):
+        most = np.maximum(most, (weighted @ latent[at : at + 256].T).max(axis=1))
+    return Passages(ids, numbered, answers, vocabulary, idf, unknown, weighted, latent, most, near, lists)
 
 
 def lcs(passage: list[int], around: list[int]) -> int:
@@ -256,6 +264,8 @@ def candidates(ids, fitted: Passages):
         all_ = np.concatenate([[0], np.cumsum(square)])
         square[part < 0] = 0
         own = np.concatenate([[0], np.cumsum(square)])
+        square[known] = fitted.most[part[known]]
+        most = np.concatenate([[0], np.cumsum(square)])
         windows = []
         for size in WINDOWS:
             if size > WINDOWS[0] and len(ids) <= size // 2:
@@ -266,6 +276,8 @@ def candidates(ids, fitted: Passages):
             total = all_[end] - all_[start]
             # no cosine can be greater than the share of the window that lies in the passages' words
             held = own[end] - own[start] >= CANDIDATE**2 * total
+            # nor greater than if each word had its greatest share with one and the same passage; the rest is rounding
+            held &= most[end] - most[start] >= (CANDIDATE - 1e-4) * np.sqrt(total)
             windows.append((start[held], end[held], total[held]))
         start, end, total = (np.concatenate(x) for x in zip(*windows, strict=True))
         if not len(start):
@@ -419,11 +431,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of docs, unchanged, in which no benchmark passage stands."""
-    out = docs
-    for fitted in fit(docs, benchmark, text):
-        out = out.where(~_leaking(fitted)(F.col(text)))
-    return out
+    """The rows of docs, unchanged, in which no benchmark passage stands.
+
+    A benchmark of several blocks is searched block by block, one at a time; what each finds is written, by the
+    digest of the text, as equal texts fare alike. Null texts stay.
+    """
+    blocks = fit(docs, benchmark, text)
+    first, second = next(blocks, None), next(blocks, None)
+    if first is None:
+        return docs
+    if second is None:
+        return docs.where(~_leaking(first)(F.col(text)))
+    digest = F.sha2(F.col(text).cast("string").cast("binary"), 256)
+    parts = []
+    for fitted in chain((first, second), blocks):
+        hits = docs.where(_leaking(fitted)(F.col(text))).select(digest.alias("_leaking_text"))
+        parts.append(materialize(hits.distinct(), "leaking"))
+    hits = reduce(DataFrame.union, parts).distinct()
+    return docs.join(hits, digest == F.col("_leaking_text"), "left_anti")
 
 
 def _leaking(fitted: Passages):

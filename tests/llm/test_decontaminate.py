@@ -95,9 +95,10 @@ def test_empty(spark):
 def test_blocks_give_the_same(spark, monkeypatch):
     _, sentence, items = made(spark, 12)
     rows = [(i, f"{sentence(50)} {items[i]} {sentence(30)} {items[-1 - i]}") for i in range(6)] + [(1, items[4])]
-    _, _, whole = run(spark, rows, enumerate(items))
+    docs, bench, whole = run(spark, [*rows, (7, None), (8, sentence(60))], enumerate(items))
     monkeypatch.setattr(dc, "BLOCK", 5)
-    _, _, parts = run(spark, rows, enumerate(items))
+    _, _, parts = run(spark, [*rows, (7, None), (8, sentence(60))], enumerate(items))
+    assert sorted(r.doc_id for r in dc.clean(docs, bench).collect()) == [7, 8]
     key = lambda r: (r.doc_id, r["items"])
     assert sorted(map(key, whole)) == sorted(map(key, parts)) and sum(r.contaminated for r in whole) == 7
 
@@ -139,3 +140,22 @@ def test_a_likelier_window_hides_no_copy(spark):
         rows.append((i, " ".join(words)))
     _, _, found = run(spark, rows, enumerate(items))
     assert [r["items"] for r in found] == [[i] for i in range(20)] and all(r.share == 1 for r in found)
+
+
+def test_a_block_within_the_matrix_is_searched_by_cosine_alone(spark):
+    _, _, items = made(spark, 200)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(items)], "doc_id long, text string")
+    passages = [p for i, t in enumerate(items) for p in dc._passages(i, t)]
+    fitted = dc.fit_block(spark, passages, docs, len(items), "text")
+    assert len(fitted.near) == len(passages) == 200 and not len(fitted.lists.passage)
+
+
+def test_the_bound_of_a_window_loses_no_candidate(spark):
+    pick, sentence, items = made(spark, 40)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(items)], "doc_id long, text string")
+    fitted = dc.fit_block(spark, [p for i, t in enumerate(items) for p in dc._passages(i, t)], docs, len(items), "text")
+    words = [w for i in range(12) for w in (sentence(60) + " " + " ".join(pick.sample(items[i].split(), 7))).split()]
+    ids = np.array([fitted.vocabulary.get(w, -1) for w in words_of(" ".join(words))], dtype=np.int64)
+    bounded = sorted(dc.candidates(ids, fitted))
+    fitted.most[:] = 1e9
+    assert bounded and [x[:3] for x in bounded] == [x[:3] for x in sorted(dc.candidates(ids, fitted))]
