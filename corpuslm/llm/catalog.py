@@ -73,12 +73,25 @@ places AS (SELECT doc_id, i, 'mit' AS label FROM next WHERE w = 'mit' AND w1 = '
 base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
   string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY doc_id),
 lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, unnest(range(0, len(string_split(t, chr(10))))) AS n FROM d),
-blocks AS (SELECT DISTINCT doc_id, n, unnest(regexp_extract_all(line, {LICENSE_WORD})) AS w FROM lines),
-templates AS (SELECT * FROM (VALUES {_rows(license_scan.TEMPLATES)}) AS x(label, t)),
-template_words AS (SELECT DISTINCT label, t, unnest(regexp_extract_all(lower(t), {LICENSE_WORD})) AS w FROM templates),
+filled AS (SELECT doc_id, n, ws, n - row_number() OVER (PARTITION BY doc_id ORDER BY n) AS par
+  FROM (SELECT doc_id, n, regexp_extract_all(line, {LICENSE_WORD}) AS ws FROM lines) WHERE len(ws) > 0),
+paragraphs AS (SELECT doc_id, par, n, ws, coalesce(sum(len(ws)) OVER (PARTITION BY doc_id, par ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM filled),
+placed AS (SELECT doc_id, par, n, unnest(ws) AS w, before + unnest(range(0, len(ws))) AS at FROM paragraphs),
+templates AS (SELECT *, len(regexp_extract_all(lower(t), {LICENSE_WORD})) AS wide FROM (VALUES {_rows(license_scan.TEMPLATES)}) AS x(label, t)),
+template_words AS (SELECT DISTINCT label, t, wide, unnest(regexp_extract_all(lower(t), {LICENSE_WORD})) AS w FROM templates),
 sizes AS (SELECT t, count(*) AS size FROM template_words GROUP BY t),
-shares AS (SELECT b.doc_id, k.label, count(*) / CAST(any_value(s.size) AS DOUBLE) AS share FROM blocks b
-  JOIN template_words k ON k.w = b.w JOIN sizes s ON s.t = k.t GROUP BY b.doc_id, b.n, k.t, k.label),
+marked AS (SELECT k.*, s.size, s.size <= {license_scan.SHORT} AND NOT EXISTS (SELECT 1 FROM template_words o WHERE o.w = k.w AND o.label <> k.label) AS own
+  FROM template_words k JOIN sizes s ON s.t = k.t),
+asked AS (SELECT t, count(*) FILTER (own) AS n_own FROM marked GROUP BY t),
+common AS (SELECT b.doc_id, b.par, b.n, b.at, b.w, k.label, k.t, k.wide, k.size, k.own FROM placed b JOIN marked k ON k.w = b.w),
+by_line AS (SELECT doc_id, label, t, size, count(DISTINCT w) AS c, count(DISTINCT w) FILTER (own) AS c_own FROM common GROUP BY doc_id, n, label, t, size),
+likely AS (SELECT doc_id, par, t FROM common GROUP BY doc_id, par, t, size HAVING count(DISTINCT n) > 1 AND count(DISTINCT w) >= {license_scan.THRESHOLD} * size - 1e-6),
+inside AS (SELECT c.* FROM common c JOIN likely l ON l.doc_id = c.doc_id AND l.par = c.par AND l.t = c.t),
+by_window AS (SELECT e.doc_id, e.label, e.t, e.size, count(DISTINCT i.w) AS c, count(DISTINCT i.w) FILTER (i.own) AS c_own FROM inside e
+  JOIN inside i ON i.doc_id = e.doc_id AND i.par = e.par AND i.t = e.t AND i.at > e.at - e.wide AND i.at <= e.at
+  GROUP BY e.doc_id, e.par, e.at, e.label, e.t, e.size),
+shares AS (SELECT x.doc_id, x.label, x.c / CAST(x.size AS DOUBLE) AS share FROM (SELECT * FROM by_line UNION ALL SELECT * FROM by_window) x
+  JOIN asked a ON a.t = x.t AND x.c_own = a.n_own),
 met AS (SELECT doc_id, label, max(share) AS share FROM shares WHERE share >= {license_scan.THRESHOLD} - 1e-9 GROUP BY doc_id, label),
 every AS (SELECT doc_id, label, share FROM met UNION ALL SELECT DISTINCT doc_id, label, 1.0 FROM places),
 labelled AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM every GROUP BY doc_id)
@@ -89,7 +102,7 @@ FROM counted c LEFT JOIN base b ON b.doc_id = c.doc_id LEFT JOIN labelled l ON l
 
 @query(LICENSES)
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(table(spark, sf_dir, "documents"))
+    return license_scan.scan(table(spark, sf_dir, "documents"), wrapped=True)
 
 
 @query()

@@ -73,3 +73,68 @@ def test_wrapped_notices(spark):
     assert got == {1: ("mit", 1.0), 2: ("bsd", 1.0), 3: ("mit", 1.0), 4: ("apache", 1.0), 5: ("mit", 1.0), 6: ("", 0.0), 7: ("", 0.0), 8: ("", 0.0)}
     by_line = {r.doc_id: r.labels for r in ls.scan(df).collect()}
     assert by_line[1] == by_line[2] == "" and by_line[4] == "apache,mit"
+
+
+def blocks(t, template):
+    """Every line, and every window over a paragraph of several lines that is as long as the template."""
+    lines, paragraph = [words(line) for line in (t or "").split("\n")], []
+    yield from lines
+    for line in [*lines, []]:
+        if line:
+            paragraph.append(line)
+            continue
+        joined, wide = sum(paragraph, []), len(words(template))
+        if len(paragraph) > 1:
+            yield from (joined[max(0, end - wide) : end] for end in range(1, len(joined) + 1))
+        paragraph = []
+
+
+def brute_wrapped(t):
+    found = {}
+    for label, template in ls.TEMPLATES:
+        want = set(words(template))
+        others = {w for o, x in ls.TEMPLATES if o != label for w in words(x)}
+        own = want - others if len(want) <= ls.SHORT else set()
+        for block in blocks(t, template):
+            held = want & set(block)
+            if own <= held and len(held) >= ls.THRESHOLD * len(want) - 1e-9:
+                found[label] = max(found.get(label, 0.0), len(held) / len(want))
+    return found
+
+
+def scattered():
+    """Texts of template words with others between them, broken over lines and paragraphs at random."""
+    import random
+
+    pick, rows = random.Random(5), [(0, None), (1, ""), (2, "\n\n")]
+    for n in range(3, 300):
+        text = ["word"]
+        for _ in range(pick.randint(1, 3)):
+            for w in pick.choice(ls.TEMPLATES)[1].split():
+                if pick.random() < 0.9:
+                    text.append(w)
+                if pick.random() < 0.04:
+                    text.append("filler")
+                if pick.random() < 0.2:
+                    text.append(pick.choice(["\n", "\n * ", "\n\n"]))
+        rows.append((n, " ".join(text)))
+    return rows
+
+
+def test_wrapped_against_all_blocks_and_sql(spark):
+    import duckdb
+    import pandas as pd
+
+    from corpuslm.llm.catalog import LICENSES
+
+    rows = scattered()
+    columns = "doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score"
+    got = sorted(tuple(r) for r in ls.scan(spark.createDataFrame(rows, "doc_id long, text string"), wrapped=True).selectExpr(*columns.split(", ")).collect())
+    for (i, t), r in zip(rows, got, strict=True):
+        want = brute_wrapped(t)
+        base = set(filter(None, r[5].split(",")))
+        assert r[0] == i and set(filter(None, r[6].split(","))) == base | want.keys() and r[7] == max([1.0 if base else 0.0, *want.values()])
+    assert len({r[6] for r in got}) > 10 and any(not brute(i, t)[6] and r[6] for (i, t), r in zip(rows, got, strict=True))
+    db = duckdb.connect()
+    db.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    assert sorted(db.execute(f"SELECT {columns} FROM ({LICENSES})").fetchall()) == got
