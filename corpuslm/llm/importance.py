@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslm.llm.common import map_texts, slices
+from corpuslm.llm.common import map_texts, materialize, slices
 from corpuslm.llm.substring_dedup import Hashed
 from corpuslm.plans.numbering import number_rows
 
@@ -99,6 +99,7 @@ def resample(docs: DataFrame, labels: DataFrame, good: str = "quality = 1 AND to
     k is the share of good documents among the labelled ones, of all rows. Rank 1 is the greatest weight with
     noise; rows of equal id and text share their noise and follow each other. Without labels nothing is
     good and nothing selected; labels of unknown documents only tell the share. Labels with a null are left out.
+    The texts are read twice, for the models and for the weights.
     """
     labelled = labels.select(id, F.expr(good).alias("_good")).where("_good IS NOT NULL")
     known, share = labelled.agg(F.count("*"), F.avg(F.col("_good").cast("double"))).first()
@@ -108,7 +109,8 @@ def resample(docs: DataFrame, labels: DataFrame, good: str = "quality = 1 AND to
     even = (F.shiftrightunsigned(F.xxhash64("doc_id", "row", F.lit("gumbel")), 12).cast("double") + 0.5) / float(1 << 52)
     found = found.withColumn("noisy_weight", F.col("log_weight") - F.log(-F.log(even)))
     order = [F.col("noisy_weight").desc(), F.col("doc_id").asc(), F.col("row").asc()]
-    ranked = number_rows(found, order, "rank")
+    # ranking reads its rows several times; written, they are narrow and no text is hashed again
+    ranked = number_rows(materialize(found, "weights"), order, "rank")
     k = round(ranked.count() * share) if known else 0
     rank = (F.col("rank") + 1).alias("rank")
     return ranked.select(F.col("doc_id").alias(id), "n_grams", "log_weight", "noisy_weight", rank, (F.col("rank") < k).alias("selected"))
