@@ -1,4 +1,8 @@
+import math
 import zlib
+from collections import Counter, defaultdict
+
+import pytest
 
 from corpuslm.llm import language_id as li
 
@@ -55,3 +59,70 @@ def test_forgetting_changes_nothing(documents, monkeypatch):
     before = sorted(li.predict(documents, model).collect())
     monkeypatch.setattr(li, "REMEMBERED", 50)
     assert [(r.doc_id, r.lang_pred) for r in sorted(li.predict(documents, model).collect())] == [(r.doc_id, r.lang_pred) for r in before]
+
+
+def brute(rows):
+    """(id, held out, language, score) by dictionaries, word by word and letter by letter."""
+    fold = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % li.FOLDS
+    words, grams = defaultdict(Counter), defaultdict(Counter)
+    for i, t, lang in rows:
+        if fold(i) and lang is not None:
+            for w in li.WORD.findall((t or "").lower()):
+                words[lang][w] += 1
+                marked = f"^{w}$"
+                pieces = {(at, end) for at in range(len(marked) - 1) for end in range(at + 1, min(at + li.LONGEST, len(marked)) + 1)}
+                grams[lang].update(marked[a:b] for a, b in pieces)
+    kept = lambda counts: {lang: Counter({x: n for x, n in c.items() if n >= li.LEAST}) for lang, c in counts.items()}
+    words, grams = kept(words), kept(grams)
+    languages = sorted(lang for lang in words.keys() | grams.keys() if words[lang] or grams[lang])
+    known_words, known_grams = ({x for c in counts.values() for x in c} for counts in (words, grams))
+
+    totals = [sum(words[lang].values()) for lang in languages]
+    by_size = {n: [sum(k for g, k in grams[lang].items() if len(g) == n) for lang in languages] for n in range(1, li.LONGEST + 1)}
+    kinds = {n: sum(len(g) == n for g in known_grams) for n in by_size}
+
+    def chance(counts, x, all_, kinds):
+        return [math.log((counts[lang][x] + li.SMOOTHING) / (n + li.SMOOTHING * kinds)) for lang, n in zip(languages, all_, strict=True)]
+
+    remembered = {}
+
+    def of_word(w):
+        if w not in remembered:
+            remembered[w] = chance(words, w, totals, max(1, len(known_words))) if w in known_words else spelled(f"^{w}$")
+        return remembered[w]
+
+    def spelled(marked):
+        sums = [0.0] * len(languages)
+        for at in range(len(marked) - 1):
+            longest = next((g for n in range(li.LONGEST, 0, -1) if (g := marked[at : at + n]) in known_grams), None)
+            if longest is not None:
+                own = chance(grams, longest, by_size[len(longest)], kinds[len(longest)])
+                sums = [a + b for a, b in zip(sums, own, strict=True)]
+        return [x / (len(marked) - 1) for x in sums]
+
+    out = []
+    for i, t, _ in rows:
+        found = li.WORD.findall((t or "").lower())
+        if not found or not languages:
+            out.append((i, fold(i) == 0, li.UNDETERMINED, 0.0))
+            continue
+        total = [sum(x) for x in zip(*map(of_word, found), strict=True)]
+        best = max(range(len(languages)), key=lambda k: (total[k], -k))
+        odds = [math.exp((x - total[best]) / len(found) * min(len(found), 20)) for x in total]
+        out.append((i, fold(i) == 0, languages[best], 1 / sum(odds)))
+    return out
+
+
+def test_documents_against_plain_python(documents):
+    rows = [(r.doc_id, r.text, r.lang) for r in documents.collect()]
+    got = {r.doc_id: r for r in li.predict(documents, li.fit(documents)).collect()}
+    assert len(got) == len(rows) and len({r.lang_pred for r in got.values()}) > 1
+    for i, held, lang, score in brute(rows):
+        assert (got[i].held_out, got[i].lang_pred) == (held, lang) and got[i].score == pytest.approx(score, rel=1e-9)
+
+
+def test_edge_rows_against_plain_python(spark):
+    df = rows(spark)
+    got = sorted((tuple(r) for r in li.predict(df, li.fit(df)).collect()), key=repr)
+    want = sorted(brute([(r.doc_id, r.text, r.lang) for r in df.collect()]), key=repr)
+    assert [r[:3] for r in got] == [r[:3] for r in want] and [r[3] for r in got] == pytest.approx([r[3] for r in want], rel=1e-9)
