@@ -316,7 +316,7 @@ def _in_sql(spark, steps: list[tuple[str, str]], **tables):
             spark.catalog.dropTempView(name)
 
 
-# one statement per stage; a curly name is a view of an earlier stage
+# one statement per stage; a curly name is a view of an earlier stage (Spark's strings know no \f: it would be an f)
 SQL_STAGES = [
     ("labelled", "SELECT doc_id, flair, coalesce(text, '') AS text FROM {posts} WHERE flair IS NOT NULL"),
     (
@@ -330,17 +330,19 @@ SQL_STAGES = [
         FROM {labelled}) WHERE word IS NOT NULL GROUP BY flair, word""",
     ),
     ("totals", "SELECT flair, sum(n) AS n FROM {label_terms} GROUP BY flair"),
-    ("background", "SELECT word, sum(n) / (SELECT sum(n) FROM {label_terms}) AS p FROM {label_terms} GROUP BY word"),
+    ("background", "SELECT word, sum(n) AS n, (SELECT sum(n) FROM {label_terms}) AS total FROM {label_terms} GROUP BY word"),
     (
         "terms",
-        r"""SELECT doc_id, explode_outer(array_distinct(split(lower(rtrim(' \t\n\u000b\f\r', text)), '\\s'))) AS word FROM {labelled}""",
+        r"""SELECT doc_id, explode_outer(array_distinct(split(lower(rtrim(' \t\n\u000b\u000c\r', text)), '\\s'))) AS word FROM {labelled}""",
     ),
-    ("matched", "SELECT doc_id, t.word, b.p FROM {terms} t JOIN {background} b ON t.word = b.word"),
+    ("matched", "SELECT doc_id, t.word, b.n, b.total FROM {terms} t JOIN {background} b ON t.word = b.word"),
     ("counted", "SELECT doc_id, count(*) AS m FROM {matched} GROUP BY doc_id"),
     (
+        # whole multiples of 2^-44, added in two parts as in operators/scoring.py: no order of addition shows
         "gains",
-        """SELECT m.doc_id, l.flair, sum(ln(1 + l.n / t.n / m.p)) AS gain
-        FROM {matched} m JOIN {label_terms} l ON l.word = m.word JOIN {totals} t ON t.flair = l.flair GROUP BY m.doc_id, l.flair""",
+        """SELECT doc_id, flair, (sum(shiftright(gain, 24)) + sum(gain & 16777215) / 16777216D) / 1048576D AS gain FROM (
+          SELECT m.doc_id, l.flair, CAST(round(log1p(CAST(l.n AS DOUBLE) * m.total / t.n / m.n) * 17592186044416D) AS BIGINT) AS gain
+          FROM {matched} m JOIN {label_terms} l ON l.word = m.word JOIN {totals} t ON t.flair = l.flair) GROUP BY doc_id, flair""",
     ),
     (
         "scores",

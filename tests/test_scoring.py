@@ -3,10 +3,12 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from corpuslm.catalog import classification
 from corpuslm.operators import models
 from corpuslm.operators.crossed import crossed
 from corpuslm.operators.predict import predict
 from corpuslm.operators.scoring import _as_double, _high, _low, best_classes, distinct_terms, expand_classes, match, scores, tile_grid
+from corpuslm.plans.classify import classify
 from tests import brute
 
 WANT = {
@@ -264,3 +266,12 @@ def test_crossed_maps_of_many_classes(spark, micro):
     for size in (64 << 20, 1):
         got = crossed(posts, many, "id", broadcast_bytes=size)
         assert sorted(map(flat, got.collect())) == want
+
+
+def test_sql_stages_trim_no_letter(spark):
+    """The last word of a post keeps its f: only whitespace, form feeds among it, is trimmed."""
+    rows = [(1, "a", "x", "1", "beef"), (2, "b", "x", "2", "bee\f\x0b"), (3, "b", "x", "3", "beef roof stuff \t")]
+    posts = spark.createDataFrame(rows, "doc_id long, flair string, author string, created string, text string")
+    own = classification._in_sql(spark, classification.SQL_STAGES, posts=posts).collect()
+    want = classify(posts, "doc_id").scores.collect()
+    assert sorted((r.doc_id, r["class"], round(r.score, 9)) for r in own) == sorted((r.doc_id, r["class"], round(r.score, 9)) for r in want)
