@@ -25,7 +25,7 @@ from corpuslm.operators import evaluate, models
 from corpuslm.operators.crossed import crossed
 from corpuslm.operators.labels import label_index
 from corpuslm.operators.positional import first_words, positional
-from corpuslm.operators.predict import max_score, scores_with_max
+from corpuslm.operators.predict import scores_with_max
 from corpuslm.operators.scoring import expand_classes, scores
 from corpuslm.operators.terms import label_terms, rank_terms, vocabulary, word_freq_maps
 from corpuslm.plans.classify import classify
@@ -134,8 +134,9 @@ def max_by_key(spark, sf_dir):
 )
 def max_by_author(spark, sf_dir):
     """The highest score of each author, under many classes."""
-    scored = classify(_many(spark, sf_dir), "doc_id", by=["author"]).scores
-    top = max_score(scored, ["author"], "doc_id")
+    p = _many(spark, sf_dir)
+    p = label_index(p).transform(p, spread_by="doc_id", name="label")
+    top = scores_with_max(p, models.fit(p, "label"), "doc_id", ["author"], keep=("author", "label"))
     return top.select("doc_id", "label", "class", rounded("score"), rounded("max_score"))
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuslm.functions.text import ws_tokens
 from corpuslm.operators.models import UnigramModel
-from corpuslm.operators.scoring import LAMBDA, score_columns, scores
+from corpuslm.operators.scoring import LAMBDA, check_lambda, distinct_terms, score_blocks, score_columns, scores
 from corpuslm.plans.shared import materialize
 from corpuslm.plans.sizes import BROADCAST_BYTES
 from corpuslm.plans.skew import lookup_join
@@ -45,9 +46,18 @@ def scores_with_max(
     """(id, keep..., class, score, max_score): max_score over scores; `by` are among id and keep.
 
     With few classes a post's sums are written once, in one row; its scores, its maximum and that of its key all come from them.
+    With many there is a row for each block of classes.
     """
-    if model.classes is None or list(by) == [id]:
+    if list(by) == [id]:
         return max_score(scores(posts, model, id, text, keep, lam, broadcast_bytes=broadcast_bytes), by, id)
+    if model.classes is None:
+        keys = [id, *keep]
+        terms = distinct_terms(posts, keys, ws_tokens(F.col(text)))
+        rows = materialize(score_blocks(posts, terms, model, keys, check_lambda(lam), broadcast_bytes=broadcast_bytes), "post-scores")
+        best = rows.groupBy(id, *by).agg(F.max(F.array_max("_scores")).alias("_top"))
+        best = _of_keys(best, by, id).select(F.col(id).alias("_post"), "max_score")
+        rows = rows.join(best, rows[id].eqNullSafe(best["_post"]))
+        return rows.select(*keys, F.inline(F.arrays_zip(F.col("_labels").alias("class"), F.col("_scores").alias("score"))), "max_score")
     rows = materialize(score_columns(posts, model, id, text, keep, lam, broadcast_bytes), "post-scores")
     tops = [f"_s_{i}" for i in range(len(model.classes))]
     best = _of_keys(rows.withColumn("_top", F.greatest(*tops) if len(tops) > 1 else F.col(tops[0])), by, id)

@@ -22,11 +22,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuslm.functions.text import ws_tokens
+from corpuslm.functions.text import NON_WORD, ws_tokens
 from corpuslm.operators.models import BLOCK, UnigramModel
 from corpuslm.plans.shared import materialize
 from corpuslm.plans.sizes import BROADCAST_BYTES, SMALL_ROWS, is_small
-from corpuslm.plans.skew import LONGEST_KEY, lookup_join
+from corpuslm.plans.skew import LONGEST_KEY, SPREAD, lookup_join
 
 # Fixed value: the smoothing weight when the caller does not say.
 LAMBDA = 0.5
@@ -37,6 +37,8 @@ BLOCK_BYTES = 8 * BLOCK + 64
 # Gains are multiples of 2^-FRACTION, summed as a high part and the LOW lowest bits: a gain is below 64 and a cell of
 # text holds fewer than 2^31 words, so neither sum can leave 63 bits.
 FRACTION, LOW = 44, 24
+# Ranks that a doubling of a word's count is divided into, to tell the most frequent words that fit a broadcast.
+RANKS = 16
 # Pairs of a post and a class in a tile, when classes are too many to list, and tiles that are dealt one to a task at most.
 TILE_PAIRS, MOST_TILES = 1_000_000, 100_000
 
@@ -132,6 +134,44 @@ def match(
     return lookup_join(terms, gains, ["word"], "n", values, spread_by, keys=hot, spread_nulls=True)
 
 
+def head_cut(model: UnigramModel, value_bytes: int, broadcast_bytes: int) -> tuple[int | None, bool]:
+    """The least _rank_of_count of the most frequent words that may be broadcast together by their measured bytes, None for all
+    words; and whether all others are of word characters only, so that a term with another one has no match there."""
+    size = F.octet_length("word") + F.lit(value_bytes + ROW_BYTES)
+    if model.classes is None:
+        size = size + F.size("blocks") * BLOCK_BYTES
+    elif model.word_bytes + model.n_words * (value_bytes + ROW_BYTES) <= broadcast_bytes:
+        return None, True
+    odd = F.bool_or(F.col("word").rlike(NON_WORD))
+    ranks = model.table.groupBy(_rank_of_count().alias("rank")).agg(F.sum(size).alias("bytes"), odd.alias("odd")).collect()
+    cut, room = 64 * RANKS, broadcast_bytes
+    for rank, size, _ in sorted(map(tuple, ranks), reverse=True):
+        room -= size
+        if room < 0:
+            return cut, not any(odd for rank, _, odd in ranks if rank < cut)
+        cut = rank
+    return None, True
+
+
+def _rare(plain: bool) -> Column:
+    """The term of a row without a match in the head, where the rest of the model may have it."""
+    missing = F.col("n").isNull()
+    return F.when(missing & ~F.col("word").rlike(NON_WORD) if plain else missing, F.col("word")).alias("_rare")
+
+
+def _rank_of_count() -> Column:
+    """RANKS ranks for each doubling of a word's count, so that a model has 63 * RANKS at most."""
+    return F.floor(F.log2("n") * RANKS)
+
+
+def _meet_rare(rows: DataFrame, tail: DataFrame, id: str) -> DataFrame:
+    """rows LEFT JOIN tail on the word _rare; the rows without one, one or a few of each post, are spread."""
+    spread = F.when(F.col("_rare").isNull(), F.pmod(F.xxhash64(id), F.lit(SPREAD)).cast("int") + 1).otherwise(0)
+    tail = tail.withColumnRenamed("word", "_word").withColumn("_at", F.lit(0))
+    rows = rows.withColumn("_spread", spread)
+    return rows.join(tail, (F.col("_rare") == F.col("_word")) & (F.col("_spread") == F.col("_at")), "left")
+
+
 def scores(
     posts: DataFrame,
     model: UnigramModel,
@@ -227,9 +267,17 @@ def _sums(terms: DataFrame, model: UnigramModel, keys: list[str], lam: float, br
         gains.append(_fixed(F.log1p(F.lit(odds) * ratio)).alias(f"g_{i}"))
     table = model.table.select("word", "n", *gains)
     k = len(model.classes)
-    joined = match(terms, table, model, 8 * (k + 1), keys[0], broadcast_bytes)
-    parts = [part(f"g_{i}").alias(f"{name}_{i}") for i in range(k) for part, name in ((_high, "_h"), (_low, "_l"))]
-    return joined.groupBy(*keys).agg(F.count("n").alias("_matched"), *parts)
+    cut, plain = head_cut(model, 8 * (k + 1), broadcast_bytes)
+    sides = [(part, f"{name}_{i}", f"g_{i}") for i in range(k) for part, name in ((_high, "_h"), (_low, "_l"))]
+    head = table if cut is None else table.where(_rank_of_count() >= cut)
+    looked = terms.join(F.broadcast(head), "word", "left")
+    if cut is None:
+        return looked.groupBy(*keys).agg(F.count("n").alias("_matched"), *[part(gain).alias(name) for part, name, gain in sides])
+    # the frequent words of a post add up where it is read; only its rare ones move, and their rows are few
+    rows = looked.groupBy(*keys, _rare(plain)).agg(F.count("n").alias("_m"), *[part(gain).alias(f"_{name}") for part, name, gain in sides])
+    joined = _meet_rare(rows, table.where(_rank_of_count() < cut), keys[0])
+    both = [(F.sum(f"_{name}") + part(gain)).alias(name) for part, name, gain in sides]
+    return joined.groupBy(*keys).agg((F.sum("_m") + F.count("n")).alias("_matched"), *both)
 
 
 def _class_score(model: UnigramModel, i: int, lam: float, prior: str) -> Column:
@@ -246,15 +294,35 @@ def _block_sums(terms: DataFrame, model: UnigramModel, keys: list[str], lam: flo
     gain = lambda share: _fixed(F.log1p(F.lit((1 - lam) / lam) * share * ratio))
     own = F.transform("blocks", lambda b: F.struct(b["block"].alias("block"), F.transform(b["shares"], gain).alias("_g")))
     table = model.table.select("word", "n", own.alias("_blocks"))
-    joined = match(terms, table, model, 16, keys[0], broadcast_bytes)
     none = F.array(F.struct(F.lit(-1).alias("block"), F.lit(None).cast("array<bigint>").alias("_g")))
-    rows = joined.select(*keys, "n", F.inline(F.concat(none, F.coalesce("_blocks", F.slice(none, 1, 0)))))
-    rows = rows.select(*keys, "block", "n", *[F.get("_g", F.lit(i)).alias(f"_g_{i}") for i in range(BLOCK)])
-    sums = [part(f"_g_{i}").alias(f"{name}_{i}") for i in range(BLOCK) for part, name in ((_high, "_h"), (_low, "_l"))]
-    matched = F.count(F.when(F.col("block") == -1, F.col("n")))
-    found = rows.groupBy(*keys, "block").agg(*sums, matched.alias("_m"))
+    places = [F.get("_g", F.lit(i)).alias(f"_g_{i}") for i in range(BLOCK)]
+    sides = [(part, f"{name}_{i}", f"_g_{i}") for i in range(BLOCK) for part, name in ((_high, "_h"), (_low, "_l"))]
     gains = F.array(*[_as_double(F.col(f"_h_{i}"), F.col(f"_l_{i}")) for i in range(BLOCK)])
-    return found.select(*keys, "block", gains.alias("gains"), "_m")
+    found = F.concat(none, F.coalesce("_blocks", F.slice(none, 1, 0)))
+    matched = F.count(F.when(F.col("block") == -1, F.col("n")))
+    cut, plain = head_cut(model, 16, broadcast_bytes)
+    head = table if cut is None else table.where(_rank_of_count() >= cut)
+    looked = terms.join(F.broadcast(head), "word", "left")
+    if cut is None:
+        rows = looked.select(*keys, "n", F.inline(found)).select(*keys, "block", "n", *places)
+        sums = rows.groupBy(*keys, "block").agg(*[part(gain).alias(name) for part, name, gain in sides], matched.alias("_m"))
+        return sums.select(*keys, "block", gains.alias("gains"), "_m")
+    # as in _sums: only the rare words of a post move
+    rows = looked.select(*keys, _rare(plain), "n", F.inline(found)).select(*keys, "_rare", "block", "n", *places)
+    highs, lows = [F.array(*[part(f"_g_{i}") for i in range(BLOCK)]) for part in (_high, _low)]
+    rows = rows.groupBy(*keys, "_rare", "block").agg(matched.alias("_m"), highs.alias("_hs"), lows.alias("_ls"))
+    met = _meet_rare(rows, table.where(_rank_of_count() < cut), keys[0])
+    own = F.struct("block", (F.col("_m") + F.col("n").isNotNull().cast("bigint")).alias("_m"), "_hs", "_ls")
+    halves = lambda b: F.struct(
+        b["block"].alias("block"),
+        F.lit(0).cast("bigint").alias("_m"),
+        F.transform(b["_g"], lambda g: F.shiftright(g, LOW)).alias("_hs"),
+        F.transform(b["_g"], lambda g: g.bitwiseAND(F.lit((1 << LOW) - 1))).alias("_ls"),
+    )
+    rows = met.select(*keys, F.inline(F.concat(F.array(own), F.coalesce(F.transform("_blocks", halves), F.slice(F.array(own), 1, 0)))))
+    sums = [F.coalesce(F.sum(F.get(f"{name}s", F.lit(i))), F.lit(0)).alias(f"{name}_{i}") for i in range(BLOCK) for name in ("_h", "_l")]
+    rows = rows.groupBy(*keys, "block").agg(*sums, F.sum("_m").alias("_m"))
+    return rows.select(*keys, "block", gains.alias("gains"), "_m")
 
 
 def _class_blocks(model: UnigramModel) -> DataFrame:
@@ -326,8 +394,16 @@ def _best_long(terms: DataFrame, model: UnigramModel, keys: list[str], lam: floa
     return with_words.unionByName(without)
 
 
-def _scores_long(posts, terms, model, keys, lam, prior, broadcast_bytes, name) -> DataFrame:
-    """Many classes: every post with every block of classes, and the sums of the blocks that have words of it."""
+def score_blocks(
+    posts: DataFrame,
+    terms: DataFrame,
+    model: UnigramModel,
+    keys: list[str],
+    lam: float,
+    prior: str = "word",
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """(keys, _labels, _scores): every post with every block of classes, and the scores of the classes of a block. Many classes only."""
     id = keys[0]
     found = materialize(_block_sums(terms.select(id, "word"), model, [id], lam, broadcast_bytes), "block-sums")
     matched = found.where("block = -1").select(id, F.col("_m").alias("_matched"))
@@ -335,5 +411,10 @@ def _scores_long(posts, terms, model, keys, lam, prior, broadcast_bytes, name) -
     full = pairs.join(found.where("block >= 0").select(id, "block", "gains"), [id, "block"], "left").join(matched, id, "left")
     times = F.coalesce("_matched", F.lit(0)) if prior == "word" else F.lit(1)
     gain = lambda i: F.coalesce(F.get("gains", i), F.lit(0.0))
-    entry = lambda i: F.struct(F.get("_labels", i).alias(name), (times * F.get("_shares", i) + gain(i)).alias("score"))
-    return full.select(*keys, F.inline(F.transform("_labels", lambda _, i: entry(i))))
+    return full.select(*keys, "_labels", F.transform("_shares", lambda s, i: times * s + gain(i)).alias("_scores"))
+
+
+def _scores_long(posts, terms, model, keys, lam, prior, broadcast_bytes, name) -> DataFrame:
+    """Many classes: the scores of every block, one row each."""
+    blocks = score_blocks(posts, terms, model, keys, lam, prior, broadcast_bytes)
+    return blocks.select(*keys, F.inline(F.arrays_zip(F.col("_labels").alias(name), F.col("_scores").alias("score"))))

@@ -12,14 +12,20 @@ from corpuslm.operators.labels import LabelIndex, label_index
 from corpuslm.operators.models import UnigramModel, fit
 from corpuslm.operators.predict import predict
 from corpuslm.operators.scoring import LAMBDA, best_classes, scores
+from corpuslm.plans.shared import materialize
 
 
 @dataclass
 class Classified:
     labels: LabelIndex
     model: UnigramModel
-    predictions: DataFrame
     score_all: Callable[[], DataFrame]
+    predict_all: Callable[[], DataFrame]
+
+    @cached_property
+    def predictions(self) -> DataFrame:
+        """The best classes. They take jobs of their own, which the scores don't need."""
+        return self.predict_all()
 
     @cached_property
     def scores(self) -> DataFrame:
@@ -48,10 +54,12 @@ def classify(
     model = fit(indexed, "label", text, classes)
     by = by or [id]
     keep = tuple(c for c in by if c != id) + ("label",)
-    if by == [id]:
-        best = best_classes(indexed, model, id, text, keep=keep, lam=lam, ties=ties)
-    else:
-        # the best of a key is among the best of its posts
-        own = best_classes(indexed, model, id, text, keep=keep, lam=lam)
-        best = predict(own.drop("max_score"), by, id, ties, name="prediction")
-    return Classified(labels, model, best, lambda: scores(indexed, model, id, text, keep=keep, lam=lam))
+
+    def predictions() -> DataFrame:
+        if by == [id]:
+            return best_classes(indexed, model, id, text, keep=keep, lam=lam, ties=ties)
+        # the best of a key is among the best of its posts: few narrow rows, written as they are read twice
+        own = materialize(best_classes(indexed, model, id, text, keep=keep, lam=lam).drop("max_score"), "own-best")
+        return predict(own, by, id, ties, name="prediction")
+
+    return Classified(labels, model, lambda: scores(indexed, model, id, text, keep=keep, lam=lam), predictions)

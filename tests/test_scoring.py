@@ -4,10 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpuslm.catalog import classification
-from corpuslm.operators import models
+from corpuslm.functions.text import ws_tokens
+from corpuslm.operators import models, scoring
 from corpuslm.operators.crossed import crossed
 from corpuslm.operators.predict import predict
-from corpuslm.operators.scoring import _as_double, _high, _low, best_classes, distinct_terms, expand_classes, match, scores, tile_grid
+from corpuslm.operators.scoring import _as_double, _high, _low, _meet_rare, best_classes, distinct_terms, expand_classes, match, scores, tile_grid
+from corpuslm.plans import classify as plan
 from corpuslm.plans.classify import classify
 from tests import brute
 
@@ -275,3 +277,29 @@ def test_sql_stages_trim_no_letter(spark):
     own = classification._in_sql(spark, classification.SQL_STAGES, posts=posts).collect()
     want = classify(posts, "doc_id").scores.collect()
     assert sorted((r.doc_id, r["class"], round(r.score, 9)) for r in own) == sorted((r.doc_id, r["class"], round(r.score, 9)) for r in want)
+
+
+@pytest.mark.parametrize("wide", [32, 1])
+def test_only_rare_words_move(spark, documents, wide, monkeypatch):
+    """A model that is broadcast in part scores as one broadcast whole, its frequent words not leaving the row of their post."""
+    posts = documents.selectExpr("doc_id", "lang AS flair", "text").union(
+        spark.createDataFrame([(-1, "en", None), (-2, "en", "  "), (-3, "de", "word-that-nobody-knows"), (-4, "de", "the \x00 the")], "doc_id long, flair string, text string")
+    )
+    model = models.fit(posts, wide=wide)
+    whole = table(scores(posts, model, "doc_id"), "doc_id")
+    sent = []
+    monkeypatch.setattr(scoring, "_meet_rare", lambda rows, *rest: sent.append(rows) or _meet_rare(rows, *rest))
+    cut, plain = scoring.head_cut(model, 40, 1 << 20)
+    assert 0 < cut < 200 and plain
+    got = scores(posts, model, "doc_id", broadcast_bytes=1 << 20)
+    assert table(got, "doc_id") == whole
+    every = distinct_terms(posts, ["doc_id"], ws_tokens(F.col("text"))).count()
+    assert sent and 0 < sent[0].where("_rare IS NOT NULL").count() < every / 3
+    best = [sorted(map(tuple, best_classes(posts, model, "doc_id", broadcast_bytes=b).collect())) for b in (1 << 40, 1 << 20, 1)]
+    assert best[0] == best[1] == best[2]
+
+
+def test_scores_alone_make_no_predictions(micro, monkeypatch):
+    made = []
+    monkeypatch.setattr(plan, "best_classes", lambda *a, **k: made.append(a))
+    assert classify(micro, "id", by=["created", "author"]).scores.count() == 8 and not made
