@@ -28,7 +28,8 @@ from corpuslm.plans.skew import lookup_join
 WINDOW, CUT_BITS = 16, 10
 # Shorter chunks are not worth a join.
 LEAST = 64
-# Bits of the map of repeated chunks: 8 MB, whatever the corpus. A chunk whose bit another one has set is only looked up in vain.
+# Bits of the maps of repeated chunks and of the documents that hold one: 8 MB each, whatever the corpus. A chunk whose bit another one
+# has set is only looked up in vain, and a document whose bit another one has set only moves in vain.
 BITS = 1 << 26
 # Bytes of text that are looked at together; of text in a group of documents that share one dictionary of chunks.
 BLOCK_BYTES, GROUP_BYTES = 4 << 20, 16 << 20
@@ -140,8 +141,9 @@ class Codec:
         """The ids of raw[start:end], of which `safe` lists the safe places inside."""
         pieces = [raw[a:b] for a, b in zip([start, *safe], [*safe, end]) if b > a]
         known = self.known
-        new = {p for p in pieces if p not in known}
-        if new:
+        found = list(map(known.get, pieces))
+        if None in found:
+            new = {p for p, ids in zip(pieces, found) if ids is None}
             if len(known) + len(new) > REMEMBERED:
                 known.clear()
                 new = set(pieces)
@@ -151,7 +153,8 @@ class Codec:
                 found = self.tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
                 for p, e in zip(part, found):
                     known[p] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([known[p] for p in pieces])
+            found = [known[p] for p in pieces]
+        return b"".join(found)
 
     def digests(self, ids: bytes) -> tuple[int, str, str]:
         """(number of ids, digest of the ids as decimals, digest of the text they decode to)."""
@@ -236,9 +239,9 @@ def chunk_places(docs: DataFrame, bits: int = CUT_BITS) -> DataFrame:
     return docs.select("deal", "text").mapInArrow(run, "deal long, d1 long, d2 long, n long, bytes long")
 
 
-def repeated_bits(repeated: DataFrame, n_bits: int = BITS) -> np.ndarray:
-    """The map of bits of the repeated chunks' digests."""
-    place = F.col("d2").bitwiseAND(F.lit(n_bits - 1))
+def repeated_bits(repeated: DataFrame, n_bits: int = BITS, digest: str = "d2") -> np.ndarray:
+    """The map of bits of the repeated chunks' digests, or of another column of 64 bits."""
+    place = F.col(digest).bitwiseAND(F.lit(n_bits - 1))
     packed = repeated.select(place.alias("_place")).groupBy(F.shiftright("_place", 6).alias("at"))
     packed = packed.agg(F.bit_or(F.expr("shiftleft(1L, cast(_place & 63 as int))")).alias("held")).toArrow()
     held = np.zeros(max(n_bits >> 6, 1), np.int64)
@@ -251,17 +254,24 @@ def _is_set(held: np.ndarray, digest: int) -> bool:
     return bool(int(held[at >> 6]) >> (at & 63) & 1)
 
 
-def _bodies(docs: DataFrame, held: np.ndarray, bits: int) -> DataFrame:
+def _own(part: pa.RecordBatch, sharing: np.ndarray, shared: bool) -> pa.RecordBatch:
+    """The rows of the documents whose bit is set, or is not; their numbers are the first column."""
+    at = part.column(0).to_numpy().view(np.uint64) & np.uint64(len(sharing) * 64 - 1)
+    is_set = sharing[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1) == 1
+    return part.filter(pa.array(is_set == shared, pa.bool_()))
+
+
+def _bodies(docs: DataFrame, held: np.ndarray, sharing: np.ndarray, bits: int) -> DataFrame:
     """(d1, d2, body): the chunks whose bit is set, once for each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for part in slices(whole, 0, BLOCK_BYTES):
-                blocks = Blocks(part.column(0), bits)
+            for part in slices(whole, 1, BLOCK_BYTES):
+                blocks = Blocks(_own(part, sharing, True).column(1), bits)
                 found = {d: blocks.raw[a:b] for _, a, b, d in blocks.bodies() if _is_set(held, d)}
                 yield pa.RecordBatch.from_arrays([*_halves(list(found)), pa.array(list(found.values()), pa.binary())], names=["d1", "d2", "body"])
 
-    return docs.select("text").mapInArrow(run, "d1 long, d2 long, body binary")
+    return docs.select("deal", "text").mapInArrow(run, "d1 long, d2 long, body binary")
 
 
 def _encode_bodies(bodies: DataFrame, path: str) -> DataFrame:
@@ -278,31 +288,25 @@ def _encode_bodies(bodies: DataFrame, path: str) -> DataFrame:
     return bodies.mapInArrow(run, "d1 long, d2 long, ids binary")
 
 
-def _unshared(docs: DataFrame, held: np.ndarray, path: str, bits: int, kind: str) -> DataFrame:
-    """The rows of the documents none of whose chunks has its bit set."""
+def _unshared(docs: DataFrame, sharing: np.ndarray, path: str, kind: str) -> DataFrame:
+    """The rows of the documents whose bit is not set: none of their chunks is repeated."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(path)
         for whole in batches:
-            for part in slices(whole, 1, BLOCK_BYTES):
-                blocks = Blocks(part.column(1), bits)
-                shared = {t for t, _, _, d in blocks.bodies() if _is_set(held, d)}
-                if shared:
-                    part = part.filter(pa.array([t not in shared for t in range(part.num_rows)], pa.bool_()))
-                    blocks = Blocks(part.column(1), bits)
-                yield _rows(part.column(0), _encoded(blocks, codec, lambda d: None), codec)
+            for part in slices(whole, 2, BLOCK_BYTES):
+                part = _own(part, sharing, False)
+                yield _rows(part.column(1), _encoded(Blocks(part.column(2), 32), codec, lambda d: None), codec)
 
-    return docs.select("doc_id", "text").mapInArrow(run, OUT.format(id=kind))
+    return docs.select("deal", "doc_id", "text").mapInArrow(run, OUT.format(id=kind))
 
 
-def _sharing(docs: DataFrame, held: np.ndarray, bits: int, kind: str) -> DataFrame:
-    """(deal, doc_id, text) of the documents with a chunk whose bit is set."""
+def _sharing(docs: DataFrame, sharing: np.ndarray, kind: str) -> DataFrame:
+    """(deal, doc_id, text) of the documents whose bit is set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for part in slices(whole, 2, BLOCK_BYTES):
-                shared = {t for t, _, _, d in Blocks(part.column(2), bits).bodies() if _is_set(held, d)}
-                yield part.filter(pa.array([t in shared for t in range(part.num_rows)], pa.bool_()))
+            yield _own(whole, sharing, True)
 
     return docs.select("deal", "doc_id", "text").mapInArrow(run, f"deal long, doc_id {kind}, text string")
 
@@ -347,7 +351,8 @@ def round_trip(docs: DataFrame, path: str, cut_bits: int = CUT_BITS, n_bits: int
     counts = places.groupBy("d1", "d2").agg(F.sum("n").alias("n")).where("n > 1")
     counts = materialize(counts, "repeated-chunks")
     held = repeated_bits(counts, n_bits)
-    bodies = _bodies(docs, held, cut_bits).groupBy("d1", "d2").agg(F.first("body").alias("body"))
+    sharing = repeated_bits(places.join(counts, ["d1", "d2"], "left_semi"), n_bits, "deal")
+    bodies = _bodies(docs, held, sharing, cut_bits).groupBy("d1", "d2").agg(F.first("body").alias("body"))
     bodies = bodies.join(counts.select("d1", "d2"), ["d1", "d2"], "left_semi")
     encoded = materialize(_encode_bodies(bodies, path), "encoded-chunks")
     # documents with repeated chunks are dealt to groups, and each group is sent its chunks once
@@ -356,10 +361,10 @@ def round_trip(docs: DataFrame, path: str, cut_bits: int = CUT_BITS, n_bits: int
     needed = materialize(places.select(group, "d1", "d2").distinct(), "needed-chunks")
     weights = needed.groupBy("d1", "d2").agg(F.count("*").alias("_rows")).join(encoded, ["d1", "d2"])
     sent = lookup_join(needed, weights, ["d1", "d2"], "_rows", ["ids"], spread_by="group").where("ids IS NOT NULL")
-    texts = _sharing(docs, held, cut_bits, kind).select(group, "doc_id", "text")
+    texts = _sharing(docs, sharing, kind).select(group, "doc_id", "text")
     null = lambda t: F.lit(None).cast(t)
     both = sent.select("group", "d1", "d2", "ids", null(kind).alias("doc_id"), null("string").alias("text")).union(
         texts.select("group", null("long").alias("d1"), null("long").alias("d2"), null("binary").alias("ids"), "doc_id", "text")
     )
     dealt = both.repartition("group").sortWithinPartitions("group", F.asc(F.col("ids").isNull()))
-    return _unshared(docs, held, path, cut_bits, kind).union(_met(dealt, path, cut_bits, kind))
+    return _unshared(docs, sharing, path, kind).union(_met(dealt, path, cut_bits, kind))

@@ -84,3 +84,16 @@ def test_bytes_of_tokens_decode_as_the_library_does():
         ids = [rng.randrange(50_257) for _ in range(rng.randrange(1, 12))]
         text = LIBRARY.decode(ids, skip_special_tokens=False)
         assert CODEC.digests(b"".join(i.to_bytes(4, "little") for i in ids))[2] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_only_documents_with_a_repeated_chunk_move(spark):
+    rng = random.Random(5)
+    words = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    common = words(2_000)
+    docs = spark.createDataFrame([(i, i, words(500) + (common if i < 3 else "")) for i in range(9)], "deal bigint, doc_id bigint, text string")
+    places = chunk_bpe.chunk_places(docs, 6)
+    repeated = places.groupBy("d1", "d2").sum("n").where("`sum(n)` > 1")
+    sharing = chunk_bpe.repeated_bits(places.join(repeated, ["d1", "d2"], "left_semi"), digest="deal")
+    assert {r.doc_id for r in chunk_bpe._sharing(docs, sharing, "bigint").collect()} == {0, 1, 2}
+    alone = chunk_bpe._unshared(docs, sharing, PATH, "bigint").collect()
+    assert sorted(tuple(r) for r in alone) == sorted((r.doc_id, *library(r.text)) for r in docs.where("doc_id > 2").collect())
