@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuslm.functions.frequency import run_lengths, word_freq
 from corpuslm.functions.text import word_tokens
 from corpuslm.functions.unroll import unroll, unroll_structs
+from corpuslm.operators import heads
 from corpuslm.operators.prep import labelled_only
 from corpuslm.plans.numbering import number_rows
 from corpuslm.plans.shared import materialize
 from corpuslm.plans.skew import lookup_join
 
+# Functions of this module travel to the executors whole, so these need no copy of the library.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Ranges of a histogram that is brought to the driver.
 HISTOGRAM = 1_024
@@ -43,8 +53,16 @@ def vocabulary(posts: DataFrame, tokens: Column, size: int | None = None) -> Dat
 
     All terms are numbered; a size keeps the top ones.
     """
-    counts = unroll_structs(posts, [], run_lengths(tokens), "term")
-    counts = counts.groupBy("term").agg(F.sum("n").alias("n"), F.count("*").alias("df"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, sizes in heads.slices(batch, 0):
+                _, code, n, words = heads.counted(part.column(0), sizes)
+                total, posts_of = np.bincount(code, n, len(words)).astype(np.int64), np.bincount(code, minlength=len(words))
+                yield pa.RecordBatch.from_arrays([words, pa.array(total), pa.array(posts_of)], names=["term", "n", "df"])
+
+    counts = posts.select(tokens.alias("tokens")).mapInArrow(run, "term string, n bigint, df bigint")
+    counts = counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
     return rank_terms(counts, size)
 
 
@@ -93,10 +111,25 @@ def count_vectors(posts: DataFrame, id: str, tokens: Column, vocabulary: DataFra
     brought to the driver.
     """
     index = materialize(vocabulary.select("term", F.col("n").alias("_weight"), "term_index"), "vocabulary")
-    counts = posts.select(id, F.inline_outer(run_lengths(tokens)))
-    placed = lookup_join(counts, index, ["term"], "_weight", ["term_index"], spread_by=id, spread_nulls=True)
-    entry = F.when(F.col("term_index").isNotNull(), F.struct("term_index", F.col("n").cast("double").alias("n")))
-    rows = placed.groupBy(id).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
+    rank = -F.floor(F.log2("_weight") * heads.RANKS)
+    cut = heads.head_cut(index, rank)
+    in_head = F.lit(False) if cut is None else F.coalesce(rank <= cut, F.lit(False))
+    head = index.where(in_head).select("term", "term_index").toArrow().combine_chunks()
+    known, places = head["term"].combine_chunks(), head["term_index"].combine_chunks()
+
+    def split(lists: pa.Array, sizes: np.ndarray) -> list[pa.Array]:
+        row, code, n, words = heads.counted(lists, sizes)
+        at = pc.index_in(words, value_set=known).take(pa.array(code))
+        here, n = at.is_valid().to_numpy(zero_copy_only=False), pa.array(n.astype(float))
+        own, others = pa.array(here), pa.array(~here)
+        return [
+            heads.lists(row[here], len(sizes), {"term_index": places.take(at.filter(own)), "n": n.filter(own)}),
+            heads.lists(row[~here], len(sizes), {"term": words.take(pa.array(code[~here])), "n": n.filter(others)}),
+        ]
+
+    entry = F.struct("term_index", "n")
+    found, rare = "struct<term_index:bigint,n:double>", "struct<term:string,n:double>"
+    rows = heads.met(posts, id, tokens, split, found, rare, index.where(~in_head).select("term", "term_index"), "term", entry)
     vector = F.struct(
         F.lit(index.count()).cast("bigint").alias("size"),
         F.transform("_entries", lambda e: e["term_index"].cast("bigint")).alias("indices"),

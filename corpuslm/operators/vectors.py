@@ -1,14 +1,22 @@
-"""Sparse and dense ML vectors to rows and word maps, and back, without Python workers and without a dense array."""
+"""Sparse and dense ML vectors to rows and word maps, and back, without a dense array."""
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpuslm.operators import heads
 from corpuslm.plans.shared import new_path
-from corpuslm.plans.skew import lookup_join
+
+# Functions of this module travel to the executors whole, so these need no copy of the library.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Fixed value: how a vector's stored form says that it lists its indices.
 SPARSE = 0
@@ -57,9 +65,27 @@ def vector_word_freq(df: DataFrame, id: str, vector: str, vocabulary: DataFrame,
     `vocabulary` has (term, term_index) and may be of any length; it is joined, and the entries of common words are spread.
     A vector without entries, or null, has an empty map. An index that the vocabulary lacks names no word and is left out.
     """
-    rows = df.select(id, F.inline_outer(vector_entries(vector)))
-    weights = rows.groupBy("term_index").agg(F.count("*").alias("_weight"))
-    table = vocabulary.select("term", F.col("term_index").cast("int").alias("term_index")).join(weights, "term_index")
-    named = lookup_join(rows, table, ["term_index"], "_weight", ["term"], spread_by=id, spread_nulls=True)
-    entry = F.when(F.col("term").isNotNull(), F.struct(F.col("term").alias("key"), F.col("n").alias("value")))
-    return named.groupBy(id).agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias(output))
+    table = vocabulary.select("term", F.col("term_index").cast("int").alias("term_index"))
+    rank = F.floor(F.log2(F.col("term_index") + 1) * heads.RANKS)
+    cut = heads.head_cut(table, rank)
+    in_head = F.lit(False) if cut is None else F.coalesce(rank <= cut, F.lit(False))
+    head = table.where(in_head).toArrow().combine_chunks()
+    known, words = head["term_index"].to_numpy(), head["term"].combine_chunks()
+    place = np.full(int(known.max()) + 1 if len(known) else 1, -1)
+    place[known] = np.arange(len(known))
+
+    def split(entries: pa.Array, sizes: np.ndarray) -> list[pa.Array]:
+        flat, row = entries.flatten(), np.repeat(np.arange(len(sizes)), sizes)
+        index, n = flat.field(0).to_numpy(), flat.field(1)
+        at = np.where(index < len(place), place[np.minimum(index, len(place) - 1)], -1)
+        here = at >= 0
+        own, others = pa.array(here), pa.array(~here)
+        return [
+            heads.lists(row[here], len(sizes), {"key": words.take(pa.array(at[here])), "value": n.filter(own)}),
+            heads.lists(row[~here], len(sizes), {"term_index": pa.array(index[~here], pa.int32()), "n": n.filter(others)}),
+        ]
+
+    entry = F.struct(F.col("term").alias("key"), F.col("n").alias("value"))
+    found, rare = "struct<key:string,value:double>", "struct<term_index:int,n:double>"
+    named = heads.met(df, id, vector_entries(vector), split, found, rare, table.where(~in_head), "term_index", entry)
+    return named.select(id, F.map_from_entries("_entries").alias(output))
