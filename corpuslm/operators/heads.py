@@ -52,9 +52,11 @@ def lists(row: np.ndarray, rows: int, fields: dict[str, pa.Array]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(list(fields.values()), names=list(fields)))
 
 
-def head_cut(table: DataFrame, rank: Column, term: str = "term", most: int = HEAD_BYTES) -> int | None:
-    """The greatest value of `rank`, a few whole numbers, of the rows of least rank that may travel with a task; None for no row."""
-    size = F.sum(F.octet_length(term) + F.lit(ROW_BYTES)).alias("bytes")
+def head_cut(table: DataFrame, rank: Column, term: str = "term", most: int = HEAD_BYTES, each: int = ROW_BYTES) -> int | None:
+    """The greatest value of `rank`, a few whole numbers, of the rows of least rank that may travel with a task; None for no row.
+
+    A row takes `each` bytes besides its string."""
+    size = F.sum(F.octet_length(term) + F.lit(each)).alias("bytes")
     cut = None
     for r, n in sorted(map(tuple, table.groupBy(rank.alias("rank")).agg(size).collect())):
         most -= n

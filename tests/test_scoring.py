@@ -260,6 +260,26 @@ def test_crossed_maps(micro):
         assert by_class["tech"]["statistical_lm"] == {"bread": 1 / 9}
 
 
+def test_crossed_looks_frequent_words_up_where_the_post_lies(spark, documents):
+    posts = small_documents(documents).limit(150)
+    posts = posts.union(spark.createDataFrame([(-1, None, "the of"), (-2, "en", None), (-3, "en", " "), (None, "en", "the zzz-9")], posts.schema))
+    posts = posts.union(posts.where("doc_id = -1"))  # a repeated row has rows of its own
+    model = models.fit(posts, "flair")
+    flat = lambda r: (str(r["doc_id"]), str(r["flair"]), r["class"], r["prior"], *(sorted(r[m].items()) for m in ("words_freq", "statistical_lm", "background_statistical_lm")))
+    whole = crossed(posts, model, "doc_id", keep=("flair",))
+    assert "Exchange" not in whole._jdf.queryExecution().optimizedPlan().toString() and "Aggregate" not in whole._jdf.queryExecution().optimizedPlan().toString()
+    want = sorted(map(flat, whole.collect()))
+    assert len(want) == 155 * model.n_classes
+    for size in (1 << 14, 1):
+        assert sorted(map(flat, crossed(posts, model, "doc_id", keep=("flair",), broadcast_bytes=size).collect())) == want
+    # words of a model with other characters are met too
+    terms = spark.createDataFrame([("en", "zzz-9", 2), ("en", "the", 1)], "flair string, word string, n bigint")
+    own = models.fit(posts, "flair", terms=terms)
+    for size in (64 << 20, 1):
+        row = crossed(posts.where("doc_id IS NULL"), own, "doc_id", broadcast_bytes=size).where("class = 'en'").collect()
+        assert [r["statistical_lm"] for r in row] == [{"zzz-9": 2 / 3, "the": 1 / 3}]
+
+
 def test_crossed_maps_of_many_classes(spark, micro):
     posts = micro.where("flair IS NOT NULL").select("id", "text").union(spark.createDataFrame([(8, ""), (9, None), (10, "zz")], "id bigint, text string"))
     few, many = models.fit(micro), models.fit(micro, wide=1)
