@@ -24,11 +24,13 @@ from corpuslm.functions.text import ws_tokens
 from corpuslm.operators import evaluate, models
 from corpuslm.operators.crossed import crossed
 from corpuslm.operators.labels import label_index
-from corpuslm.operators.positional import first_words, positional
+from corpuslm.operators.positional import distinct_tokens, positional, words_before
 from corpuslm.operators.predict import scores_with_max
 from corpuslm.operators.scoring import expand_classes, scores
 from corpuslm.operators.terms import label_terms, rank_terms, vocabulary, word_freq_maps
 from corpuslm.plans.classify import classify
+from corpuslm.plans.shared import materialize
+from corpuslm.plans.skew import lookup_join
 
 LM = f"WITH {POSTS}, {LABELS}, {LABEL_TERMS}, {MODELS} "
 
@@ -262,12 +264,18 @@ sums AS (SELECT m.doc_id, c.flair AS class, sum(ln(c.prior * (0.5::DOUBLE * coal
 def scores_positional(spark, sf_dir):
     p = texts(spark, sf_dir)
     tokens = ws_tokens(F.col("text"))
-    words = label_terms(p)
+    words = materialize(label_terms(p), "label-terms")
     word_index = rank_terms(words.groupBy(F.col("word").alias("term")).agg(F.sum("n").alias("n")))
     model = models.fit(p, terms=positional(words, "flair", word_index, term="word"))
-    own = first_words(p, "doc_id", tokens, vocabulary(p, tokens))
-    own = p.select("doc_id").join(own.withColumnRenamed("term", "word"), "doc_id", "left").select("doc_id", "word")
-    return scores(p, model, "doc_id", terms=own).select("doc_id", "class", rounded("score"))
+    # posts with as many distinct tokens have the same words, hence the same scores: each number is scored once
+    sizes = materialize(p.select("doc_id", distinct_tokens(tokens).alias("k")), "post-sizes")
+    kinds = materialize(sizes.groupBy("k").agg(F.count("*").alias("n")), "sizes")
+    longest = kinds.agg(F.max("k")).first()[0] or 0
+    own = words_before(kinds, "k", "k", vocabulary(p, tokens, size=max(longest, 1))).withColumnRenamed("term", "word")
+    scored = scores(kinds, model, "k", terms=kinds.select("k").join(own, "k", "left").select("k", "word"))
+    scored = scored.groupBy("k").agg(F.collect_list(F.struct("class", "score")).alias("scores"))
+    found = lookup_join(sizes, kinds.join(scored, "k"), ["k"], "n", ["scores"], spread_by="doc_id")
+    return found.select("doc_id", F.inline("scores")).select("doc_id", "class", rounded("score"))
 
 
 # SQL functions and SQL text -------------------------------------------------------------------------

@@ -58,11 +58,24 @@ def first_words(
     The same terms as positional() gives for the posts' own counts, where the vocabulary has all their tokens: which these
     are then makes no difference, so they are counted within the row and not looked up. Posts without tokens have no row.
     """
+    sizes = posts.select(key, distinct_tokens(tokens).alias("_k"))
+    return words_before(sizes, key, "_k", vocabulary, term, broadcast_bytes)
+
+
+def distinct_tokens(tokens: Column) -> Column:
+    """How many words of the vocabulary a post gets."""
+    return F.size(F.array_distinct(tokens)).cast("bigint")
+
+
+def words_before(
+    sizes: DataFrame, key: str, size: str, vocabulary: DataFrame, term: str = "term", broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """(key, term): the first words of the vocabulary for each row, as many as its `size` says. Rows of size 0 have none."""
     index = materialize(vocabulary.select(F.col("term").alias(term), "term_index"), "vocabulary")
-    size = index.agg(F.coalesce(F.sum(F.octet_length(term) + 64), F.lit(0))).first()[0]
-    sizes = posts.select(key, F.size(F.array_distinct(tokens)).cast("bigint").alias("_k")).where("_k > 0")
-    places = sizes.select(key, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_k") - 1)).alias("term_index"))
-    return _named(places, index, key, term, size <= broadcast_bytes).select(key, term)
+    bytes_ = index.agg(F.coalesce(F.sum(F.octet_length(term) + 64), F.lit(0))).first()[0]
+    sizes = sizes.where(F.col(size) > 0)
+    places = sizes.select(key, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(size) - 1)).alias("term_index"))
+    return _named(places, index, key, term, bytes_ <= broadcast_bytes).select(key, term)
 
 
 def _named(placed: DataFrame, index: DataFrame, key: str, term: str, fits: bool) -> DataFrame:

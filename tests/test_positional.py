@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from corpuslm.catalog import QUERIES, classification
 from corpuslm.functions.text import ws_tokens
 from corpuslm.operators.positional import first_words, number_within, positional
 from corpuslm.operators.terms import rank_terms, term_counts, vocabulary
@@ -53,6 +54,25 @@ def test_first_words_are_those_of_positional(spark, documents, size):
     assert key(got) == key(own)
 
 
+def test_scores_positional_scores_each_number_of_words_once(spark, tmp_path, monkeypatch):
+    rows = [(i, "web", "en" if i % 3 else "de", 9, f"a{i} b{i % 7} the the") for i in range(60)]
+    rows += [(100, "web", "en", 0, None), (101, "web", "en", 0, ""), (102, "web", "de", 3, "   "), (103, "web", "de", 3, "a1 a1 a1")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, lang string, n_chars bigint, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    seen, scores = [], classification.scores
+    monkeypatch.setattr(classification, "scores", lambda posts, *args, **kw: seen.append(posts.count()) or scores(posts, *args, **kw))
+    got = {(r["doc_id"], r["class"]): r["score"] for r in QUERIES["scores_positional"](spark, str(tmp_path)).collect()}
+    assert seen == [3] and len(got) == 2 * len(rows)  # of 64 posts with no, one or three words
+    # the same as each post scored by itself
+    p = classification.texts(spark, str(tmp_path))
+    tokens, words = ws_tokens(F.col("text")), classification.label_terms(p)
+    index = rank_terms(words.groupBy(F.col("word").alias("term")).agg(F.sum("n").alias("n")))
+    model = classification.models.fit(p, terms=positional(words, "flair", index, term="word"))
+    own = first_words(p, "doc_id", tokens, vocabulary(p, tokens)).withColumnRenamed("term", "word")
+    want = scores(p, model, "doc_id", terms=p.select("doc_id").join(own, "doc_id", "left").select("doc_id", "word"))
+    assert {(r["doc_id"], r["class"]): round(r["score"], 6) + 0.0 for r in want.collect()} == pytest.approx(got)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "k string, term string, n bigint")
     words = rank_terms(spark.createDataFrame([("x", 1)], "term string, n bigint"))
