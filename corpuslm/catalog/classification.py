@@ -268,14 +268,18 @@ def scores_positional(spark, sf_dir):
     word_index = rank_terms(words.groupBy(F.col("word").alias("term")).agg(F.sum("n").alias("n")))
     model = models.fit(p, terms=positional(words, "flair", word_index, term="word"))
     # posts with as many distinct tokens have the same words, hence the same scores: each number is scored once
-    sizes = materialize(p.select("doc_id", distinct_tokens(tokens).alias("k")), "post-sizes")
+    size = F.when(F.col("doc_id").isNotNull(), distinct_tokens(tokens)).otherwise(0).alias("k")
+    sizes = materialize(p.groupBy("doc_id", size).agg(F.count("*").alias("times")), "post-sizes")
     kinds = materialize(sizes.groupBy("k").agg(F.count("*").alias("n")), "sizes")
     longest = kinds.agg(F.max("k")).first()[0] or 0
     own = words_before(kinds, "k", "k", vocabulary(p, tokens, size=max(longest, 1))).withColumnRenamed("term", "word")
     scored = scores(kinds, model, "k", terms=kinds.select("k").join(own, "k", "left").select("k", "word"))
     scored = scored.groupBy("k").agg(F.collect_list(F.struct("class", "score")).alias("scores"))
     found = lookup_join(sizes, kinds.join(scored, "k"), ["k"], "n", ["scores"], spread_by="doc_id")
-    return found.select("doc_id", F.inline("scores")).select("doc_id", "class", rounded("score"))
+    # rows of one id are one post here, whose words all stand once for each of them
+    found = found.select("doc_id", "times", F.inline("scores")).groupBy("doc_id", "class")
+    found = found.agg((F.sum("times") * F.sum(F.col("times") * F.col("score"))).alias("score"))
+    return found.select("doc_id", "class", rounded("score"))
 
 
 # SQL functions and SQL text -------------------------------------------------------------------------

@@ -57,12 +57,13 @@ def test_first_words_are_those_of_positional(spark, documents, size):
 def test_scores_positional_scores_each_number_of_words_once(spark, tmp_path, monkeypatch):
     rows = [(i, "web", "en" if i % 3 else "de", 9, f"a{i} b{i % 7} the the") for i in range(60)]
     rows += [(100, "web", "en", 0, None), (101, "web", "en", 0, ""), (102, "web", "de", 3, "   "), (103, "web", "de", 3, "a1 a1 a1")]
+    rows += [(103, "web", "de", 3, "a1 a1 a1"), (103, "web", "de", 3, "a1 a2 a3"), (None, "web", "en", 2, "a1"), (None, "web", "en", 2, "a1")]
     docs = spark.createDataFrame(rows, "doc_id bigint, source string, lang string, n_chars bigint, text string")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     seen, scores = [], classification.scores
     monkeypatch.setattr(classification, "scores", lambda posts, *args, **kw: seen.append(posts.count()) or scores(posts, *args, **kw))
     got = {(r["doc_id"], r["class"]): r["score"] for r in QUERIES["scores_positional"](spark, str(tmp_path)).collect()}
-    assert seen == [3] and len(got) == 2 * len(rows)  # of 64 posts with no, one or three words
+    assert seen == [3] and len(got) == 2 * 65  # of 68 rows, 65 ids, with no, one or three words
     # the same as each post scored by itself
     p = classification.texts(spark, str(tmp_path))
     tokens, words = ws_tokens(F.col("text")), classification.label_terms(p)
