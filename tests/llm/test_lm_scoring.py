@@ -162,3 +162,41 @@ def test_no_training_rows_spell_every_word(spark):
     rows = [(only[0], "unseen words"), (only[1], ""), (only[2], "again unseen")]
     found = check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
     assert [found[i][6] for i in only] == pytest.approx([n * math.log10(1 / 256) for n in (14, 1, 14)])
+
+
+def test_tokens_of_many_texts_are_those_of_each():
+    import pyarrow as pa
+
+    texts = [None, "", " a\tB\x0bb ", "É x\x85y z", "aa" * 3_000, "a", "ab ba", "  ", "end"]
+    found = lm._Tokens(pa.array(["zero", *texts]).slice(1))
+    want = [lm._words(t or "") for t in texts]
+    assert found.counts.tolist() == [*map(len, want)] and found.words.to_pylist() == [w for ws in want for w in ws]
+    assert found.place.tolist() == [i for ws in want for i in range(len(ws) + 2)]
+    names = [w for ws in want for w in (lm.BEGIN, *ws, lm.END)]
+    assert len(set(zip(names, found.hash.tolist(), strict=True))) == len(set(names)) == len(set(found.hash.tolist()))
+    assert found.hash.view(np.int64).tolist() == [*map(lm._hash, names)]
+
+
+def test_ngrams_travel_as_one_row_for_each_range_of_hashes(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{(i * 7 + k * k) % 50}" for k in range(40))) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    full = np.full(1, 2**64 - 1, np.uint64)
+    grams = Counter(g for _, t in rows for ws in [[lm.BEGIN, *lm._words(t), lm.END]] for g in zip(ws, ws[1:]))
+    for ranges in (1, 8):
+        found = lm.count_ngrams(df, 2, full, ranges=ranges)
+        assert sorted(r.n for r in found.collect()) == sorted(n for n in grams.values() if n >= lm.MIN_COUNT)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapGroupsInArrow" in plan and "HashAggregate" not in plan
+        assert len(grams) > 8
+
+
+def test_parts_and_ranges_change_no_score(documents, monkeypatch):
+    whole = {r.doc_id: tuple(r) for r in lm.score(documents).collect()}
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 50_000)
+    monkeypatch.setattr(lm, "RANGES", 2)
+    monkeypatch.setattr(lm, "RANGE_BYTES", 100_000)
+    monkeypatch.setattr(lm, "PARTS", 3)
+    got = [tuple(r) for r in lm.score(documents).collect()]
+    assert len(got) == len(whole)
+    for r in got:
+        assert r[:5] == whole[r[0]][:5] and r[5:] == pytest.approx(whole[r[0]][5:], rel=1e-9)
