@@ -29,6 +29,8 @@ LEAST = 4
 SMOOTHING = 0.5
 # Unseen words whose scores a task remembers; bounds memory and changes no result.
 REMEMBERED = 150_000
+# Characters of text whose words a task of the filter holds at a time.
+SCORED = 512 << 10
 # Distinct words that a task gathers before it hands their counts, and those of their n-grams, on.
 GATHERED = 50_000
 UNDETERMINED = "und"
@@ -44,18 +46,20 @@ class LanguageModel:
     gram_scores: list
 
     def scorer(self):
-        """A function from texts to (language, share) pairs; made once per task."""
+        """A function from texts to (language, share) pairs; made once per task. The model's words and scores are not copied."""
         import numpy as np
 
         n = len(self.languages)
-        known = np.array(self.word_scores, dtype=np.float64).reshape(len(self.word_scores), n)
-        grams = np.array([*self.gram_scores, [0.0] * n], dtype=np.float64).reshape(len(self.gram_scores) + 1, n)
-        state = {"rows": dict(self.words), "table": known}
+        known = np.asarray(self.word_scores, dtype=np.float64).reshape(len(self.word_scores), n)
+        grams = np.asarray(self.gram_scores, dtype=np.float64).reshape(len(self.gram_scores), n)
+        grams = np.concatenate([grams, np.zeros((1, n))])
+        # rows of the words that the model does not know, behind its own
+        state = {"rows": {}, "table": known}
 
         def learn(new: list[str]) -> None:
             """Scores of unseen words: the mean over their letters of the longest n-gram's."""
-            if len(state["rows"]) - len(self.words) > REMEMBERED:
-                state["rows"], state["table"] = dict(self.words), known
+            if len(state["rows"]) > REMEMBERED:
+                state["rows"], state["table"] = {}, known
             of, found = self.grams.get, []
             for word in new:
                 marked = f"^{word}$"
@@ -71,14 +75,21 @@ class LanguageModel:
             state["table"] = np.concatenate([state["table"], sums])
             state["rows"].update(zip(new, range(start, start + len(new)), strict=True))
 
+        def missing_in(found: list[list[str]]) -> list[str]:
+            return sorted(set().union(*found).difference(self.words).difference(state["rows"]))
+
+        def row(word: str) -> int:
+            own = self.words.get(word)
+            return state["rows"][word] if own is None else own
+
         def step(texts: list[str]) -> list[tuple[str, float]]:
             found = [WORD.findall(t.lower()) for t in texts]
             if n:
-                missing = sorted(set().union(*found).difference(state["rows"]))
+                missing = missing_in(found)
                 if missing:
                     learn(missing)
                     # what was forgotten meanwhile
-                    missing = sorted(set().union(*found).difference(state["rows"]))
+                    missing = missing_in(found)
                     if missing:
                         learn(missing)
             out = []
@@ -86,7 +97,7 @@ class LanguageModel:
                 if not words or not n:
                     out.append((UNDETERMINED, 0.0))
                     continue
-                total = state["table"][[*map(state["rows"].__getitem__, words)]].sum(axis=0)
+                total = state["table"][[*map(row, words)]].sum(axis=0)
                 best = int(total.argmax())
                 # the chance of the language if at most 20 words told it apart, as words are not independent
                 odds = np.exp((total - total[best]) / len(words) * min(len(words), 20))
@@ -187,7 +198,7 @@ def accepted(docs: DataFrame, model: LanguageModel, text: str = "text", least: f
         score = model.scorer()
         for texts in parts:
             given = [t if isinstance(t, str) else "" for t in texts]
-            found = [x for part in bounded(given) for x in score(part)]
+            found = [x for part in bounded(given, SCORED) for x in score(part)]
             yield pd.Series([lang != UNDETERMINED and share >= least for lang, share in found], dtype=bool)
 
     return docs.where(known(F.col(text)))

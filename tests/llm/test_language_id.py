@@ -126,3 +126,20 @@ def test_edge_rows_against_plain_python(spark):
     got = sorted((tuple(r) for r in li.predict(df, li.fit(df)).collect()), key=repr)
     want = sorted(brute([(r.doc_id, r.text, r.lang) for r in df.collect()]), key=repr)
     assert [r[:3] for r in got] == [r[:3] for r in want] and [r[3] for r in got] == pytest.approx([r[3] for r in want], rel=1e-9)
+
+
+def test_a_task_does_not_copy_the_model():
+    import tracemalloc
+
+    import numpy as np
+
+    n = 100_000
+    names = {f"word{i}": i for i in range(n)}
+    model = li.LanguageModel(["a", "b"], names, np.zeros((n, 2)), {f"g{i}": i for i in range(n)}, np.zeros((n, 2)))
+    tracemalloc.start()
+    score = model.scorer()
+    found = score(["word1 word2 unseen"])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # one copy of the n-grams' scores, 1.6 MB; the words of the model took 10 MB more, its scores as lists 17 MB
+    assert found[0][0] == "a" and most < 5_000_000
